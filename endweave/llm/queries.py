@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from endweave.llm.common import documents
 from endweave.llm.exact_dedup import exact_dedup
+from endweave.llm.jaccard_join import jaccard_components
 from endweave.llm.mixing import mix
+from endweave.llm.sharding import shard
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +21,20 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir), shards=16)
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_source_mix": op2_source_mix,
+        "op5_bounded_ring": op5_bounded_ring,
+        "op9_jaccard_join": op9_jaccard_join,
     }
 
 
