@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from endweave.llm.common import documents
 from endweave.llm.exact_dedup import exact_dedup
+from endweave.llm.fingerprints import fingerprint_edits
 from endweave.llm.jaccard_join import jaccard_components
+from endweave.llm.langid import identify
 from endweave.llm.mixing import mix
+from endweave.llm.packing import pack
 from endweave.llm.sharding import shard
 
 
@@ -21,20 +24,35 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), shards=16)
 
 
+def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
 
 
+def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_source_mix": op2_source_mix,
+        "op3_language_mixture": op3_language_mixture,
         "op5_bounded_ring": op5_bounded_ring,
+        "op6_minhash_fingerprints": op6_minhash_fingerprints,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_best_fit": op10_best_fit,
     }
 
 
