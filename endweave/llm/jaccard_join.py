@@ -1,10 +1,11 @@
 """N-gram Jaccard self-join: which documents share at least a given part of their shingles.
 
 1. Documents with equal shingle sets form a class, represented by the smallest id.
-2. A class is described by the start of its shingles in the order of their hashes: two classes
-   that link share at least ``l`` of the shingles in these starts (prefix filter, no loss).
-   Classes with fewer than ``l`` shared ones can have no partner. Of the others, the rarest of
-   the start suffice, and classes that have one in common are put in one neighbourhood.
+2. Two classes that link differ in few shingles, at most H of those of both. Shingles are dealt to
+   H + need parts by their hash: at least ``need`` parts are the same in both, with no loss. A part
+   is one token, the hash of all its shingles, so that common phrases or passages alone make no
+   candidates. Classes with fewer tokens in common with others than ``need`` have no partner; of the
+   others the rarest tokens suffice, and classes with one in common form a neighbourhood.
 3. Inside a neighbourhood a signature tree finds the links exactly, over whole shingle sets, and
    leaves out what is linked already. A large neighbourhood is dealt to pairs of blocks.
 4. Links give components by alternating stars.
@@ -13,6 +14,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,29 +25,64 @@ from pyspark.sql import functions as F
 from endweave.llm.common import columns_of, cut, partitions
 from endweave.llm.components import components
 from endweave.llm.signature_tree import linked
-from endweave.llm.wordhash import shingle_sets
+from endweave.llm.wordhash import mix64, shingle_sets
 
 #: A block of a large neighbourhood: so many classes or shingles at most on average.
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 2_000_000
 
+_SALT = np.uint64(0xC2B2AE3D27D4EB4F)
+_NONE = np.zeros(0, dtype=np.uint64)
 
-def need(n: int, percent: int) -> int:
-    """Shingles that a set of n has in common with any set it links to."""
-    return -(-percent * n // 100)
 
+class Parts:
+    """How sets are dealt to parts, by bands of their size.
 
-def _l(n: int, percent: int) -> int:
-    return max(1, (n - need(n, percent) + 1) // 2)
-
-
-def start_length(n: int, percent: int) -> int:
-    return min(n, n - need(n, percent) + _l(n, percent))
-
+    A set's partner is of the same band or of a neighbouring one: the scheme of a band serves all
+    pairs whose larger set is in it, and sets of the band below that may have a partner in it.
+    """
 
-def least_shared(n: int, percent: int) -> int:
-    """Shingles that the starts of a set of n and of any set it links to have in common at least:
-    the partner may be smaller, and its start with it."""
-    return _l(need(n, percent), percent)
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.lows = [1]
+
+    def band(self, n: int) -> int:
+        while self.lows[-1] <= n + 1:
+            low = self.lows[-1]
+            for _ in range(2 if self.percent >= 90 else 1):
+                low = -(-100 * low // self.percent)
+            self.lows.append(max(self.lows[-1] + 1, low))
+        return bisect_right(self.lows, n) - 1
+
+    def differ(self, band: int) -> int:
+        """Shingles in which two linked sets of the scheme differ at most."""
+        self.band(self.lows[-1] if band + 1 >= len(self.lows) else 1)
+        return 2 * (self.lows[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
+
+    def schemes(self, n: int) -> list[int]:
+        own = self.band(n)
+        return [own, own + 1] if 100 * n // self.percent >= self.lows[own + 1] else [own]
+
+    def tokens(self, values: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+        """(tokens, how many of them a partner has at least) of a set of shingles."""
+        h = self.differ(band)
+        if h == 0:  # only equal sets link
+            return np.zeros(0, dtype=np.uint64), 1
+        least = 1 + h // (16 if self.percent >= 90 else 4)
+        n = h + least
+        mixed = mix64(values + np.uint64(band))
+        part = ((mixed >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+        total = np.zeros(n, dtype=np.uint64)
+        np.add.at(total, part, mix64(mixed + _SALT))
+        filled = np.bincount(part, minlength=n)
+        # Empty parts say little: they are left out unless so many are empty that two sets might
+        # have no other part in common.
+        full = np.flatnonzero(filled)
+        if n - len(full) < least:
+            least -= n - len(full)
+            at = full
+        else:
+            least, at = 1, np.arange(n)
+        return mix64(total[at] + mix64(at.astype(np.uint64) * _SALT + np.uint64(band))), least
 
 
 def _fingerprint(values: np.ndarray) -> bytes:
@@ -54,23 +91,27 @@ def _fingerprint(values: np.ndarray) -> bytes:
 
 def _sketch(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
         for batch in batches:
-            sizes, prints, starts = [], [], []
+            sizes, prints = [], []
+            tokens: tuple[list, list] = ([], [])
+            least: tuple[list, list] = ([], [])
             for _, values in shingle_sets(batch.column(1), k):
                 sizes.append(len(values))
                 prints.append(_fingerprint(values))
-                starts.append(values[: start_length(len(values), percent)].view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in starts])]).astype(np.int32)
-            flat = np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64)
+                schemes = parts.schemes(len(values)) if len(values) else []
+                for i in range(2):
+                    found, n = parts.tokens(values, schemes[i]) if i < len(schemes) else (_NONE, 1)
+                    tokens[i].append(found.view(np.int64))
+                    least[i].append(n)
+            lists = []
+            for own in tokens:
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own) if own else np.zeros(0, dtype=np.int64))))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(prints, pa.binary()),
-                    pa.array([least_shared(n, percent) for n in sizes], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                names=["id", "n", "fp", "need", "start"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())]
+                + [lists[0], pa.array(least[0], pa.int32()), lists[1], pa.array(least[1], pa.int32())],
+                names=["id", "n", "fp", "tokens0", "need0", "tokens1", "need1"],
             )
 
     return run
@@ -116,14 +157,17 @@ def _verify(k: int, percent: int):
 
 
 def _neighbourhoods(classes: DataFrame) -> DataFrame:
-    """(node, label) of the classes (node, need, start) that may have a partner."""
-    tokens = classes.select("node", F.explode("start").alias("token"))
+    """(node, label) of the classes (node, tokens, need of either scheme) that may have a partner."""
+    tokens = classes.select("node", F.lit(0).alias("side"), F.explode("tokens0").alias("token")).union(
+        classes.select("node", F.lit(1).alias("side"), F.explode("tokens1").alias("token"))
+    )
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = (
         tokens.join(frequent, "token")
-        .groupBy("node")
+        .groupBy("node", "side")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
-        .join(classes.groupBy("node").agg(F.min("need").alias("need")), "node")
+        .join(classes.groupBy("node").agg(F.min("need0").alias("need0"), F.min("need1").alias("need1")), "node")
+        .withColumn("need", F.when(F.col("side") == 0, F.col("need0")).otherwise(F.col("need1")))
         .filter(F.size("shared") >= F.col("need"))
     )
     kept = cut(shared.select("node", F.explode(F.expr("slice(shared, 1, size(shared) - need + 1)")["token"]).alias("token")))
@@ -150,11 +194,11 @@ def jaccard_components(
     spark = docs.sparkSession
     p = partitions(spark)
     rows = columns_of(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(rows.mapInArrow(_sketch(k, percent), "id long, n long, fp binary, need int, start array<long>"))
+    sketch = cut(rows.mapInArrow(_sketch(k, percent), "id long, n long, fp binary, tokens0 array<long>, need0 int, tokens1 array<long>, need1 int"))
     classes = (
         sketch.filter("n > 0")
         .groupBy("fp")
-        .agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("start").alias("start"))
+        .agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "tokens0", "need0", "tokens1", "need1")])
         .filter("node is not null")
     )
     classes = cut(classes)
