@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from endweave.llm.common import columns_of
 from endweave.llm.wordhash import chunks, mix64
 
 #: n-gram length in bytes, and the number of hashed n-grams.
@@ -169,8 +168,8 @@ def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray, at: int)
     return out
 
 
-def _predict(langs: list[str], table: np.ndarray, id_name: str):
-    names = [id_name, "held_out", "lang_pred", "score", "langs"]
+def _predict(langs: list[str], table: np.ndarray, id_name: str, carried: list[str]):
+    names = [id_name, "held_out", "lang_pred", "score", "langs", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,7 +188,8 @@ def _predict(langs: list[str], table: np.ndarray, id_name: str):
                     score.append(float(min(pi[i, top[i]], 1.0)) if letters[i] else 0.0)
                     chosen.append(",".join(langs[j] for j in np.flatnonzero(pi[i] > 0)) if letters[i] else "")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(chosen, pa.string())],
+                [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(chosen, pa.string())]
+                + [batch.column(3 + i) for i in range(len(carried))],
                 names=names,
             )
 
@@ -197,7 +197,7 @@ def _predict(langs: list[str], table: np.ndarray, id_name: str):
 
 
 def identify(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, fold: int = 2, sample: int = SAMPLE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, fold: int = 2, sample: int = SAMPLE, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score, langs.
 
@@ -205,14 +205,19 @@ def identify(
     them, nor from rows without id, text or language. lang_pred is the language of the largest
     proportion, score that proportion, langs all selected languages. A null text, and one without a
     letter, has ``und``, score 0 and no languages; so has every row where nothing can be learnt. An
-    empty table gives an empty result; columns other than the three named are not read.
+    empty table gives an empty result. Columns named in ``carry`` are passed through; others than
+    these and the three named are not read.
     """
-    rows = columns_of(docs, id_col, text_col, lang_col).select(
+    rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False)).alias("held_out"),
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
+        *[F.col(c).alias(f"carried_{c}") for c in carry],
     )
     langs, table = learn(rows.filter("not held_out and id is not null").select("id", "text", "lang"), sample)
     schema = f"{id_col} long, held_out boolean, lang_pred string, score double, langs string"
-    return rows.select("id", "held_out", "text").mapInArrow(_predict(langs, table, id_col), schema)
+    types = dict(docs.select(*carry).dtypes) if carry else {}
+    schema += "".join(f", {c} {types[c]}" for c in carry)
+    read = rows.select("id", "held_out", "text", *[f"carried_{c}" for c in carry])
+    return read.mapInArrow(_predict(langs, table, id_col, list(carry)), schema)

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from endweave.llm.chat import conversation_digests
 from endweave.llm.common import documents
 from endweave.llm.exact_dedup import exact_dedup
 from endweave.llm.fingerprints import fingerprint_edits
 from endweave.llm.jaccard_join import jaccard_components
 from endweave.llm.langid import identify
+from endweave.llm.licenses import scan_licenses
 from endweave.llm.mixing import mix
 from endweave.llm.packing import pack
 from endweave.llm.sharding import shard
+from endweave.llm.toxicity import score_toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +31,13 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return conversation_digests(turns.union(more))
+
+
 def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), shards=16)
 
@@ -36,6 +46,14 @@ def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
 
+def op7_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
+def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
 
@@ -49,8 +67,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_source_mix": op2_source_mix,
         "op3_language_mixture": op3_language_mixture,
+        "op4_chat_windows": op4_chat_windows,
         "op5_bounded_ring": op5_bounded_ring,
         "op6_minhash_fingerprints": op6_minhash_fingerprints,
+        "op7_license_index": op7_license_index,
+        "op8_toxicity_trees": op8_toxicity_trees,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_best_fit": op10_best_fit,
     }
