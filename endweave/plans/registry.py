@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
+import importlib
+
+_FOUND: dict = {}
+_SQL: dict[str, str] = {}
+_MODULES = ("core",)
+
+
+def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) -> DataFrame under its name."""
+
+    def add(f):
+        _FOUND[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _load() -> None:
+    for name in _MODULES:
+        importlib.import_module(f"endweave.plans.{name}")
+
 
 def queries() -> dict:
-    return {}
+    _load()
+    return dict(_FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_SQL)
