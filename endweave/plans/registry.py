@@ -6,7 +6,7 @@ import importlib
 
 _FOUND: dict = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("core",)
+_MODULES = ("core", "models")
 
 
 def query(sql: str | None = None):
