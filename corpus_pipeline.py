@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from endweave.llm.common import WORD, ensure_checkpoint_dir, text_or_empty
+from endweave.llm.common import WORD, cut, ensure_checkpoint_dir, nearby, text_or_empty
 from endweave.llm.exact_dedup import exact_dedup, normalised
 from endweave.llm.jaccard_join import jaccard_components
 from endweave.llm.langid import UNDETERMINED, identify
@@ -33,11 +33,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
+    told = exact_dedup(docs).groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    # Most documents are the only one with their id and text, and stay: the others are looked up.
+    odd = cut(told.filter("not stays or n > 1"))
     keyed = docs.withColumn("own_sha", F.sha2(normalised().cast("binary"), 256))
-    found = keyed.join(kept.hint("shuffle_hash"), keyed.doc_id.eqNullSafe(kept.id) & (keyed.own_sha == kept.sha))
-    rank = F.row_number().over(Window.partitionBy("doc_id", "own_sha").orderBy("text", "lang", "source", "n_chars"))
-    return found.withColumn("rank", rank).filter("rank = 1").select(*COLUMNS)
+    found = keyed.join(nearby(odd), keyed.doc_id.eqNullSafe(odd.id) & (keyed.own_sha == odd.sha), "left")
+    kept = found.filter("n is null").select(*COLUMNS)
+    if odd.filter("stays").limit(1).count():  # rows with the same id and text: one of them
+        rank = F.row_number().over(Window.partitionBy("doc_id", "own_sha").orderBy("text", "lang", "source", "n_chars"))
+        kept = kept.union(found.filter("stays").withColumn("rank", rank).filter("rank = 1").select(*COLUMNS))
+    return kept
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +50,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows without an id stay."""
     groups = jaccard_components(docs, k=5, percent=80)
     gone = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    gone = gone.filter("not stays").select("doc_id")
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
+    gone = cut(gone.filter("not stays").select("doc_id"))
+    return docs.join(nearby(gone), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from endweave.session import cut, ensure_checkpoint_dir  # noqa: F401
+
 #: Word pattern and white space of the contracts: ASCII space and 0x09-0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,21 +20,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder that spark.checkpoint.dir names; sets one only where none is set."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = sc.getConf().get("spark.checkpoint.dir")
-    if not named and not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="endweave-checkpoint-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder and goes on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def nearby(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
+    """A table that is written already, to be joined to a wide one: broadcast if it has at most ``rows``
+    rows, so that the wide one needn't move, and shuffled with it otherwise."""
+    if df.count() <= rows:
+        return F.broadcast(df)
+    return df.hint("shuffle_hash")
 
 
 def text_or_empty(column: str = "text") -> Column:

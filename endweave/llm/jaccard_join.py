@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.llm.common import columns_of, cut, partitions
+from endweave.llm.common import columns_of, cut, nearby, partitions
 from endweave.llm.components import components
 from endweave.llm.signature_tree import linked
 from endweave.llm.wordhash import mix64, shingle_sets
@@ -31,45 +31,50 @@ from endweave.llm.wordhash import mix64, shingle_sets
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 2_000_000
 
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
-_NONE = np.zeros(0, dtype=np.uint64)
 
 
 class Parts:
     """How sets are dealt to parts, by bands of their size.
 
-    A set's partner is of the same band or of a neighbouring one: the scheme of a band serves all
-    pairs whose larger set is in it, and sets of the band below that may have a partner in it.
+    Sets of one band that link share the band's scheme. Where a set and a partner may lie on both
+    sides of a border between bands, they share the border's scheme. Bands are so wide that a set
+    is near one border at most, but for rounding.
     """
 
+    WIDE = 2  # sets of a band differ in size by this power of the least ratio of linked sets
+
     def __init__(self, percent: int):
         self.percent = percent
         self.lows = [1]
 
     def band(self, n: int) -> int:
-        while self.lows[-1] <= n + 1:
+        while self.lows[-1] <= n + n * 100 // self.percent + 1:
             low = self.lows[-1]
-            for _ in range(2 if self.percent >= 90 else 1):
+            for _ in range(self.WIDE):
                 low = -(-100 * low // self.percent)
             self.lows.append(max(self.lows[-1] + 1, low))
         return bisect_right(self.lows, n) - 1
 
-    def differ(self, band: int) -> int:
-        """Shingles in which two linked sets of the scheme differ at most."""
-        self.band(self.lows[-1] if band + 1 >= len(self.lows) else 1)
-        return 2 * (self.lows[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
-
-    def schemes(self, n: int) -> list[int]:
+    def schemes(self, n: int) -> list[tuple[int, int]]:
+        """(number of the scheme, shingles in which two linked sets of it differ at most)."""
         own = self.band(n)
-        return [own, own + 1] if 100 * n // self.percent >= self.lows[own + 1] else [own]
-
-    def tokens(self, values: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+        bound = lambda both: both * (100 - self.percent) // (100 + self.percent)
+        out = [(3 * own, bound(2 * (self.lows[own + 1] - 1)))]
+        low, high = self.lows[own], self.lows[own + 1]
+        if own and -(-self.percent * n // 100) < low:
+            out.append((3 * own - 2, bound(low - 1 + 100 * (low - 1) // self.percent)))
+        if 100 * n // self.percent >= high:
+            out.append((3 * own + 1, bound(high - 1 + 100 * (high - 1) // self.percent)))
+        return out
+
+    @staticmethod
+    def tokens(values: np.ndarray, scheme: int, h: int) -> tuple[np.ndarray, int]:
         """(tokens, how many of them a partner has at least) of a set of shingles."""
-        h = self.differ(band)
         if h == 0:  # only equal sets link
             return np.zeros(0, dtype=np.uint64), 1
-        least = 1 + h // (16 if self.percent >= 90 else 4)
+        least = 1 + h // 8
         n = h + least
-        mixed = mix64(values + np.uint64(band))
+        mixed = mix64(values + np.uint64(scheme))
         part = ((mixed >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
         total = np.zeros(n, dtype=np.uint64)
         np.add.at(total, part, mix64(mixed + _SALT))
@@ -82,36 +87,48 @@ class Parts:
             at = full
         else:
             least, at = 1, np.arange(n)
-        return mix64(total[at] + mix64(at.astype(np.uint64) * _SALT + np.uint64(band))), least
+        return mix64(total[at] + mix64(at.astype(np.uint64) * _SALT + np.uint64(scheme))), least
 
 
 def _fingerprint(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _sketch(k: int, percent: int):
+def _sketch(k: int):
+    """(id, n, fp) of rows (id, text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = Parts(percent)
         for batch in batches:
             sizes, prints = [], []
-            tokens: tuple[list, list] = ([], [])
-            least: tuple[list, list] = ([], [])
             for _, values in shingle_sets(batch.column(1), k):
                 sizes.append(len(values))
                 prints.append(_fingerprint(values))
-                schemes = parts.schemes(len(values)) if len(values) else []
-                for i in range(2):
-                    found, n = parts.tokens(values, schemes[i]) if i < len(schemes) else (_NONE, 1)
-                    tokens[i].append(found.view(np.int64))
-                    least[i].append(n)
-            lists = []
-            for own in tokens:
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
-                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own) if own else np.zeros(0, dtype=np.int64))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())], names=["id", "n", "fp"])
+
+    return run
+
+
+def _tokens(k: int, percent: int):
+    """(node, meta, tokens) of rows (id, text): a row for each scheme of a document; meta holds how
+    many tokens a partner shares at least, and the scheme's ordinal, 0 to 2, in its lowest two bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            nodes, meta, tokens = [], [], []
+            for i, values in shingle_sets(batch.column(1), k):
+                for side, scheme in enumerate(parts.schemes(len(values)) if len(values) else []):
+                    found, least = parts.tokens(values, *scheme)
+                    if len(found):
+                        nodes.append(ids[i])
+                        meta.append(4 * least + side)
+                        tokens.append(found.view(np.int64))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in tokens])]).astype(np.int32)
+            flat = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())]
-                + [lists[0], pa.array(least[0], pa.int32()), lists[1], pa.array(least[1], pa.int32())],
-                names=["id", "n", "fp", "tokens0", "need0", "tokens1", "need1"],
+                [pa.array(nodes, pa.int64()), pa.array(meta, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["node", "meta", "tokens"],
             )
 
     return run
@@ -156,18 +173,14 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _neighbourhoods(classes: DataFrame) -> DataFrame:
-    """(node, label) of the classes (node, tokens, need of either scheme) that may have a partner."""
-    tokens = classes.select("node", F.lit(0).alias("side"), F.explode("tokens0").alias("token")).union(
-        classes.select("node", F.lit(1).alias("side"), F.explode("tokens1").alias("token"))
-    )
-    frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+def _neighbourhoods(tokens: DataFrame) -> DataFrame:
+    """(node, label) of the nodes (node, meta, token) that may have a partner."""
+    # Tokens of a large family of near copies are as many as anyone's parts, and spread like these.
+    rows = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1")
     shared = (
-        tokens.join(frequent, "token")
-        .groupBy("node", "side")
+        rows.groupBy("node", "meta")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
-        .join(classes.groupBy("node").agg(F.min("need0").alias("need0"), F.min("need1").alias("need1")), "node")
-        .withColumn("need", F.when(F.col("side") == 0, F.col("need0")).otherwise(F.col("need1")))
+        .withColumn("need", F.shiftright("meta", 2))
         .filter(F.size("shared") >= F.col("need"))
     )
     kept = cut(shared.select("node", F.explode(F.expr("slice(shared, 1, size(shared) - need + 1)")["token"]).alias("token")))
@@ -194,21 +207,22 @@ def jaccard_components(
     spark = docs.sparkSession
     p = partitions(spark)
     rows = columns_of(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(rows.mapInArrow(_sketch(k, percent), "id long, n long, fp binary, tokens0 array<long>, need0 int, tokens1 array<long>, need1 int"))
-    classes = (
-        sketch.filter("n > 0")
-        .groupBy("fp")
-        .agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "tokens0", "need0", "tokens1", "need1")])
-        .filter("node is not null")
+    sketch = cut(rows.mapInArrow(_sketch(k), "id long, n long, fp binary"))
+    classes = cut(
+        sketch.filter("n > 0").groupBy("fp").agg(F.min("id").alias("node"), F.first("n").alias("n")).filter("node is not null")
     )
-    classes = cut(classes)
-    near = _neighbourhoods(classes)
+    # Whole classes but for their nodes need no tokens; their texts are left out where they are read.
+    first = classes.select(F.col("node").alias("id"), F.lit(True).alias("first")).distinct()
+    others = sketch.filter("id is not null").select("id").distinct().join(first, "id", "left_anti")
+    alone = rows.filter("id is not null").join(nearby(cut(others)), "id", "left_anti")
+    tokens = alone.mapInArrow(_tokens(k, percent), "node long, meta int, tokens array<long>")
+    near = _neighbourhoods(tokens.select("node", "meta", F.explode("tokens").alias("token")))
     members = classes.select("node", "fp", "n").join(near, "node")
     blocks = members.groupBy("label").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
-    members = members.join(blocks, "label").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    with_text = rows.join(members.hint("shuffle_hash"), rows.id == members.node).select("label", "blocks", "b", "node", "fp", "text")
+    members = cut(members.join(blocks, "label").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    with_text = rows.join(nearby(members), rows.id == members.node).select("label", "blocks", "b", "node", "fp", "text")
     pairs = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.col("label").alias("g"), F.least("b", "other").alias("x"), F.greatest("b", "other").alias("y"), "b", "node", "fp", "text"
     )
