@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from endweave.operators.intervals import gap_clusters
+from endweave.session import cut
+
+#: Sites of a bucket on average.
+BUCKET = 20_000
 
 
 def crosswalk(a: DataFrame, b: DataFrame, tolerance: int = 24) -> DataFrame:
@@ -22,9 +26,14 @@ def crosswalk(a: DataFrame, b: DataFrame, tolerance: int = 24) -> DataFrame:
     both = a.select("chrom", "strand", "start", "pas_id", "gene_id", "ordinal", F.lit(0).alias("side")).unionByName(
         b.select("chrom", "strand", "start", "pas_id", "gene_id", F.lit(None).cast("long").alias("ordinal"), F.lit(1).alias("side"))
     )
-    parts = gap_clusters(both, ["chrom", "strand"], "start", tolerance)
+    parts = cut(gap_clusters(both, ["chrom", "strand"], "start", tolerance))
+    buckets = max(1, -(-parts.count() // BUCKET))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Clusters of a bucket do not meet, so that each strand of a contig can be gone through at once.
+        return pd.concat([strand_matches(part) for _, part in pdf.groupby(["chrom", "strand"])])
+
+    def strand_matches(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf["side"] == 0].sort_values("ordinal")
         right = pdf[pdf["side"] == 1].sort_values(["start", "pas_id"])
         starts, ids, genes = right["start"].tolist(), right["pas_id"].tolist(), right["gene_id"].fillna("").tolist()
@@ -50,7 +59,8 @@ def crosswalk(a: DataFrame, b: DataFrame, tolerance: int = 24) -> DataFrame:
         return made
 
     schema = "a_pas_id string, b_pas_id string, chrom string, strand string, distance long, a_gene_id string, b_gene_id string, match_class string"
-    return parts.groupBy("chrom", "strand", "cluster").applyInPandas(match, schema)
+    bucket = F.pmod(F.xxhash64("chrom", "strand", "cluster"), F.lit(buckets))
+    return parts.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(match, schema)
 
 
 def concordance(matches: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:

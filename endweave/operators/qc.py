@@ -25,3 +25,62 @@ def end_audit(ends: DataFrame, routed: DataFrame) -> DataFrame:
         percent(F.col("c2"), F.col("c0")).alias("c2_pct"),
         ((F.col("c0") == F.col("c1") + F.col("c1s")) & (F.col("c1") == F.col("c2") + F.col("c2r"))).alias("reconciled"),
     )
+
+
+def orientation(counts: DataFrame, least: int = 1000, share: float = 0.75) -> DataFrame:
+    """Whether reverse counts (forward, reverse) prevail; too few informative reads pass."""
+    n = F.col("forward") + F.col("reverse")
+    fraction = F.when(n > 0, F.col("reverse") / n)
+    return counts.select("sample_id", n.alias("informative"), fraction.alias("reverse_fraction"), ((n < least) | (fraction >= share)).alias("passed"))
+
+
+def gene_body(profiles: DataFrame) -> DataFrame:
+    """(sample_id, first20, last20, ratio, profile) of 100 percentile values, scaled to the largest."""
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    top = F.array_max("values")
+    rows = profiles.filter(F.size("values") == 100).withColumn("first20", total(F.slice("values", 1, 20))).withColumn("last20", total(F.slice("values", 81, 20)))
+    return rows.select(
+        "sample_id", "first20", "last20", F.when(F.col("last20") > 0, F.col("first20") / F.col("last20")).alias("ratio"),
+        F.when(top > 0, F.transform("values", lambda x: x / top)).alias("profile"),
+    )
+
+
+def collapse_samples(lanes: DataFrame) -> DataFrame:
+    """Lanes to samples: the first lane's metadata, numbers of technical replicates and lanes, and
+    whether lanes disagree on what must not vary."""
+    fixed = ["genome", "condition", "subject"]
+    return lanes.groupBy("sample_id").agg(
+        *[F.min_by(c, "lane_id").alias(c) for c in fixed],
+        F.count_distinct("technical_replicate_id").alias("technical_replicates"),
+        F.count(F.lit(1)).alias("lanes"),
+        (F.count_distinct(F.struct(*fixed)) > 1).alias("inconsistent"),
+    )
+
+
+def duplicated_lanes(lanes: DataFrame) -> DataFrame:
+    key = ["sample_id", "technical_replicate_id", "lane_id"]
+    return lanes.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+
+
+def resource_plan(jobs: DataFrame, threads: int, memory: int) -> DataFrame:
+    """Concurrent jobs and their peak by stage (stage, jobs, threads, memory_gb), under the ceilings."""
+    at_once = F.greatest(F.lit(1), F.least("jobs", F.floor(F.lit(threads) / F.col("threads")), F.floor(F.lit(memory) / F.col("memory_gb"))))
+    return jobs.select(
+        "stage", at_once.cast("long").alias("concurrent"), (at_once * F.col("threads")).cast("long").alias("peak_threads"), (at_once * F.col("memory_gb")).cast("long").alias("peak_memory_gb"),
+        ((at_once * F.col("threads") <= threads) & (at_once * F.col("memory_gb") <= memory)).alias("within"),
+    )
+
+
+def latest_status(events: DataFrame) -> DataFrame:
+    """The last event of each module (module, at, status, ordinal), and how many there were."""
+    return events.groupBy("module").agg(F.max_by("status", F.struct("at", "ordinal")).alias("status"), F.max("at").alias("at"), F.count(F.lit(1)).alias("events"))
+
+
+def track_lines(tracks: DataFrame) -> DataFrame:
+    """Browser descriptors, one line each (name, url, strand, color, priority), and whether they are well-formed."""
+    bad = F.col("url").rlike(r"\s") | F.col("name").rlike('["\']')
+    line = F.format_string(
+        'track type=bigWig name="%s" description="%s" bigDataUrl=%s color=%s visibility=full autoScale=on negateValues=%s priority=%d',
+        "name", "name", "url", "color", F.when(F.col("strand") == "-", "on").otherwise("off"), "priority",
+    )
+    return tracks.select("name", line.alias("line"), (~bad).alias("valid"))

@@ -262,4 +262,6 @@ def sql(body: str, *needs: str, **more: str) -> str:
     for name in needs:
         add(name)
     found |= more
+    if not found:
+        return body
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in found.items()) + "\n" + body
