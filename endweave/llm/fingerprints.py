@@ -128,7 +128,7 @@ def _compare(k: int, names: list[str]):
             for i in range(len(ids)):
                 held.append((bucket[i], ahead[i], ids[i], texts[i].as_py()))
                 size += len(held[-1][3])
-                if size > 1 << 20 or len(held) > 2000:
+                if size > 1 << 18 or len(held) > 500:
                     if (made := out(held)) is not None:
                         yield made
                     held, size = held[-1:], 0

@@ -112,24 +112,25 @@ def _tokens(k: int, percent: int):
     """(node, meta, tokens) of rows (id, text): a row for each scheme of a document; meta holds how
     many tokens a partner shares at least, and the scheme's ordinal, 0 to 2, in its lowest two bits."""
 
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        ends = np.concatenate([[0], np.cumsum([len(r[2]) for r in rows])]).astype(np.int32)
+        flat = np.concatenate([r[2] for r in rows]) if rows else np.zeros(0, dtype=np.int64)
+        tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), tokens], names=["node", "meta", "tokens"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = Parts(percent)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            nodes, meta, tokens = [], [], []
+            ids, rows = batch.column(0).to_pylist(), []
             for i, values in shingle_sets(batch.column(1), k):
                 for side, scheme in enumerate(parts.schemes(len(values)) if len(values) else []):
                     found, least = parts.tokens(values, *scheme)
                     if len(found):
-                        nodes.append(ids[i])
-                        meta.append(4 * least + side)
-                        tokens.append(found.view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in tokens])]).astype(np.int32)
-            flat = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(meta, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["node", "meta", "tokens"],
-            )
+                        rows.append((ids[i], 4 * least + side, found.view(np.int64)))
+                if len(rows) >= 1000:
+                    yield out(rows)
+                    rows = []
+            yield out(rows)
 
     return run
 

@@ -44,6 +44,11 @@ def _rate(multiplier: Column, most: int) -> Column:
     return F.least(F.lit(float(most)), F.exp(F.least(multiplier * F.col("a"), F.lit(700.0))))
 
 
+def _exact_sum(term: Column) -> Column:
+    """A sum that does not depend on the order of its terms, so that reruns agree to the last bit."""
+    return F.sum(term.cast("decimal(38,12)")).cast("double")
+
+
 def _solve(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:
     """(source, lam) for (source, size, n) cells: the root of sum n * size * rate = target."""
     cells = cells.join(targets, cells.source.eqNullSafe(targets.source)).select(
@@ -66,8 +71,8 @@ def _solve(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:
         held = cells.alias("c").join(state.select(F.col("source").alias("s"), "lam"), F.col("source").eqNullSafe(F.col("s")))
         rate = _rate(F.col("lam"), most)
         sums = held.groupBy("source").agg(
-            F.sum(F.col("n") * F.col("size") * rate).alias("taken"),
-            F.sum(F.when(rate < most, F.col("n") * F.col("size") * F.col("a") * rate).otherwise(0.0)).alias("slope"),
+            _exact_sum(F.col("n") * F.col("size") * rate).alias("taken"),
+            _exact_sum(F.when(rate < most, F.col("n") * F.col("size") * F.col("a") * rate).otherwise(0.0)).alias("slope"),
         )
         sums = sums.withColumnRenamed("source", "s")
         gap = F.col("taken") - F.col("target")
@@ -157,7 +162,7 @@ def mix(
         "share", F.col("n") * F.greatest(F.col("rate") - F.col("base"), F.lit(0.0))
     )
     order = Window.partitionBy("source").orderBy(F.col("size").desc(), "part").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("share").over(order)
+    upto = F.sum(F.col("share").cast("decimal(28,9)")).over(order).cast("double")
     parts = (
         parts.withColumn("upto", upto)
         .withColumn("extra", (F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("share") + 0.5)).cast("long"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on together; a longer text is worked on alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _P = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
