@@ -20,7 +20,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def nearby(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
+def nearby(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A table that is written already, to be joined to a wide one: broadcast if it has at most ``rows``
     rows, so that the wide one needn't move, and shuffled with it otherwise."""
     if df.count() <= rows:
@@ -28,6 +28,12 @@ def nearby(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
     return df.hint("shuffle_hash")
 
 
+def dealt_anew(df: DataFrame, key: str) -> DataFrame:
+    """An aggregate by ``key`` that a join deals out again: if it were joined where it lies, Spark
+    could not split the partitions of frequent keys on the other side."""
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

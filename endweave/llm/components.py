@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from endweave.llm.common import cut
+from endweave.llm.common import cut, dealt_anew
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -15,13 +15,13 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = _both(edges)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.filter("v > u").join(dealt_anew(least, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(dealt_anew(least, "u"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.llm.common import columns_of, cut, nearby, partitions
+from endweave.llm.common import columns_of, cut, dealt_anew, nearby, partitions
 from endweave.llm.components import components
 from endweave.llm.signature_tree import linked
 from endweave.llm.wordhash import mix64, shingle_sets
@@ -186,7 +186,7 @@ def _neighbourhoods(tokens: DataFrame) -> DataFrame:
     )
     kept = cut(shared.select("node", F.explode(F.expr("slice(shared, 1, size(shared) - need + 1)")["token"]).alias("token")))
     hubs = kept.groupBy("token").agg(F.min("node").alias("hub"))
-    edges = kept.join(hubs, "token").filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    edges = kept.join(dealt_anew(hubs, "token"), "token").filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     return components(edges)
 
 

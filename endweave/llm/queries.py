@@ -89,5 +89,68 @@ SELECT doc_id,
        sha256(t) AS text_sha256,
        CAST(octet_length(encode(t)) AS BIGINT) AS n_bytes
 FROM n
+""",
+    "op4_chat_windows": r"""
+WITH raw AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), a AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM raw
+), b AS (
+  SELECT *, pos = 1 AND role = 'system' AS sys, CASE WHEN pos = 1 AND role = 'system' THEN 0 ELSE tokens END AS own,
+    greatest(102, floor((1024 - coalesce(max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0)) * 2 / 5)) AS stride
+  FROM a
+), c AS (
+  SELECT *, CASE WHEN NOT sys THEN floor(coalesce(sum(own) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / stride) END AS blk,
+    CASE WHEN NOT sys THEN own > stride END AS lng
+  FROM b
+), d AS (
+  SELECT *, coalesce(lag(blk) OVER o <> blk OR lag(lng) OVER o OR (lag(lng) OVER o IS NOT NULL AND lng), false) AS moved
+  FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+), e AS (
+  SELECT *, sum(CAST(moved AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY pos) AS win FROM d
+), f AS (
+  SELECT *, max(win) OVER (PARTITION BY conv_id) AS last,
+    row_number() OVER (PARTITION BY conv_id, win ORDER BY pos DESC) AS from_end,
+    sum(own) OVER (PARTITION BY conv_id, win ORDER BY pos DESC) AS end_tokens
+  FROM e
+), g AS (
+  SELECT *, CASE WHEN sys THEN last + 1 WHEN from_end <= 2 AND end_tokens * 2 <= stride AND win < last THEN 2 ELSE 1 END AS copies,
+    12 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'), chr(10), '<' || chr(92) || ',')) + 1
+    + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')) + 11 AS chars
+  FROM f
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars * copies) AS BIGINT) AS formatted_chars
+FROM g GROUP BY conv_id
+""",
+    "op9_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), sh AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS s
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY 1
+), pr AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), lk AS (
+  SELECT x, y FROM pr JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 90 * (nx.n + ny.n - i)
+), sym AS (
+  SELECT x, y FROM lk UNION ALL SELECT y, x FROM lk
+), reach(d, c) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT sym.y, reach.c FROM reach JOIN sym ON sym.x = reach.d
+)
+SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT d AS doc_id, min(c) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
 """,
 }
