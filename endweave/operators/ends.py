@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from endweave.functions import genomics as G
-from endweave.operators.intervals import merge, points_in, window_components
+from endweave.operators.intervals import FINE, merge, points_in, window_components
 
 PLACE = ["chrom", "strand"]
 CPM = "decimal(28,6)"
@@ -45,7 +45,7 @@ def pooled_cpm(ends: DataFrame) -> DataFrame:
 def recenter(components: DataFrame, pooled: DataFrame, sizes: DataFrame, width: int) -> DataFrame:
     """The interval around each component's highest position, the lowest one of ties."""
     held = points_in(
-        pooled.select(*PLACE, "pos", "cpm"), components.select(*PLACE, "start", "end"), PLACE, "pos", "start", "end"
+        pooled.select(*PLACE, "pos", "cpm"), components.select(*PLACE, "start", "end"), PLACE, "pos", "start", "end", width=FINE
     )
     summits = held.groupBy(*PLACE, "start", "end").agg(F.max_by("pos", F.struct("cpm", -F.col("pos"))).alias("summit"))
     low, high = G.centered(F.col("summit"), width, F.col("size"))
@@ -76,7 +76,7 @@ def numbered(sites: DataFrame, prefix: str = "PAS_", digits: int = 8) -> DataFra
 def count_sites(sites: DataFrame, ends: DataFrame, samples: DataFrame) -> DataFrame:
     """(pas_id, sample_id, count) with zeros for samples without an end in a site."""
     held = points_in(
-        ends.select("sample_id", *PLACE, "pos", "count"), sites.select(*PLACE, "pas_id", "start", "end"), PLACE, "pos", "start", "end"
+        ends.select("sample_id", *PLACE, "pos", "count"), sites.select(*PLACE, "pas_id", "start", "end"), PLACE, "pos", "start", "end", width=FINE
     )
     sums = held.groupBy("pas_id", "sample_id").agg(F.sum("count").alias("count"))
     # A row for each site and sample is what the matrix is; samples are tens.

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Width of the bins of range joins and of the tiles of sweeps.
-BIN, TILE = 100_000, 1 << 20
+#: Width of the bins of range joins, for genes and for sites, and of the tiles of sweeps.
+BIN, FINE, TILE = 100_000, 1024, 1 << 20
 
 
 def bins(start: Column, end: Column, width: int) -> Column:

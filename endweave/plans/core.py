@@ -43,7 +43,7 @@ class Study:
     def rescued(self) -> DataFrame:
         """Positions of C1 within the rescue interval of a known site."""
         spans = self.stranded_known.select(*PLACE, (F.col("site") - 9).alias("lo"), (F.col("site") + 11).alias("hi"))
-        return I.points_in(self.c1.select(*PLACE, "pos").distinct(), spans, PLACE, "pos", "lo", "hi", "left_semi")
+        return I.points_in(self.c1.select(*PLACE, "pos").distinct(), spans, PLACE, "pos", "lo", "hi", "left_semi", I.FINE)
 
     @cached_property
     def routed(self) -> DataFrame:
