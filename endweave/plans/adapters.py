@@ -113,7 +113,7 @@ def results(spark: SparkSession, d: str) -> DataFrame:
 #: The same tables for the SQL engine: name -> (definition, tables it needs).
 SQL = {
     "al": (
-        """SELECT 's' || (l_suppkey % 6) AS sample_id,
+        """SELECT 's' || (l_suppkey % 6) AS sample_id, concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rid,
   (CASE WHEN l_linestatus = 'F' THEN 16 ELSE 0 END + CASE WHEN l_linenumber = 7 THEN 1024 ELSE 0 END
    + CASE WHEN l_partkey % 53 = 0 THEN 256 ELSE 0 END + CASE WHEN l_partkey % 71 = 0 THEN 2048 ELSE 0 END
    + CASE WHEN l_partkey % 97 = 0 THEN 4 ELSE 0 END) AS flag,

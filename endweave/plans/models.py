@@ -84,9 +84,9 @@ def _blocks(spark, d):
 
 
 @query(T.sql(f"""SELECT sample_id, g AS gene_id, CAST(count(*) AS BIGINT) AS count FROM (
- SELECT sample_id, CASE WHEN n = 1 THEN g WHEN n > 1 THEN '__ambiguous' ELSE '__no_feature' END AS g FROM rd LEFT JOIN (
+ SELECT sample_id, CASE WHEN n = 1 THEN g WHEN n > 1 THEN '__ambiguous' ELSE '__no_feature' END AS g FROM (SELECT DISTINCT sample_id, rid FROM rd) LEFT JOIN (
  SELECT rid, count(DISTINCT gene_id) AS n, min(gene_id) AS g FROM rd JOIN un ON un.chrom = rd.chrom AND un.strand = rd.strand AND un.start < rd.ref_end AND rd.ref_start < un."end" GROUP BY 1) USING (rid))
- GROUP BY 1, 2""", "c0", "ex", rd="SELECT *, row_number() OVER () AS rid FROM c0", un=_UNION))
+ GROUP BY 1, 2""", "c0", "ex", rd="SELECT * FROM c0", un=_UNION))
 def read_gene_counts(spark, d):
     return N.read_gene_counts(_blocks(spark, d), N.exon_union(T.exons(spark, d)), T.GENE_BIN)
 

@@ -25,7 +25,7 @@ def _exonic(spark, d):
 
 
 _C5 = {
-    "rd": "SELECT *, row_number() OVER () AS rid FROM c0",
+    "rd": "SELECT * FROM c0",
     "un": _UNION,
     "c5": """SELECT sample_id, g AS gene_id, count(*) AS count FROM (SELECT rid, min(sample_id) AS sample_id, count(DISTINCT gene_id) AS n, min(gene_id) AS g FROM rd JOIN un
  ON un.chrom = rd.chrom AND un.strand = rd.strand AND un.start < rd.ref_end AND rd.ref_start < un."end" GROUP BY 1) WHERE n = 1 GROUP BY ALL""",
