@@ -2,8 +2,8 @@
 
 Features are densities: of a lexicon that is learnt from labelled documents (words, and beginnings
 of words), of the second person near its terms, of capitals, punctuation and obfuscated words.
-Trees are grown on histograms of the features; isotonic regression on documents set apart turns
-their sums into probabilities.
+Trees are grown on histograms of the features; isotonic regression, on sums of trees that have
+not seen the document, turns them into probabilities.
 """
 
 from __future__ import annotations
@@ -27,7 +27,18 @@ SAMPLE = 12_000
 TERMS, STEMS = 256, (5, 6, 7)
 #: Documents in which a term must occur: a part of the toxic ones, and a number.
 TERM_SHARE, TERM_LEAST, TERM_ODDS = 0.02, 4, 2.5
-TREES, DEPTH, RATE, BINS, LEAST = 60, 3, 0.15, 48, 8
+TREES, DEPTH, RATE, BINS, LEAST = 60, 3, 0.15, 48, 5
+#: Folds of the calibration.
+FOLDS = 5
+#: The weight of the words that are in the lexicon from the start.
+SEED_ODDS = 3.0
+
+#: Common insults, known before any label is read.
+INSULTS = frozenset(
+    "idiot idiots moron morons stupid imbecile fool fools dumb loser losers trash garbage scum filth pathetic worthless disgusting "
+    "clown jerk creep pig vermin freak coward liar ugly hate shut bastard bitch asshole crap damn "
+    "idiote imbécile crétin abruti ordure connard salaud dummkopf trottel abschaum arschloch widerlich idiota imbécil estúpido basura escoria asqueroso".split()
+)
 
 #: Second-person words of the languages at hand.
 SECOND = frozenset(
@@ -62,41 +73,32 @@ def _terms(text: str) -> set[str]:
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, clean) document counts of rows (toxic, text)."""
-    toxic: Counter = Counter()
-    clean: Counter = Counter()
+    """(term, number of documents) of rows (toxic, text)."""
+    counts: Counter = Counter()
     for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            (toxic if label else clean).update(_terms(text or ""))
-    terms = list(toxic)  # a term of clean documents alone cannot enter the lexicon
+        for text in batch.column(1).to_pylist():
+            counts.update(_terms(text or ""))
+    terms = list(counts)
     for i in range(0, len(terms), 50_000):
         part = terms[i : i + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.string()), pa.array([toxic[t] for t in part], pa.int64()), pa.array([clean[t] for t in part], pa.int64())],
-            names=["term", "toxic", "clean"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[t] for t in part], pa.int64())], names=["term", "toxic"])
 
 
 def learn_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Term to log odds, TERMS at most, from rows (toxic, text). Clean counts of a term that one
-    partition has in clean documents only are missing; the odds are recounted for what is chosen."""
+    """Term to log odds, TERMS at most and common insults, from rows (toxic, text).
+
+    Candidates are all terms of enough toxic documents; as these are a part of them (TERM_SHARE),
+    there are at most so many candidates as a document has terms over that part."""
     least = max(TERM_LEAST, TERM_SHARE * n_toxic)
-    counts = rows.mapInArrow(_count_terms, "term string, toxic long, clean long").groupBy("term")
-    likely = (
-        counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter(F.col("toxic") >= least)
-        .withColumn("odds", F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)))
-        .filter(F.col("odds") >= TERM_ODDS)
-        .orderBy(F.col("odds").desc(), F.col("toxic").desc(), "term")
-        .limit(8 * TERMS)
-    )
-    chosen = [r["term"] for r in likely.collect()]
+    toxic = rows.filter("toxic = 1").mapInArrow(_count_terms, "term string, toxic long").groupBy("term")
+    chosen = [r["term"] for r in toxic.agg(F.sum("toxic").alias("n")).filter(F.col("n") >= least).collect()]
+    seed = {f" {w} ": SEED_ODDS for w in INSULTS}
     if not chosen:
-        return {}
+        return seed
     found = rows.mapInArrow(_recount(chosen), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic"), F.sum("clean"))
-    odds = {t: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for t, a, b in found.collect() if a >= least}
+    odds = {t: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for t, a, b in found.collect()}
     best = sorted((-x, t) for t, x in odds.items() if x >= TERM_ODDS)[:TERMS]
-    return {t: -x for x, t in best}
+    return seed | {t: -x for x, t in best}
 
 
 def _recount(terms: list[str]):
@@ -291,7 +293,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5, fold: int = 0) -> Model:
     """The model of about ``sample`` labelled documents (id, text; id, toxic), drawn by a hash, whose
-    crc32 of the id modulo ``folds`` is not ``fold``; a fifth of them is for the calibration."""
+    crc32 of the id modulo ``folds`` is not ``fold``."""
     known = (
         labels.filter("id is not null and toxic is not null")
         .filter(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(folds)) != fold)
@@ -303,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
         return Model({}, None, None, 0.0)
     part = min(1.0, sample / total)
     drawn = known.filter(F.pmod(F.xxhash64("id", F.lit(8)), F.lit(1_000_000)) < part * 1_000_000).select(
-        "id", "toxic", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(5)).cast("int").alias("fold")
+        "id", "toxic", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(FOLDS)).cast("int").alias("fold")
     )
     # The sample's bound is that of what is broadcast.
     rows = docs.filter("id is not null").join(F.broadcast(drawn), "id").select("toxic", "fold", "text").repartition(16)
@@ -318,12 +320,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5
         rows.unpersist()
     got.sort(key=lambda r: (r["fold"], r["toxic"], r["x"]))
     x, y = np.array([r["x"] for r in got]), np.array([float(r["toxic"]) for r in got])
-    apart = np.array([r["fold"] == 0 for r in got])
-    if len(set(y[~apart])) < 2 or len(set(y[apart])) < 2:
-        apart = np.zeros(len(y), dtype=bool)
-    trees = Trees().fit(x[~apart], y[~apart])
-    at = apart if apart.any() else ~apart
-    return Model(lexicon, trees, isotonic(trees.raw(x[at]), y[at]), float(y.mean()))
+    part = np.array([r["fold"] for r in got])
+    trees = Trees().fit(x, y)
+    # Calibration is on sums of trees that have not seen the document: those of the other folds.
+    raw = trees.raw(x)
+    for f in range(FOLDS):
+        seen = part != f
+        if seen.all() or len(set(y[seen])) < 2:
+            continue
+        raw[~seen] = Trees().fit(x[seen], y[seen]).raw(x[~seen])
+    return Model(lexicon, trees, isotonic(raw, y), float(y.mean()))
 
 
 def _score(model: Model, id_name: str):
