@@ -6,7 +6,7 @@ import importlib
 
 _FOUND: dict = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("core", "models", "statistics", "tables")
+_MODULES = ("core", "models", "statistics", "tables", "checks")
 
 
 def query(sql: str | None = None):
