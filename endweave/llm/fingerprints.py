@@ -173,7 +173,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .select("id", "text", F.explode(both).alias("place"))
         .select("place.bucket", "place.ahead", "id", "text")
     )
-    return placed.repartition(p, "bucket").sortWithinPartitions("bucket", "ahead", F.col("id").asc_nulls_first(), "text")
+    # Ranges hold about the same number of rows, and each partition the same number of ranges.
+    return placed.repartitionById(p, (F.col("bucket") % p).cast("int")).sortWithinPartitions("bucket", "ahead", F.col("id").asc_nulls_first(), "text")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5) -> DataFrame:
