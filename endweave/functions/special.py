@@ -1,4 +1,4 @@
-"""Special functions on arrays: log gamma, and tails of the normal and chi-square distributions."""
+"""Special functions on arrays: log gamma and its derivatives, and tails of the normal and chi-square distributions."""
 
 from __future__ import annotations
 
@@ -20,6 +20,30 @@ def log_gamma(x) -> np.ndarray:
     return shift + (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
 
 
+def digamma(x) -> np.ndarray:
+    """The derivative of log gamma for x > 0, as it is worked out."""
+    y = np.asarray(x, dtype=float).copy()
+    shift = np.zeros_like(y)
+    for _ in range(8):
+        small = y < 8
+        shift = np.where(small, shift - 1 / np.where(small, y, 1.0), shift)
+        y = np.where(small, y + 1, y)
+    z = 1.0 / (y * y)
+    return shift + np.log(y) - 0.5 / y - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z / 240)))
+
+
+def trigamma(x) -> np.ndarray:
+    """The second derivative of log gamma for x > 0."""
+    y = np.asarray(x, dtype=float).copy()
+    shift = np.zeros_like(y)
+    for _ in range(8):
+        small = y < 8
+        shift = np.where(small, shift + 1 / np.where(small, y, 1.0) ** 2, shift)
+        y = np.where(small, y + 1, y)
+    z = 1.0 / (y * y)
+    return shift + 1 / y + z / 2 + z / y * (1 / 6 - z * (1 / 30 - z * (1 / 42 - z / 30)))
+
+
 def normal_tail(z) -> np.ndarray:
     """P(|Z| >= |z|)."""
     return np.vectorize(lambda v: math.erfc(abs(v) / math.sqrt(2)) if np.isfinite(v) else np.nan, otypes=[float])(np.asarray(z, dtype=float))

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.functions.special import chi_square_tail, log_gamma, normal_tail
+from endweave.functions.special import chi_square_tail, digamma, log_gamma, normal_tail, trigamma
+from endweave.operators.design import model_matrix, variables
 from endweave.operators.expression import size_factors
 from endweave.operators.multitest import adjust_bh
 from endweave.session import cut
@@ -22,6 +23,27 @@ from endweave.session import cut
 BUCKET = 2000
 GRID = np.exp(np.linspace(math.log(1e-4), math.log(10.0), 60))
 
+#: The least mean a fit takes for a count, and the weight that keeps coefficients finite.
+LEAST, RIDGE = 0.5, 1e-6
+
+
+def _design(samples: DataFrame, denominator: str, numerator: str, design: str, known=None) -> tuple[list[str], np.ndarray]:
+    """(samples of both conditions in order, their model matrix by ``design``): the last column is the
+    condition's, and the matrix without it is that of the reduced model."""
+    terms = variables(design)
+    if "condition" not in terms:
+        raise ValueError("a design of a contrast has the condition")
+    rows = [r.asDict() for r in samples.filter(F.col("condition").isin(denominator, numerator)).collect()]
+    rows = sorted((r for r in rows if known is None or r["sample_id"] in known), key=lambda r: r["sample_id"])
+    if bad := [r["sample_id"] for r in rows if any(r[t] is None or r[t] == "" for t in terms)]:
+        raise ValueError(f"no value of the design: {bad[0]}")
+    if {r["condition"] for r in rows} != {denominator, numerator}:
+        raise ValueError("a condition has no samples")
+    x = model_matrix([r | {"condition": int(r["condition"] == numerator)} for r in rows], [*[t for t in terms if t != "condition"], "condition"])
+    if np.linalg.matrix_rank(x) < x.shape[1]:
+        raise ValueError("the design is not of full rank")
+    return [r["sample_id"] for r in rows], x
+
 
 def _buckets(counts: DataFrame, key: str = "gene_id") -> DataFrame:
     n = max(1, -(-counts.select(key).distinct().count() // BUCKET))
@@ -60,14 +82,44 @@ def principal_components(values: DataFrame, k: int = 2) -> DataFrame:
     return values.sparkSession.createDataFrame(rows, "sample_id string, component int, score double, share double")
 
 
-def _group_means(y: np.ndarray, s: np.ndarray, alpha: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood mean of each row for size factors s and dispersions alpha, by scoring."""
-    mu = np.maximum((y / s).mean(axis=1), 1e-8)
-    for _ in range(15):
-        fit = mu[:, None] * s
-        w = 1 / (1 + alpha[:, None] * fit)
-        mu = np.maximum(mu * (w * y).sum(axis=1) / np.maximum((w * fit).sum(axis=1), 1e-12), 1e-8)
-    return mu
+def _products(x: np.ndarray) -> np.ndarray:
+    return (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+
+
+def _fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(coefficients, means) of each row's log-linear model for dispersions alpha, by scoring with halved
+    steps from ``beta``."""
+    beta = ((np.log(y + 0.5) - offset) @ np.linalg.pinv(x).T if beta is None else beta).copy()
+    xx, p = _products(x), x.shape[1]
+
+    def mean(b: np.ndarray) -> np.ndarray:
+        return np.maximum(np.exp(np.clip(b @ x.T + offset, -30, 30)), LEAST)
+
+    def height(b: np.ndarray, m: np.ndarray, at: np.ndarray) -> np.ndarray:
+        a = alpha[at, None]
+        return (y[at] * np.log(m) - (y[at] + 1 / a) * np.log1p(a * m)).sum(axis=1) - RIDGE / 2 * (b * b).sum(axis=1)
+
+    live = np.arange(len(y))
+    mu = mean(beta)
+    now = height(beta, mu, live)
+    for _ in range(50):
+        b, m, a = beta[live], mu[live], alpha[live, None]
+        info = ((m / (1 + a * m)) @ xx).reshape(-1, p, p) + RIDGE * np.eye(p)
+        step = np.linalg.solve(info, (((y[live] - m) / (1 + a * m)) @ x - RIDGE * b)[..., None])[..., 0]
+        step *= np.minimum(1, 5 / np.maximum(np.abs(step @ x.T).max(axis=1), 1e-12))[:, None]
+        for _ in range(8):
+            m = mean(b + step)
+            value = height(b + step, m, live)
+            worse = ~(value >= now[live])
+            if not worse.any():
+                break
+            step[worse] /= 2
+        good, gain = live[~worse], (value - now[live])[~worse]
+        beta[good], mu[good], now[good] = (b + step)[~worse], m[~worse], value[~worse]
+        live = good[gain > 1e-8 * (np.abs(now[good]) + 0.1)]
+        if not len(live):
+            break
+    return beta, mu
 
 
 def _log_nb(y: np.ndarray, mu: np.ndarray, alpha: np.ndarray) -> np.ndarray:
@@ -80,16 +132,15 @@ def _matrix(pdf: pd.DataFrame, key: str, samples: list[str]) -> tuple[list, np.n
     return list(wide.index), wide.to_numpy(dtype=float)
 
 
-def _dispersions(y: np.ndarray, s: np.ndarray, groups: list[np.ndarray], prior: tuple[np.ndarray, float] | None) -> np.ndarray:
+def _dispersions(y: np.ndarray, offset: np.ndarray, x: np.ndarray, prior: tuple[np.ndarray, float] | None) -> np.ndarray:
     """The dispersion of the highest likelihood (with a normal prior on its logarithm) on the grid,
-    less half the information that the means take (Cox and Reid)."""
-    best, out = np.full(len(y), -np.inf), np.full(len(y), GRID[0])
+    less half the information that the coefficients take (Cox and Reid)."""
+    best, out, beta = np.full(len(y), -np.inf), np.full(len(y), GRID[0]), None
+    xx, p = _products(x), x.shape[1]
     for a in GRID:
-        alpha = np.full(len(y), a)
-        value = np.zeros(len(y))
-        for g in groups:
-            mu = _group_means(y[:, g], s[g], alpha)[:, None] * s[g]
-            value += _log_nb(y[:, g], mu, alpha[:, None]).sum(axis=1) - 0.5 * np.log(np.maximum((mu / (1 + a * mu)).sum(axis=1), 1e-12))
+        beta, mu = _fit(y, offset, x, np.full(len(y), a), beta)
+        info = ((mu / (1 + a * mu)) @ xx).reshape(-1, p, p) + RIDGE * np.eye(p)
+        value = _log_nb(y, mu, np.array(a)).sum(axis=1) - 0.5 * np.linalg.slogdet(info)[1]
         if prior is not None:
             value -= (math.log(a) - np.log(prior[0])) ** 2 / (2 * prior[1])
         better = value > best
@@ -97,51 +148,55 @@ def _dispersions(y: np.ndarray, s: np.ndarray, groups: list[np.ndarray], prior:
     return out
 
 
-def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, lfc: float = 1.0) -> DataFrame:
+def _trend(fitted: DataFrame, free: int) -> tuple[float, float, float]:
+    """(base, slope, variance) of dispersions over the mean, of (mean, dispersion) fitted with ``free``
+    degrees of freedom left: what the fit's own error adds to the variance is taken off."""
+    spread = F.stddev(F.when(F.col("dispersion") > float(GRID[0]) * 1.001, F.log("dispersion")))
+    bins = (
+        fitted.filter("mean > 0").groupBy(F.floor(F.log2("mean")).alias("bin"))
+        .agg(F.avg("mean").alias("m"), F.percentile("dispersion", F.lit(0.5)).alias("a"), spread.alias("sd"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    )  # a row for each doubling of the mean
+    if not bins:
+        return 0.1, 0.0, 1.0
+    x = np.array([[1.0, 1.0 / b["m"]] for b in bins])
+    w = np.sqrt(np.array([b["n"] for b in bins], dtype=float))
+    middle = (1 - 2 / (9 * max(free, 1))) ** 3  # the median of an estimate over its mean (Wilson and Hilferty)
+    a = np.array([b["a"] for b in bins]) / middle
+    coef, *_ = np.linalg.lstsq(x * w[:, None], a * w, rcond=None)
+    found = [b["sd"] for b in bins if b["sd"] is not None]
+    own = float(trigamma(free / 2)) if free > 0 else 0.0
+    return max(float(coef[0]), 1e-3), max(float(coef[1]), 0.0), max(float(np.median(found)) ** 2 - own if found else 1.0, 0.25)
+
+
+def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, lfc: float = 1.0, design: str = "~ condition") -> DataFrame:
     """(gene_id, base_mean, log2_fold_change, se, stat, pvalue, pvalue_lfc, dispersion, padj): Wald tests
-    of two conditions, of no change and of a change beyond ``lfc``, from one fit.
+    of the condition in ``design``, of no change and of a change beyond ``lfc``, from one fit.
 
     Dispersions are fitted gene by gene, a trend over the mean is fitted to bins of them, and final
     ones are drawn to the trend."""
-    spark = counts.sparkSession
     factors = {r["sample_id"]: r["size_factor"] or 1.0 for r in size_factors(counts).collect()}  # a row for each sample
-    condition = {r["sample_id"]: r["condition"] for r in samples.collect()}
-    names = sorted(n for n in factors if condition.get(n) in (denominator, numerator))
+    names, x = _design(samples, denominator, numerator, design, factors)
     s = np.array([factors[n] for n in names])
-    groups = [np.array([i for i, n in enumerate(names) if condition[n] == c]) for c in (denominator, numerator)]
+    offset = np.log(s)
     rows = cut(_buckets(counts.filter(F.col("sample_id").isin(names))))
 
     def first(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, y = _matrix(pdf, "gene_id", names)
-        return pd.DataFrame({"gene_id": ids, "mean": (y / s).mean(axis=1), "dispersion": _dispersions(y, s, groups, None)})
+        return pd.DataFrame({"gene_id": ids, "mean": (y / s).mean(axis=1), "dispersion": _dispersions(y, offset, x, None)})
 
     fitted = rows.groupBy("bucket").applyInPandas(first, "gene_id string, mean double, dispersion double")
-    bins = (
-        fitted.filter("mean > 0").groupBy(F.floor(F.log2("mean")).alias("bin"))
-        .agg(F.avg("mean").alias("m"), F.percentile("dispersion", F.lit(0.5)).alias("a"), F.stddev(F.log("dispersion")).alias("sd"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )  # a row for each doubling of the mean
-    if bins:
-        x = np.array([[1.0, 1.0 / b["m"]] for b in bins])
-        w = np.sqrt(np.array([b["n"] for b in bins], dtype=float))
-        a = np.array([b["a"] for b in bins])
-        coef, *_ = np.linalg.lstsq(x * w[:, None], a * w, rcond=None)
-        spread = [b["sd"] for b in bins if b["sd"] is not None]
-        base, slope, var = max(float(coef[0]), 1e-3), max(float(coef[1]), 0.0), max(float(np.median(spread)) ** 2 if spread else 1.0, 0.25)
-    else:
-        base, slope, var = 0.1, 0.0, 1.0
+    base, slope, var = _trend(fitted, len(names) - x.shape[1])
 
     def second(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, y = _matrix(pdf, "gene_id", names)
         mean = (y / s).mean(axis=1)
-        alpha = _dispersions(y, s, groups, (base + slope / np.maximum(mean, 1e-3), var))
-        mus = [_group_means(y[:, g], s[g], alpha) for g in groups]
-        info = []
-        for g, mu in zip(groups, mus, strict=True):
-            fit = mu[:, None] * s[g]
-            info.append(1 / np.maximum((fit / (1 + alpha[:, None] * fit)).sum(axis=1), 1e-12))
-        change = np.log2(mus[1] / mus[0])
-        se = np.sqrt(info[0] + info[1]) / math.log(2)
+        alpha = _dispersions(y, offset, x, (base + slope / np.maximum(mean, 1e-3), var))
+        beta, mu = _fit(y, offset, x, alpha)
+        info = ((mu / (1 + alpha[:, None] * mu)) @ _products(x)).reshape(-1, x.shape[1], x.shape[1])
+        inverse = np.linalg.inv(info + RIDGE * np.eye(x.shape[1]))
+        change = beta[:, -1] / math.log(2)
+        se = np.sqrt((inverse @ info @ inverse)[:, -1, -1]) / math.log(2)
         none = y.sum(axis=1) == 0
         stat = np.where(none, np.nan, change / se)
         beyond = np.where(none, np.nan, np.maximum(np.abs(change) - lfc, 0) / se)
@@ -154,11 +209,6 @@ def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator:
     return adjust_bh(cut(rows.groupBy("bucket").applyInPandas(second, schema)), [])
 
 
-def _beta_binomial(y: np.ndarray, n: np.ndarray, p: float, precision: float) -> float:
-    a, b = max(p * precision, 1e-8), max((1 - p) * precision, 1e-8)
-    return float((log_gamma(y + a) + log_gamma(n - y + b) - log_gamma(n + a + b) + log_gamma(np.array(a + b)) - log_gamma(np.array(a)) - log_gamma(np.array(b))).sum())
-
-
 def _share(y: np.ndarray, n: np.ndarray) -> float:
     return float(np.clip(y.sum() / max(n.sum(), 1e-12), 1e-6, 1 - 1e-6))
 
@@ -197,48 +247,103 @@ def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerat
     return adjust_bh(fitted, []).join(genes, "gene_id")
 
 
-def dirichlet_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str) -> DataFrame:
-    """(gene_id, feature_id, precision, gene_pvalue, pvalue): Dirichlet-multinomial likelihood ratios of a
-    gene's shares, and beta-binomial ones of each site, at the gene's precision of most likelihood.
+def _fit_shares(y: np.ndarray, x: np.ndarray, precision: np.ndarray, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(coefficients, log-likelihood, log-determinant of the information) of Dirichlet-multinomial models of
+    y (genes, sites, samples): logits against the last site are linear in x; by scoring with halved steps."""
+    genes, sites, _ = y.shape
+    p, total = x.shape[1], y.sum(axis=1)
+    size = p * (sites - 1)
+    if beta is None:
+        logit = np.log(y[:, :-1] + 0.5) - np.log(y[:, -1:] + 0.5)
+        beta = np.einsum("pn,gkn->gpk", np.linalg.pinv(x), logit)
+    beta = beta.copy()
+
+    def shares(b: np.ndarray) -> np.ndarray:
+        eta = np.clip(np.einsum("np,gpk->gkn", x, b), -20, 20)
+        e = np.exp(np.concatenate([eta, np.zeros_like(eta[:, :1])], axis=1))
+        return e / e.sum(axis=1, keepdims=True)
+
+    def height(b: np.ndarray, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        c = precision[at]
+        a = c[:, None, None] * q
+        value = (log_gamma(y[at] + a) - log_gamma(a)).sum(axis=(1, 2)) + (log_gamma(c)[:, None] - log_gamma(total[at] + c[:, None])).sum(axis=1)
+        return value - RIDGE / 2 * (b * b).sum(axis=(1, 2))
+
+    def slopes(b: np.ndarray, q: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        c = precision[at][:, None, None]
+        a = c * q
+        first = c * (digamma(y[at] + a) - digamma(a))
+        second = c * c * (trigamma(a) - trigamma(y[at] + a))
+        score = q * (first - (q * first).sum(axis=1, keepdims=True))
+        jac = np.einsum("gkn,kl->gnkl", q, np.eye(sites)) - np.einsum("gkn,gln->gnkl", q, q)
+        info = np.einsum("gnkm,gmn,gnml->gnkl", jac, second, jac, optimize=True)[:, :, :-1, :-1]
+        info = np.einsum("np,nq,gnkl->gpkql", x, x, info, optimize=True).reshape(len(at), size, size) + RIDGE * np.eye(size)
+        return np.einsum("np,gkn->gpk", x, score[:, :-1]) - RIDGE * b, info
+
+    live = np.arange(genes)
+    q = shares(beta)
+    now = height(beta, q, live)
+    for _ in range(50):
+        b = beta[live]
+        score, info = slopes(b, q[live], live)
+        step = np.linalg.solve(info, score.reshape(len(live), size, 1)).reshape(b.shape)
+        step *= np.minimum(1, 5 / np.maximum(np.abs(np.einsum("np,gpk->gkn", x, step)).max(axis=(1, 2)), 1e-12))[:, None, None]
+        for _ in range(8):
+            new = shares(b + step)
+            value = height(b + step, new, live)
+            worse = ~(value >= now[live])
+            if not worse.any():
+                break
+            step[worse] /= 2
+        good, gain = live[~worse], (value - now[live])[~worse]
+        beta[good], q[good], now[good] = (b + step)[~worse], new[~worse], value[~worse]
+        live = good[gain > 1e-8 * (np.abs(now[good]) + 0.1)]
+        if not len(live):
+            break
+    return beta, now, np.linalg.slogdet(slopes(beta, q, np.arange(genes))[1])[1]
+
+
+def dirichlet_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, design: str = "~ condition") -> DataFrame:
+    """(gene_id, feature_id, precision, gene_pvalue, pvalue): Dirichlet-multinomial likelihood ratios of the
+    condition in ``design`` for a gene's shares, and beta-binomial ones for each site, at the gene's
+    precision of most likelihood, less half the information that the coefficients take (Cox and Reid).
     Where a fit fails, a small uniform count is added and the fit repeated."""
-    condition = {r["sample_id"]: r["condition"] for r in samples.collect()}
-    names = sorted(n for n in condition if condition[n] in (denominator, numerator))
-    groups = [np.array([i for i, n in enumerate(names) if condition[n] == c]) for c in (denominator, numerator)]
+    names, x = _design(samples, denominator, numerator, design)
     rows = _buckets(counts.filter(F.col("sample_id").isin(names)))
-
-    def log_dm(y: np.ndarray, p: np.ndarray, precision: float) -> float:
-        a = np.maximum(p * precision, 1e-8)[:, None]
-        n = y.sum(axis=0)
-        return float((log_gamma(y + a) - log_gamma(a)).sum() + (log_gamma(np.full(len(n), a.sum())) - log_gamma(n + a.sum())).sum())
-
-    def shares(y: np.ndarray) -> np.ndarray:
-        p = np.maximum(y.sum(axis=1), 1e-6)
-        return p / p.sum()
-
+    reduced = x[:, :-1]
     grid = np.exp(np.linspace(math.log(0.5), math.log(5000.0), 40))
 
-    def fit(y: np.ndarray):
-        full = [sum(log_dm(y[:, g], shares(y[:, g]), c) for g in groups) for c in grid]
-        k = int(np.argmax(full))
-        lr = max(0.0, 2 * (full[k] - log_dm(y, shares(y), grid[k])))
-        sites = []
-        for i in range(len(y)):
-            n = y.sum(axis=0)
-            two = sum(_beta_binomial(y[i, g], n[g], _share(y[i, g], n[g]), grid[k]) for g in groups)
-            sites.append(chi_square_tail(max(0.0, 2 * (two - _beta_binomial(y[i], n, _share(y[i], n), grid[k]))), 1))
-        return float(grid[k]), chi_square_tail(lr, len(y) - 1), sites
+    def ratios(y: np.ndarray, precision: np.ndarray) -> np.ndarray:
+        return np.maximum(2 * (_fit_shares(y, x, precision)[1] - _fit_shares(y, reduced, precision)[1]), 0.0)
+
+    def fit(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(precisions, ratios of genes, ratios of sites) of genes with equally many sites."""
+        best, precision, beta = np.full(len(y), -np.inf), np.full(len(y), grid[0]), None
+        for c in grid:
+            beta, value, taken = _fit_shares(y, x, np.full(len(y), c), beta)
+            value = value - 0.5 * taken
+            better = value > best
+            best[better], precision[better] = value[better], c
+        one = np.stack([y, y.sum(axis=1, keepdims=True) - y], axis=2)  # a site against the others of its gene
+        sites = ratios(one.reshape(-1, 2, y.shape[2]), np.repeat(precision, y.shape[1])).reshape(y.shape[:2])
+        return precision, ratios(y, precision), sites
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, alike = [], {}
         for gene, part in pdf.groupby("gene_id"):
             ids, y = _matrix(part, "pas_id", names)
             if len(ids) < 2 or not y.sum():
                 out += [(gene, i, None, None, None) for i in ids]
-                continue
-            precision, p, sites = fit(y)
-            if not np.isfinite(p):
-                precision, p, sites = fit(y + 0.1)
-            out += [(gene, i, precision, p, q) for i, q in zip(ids, sites, strict=True)]
+            else:
+                alike.setdefault(len(ids), []).append((gene, ids, y))
+        for k, genes in alike.items():
+            y = np.stack([g[2] for g in genes])
+            precision, lr, sites = fit(y)
+            if (again := ~np.isfinite(lr)).any():
+                precision[again], lr[again], sites[again] = fit(y[again] + 0.1)
+            for (gene, ids, _), c, v, each in zip(genes, precision, lr, sites, strict=True):
+                p = chi_square_tail(float(v), k - 1)
+                out += [(gene, i, float(c), p, chi_square_tail(float(u), 1)) for i, u in zip(ids, each, strict=True)]
         return pd.DataFrame(out, columns=["gene_id", "feature_id", "precision", "gene_pvalue", "pvalue"])
 
     return rows.groupBy("bucket").applyInPandas(run, "gene_id string, feature_id string, precision double, gene_pvalue double, pvalue double")

@@ -280,13 +280,23 @@ def sample_components(spark, d):
     return principal_components(counts)
 
 
+def _contrast_design(spark, d) -> str:
+    """The resolved design of the contrast of B with A: paired, as its subjects are complete."""
+    from endweave.operators.compare import pairing_states
+    from endweave.operators.design import resolved
+
+    contrast = spark.createDataFrame([("B_vs_A", "B", "A")], "contrast_id string, numerator string, denominator string")
+    state = pairing_states(T.samples(spark, d), contrast).first()
+    return resolved("auto", state["pairing_status"], state["n_pairs"])[0]
+
+
 @query()
 def nb_wald(spark, d):
     from endweave.operators.ends import gene_counts
     from endweave.operators.models import negative_binomial_tests
 
     study = Study(spark, d)
-    return negative_binomial_tests(gene_counts(study.catalog, study.counts), T.samples(spark, d), "A", "B")
+    return negative_binomial_tests(gene_counts(study.catalog, study.counts), T.samples(spark, d), "A", "B", design=_contrast_design(spark, d))
 
 
 @query()
@@ -304,4 +314,4 @@ def dm_usage(spark, d):
     from endweave.plans.statistics import _testable
 
     study = Study(spark, d)
-    return dirichlet_tests(study.counts.join(_testable(study).select("pas_id", "gene_id"), "pas_id"), T.samples(spark, d), "A", "B")
+    return dirichlet_tests(study.counts.join(_testable(study).select("pas_id", "gene_id"), "pas_id"), T.samples(spark, d), "A", "B", design=_contrast_design(spark, d))

@@ -196,6 +196,51 @@ def test_usage_models(spark):
     assert sum(usage[f"p{g}a"] < 0.05 for g in range(6, 30)) <= 3
 
 
+def _paired(rng, genes, changed, change):
+    """Linear predictors of genes over six samples, two of each of three subjects that
+    differ widely; as many changes go up as down."""
+    subject = rng.normal(0, 1, (genes, 3))
+    sign = lambda g: 1 if g % 2 else -1
+    return [[subject[g, s % 3] + (sign(g) * change if g < changed and s >= 3 else 0.0) for s in range(6)] for g in range(genes)]
+
+
+PAIRS = [(f"s{s}", "AB"[s >= 3], f"u{s % 3}") for s in range(6)]
+
+
+def test_paired_expression(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"g{g}", f"s{s}", int(rng.negative_binomial(20, 20 / (20 + math.exp(5 + e))))) for g, etas in enumerate(_paired(rng, 200, 40, 1.0)) for s, e in enumerate(etas)]
+    counts = spark.createDataFrame(rows, "gene_id string, sample_id string, count long")
+    samples = spark.createDataFrame(PAIRS, "sample_id string, condition string, subject string")
+    got = {d: {r.gene_id: r.pvalue for r in models.negative_binomial_tests(counts, samples, "A", "B", design=d).collect()} for d in ("~ subject + condition", "~ condition")}
+    found = {d: sum(p[f"g{g}"] < 0.05 for g in range(40)) for d, p in got.items()}
+    assert found["~ subject + condition"] >= 36 and found["~ condition"] <= 15
+    assert sum(got["~ subject + condition"][f"g{g}"] < 0.05 for g in range(40, 200)) <= 20
+    with pytest.raises(ValueError):
+        models.negative_binomial_tests(counts, samples.withColumn("subject", F.col("condition")), "A", "B", design="~ subject + condition")
+
+
+def test_paired_usage(spark):
+    rng, rows = np.random.default_rng(7), []
+    for g, etas in enumerate(_paired(rng, 120, 40, 0.8)):
+        for s, e in enumerate(etas):
+            p = 1 / (1 + math.exp(-e))
+            k = int(rng.binomial(200, rng.beta(200 * p, 200 * (1 - p))))
+            rows += [(f"p{g}a", f"g{g}", f"s{s}", k), (f"p{g}b", f"g{g}", f"s{s}", 200 - k)]
+    counts = spark.createDataFrame(rows, "pas_id string, gene_id string, sample_id string, count long")
+    samples = spark.createDataFrame(PAIRS, "sample_id string, condition string, subject string")
+    got = {d: {r.gene_id: r.gene_pvalue for r in models.dirichlet_tests(counts, samples, "A", "B", d).collect()} for d in ("~ subject + condition", "~ condition")}
+    found = {d: sum(p[f"g{g}"] < 0.05 for g in range(40)) for d, p in got.items()}
+    assert found["~ subject + condition"] >= 36 and found["~ condition"] <= 20
+    assert sum(got["~ subject + condition"][f"g{g}"] < 0.05 for g in range(40, 120)) <= 16
+
+
+def test_contrast_is_paired(spark):
+    from endweave.plans import tables
+
+    assert tables._contrast_design(spark, "") == "~ subject + condition"
+
+
 def test_quality(spark):
     df = spark.createDataFrame([("a", 10, 90), ("b", 800, 700), ("c", 0, 0)], "sample_id string, forward long, reverse long")
     assert {r.sample_id: r.passed for r in qc.orientation(df).collect()} == {"a": True, "b": False, "c": True}
