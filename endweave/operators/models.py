@@ -176,8 +176,8 @@ def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator:
     Dispersions are fitted gene by gene, a trend over the mean is fitted to bins of them, and final
     ones are drawn to the trend."""
     factors = {r["sample_id"]: r["size_factor"] or 1.0 for r in size_factors(counts).collect()}  # a row for each sample
-    names, x = _design(samples, denominator, numerator, design, factors)
-    s = np.array([factors[n] for n in names])
+    names, x = _design(samples, denominator, numerator, design, factors or None)  # all where there are no counts
+    s = np.array([factors.get(n, 1.0) for n in names])
     offset = np.log(s)
     rows = cut(_buckets(counts.filter(F.col("sample_id").isin(names))))
 
@@ -209,42 +209,51 @@ def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator:
     return adjust_bh(cut(rows.groupBy("bucket").applyInPandas(second, schema)), [])
 
 
-def _share(y: np.ndarray, n: np.ndarray) -> float:
-    return float(np.clip(y.sum() / max(n.sum(), 1e-12), 1e-6, 1 - 1e-6))
+def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, design: str = "~ condition") -> DataFrame:
+    """(pas_id, gene_id, lr, pvalue, padj, gene_padj): likelihood ratios of negative binomial models of a
+    site's counts and those of the rest of its gene. The full model has a level for each sample and,
+    for the site, the columns of ``design``; the reduced one is without the site's condition.
 
+    Dispersions are fitted site by site and drawn to a trend over the mean of all sites. Genes go by
+    their smallest p-value of n (Sidak), adjusted over genes."""
+    factors = {r["sample_id"]: r["size_factor"] or 1.0 for r in size_factors(counts, "pas_id").collect()}  # a row for each sample
+    names, x = _design(samples, denominator, numerator, design, factors or None)  # all where there are no counts
+    k = len(names)
+    s = np.array([factors.get(n, 1.0) for n in names])
+    offset = np.log(np.concatenate([s, s]))
+    full = np.hstack([np.vstack([np.eye(k), np.eye(k)]), np.vstack([x, np.zeros_like(x)])])
+    rows = cut(_buckets(counts.filter(F.col("sample_id").isin(names))))
 
-def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str) -> DataFrame:
-    """(pas_id, gene_id, lr, pvalue, padj, gene_padj): likelihood ratios of a site's share of its gene in
-    two conditions, over that of a shared one, scaled by the site's overdispersion; genes by their
-    smallest p-value of n (Sidak), adjusted over genes."""
-    condition = {r["sample_id"]: r["condition"] for r in samples.collect()}
-    names = sorted(n for n in condition if condition[n] in (denominator, numerator))
-    groups = [np.array([i for i, n in enumerate(names) if condition[n] == c]) for c in (denominator, numerator)]
-    rows = _buckets(counts.filter(F.col("sample_id").isin(names)))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def sites(pdf: pd.DataFrame) -> tuple[list, list, np.ndarray]:
+        """(sites, genes, counts of the site and of the others of its gene in each sample)."""
+        ids, genes, found = [], [], []
         for gene, part in pdf.groupby("gene_id"):
-            ids, y = _matrix(part, "pas_id", names)
-            n = y.sum(axis=0)
-            for i, site in enumerate(ids):
-                def log_likelihood(p, at):
-                    return float((y[i, at] * math.log(p) + (n[at] - y[i, at]) * math.log(1 - p)).sum())
-
-                every = np.arange(len(names))
-                full = sum(log_likelihood(_share(y[i, g], n[g]), g) for g in groups)
-                fitted = np.concatenate([np.full(len(g), _share(y[i, g], n[g])) for g in groups])
-                at = np.concatenate(groups)
-                chi = ((y[i, at] - n[at] * fitted) ** 2 / np.maximum(n[at] * fitted * (1 - fitted), 1e-9)).sum()
-                scale = max(1.0, chi / max(len(names) - 2, 1))
-                lr = max(0.0, 2 * (full - log_likelihood(_share(y[i], n), every)) / scale)
-                out.append((site, gene, lr, chi_square_tail(lr, 1) if n.sum() else None))
-        return pd.DataFrame(out, columns=["pas_id", "gene_id", "lr", "pvalue"])
-
-    fitted = cut(rows.groupBy("bucket").applyInPandas(run, "pas_id string, gene_id string, lr double, pvalue double"))
-    genes = fitted.groupBy("gene_id").agg((1 - F.pow(1 - F.min("pvalue"), F.count("pvalue"))).alias("p"))
+            own, y = _matrix(part, "pas_id", names)
+            ids += own
+            genes += [gene] * len(own)
+            found.append(np.hstack([y, y.sum(axis=0) - y]))
+        return ids, genes, np.vstack(found)
+
+    def first(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, _, y = sites(pdf)
+        return pd.DataFrame({"pas_id": ids, "mean": (y[:, :k] / s).mean(axis=1), "dispersion": _dispersions(y, offset, full, None)})
+
+    fitted = rows.groupBy("bucket").applyInPandas(first, "pas_id string, mean double, dispersion double")
+    base, slope, var = _trend(fitted, k - x.shape[1])
+
+    def second(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, genes, y = sites(pdf)
+        mean = (y[:, :k] / s).mean(axis=1)
+        alpha = _dispersions(y, offset, full, (base + slope / np.maximum(mean, 1e-3), var))
+        height = lambda m: _log_nb(y, _fit(y, offset, m, alpha)[1], alpha[:, None]).sum(axis=1)
+        lr = np.maximum(2 * (height(full) - height(full[:, :-1])), 0.0)
+        p = [chi_square_tail(float(v), 1) if n else None for v, n in zip(lr, y.sum(axis=1), strict=True)]
+        return pd.DataFrame({"pas_id": ids, "gene_id": genes, "lr": lr, "pvalue": pd.Series(p, dtype=object)})
+
+    tested = cut(rows.groupBy("bucket").applyInPandas(second, "pas_id string, gene_id string, lr double, pvalue double"))
+    genes = tested.groupBy("gene_id").agg((1 - F.pow(1 - F.min("pvalue"), F.count("pvalue"))).alias("p"))
     genes = adjust_bh(genes, [], "p", "gene_padj").select("gene_id", "gene_padj")
-    return adjust_bh(fitted, []).join(genes, "gene_id")
+    return adjust_bh(tested, []).join(genes, "gene_id")
 
 
 def _fit_shares(y: np.ndarray, x: np.ndarray, precision: np.ndarray, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

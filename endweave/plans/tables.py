@@ -305,7 +305,7 @@ def exon_usage_lrt(spark, d):
     from endweave.plans.statistics import _testable
 
     study = Study(spark, d)
-    return usage_tests(study.counts.join(_testable(study).select("pas_id", "gene_id"), "pas_id"), T.samples(spark, d), "A", "B")
+    return usage_tests(study.counts.join(_testable(study).select("pas_id", "gene_id"), "pas_id"), T.samples(spark, d), "A", "B", design=_contrast_design(spark, d))
 
 
 @query()

@@ -235,6 +235,33 @@ def test_paired_usage(spark):
     assert sum(got["~ subject + condition"][f"g{g}"] < 0.05 for g in range(40, 120)) <= 16
 
 
+def test_usage_of_overdispersed_sites(spark):
+    """Site shares vary between samples (beta, precision 50): no change is found by chance alone, and
+    with the subject in the design changes are found that differences of subjects hide."""
+    rng, rows = np.random.default_rng(11), []
+    flat = [[math.log(2 / 3)] * 6 for _ in range(300)]
+    for name, precision, genes in (("n", 50, flat), ("c", 200, _paired(rng, 100, 100, 1.0))):
+        for g, etas in enumerate(genes):
+            for s, e in enumerate(etas):
+                p = 1 / (1 + math.exp(-e))
+                k = int(rng.binomial(200, rng.beta(precision * p, precision * (1 - p))))
+                rows += [(f"{name}{g}a", f"{name}{g}", f"s{s}", k), (f"{name}{g}b", f"{name}{g}", f"s{s}", 200 - k)]
+    counts = spark.createDataFrame(rows, "pas_id string, gene_id string, sample_id string, count long")
+    samples = spark.createDataFrame(PAIRS, "sample_id string, condition string, subject string")
+    null = models.usage_tests(counts.filter("gene_id like 'n%'"), samples, "A", "B").filter("pas_id like '%a'")
+    assert null.filter("pvalue < 0.05").count() <= 24
+    found = {d: models.usage_tests(counts.filter("gene_id like 'c%'"), samples, "A", "B", d).filter("pas_id like '%a' and pvalue < 0.05").count() for d in ("~ subject + condition", "~ condition")}
+    print("overdispersed", null.filter("pvalue < 0.05").count(), found)
+    assert found["~ subject + condition"] >= 85 and found["~ condition"] <= 50
+
+
+def test_models_without_counts(spark):
+    samples = spark.createDataFrame(PAIRS, "sample_id string, condition string, subject string")
+    none = spark.createDataFrame([], "pas_id string, gene_id string, sample_id string, count long")
+    assert models.usage_tests(none, samples, "A", "B").count() == 0
+    assert models.negative_binomial_tests(none.drop("pas_id"), samples, "A", "B").count() == 0
+
+
 def test_contrast_is_paired(spark):
     from endweave.plans import tables
 
