@@ -87,6 +87,13 @@ def test_prepared(spark):
     assert got == {"g1": "any_apa;distal_shift", "g2": "any_pcpa;pcpa_decreased"}
 
 
+def test_prepared_extended_keeps_contrasts(spark):
+    rows = [("c0", "g1", 2.0, 5.0, 0.01), ("c1", "g1", -2.0, -5.0, 0.01), ("c2", "g1", 2.0, 5.0, 0.5), ("c2", "g2", None, 5.0, 0.5)]
+    df = spark.createDataFrame(rows, "contrast_id string, gene_id string, effect double, stat double, padj double")
+    got = {(r.contrast_id, r.gene_id): (r.foreground, r.direction) for r in enrich.prepared_extended(df).collect()}
+    assert got == {("c0", "g1"): (1, "any_dge;upregulated"), ("c1", "g1"): (1, "any_dge;downregulated"), ("c2", "g1"): (0, "")}
+
+
 def test_ora_against_combinatorics(spark):
     genes = spark.createDataFrame([("q", f"g{i}", int(i < 12)) for i in range(50)], "query string, gene_id string, foreground int")
     terms = spark.createDataFrame([("d", "t", f"g{i}") for i in range(5, 20)], "database string, term_id string, gene_id string")
