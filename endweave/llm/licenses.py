@@ -1,7 +1,8 @@
 """License scans with a positional index of rare words.
 
 Templates are short passages of licenses. Of the words of each template those with the highest
-inverse document frequency in the scanned corpus are indexed with their positions. A file's
+inverse document frequency in the scanned corpus are indexed with their positions, and so is the
+rarest word of its key phrase: as the phrase must be complete, no file is missed. A file's
 indexed words vote for (template, offset) pairs; at each offset all words of the template are
 compared with the file's, and the template's key phrase must stand there word for word.
 """
@@ -47,7 +48,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 
-#: Indexed words of each template, and the part of its weight that must match.
+#: Indexed words of each template besides one of its key phrase, and the part of its weight that must match.
 RARE, COVER = 3, 0.6
 
 
@@ -102,8 +103,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     weight = weights(rows)
     templates = _templates()
     postings: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, words, *_rest) in enumerate(templates):
-        for w in sorted(set(words), key=lambda w: (-weight[w], w))[:RARE]:
+    rarest = lambda words, n: sorted(set(words), key=lambda w: (-weight[w], w))[:n]
+    for t, (_, words, at, n, _base) in enumerate(templates):
+        for w in sorted({*rarest(words, RARE), *rarest(words[at : at + n], 1)}):
             postings.setdefault(w, []).extend((t, i) for i, x in enumerate(words) if x == w)
     index = "map(" + ",".join(f"{_quoted(w)},array({','.join(f'struct({t} as t,{i} as rel)' for t, i in p)})" for w, p in sorted(postings.items())) + ")"
     table = "array(" + ",".join(
