@@ -23,6 +23,8 @@ SAMPLE = 2000
 #: Added to every count, EM steps over all languages and over a set, and the price of a language
 #: in a set: PRICE * ln(n-grams).
 SMOOTH, STEPS, SET_STEPS, PRICE = 0.5, 12, 6, 4.0
+#: Numbers in an array of (gram, language) at most, but for a single document.
+CELLS = 1 << 21
 UNDETERMINED = "und"
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
@@ -93,35 +95,54 @@ def learn(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]
     counts = drawn.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
     table = np.full((1 << SPACE_LOG, len(langs)), SMOOTH)
     index = {lang: i for i, lang in enumerate(langs)}
-    # As many rows as grams times languages at most.
-    for lang, gram, n in counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect():
-        table[gram, index[lang]] += n
+    # As many rows as grams times languages at most, as arrays.
+    got = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    at = np.array([index[lang] for lang in got.column("lang").to_pylist()], dtype=np.int64)
+    table[got.column("gram").to_numpy(), at] += got.column("n").to_numpy()
     return langs, table / table.sum(axis=0)
 
 
-def _em(p: np.ndarray, c: np.ndarray, row: np.ndarray, first: np.ndarray, pi: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """(proportions, log-likelihood) of each row; languages with proportion 0 stay out."""
-    total = np.add.reduceat(c, first)[:, None]
+def _em(p: np.ndarray, c: np.ndarray, row: np.ndarray, first: np.ndarray, pi: np.ndarray, steps: int) -> tuple[np.ndarray, ...]:
+    """(proportions, log-likelihood, what a better mixture can add to it at most) of each row;
+    languages with proportion 0 stay out.
+
+    The likelihood is concave in the proportions, and so no mixture beats it by more than
+    n * log(max d), where n is the number of grams and d_l what EM would multiply the proportion
+    of language l by in its next step."""
+    total = np.add.reduceat(c, first)
     for _ in range(steps):
         part = pi[row] * p
         part *= (c / part.sum(axis=1))[:, None]
-        pi = np.add.reduceat(part, first, axis=0) / total
-    return pi, np.add.reduceat(c * np.log((pi[row] * p).sum(axis=1)), first)
+        pi = np.add.reduceat(part, first, axis=0) / total[:, None]
+    each = (pi[row] * p).sum(axis=1)
+    d = np.add.reduceat((c / each)[:, None] * p, first, axis=0) / total[:, None]
+    return pi, np.add.reduceat(c * np.log(each), first), total * np.log(np.maximum(d.max(axis=1), 1.0))
 
 
 def mixtures(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Proportions of the languages in each document, 0 outside the selected set.
 
-    Documents without grams have equal proportions.
+    Sets are the nested ones of a document's strongest languages; they grow until the penalised
+    likelihood falls. Documents without grams have equal proportions. Documents are worked on in
+    batches whose arrays hold about CELLS numbers, or one document.
     """
     langs = table.shape[1]
     out = np.full((len(docs), langs), 1.0 / langs)
-    some = [i for i, (g, _) in enumerate(docs) if len(g)]
-    if not some or langs == 1:
+    some = np.array([i for i, (g, _) in enumerate(docs) if len(g)], dtype=np.int64)
+    if not len(some) or langs == 1:
         return out
-    size = np.array([len(docs[i][0]) for i in some])
-    p = table[np.concatenate([docs[i][0] for i in some])]
-    c = np.concatenate([docs[i][1] for i in some]).astype(float)
+    upto = np.cumsum([len(docs[i][0]) for i in some]) * langs
+    batch = upto // CELLS
+    for at in np.split(some, np.flatnonzero(np.diff(batch)) + 1):
+        out[at] = _selected(table, [docs[i] for i in at])
+    return out
+
+
+def _selected(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    langs = table.shape[1]
+    size = np.array([len(g) for g, _ in docs])
+    p = table[np.concatenate([g for g, _ in docs])]
+    c = np.concatenate([n for _, n in docs]).astype(float)
 
     def part(rows: np.ndarray) -> tuple[np.ndarray, ...]:
         """The entries of some rows only."""
@@ -136,28 +157,30 @@ def mixtures(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> np
 
     everyone = np.arange(len(size))
     held = part(everyone)
-    pi, _ = _em(*held, np.full((len(size), langs), 1.0 / langs), STEPS)
+    pi, most, slack = _em(*held, np.full((len(size), langs), 1.0 / langs), STEPS)
     single = np.add.reduceat(held[1][:, None] * np.log(held[0]), held[3], axis=0)
     best = np.zeros_like(pi)
     best[everyone, single.argmax(axis=1)] = 1.0
     value = single.max(axis=1)
-    grams = np.add.reduceat(held[1], held[3])
+    price = PRICE * np.log(np.maximum(np.add.reduceat(held[1], held[3]), 2))
     order = np.argsort(-pi, axis=1)
+    grows = np.ones(len(size), dtype=bool)
     for k in range(2, langs + 1):
-        # A language of less than a hundredth cannot repay its price.
-        rows = np.flatnonzero(pi[everyone, order[:, k - 1]] >= 0.01)
+        # Where not even the best mixture of all languages can repay the price of k, no set can.
+        rows = np.flatnonzero(grows & (most + slack - price * (k - 1) > value) & (pi[everyone, order[:, k - 1]] > 0))
+        grows[:] = False
         if not len(rows):
             break
         start = np.zeros((len(rows), langs))
         np.put_along_axis(start, order[rows, :k], np.take_along_axis(pi[rows], order[rows, :k], axis=1), axis=1)
         start /= start.sum(axis=1, keepdims=True)
-        found, likely = _em(*part(rows), start, SET_STEPS)
-        likely = likely - PRICE * (k - 1) * np.log(np.maximum(grams[rows], 2))
+        found, likely, _ = _em(*part(rows), start, SET_STEPS)
+        likely = likely - price[rows] * (k - 1)
         better = likely > value[rows]
         best[rows[better]] = found[better]
         value[rows[better]] = likely[better]
-    out[some] = best
-    return out
+        grows[rows[better]] = True
+    return best
 
 
 def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray, at: int) -> np.ndarray:

@@ -30,6 +30,8 @@ TERM_SHARE, TERM_LEAST, TERM_ODDS = 0.02, 4, 2.5
 TREES, DEPTH, RATE, BINS, LEAST = 60, 3, 0.15, 48, 5
 #: Folds of the calibration.
 FOLDS = 5
+#: Characters between a term and a second-person word that belong together.
+NEAR = 40
 #: The weight of the words that are in the lexicon from the start.
 SEED_ODDS = 3.0
 
@@ -117,6 +119,15 @@ def _recount(terms: list[str]):
     return run
 
 
+def near_any(places: list[int], others: list[int], most: int) -> int:
+    """How many of the places have one of the others within ``most``; others come in order."""
+    there = np.array(others)
+    at = np.array(places)
+    after = np.searchsorted(there, at)
+    nearest = np.minimum(np.abs(at - there[np.maximum(after - 1, 0)]), np.abs(there[np.minimum(after, len(there) - 1)] - at))
+    return int((nearest <= most).sum())
+
+
 class Extractor:
     """Features of a text; the lexicon is one automaton over ``plain`` text."""
 
@@ -145,7 +156,7 @@ class Extractor:
             if odds:
                 kinds.add(term)
                 places[start] = max(odds, places.get(start, 0.0))  # a word and its beginning are one hit
-        near = sum(any(abs(p - q) <= 40 for q in second) for p in places) if second and places else 0
+        near = near_any(list(places), second, NEAR) if second and places else 0
         odd = _ODD.findall(text) if any(c in text for c in "0134579@$!*._-") else []
         odd_hits = 0
         if odd and self.lexicon:

@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,63 @@ def test_language_mixture_and_odd_rows(spark):
     assert {r.lang_pred for r in langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def sets_by_loops(table, grams, counts):
+    """Proportions by EM over every nested set in turn, one gram at a time."""
+    def em(pi, steps):
+        for _ in range(steps):
+            new = dict.fromkeys(pi, 0.0)
+            for g, c in zip(grams, counts, strict=True):
+                whole = sum(pi[l] * table[g, l] for l in pi)
+                for l in pi:
+                    new[l] += c * pi[l] * table[g, l] / whole
+            pi = {l: v / sum(counts) for l, v in new.items()}
+        return pi, sum(c * np.log(sum(pi[l] * table[g, l] for l in pi)) for g, c in zip(grams, counts, strict=True))
+
+    langs = range(table.shape[1])
+    pi, _ = em({l: 1 / len(langs) for l in langs}, langid.STEPS)
+    alone = [sum(c * np.log(table[g, l]) for g, c in zip(grams, counts, strict=True)) for l in langs]
+    best, value = {int(np.argmax(alone)): 1.0}, max(alone)
+    order = sorted(langs, key=lambda l: -pi[l])
+    for k in range(2, len(langs) + 1):
+        whole = sum(pi[l] for l in order[:k])
+        found, likely = em({l: pi[l] / whole for l in order[:k]}, langid.SET_STEPS)
+        likely -= langid.PRICE * np.log(max(sum(counts), 2)) * (k - 1)
+        if likely <= value:
+            break
+        best, value = found, likely
+    return best
+
+
+def test_language_sets_by_loops(monkeypatch):
+    rng = np.random.default_rng(4)
+    table = rng.dirichlet(np.full(60, 0.3), size=5).T + 1e-4
+    table /= table.sum(axis=0)
+    docs = []
+    for share in ((1, 0, 0, 0, 0), (0.5, 0.5, 0, 0, 0), (0.97, 0.03, 0, 0, 0), (0.4, 0.3, 0.3, 0, 0), (0.2,) * 5, (0.994, 0, 0.006, 0, 0)):
+        for n in (3, 40, 3000, 200_000):
+            counts = rng.multinomial(n, table @ np.array(share))
+            docs.append((np.flatnonzero(counts), counts[counts > 0]))
+    for cells in (1 << 21, 100):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        got = langid.mixtures(table, docs)
+        for row, (grams, counts) in zip(got, docs, strict=True):
+            want = sets_by_loops(table, grams, counts)
+            assert set(np.flatnonzero(row > 0)) == {l for l, v in want.items() if v > 0}
+            assert all(abs(row[l] - v) < 1e-9 for l, v in want.items())
+
+
+def test_a_little_of_a_language_is_found(spark):
+    """A hundredth of a long text, and one of many languages."""
+    rng = random.Random(5)
+    langs = [f"l{i:02}" for i in range(30)]
+    words = {lang: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(30)] for lang in langs}
+    rows = [(i, " ".join(rng.choices(words[langs[i % 30]], k=500)), langs[i % 30]) for i in range(300)]
+    rows.append((500, " ".join(rng.choices(words["l03"], k=40_000) + rng.choices(words["l07"], k=300)), None))
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[500].langs == "l03,l07" and got[500].lang_pred == "l03" and 0.98 < got[500].score < 1
+    assert all(got[i].lang_pred == lang for i, _, lang in rows[:300])
+
+
 @data
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else FOLDER
@@ -56,6 +114,35 @@ def test_toxicity_held_out(spark):
     assert (a >= 0.5).mean() > 0.8 and (b >= 0.5).mean() < 0.02
 
 
+def test_features_by_loops():
+    """Counts behind the features, place by place, also of texts that repeat what they say."""
+    lexicon = {" idiot ": 3.0, " stupi": 2.0, " hate ": 1.5}
+    extract = toxicity.Extractor(lexicon)
+    texts = ["", "You idiot!", "calm words only", "stupid stupidity, you hate THIS sooo much 1d1ot", "you " + "x " * 30 + "idiot hate " + "y " * 60 + "hate you", "id.iot you 123"]
+    for text in texts + ["you idiot " * 200]:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        at, offset = [], 0
+        for w in words:  # where each word starts in the line of words
+            at.append(offset)
+            offset += len(w) + 1
+        hit = [max([o for t, o in lexicon.items() if (f" {w} " == t if t[-1] == " " else f" {w}".startswith(t))], default=0) for w in words]
+        second = [p for p, w in zip(at, words, strict=True) if w in toxicity.SECOND]
+        near = sum(any(abs(p - q) <= toxicity.NEAR for q in second) for p, h in zip(at, hit, strict=True) if h)
+        got = dict(zip(toxicity.FEATURES, extract(text), strict=True))
+        n, size = max(len(words), 1), max(len(text), 1)
+        assert got["lexicon_hits"] == sum(h > 0 for h in hit) and got["near_second"] == near
+        assert got["lexicon_density"] == sum(h > 0 for h in hit) / n and got["lexicon_weight"] == max(hit, default=0)
+        assert got["second_density"] == len(second) / n
+        assert got["capitals"] == sum("A" <= c <= "Z" for c in text) / size and got["digits"] == sum(c in "0123456789" for c in text) / size
+        assert got["exclamations"] == text.count("!") / n
+
+
+def test_nearness_of_very_long_texts():
+    began = time.time()
+    toxicity.Extractor({" idiot ": 3.0})("you idiot " * 200_000)
+    assert time.time() - began < 30
+
+
 def test_toxicity_odd_rows(spark):
     rows = [(i, "you idiot fool" if i % 4 == 0 else "a calm sentence here") for i in range(200)] + [(500, None), (501, ""), (None, "you idiot"), (502, "x" * 30_000)]
     df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
