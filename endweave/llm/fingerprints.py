@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from endweave.llm.wordhash import chunks, mix64, shingle_hashes, word_hashes
 BINS_LOG, BITS = 9, 4
 BINS = 1 << BINS_LOG
 _EMPTY = np.uint64((1 << 64) - 1)
-#: Ranges of ids for each shuffle partition, and cells of equal width for each range.
-RANGES, CELLS = 4, 16
+#: Ranges of keys for each shuffle partition, and keys drawn for each range to find them.
+RANGES, DRAWN = 4, 64
 
 
 def densified(bins: np.ndarray) -> np.ndarray:
@@ -138,43 +140,59 @@ def _compare(k: int, names: list[str]):
     return run
 
 
+def _borders(keys: DataFrame, total: int, ranges: int) -> list[tuple[int, int, int]]:
+    """At most ``ranges`` keys (0 for a null id, id, checksum of the text) that cut the rows into
+    ranges of about equal numbers, from about DRAWN keys for each range. Which keys are drawn has
+    a bearing on where rows are worked on, not on results."""
+    drawn = keys.filter(F.rand(6) < min(1.0, ranges * DRAWN / max(total, 1))).toArrow()
+    some, ids, h = (drawn.column(c).combine_chunks().fill_null(0).to_numpy(zero_copy_only=False) for c in ("some", "id", "h"))
+    order = np.lexsort((h, ids, some))
+    at = order[np.arange(1, ranges) * len(order) // ranges] if len(order) else order
+    return sorted({(int(some[i]), int(ids[i]), int(h[i])) for i in at})
+
+
+def _bucket_of(borders: list[tuple[int, int, int]]):
+    """Number of borders up to each key (some, id, h)."""
+
+    @F.pandas_udf("int")
+    def bucket(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for some, ids, h in batches:
+            keys = zip(some.tolist(), ids.tolist(), h.tolist(), strict=True)
+            yield pd.Series([bisect_right(borders, key) for key in keys], dtype="int32")
+
+    return bucket
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(bucket, ahead, id, text): every row in a range of ids, and once more, marked ``ahead``, at
-    the end of the range before it if it is a range's first; the first range follows the last."""
+    """(bucket, ahead, id, text): every row in a range of keys, and once more, marked ``ahead``, at
+    the end of the range before it if it is a range's first; the first range follows the last.
+
+    A key is the id and a checksum of the text, so that rows of one id are cut into ranges too;
+    ranges are found from sampled keys, whatever the distribution of ids."""
     spark = docs.sparkSession
     p = partitions(spark)
-    rows = columns_of(docs, id_col, text_col).select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    )
-    ends = rows.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    low, high, total = ends[0] or 0, ends[1] or 0, ends[2]
-    width = max(1, -(-(high - low + 1) // (CELLS * RANGES * p)))
-    cell = F.coalesce(F.floor((F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width)).cast("long"), F.lit(-1))
-    counts = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).collect()
-    table, firsts, passed, last = [], {}, 0, None
-    for row in sorted(counts, key=lambda r: r["cell"]):  # CELLS * RANGES * p + 1 of them at most
-        bucket = passed * RANGES * p // max(total, 1)
-        if bucket != last:
-            firsts[bucket], last = row["least"], bucket
-        table.append((row["cell"], bucket))
-        passed += row["n"]
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = columns_of(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    keys = rows.select(F.col("id").isNotNull().cast("int").alias("some"), "id", "h")
+    borders = _borders(keys, keys.count(), RANGES * p)
+    bucket = _bucket_of(borders)(F.col("id").isNotNull().cast("int"), F.coalesce("id", F.lit(0).cast("long")), F.col("h"))
+    rows = rows.withColumn("bucket", bucket)
+    first = F.min(F.struct(F.col("id").isNotNull().alias("some"), "id", "h")).alias("f")
+    firsts = {r["bucket"]: (r["f"]["id"], r["f"]["h"]) for r in rows.groupBy("bucket").agg(first).collect()}  # RANGES * p at most
     order = sorted(firsts)
-    before = {b: order[i - 1] for i, b in enumerate(order)}
-    known = spark.createDataFrame([(c, b, firsts[b], before[b]) for c, b in table], "cell long, bucket long, first long, before long")
+    known = spark.createDataFrame([(b, *firsts[b], order[i - 1]) for i, b in enumerate(order)], "b int, first long, first_h long, before int")
+    own = F.struct(F.col("bucket"), F.lit(False).alias("ahead"))
     both = F.when(
-        F.col("id").eqNullSafe(F.col("first")),
-        F.array(
-            F.struct(F.col("bucket"), F.lit(False).alias("ahead")), F.struct(F.col("before").alias("bucket"), F.lit(True).alias("ahead"))
-        ),
-    ).otherwise(F.array(F.struct(F.col("bucket"), F.lit(False).alias("ahead"))))
+        F.col("id").eqNullSafe(F.col("first")) & (F.col("h") == F.col("first_h")), F.array(own, F.struct(F.col("before").alias("bucket"), F.lit(True).alias("ahead")))
+    ).otherwise(F.array(own))
     placed = (
-        rows.withColumn("cell", cell)
-        .join(F.broadcast(known), "cell")
-        .select("id", "text", F.explode(both).alias("place"))
-        .select("place.bucket", "place.ahead", "id", "text")
+        rows.join(F.broadcast(known), F.col("bucket") == F.col("b"))
+        .select("id", "text", "h", F.explode(both).alias("place"))
+        .select("place.bucket", "place.ahead", "id", "text", "h")
     )
     # Ranges hold about the same number of rows, and each partition the same number of ranges.
-    return placed.repartitionById(p, (F.col("bucket") % p).cast("int")).sortWithinPartitions("bucket", "ahead", F.col("id").asc_nulls_first(), "text")
+    dealt = placed.repartitionById(p, (F.col("bucket") % p).cast("int"))
+    return dealt.sortWithinPartitions("bucket", "ahead", F.col("id").asc_nulls_first(), "h", "text").drop("h")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5) -> DataFrame:
@@ -183,7 +201,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A null text counts as empty; a text without words has the empty fingerprint, which is like
     itself and unlike any other. A text of fewer than ``k`` words has one shingle. Rows follow each
-    other by id, null ids first, equal ids by text; after the last comes the first, so that a
+    other by id, null ids first, equal ids by a checksum of the text and then the text; after the last comes the first, so that a
     single row follows itself. An empty table gives an empty result; columns other than the two
     named are not read.
     """
