@@ -20,12 +20,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def nearby(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A table that is written already, to be joined to a wide one: broadcast if it has at most ``rows``
-    rows, so that the wide one needn't move, and shuffled with it otherwise."""
-    if df.count() <= rows:
-        return F.broadcast(df)
-    return df.hint("shuffle_hash")
+#: Bytes of a table that is broadcast, at most.
+NEAR_BYTES = 16 << 20
+
+
+def nearby(df: DataFrame, most: int = NEAR_BYTES) -> DataFrame:
+    """A table that is written already, to be joined to a wide one: broadcast if it has at most ``most``
+    bytes, so that the wide one needn't move; beyond that Spark shuffles both."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    texts += [8 * F.coalesce(F.size(c), F.lit(0)) for c, kind in df.dtypes if kind.startswith("array")]
+    width = sum(texts, F.lit(8 * (len(df.columns) + 1)))
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def dealt_anew(df: DataFrame, key: str) -> DataFrame:

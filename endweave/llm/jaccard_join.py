@@ -7,8 +7,11 @@
    candidates. Classes with fewer tokens in common with others than ``need`` have no partner; of the
    others the rarest tokens suffice, and classes with one in common form a neighbourhood.
 3. Inside a neighbourhood a signature tree finds the links exactly, over whole shingle sets, and
-   leaves out what is linked already. A large neighbourhood is dealt to pairs of blocks.
-4. Links give components by alternating stars.
+   leaves out what is linked already. A large neighbourhood is dealt to blocks. Each member is
+   compared in its own block first; then one member of each cluster found there with those of the
+   other blocks, which joins a family of near copies. Only where clusters are left apart are
+   members compared once more, those outside the largest cluster with all.
+4. Links give components.
 """
 
 from __future__ import annotations
@@ -28,7 +31,10 @@ from endweave.llm.signature_tree import linked
 from endweave.llm.wordhash import mix64, shingle_sets
 
 #: A block of a large neighbourhood: so many classes or shingles at most on average.
-BLOCK_ROWS, BLOCK_SHINGLES = 2048, 2_000_000
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 2_000_000
+#: A token is frequent if it occurs in one of HOT_SHARE documents; it is looked for in one of
+#: HOT_SAMPLE documents, where it must occur HOT_LEAST times.
+HOT_SHARE, HOT_SAMPLE, HOT_LEAST = 1000, 64, 64
 
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -136,7 +142,8 @@ def _tokens(k: int, percent: int):
 
 
 def _verify(k: int, percent: int):
-    """Rows (g, x, y, b, node, fp, text) sorted by (g, x, y): a star of links for each run."""
+    """Rows (g, part, side, node, fp, text) sorted by (g, part): stars of the links in each run; in a
+    run of both sides only those across."""
 
     def links(run: dict) -> tuple[list, list]:
         nodes, sets, sides = zip(*run.values(), strict=True)
@@ -154,19 +161,19 @@ def _verify(k: int, percent: int):
             return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
         for batch in batches:
-            g, x, y, b, node = (batch.column(i).to_pylist() for i in range(5))
-            prints = batch.column(5).to_pylist()
+            g, part, side, node = (batch.column(i).to_pylist() for i in range(4))
+            prints = batch.column(4).to_pylist()
             us, vs = [], []
-            for i, values in shingle_sets(batch.column(6), k):
-                if (g[i], x[i], y[i]) != key:
+            for i, values in shingle_sets(batch.column(5), k):
+                if (g[i], part[i]) != key:
                     if len(held) > 1:
                         found = links(held)
                         us += found[0]
                         vs += found[1]
-                    key, held = (g[i], x[i], y[i]), {}
+                    key, held = (g[i], part[i]), {}
                 # Rows that have a class's id but not its shingles are other rows with that id.
                 if _fingerprint(values) == prints[i]:
-                    held[(node[i], prints[i])] = (node[i], values, int(x[i] != y[i] and b[i] == y[i]))
+                    held[(node[i], prints[i])] = (node[i], values, side[i])
             yield out(us, vs)
         if len(held) > 1:
             yield out(*links(held))
@@ -174,10 +181,23 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _neighbourhoods(tokens: DataFrame) -> DataFrame:
+def _frequent(docs: DataFrame, make, schema: str) -> DataFrame:
+    """(hot, about how many documents have it) of frequent tokens, from a part of the documents
+    (id, text). They are some HOT_SHARE times the tokens of a document at most. Only how rows are
+    dealt out depends on what is found."""
+    drawn = docs.filter(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(HOT_SAMPLE)) == 0)
+    least = max(HOT_LEAST, drawn.count() // HOT_SHARE)
+    counts = drawn.mapInArrow(make, schema).select(F.explode("tokens").alias("hot")).groupBy("hot").agg(F.count(F.lit(1)).alias("n"))
+    return cut(counts.filter(F.col("n") >= least).select("hot", (F.col("n") * HOT_SAMPLE).alias("about")))
+
+
+def _neighbourhoods(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
     """(node, label) of the nodes (node, meta, token) that may have a partner."""
-    # Tokens of a large family of near copies are as many as anyone's parts, and spread like these.
-    rows = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1")
+    # Rarest tokens first needs the same order everywhere, not exact counts: those of frequent
+    # tokens, whose rows are spread, are estimates.
+    spread = F.when(F.col("about").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("about") / 10_000), F.lit(2)))).cast("int")
+    rows = tokens.join(nearby(frequent), F.col("token") == F.col("hot"), "left").select("node", "meta", "token", "about", spread.alias("spread"))
+    rows = rows.withColumn("df", F.coalesce("about", F.count(F.lit(1)).over(Window.partitionBy("token", "spread")))).filter("df > 1")
     shared = (
         rows.groupBy("node", "meta")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
@@ -186,8 +206,68 @@ def _neighbourhoods(tokens: DataFrame) -> DataFrame:
     )
     kept = cut(shared.select("node", F.explode(F.expr("slice(shared, 1, size(shared) - need + 1)")["token"]).alias("token")))
     hubs = kept.groupBy("token").agg(F.min("node").alias("hub"))
-    edges = kept.join(dealt_anew(hubs, "token"), "token").filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    return components(edges)
+    return components(kept.join(dealt_anew(hubs, "token"), "token").select(F.col("node").alias("u"), F.col("hub").alias("v")))
+
+
+def _blocks(members: DataFrame, by: str) -> DataFrame:
+    """(by, blocks): how many blocks the members (by, n) of each group are dealt to."""
+    per = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    return members.groupBy(by).agg(per.alias("blocks"))
+
+
+def _links(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges among members (g, parts, side, node, fp), each in its ``parts`` of g; rows: (id, text)."""
+    dealt = rows.join(nearby(members), rows.id == members.node).select("g", F.explode("parts").alias("part"), "side", "node", "fp", "text")
+    return (
+        dealt.repartition(partitions(rows.sparkSession), "g", "part")
+        .sortWithinPartitions("g", "part")
+        .mapInArrow(_verify(k, percent), "u long, v long")
+    )
+
+
+def _within(rows: DataFrame, members: DataFrame, by: str, k: int, percent: int) -> DataFrame:
+    """Edges among the members (by, blocks, node, fp) of each group that lie in the same block of it."""
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
+    return _links(rows, cut(members.select(F.col(by).alias("g"), F.array(block).alias("parts"), F.lit(0).alias("side"), "node", "fp")), k, percent)
+
+
+def _clustered(members: DataFrame, edges: DataFrame, column: str) -> DataFrame:
+    """The members with the least node that edges lead to from ``column``, in place of it."""
+    label = components(edges).select(F.col("node").alias("of"), F.col("label").alias("to"))
+    joined = members.join(label, F.col(column) == F.col("of"), "left")
+    return joined.withColumn(column, F.coalesce("to", column)).drop("of", "to")
+
+
+def _across(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges that may be missing between the clusters of large neighbourhoods: of all members
+    (label, cluster, n, node, fp) of one that has several, those outside its largest cluster with
+    those in it, block by block, and with each other."""
+    sizes = members.groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("many"))
+    main = sizes.groupBy("label").agg(F.max(F.struct("many", "cluster"))["cluster"].alias("main"), F.count(F.lit(1)).alias("clusters"))
+    main = main.filter("clusters > 1").select(F.col("label").alias("g"), "main")
+    apart = cut(members.join(main, F.col("label") == F.col("g")).withColumn("side", (F.col("cluster") != F.col("main")).cast("int")))
+    counts = apart.groupBy("g").agg(
+        *[
+            F.greatest(
+                F.ceil(F.count(F.when(F.col("side") == s, 1)) / BLOCK_ROWS), F.ceil(F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES)
+            ).cast("long").alias(name)
+            for s, name in ((0, "within"), (1, "strays"))
+        ]
+    )
+    dealt = apart.join(counts.withColumnRenamed("g", "h"), F.col("g") == F.col("h"))
+    own = F.pmod(F.xxhash64("node", F.lit(5)), F.when(F.col("side") == 0, F.col("within")).otherwise(F.col("strays"))).cast("long")
+    other = F.when(F.col("side") == 0, F.col("strays")).otherwise(F.col("within"))
+    dealt = dealt.withColumn("own", own).withColumn("other", other)
+    met = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("other") - 1), lambda o: F.when(F.col("side") == 0, F.col("own") * F.col("strays") + o).otherwise(o * F.col("strays") + F.col("own"))
+    )
+    with_main = cut(dealt.select("g", met.alias("parts"), "side", "node", "fp"))
+    pair = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("strays") - 1), lambda o: F.least(F.col("own"), o) * F.col("strays") + F.greatest(F.col("own"), o)
+    )
+    # Two blocks of strays are compared whole, which finds links inside a block more than once.
+    strays = cut(dealt.filter("side = 1").select("g", pair.alias("parts"), F.lit(0).alias("side"), "node", "fp"))
+    return _links(rows, with_main, k, percent).union(_links(rows, strays, k, percent))
 
 
 def jaccard_components(
@@ -216,18 +296,21 @@ def jaccard_components(
     first = classes.select(F.col("node").alias("id"), F.lit(True).alias("first")).distinct()
     others = sketch.filter("id is not null").select("id").distinct().join(first, "id", "left_anti")
     alone = rows.filter("id is not null").join(nearby(cut(others)), "id", "left_anti")
-    tokens = alone.mapInArrow(_tokens(k, percent), "node long, meta int, tokens array<long>")
-    near = _neighbourhoods(tokens.select("node", "meta", F.explode("tokens").alias("token")))
+    make, schema = _tokens(k, percent), "node long, meta int, tokens array<long>"
+    tokens = alone.mapInArrow(make, schema).select("node", "meta", F.explode("tokens").alias("token"))
+    near = _neighbourhoods(tokens, _frequent(alone, make, schema))
     members = classes.select("node", "fp", "n").join(near, "node")
-    blocks = members.groupBy("label").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    members = cut(members.join(blocks, "label").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    with_text = rows.join(nearby(members), rows.id == members.node).select("label", "blocks", "b", "node", "fp", "text")
-    pairs = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.col("label").alias("g"), F.least("b", "other").alias("x"), F.greatest("b", "other").alias("y"), "b", "node", "fp", "text"
-    )
-    links = pairs.repartition(p, "g", "x", "y").sortWithinPartitions("g", "x", "y").mapInArrow(_verify(k, percent), "u long, v long")
+    blocks = _blocks(members, "label").withColumnRenamed("label", "l")
+    members = cut(members.join(blocks, F.col("label") == F.col("l")).drop("l"))
+    links = cut(_within(rows, members, "label", k, percent))
+    large = members.filter("blocks > 1").withColumn("cluster", F.col("node"))
+    if large.limit(1).count():
+        large = cut(_clustered(large, links, "cluster").drop("blocks"))
+        first = large.filter("node = cluster")
+        first = first.join(_blocks(first, "label").withColumnRenamed("label", "l"), F.col("label") == F.col("l")).drop("l")
+        more = cut(_within(rows, first, "label", k, percent))
+        large = cut(_clustered(large, more, "cluster"))
+        links = links.union(more).union(_across(rows, large, k, percent))
     label = components(links)
     named = classes.select("fp", "node").join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component"))
     return sketch.join(named, "fp", "left").select(

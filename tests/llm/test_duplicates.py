@@ -110,6 +110,28 @@ def test_jaccard_join_in_small_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 1, 95)
 
 
+def test_jaccard_join_of_clusters_apart(spark, monkeypatch):
+    """Clusters of several blocks that only some members join, and frequent tokens."""
+    from endweave.llm import jaccard_join
+
+    for name, value in (("BLOCK_ROWS", 4), ("HOT_SAMPLE", 1), ("HOT_LEAST", 3), ("HOT_SHARE", 10**6)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = []
+    for i in range(45):  # a chain: only neighbours link, and here and there a step is missing
+        w = [f"w{j}" for j in range(2 * i + 3 * (i > 30), 2 * i + 3 * (i > 30) + 40)]
+        rows += [((i * 17) % 45, " ".join(w)), (100 + i, " ".join([*w[:-1], f"x{i}"]))]
+    for percent in (88, 90, 95):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs(spark, rows), k=1, percent=percent).collect()}
+        assert got == brute_components(rows, 1, percent)
+
+
+def test_jaccard_join_of_long_texts(spark):
+    long = [f"w{i * 7919 % 50_021}" for i in range(50_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:49_000], "a", "b"])), (3, " ".join(long[:30_000])), (4, "short")]
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_signature_tree_with_shared_bits(monkeypatch):
     rng = np.random.default_rng(2)
     for width in (64, 1 << 16):
@@ -137,6 +159,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_by_stars_and_at_once(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(9, i) for i in range(500, 700)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    at_once, by_stars = ({r.node: r.label for r in components(df, few=n).collect()} for n in (10**6, 0))
+    assert at_once == by_stars
+    for u, v in edges:
+        assert u == v or at_once[u] == at_once[v] <= min(u, v)
+
+
 def test_shingles_count_like_regex():
     texts = ["A b C a b c", "", None, " x ", "é ü b\x0bc d\x1ce"]
     got = {i: len(v) for i, v in shingle_sets(pa.array(texts), 2)}
@@ -149,6 +181,7 @@ def test_fingerprints(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("abcdefgh") + str(rng.randrange(60)) for _ in range(rng.randrange(1, 400)))) for i in range(80)]
     rows += [(80, rows[0][1]), (81, None), (82, ""), (83, "é" * 9), (None, "null id")]
+    rows += [(2**62, "far away"), (-(2**62), "far below"), (2**62 + 1, "x " * 100_000)]
     want = sorted(((i is not None, i or 0, t or "", i) for i, t in rows))
     for df in (docs(spark, rows), clashing(docs(spark, rows).repartition(6))):
         got = {(r.doc_id, r.edited_sha256): r for r in fp.fingerprint_edits(df).collect()}
@@ -167,6 +200,37 @@ def test_fingerprints(spark):
     assert alone.near_next == 1.0
 
 
+def test_ranges_hold_equal_numbers(spark):
+    """A sentinel id, and an id that holds a third of all rows, leave no range with too many rows."""
+    rows = [(i, f"t {i}") for i in range(1000)] + [(2**62, "end")] + [(None, f"null {i}") for i in range(500)]
+    placed = fp.with_next(docs(spark, rows).repartition(3)).filter("not ahead").groupBy("bucket").count().collect()
+    assert sum(r["count"] for r in placed) == len(rows) and max(r["count"] for r in placed) < 4 * len(rows) / len(placed)
+    spark_rows = fp.fingerprint_edits(docs(spark, rows)).collect()
+    assert len(spark_rows) == len(rows)
+
+
+def test_fingerprint_by_loops():
+    """Bins, densification and packing, value by value, from the shingle hashes alone."""
+    texts = ["", "one", "a b c d e f", " ".join(f"w{i % 97}" for i in range(3000)), "é " * 40]
+    bits, some = fp.low_bits(pa.array(texts), 5)
+    for at, text in enumerate(texts):
+        (_, values), = shingle_sets(pa.array([text]), 5)
+        bins = {}
+        for v in map(int, values):
+            bins.setdefault(v >> (64 - 9), []).append(v & ((1 << 55) - 1))
+        least = {b: min(vs) for b, vs in bins.items()}
+        assert bool(some[at]) == bool(least)
+        for b in range(512) if least else []:
+            source, attempt = b, 0
+            while source not in least:
+                attempt += 1
+                source = int(fp.mix64(np.array([b * 0x9E3779B97F4A7C15 + attempt & (2**64 - 1)], dtype=np.uint64))[0] >> np.uint64(55))
+            assert bits[at][b] == least[source] & 15
+        if least:
+            raw = fp.unpacked(fp.packed(bits[at], True))
+            assert (raw == bits[at]).all()
+
+
 def test_fingerprint_estimates_jaccard():
     rng, errors = random.Random(4), []
     for share in (0.2, 0.5, 0.8, 0.95):
