@@ -1,8 +1,9 @@
 """Chat formatting in budgeted windows.
 
-Prefix sums of turn tokens cut a conversation into turn-aligned spans. Each window holds the system
-turn, a little history repeated from the window before, and the turns of its span; only assistant
-texts of the span are targets, so that repeated ones are masked.
+Prefix sums of turn tokens cut a conversation into turn-aligned spans, in which an answer stands
+with its prompt wherever a window can hold both. Each window holds the system turn, as much of the
+last turns of the window before as fits, and the turns of its span; only assistant texts of the
+span are targets, so that repeated ones are masked.
 """
 
 from __future__ import annotations
@@ -33,13 +34,15 @@ def format_windows(turns: DataFrame, budget: int = 1024, history: int = 2) -> Da
     """Windows (conv_id, window, formatted, loss_spans, n_turns, n_repeated, tokens) of the rows
     (conv_id, turn, role, text).
 
-    Tokens are white-space separated words, and OVERHEAD for the template of each turn. Of what the
-    system turn (a first turn of the role ``system``) leaves of the budget, two fifths are the
-    stride of the spans: a turn belongs to the span in which it starts, so that a span is shorter
-    than two strides; up to ``history`` last turns of the span before, half a stride at most, are
-    repeated. A turn longer than a stride has a span of its own and may exceed the budget alone; no
-    text is cut. loss_spans are (start, end) code points of ``formatted``; n_repeated turns come
-    first.
+    Tokens are white-space separated words, and OVERHEAD for the template of each turn. An exchange
+    is a prompt (turns of any role but ``assistant``) with the assistant turns that answer it; one
+    that a window can't hold beside the system turn (a first turn of the role ``system``) counts
+    turn by turn. Of what the system turn leaves of the budget, two fifths are the stride of the
+    spans: an exchange belongs to the span in which it starts, so that a span is shorter than two
+    strides, and one longer than a stride has a span of its own. Only a turn that is too long by
+    itself exceeds the budget, alone; no text is cut. Of the ``history`` last turns of the span
+    before as many are repeated, the last first, as still fit. loss_spans are (start, end) code
+    points of ``formatted``; n_repeated turns come first.
 
     A null text or role counts as empty, a null conv_id is a conversation. Turns go by turn number
     (null first), then role and text; repeated rows are turns of their own. An empty table gives an
@@ -59,17 +62,27 @@ def format_windows(turns: DataFrame, budget: int = 1024, history: int = 2) -> Da
     rows = rows.withColumn("system", (F.col("pos") == 1) & (F.col("role") == "system"))
     rows = rows.withColumn("own", F.when(F.col("system"), 0).otherwise(F.col("tokens")))
     used = F.coalesce(F.max(F.when(F.col("system"), F.col("tokens"))).over(whole), F.lit(0))
-    rows = rows.withColumn("stride", F.greatest(F.lit(budget // 10), F.floor((F.lit(budget) - used) * 2 / 5)).cast("long"))
+    rows = rows.withColumn("used", used)
+    rows = rows.withColumn("stride", F.greatest(F.lit(budget // 10), F.floor((F.lit(budget) - F.col("used")) * 2 / 5)).cast("long"))
     rows = rows.withColumn("start", F.coalesce(F.sum("own").over(before), F.lit(0)))
-    rows = rows.withColumn("block", F.when(~F.col("system"), F.floor(F.col("start") / F.col("stride"))))
-    rows = rows.withColumn("long", F.when(~F.col("system"), F.col("own") > F.col("stride")))
+    others = F.lag("system").over(conv)
+    begins = ~F.col("system") & (others.isNull() | others | ((F.col("role") != "assistant") & (F.lag("role").over(conv) == "assistant")))
+    rows = rows.withColumn("begins", begins).withColumn("exchange", F.sum(F.col("begins").cast("int")).over(upto))
+    exchange = Window.partitionBy("conv_id", "exchange")
+    rows = rows.withColumn("together", F.sum("own").over(exchange)).withColumn("apart", F.col("together") + F.col("used") > budget)
+    rows = rows.withColumn("from", F.when(F.col("apart"), F.col("start")).otherwise(F.min("start").over(exchange)))
+    rows = rows.withColumn("block", F.when(~F.col("system"), F.floor(F.col("from") / F.col("stride"))))
+    rows = rows.withColumn("long", F.when(~F.col("system"), F.when(F.col("apart"), F.col("own")).otherwise(F.col("together")) > F.col("stride")))
     moved = (F.lag("block").over(conv) != F.col("block")) | F.lag("long").over(conv) | (F.lag("long").over(conv).isNotNull() & F.col("long"))
-    rows = rows.withColumn("moved", F.coalesce(moved, F.lit(False)).cast("int"))
+    rows = rows.withColumn("moved", ((F.col("begins") | F.col("apart")) & F.coalesce(moved, F.lit(False))).cast("int"))
     rows = rows.withColumn("window", F.sum("moved").over(upto).cast("int"))
     rows = rows.withColumn("last", F.max("window").over(whole))
+    by_window = Window.partitionBy("conv_id").orderBy("window")
+    rows = rows.withColumn("next", F.sum("own").over(by_window.rangeBetween(1, 1)))
     end = Window.partitionBy("conv_id", "window").orderBy(F.col("pos").desc())
     rows = rows.withColumn("from_end", F.row_number().over(end)).withColumn("end_tokens", F.sum("own").over(end.rowsBetween(Window.unboundedPreceding, 0)))
-    again = ~F.col("system") & (F.col("from_end") <= history) & (F.col("end_tokens") * 2 <= F.col("stride")) & (F.col("window") < F.col("last"))
+    again = ~F.col("system") & (F.col("from_end") <= history) & (F.col("end_tokens") + F.col("next") + F.col("used") <= budget)
+    again = F.coalesce(again, F.lit(False))
     windows = (
         F.when(F.col("system"), F.sequence(F.lit(0), F.col("last")))
         .when(again, F.array(F.col("window"), F.col("window") + 1))

@@ -102,24 +102,34 @@ WITH raw AS (
   FROM raw
 ), b AS (
   SELECT *, pos = 1 AND role = 'system' AS sys, CASE WHEN pos = 1 AND role = 'system' THEN 0 ELSE tokens END AS own,
-    greatest(102, floor((1024 - coalesce(max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0)) * 2 / 5)) AS stride
+    coalesce(max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS used
   FROM a
 ), c AS (
-  SELECT *, CASE WHEN NOT sys THEN floor(coalesce(sum(own) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / stride) END AS blk,
-    CASE WHEN NOT sys THEN own > stride END AS lng
-  FROM b
+  SELECT *, greatest(102, floor((1024 - used) * 2 / 5)) AS stride,
+    coalesce(sum(own) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    NOT sys AND (pos = 1 OR lag(sys) OVER o OR (role <> 'assistant' AND lag(role) OVER o = 'assistant')) AS begins
+  FROM b WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+), c1 AS (
+  SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY pos) AS ex FROM c
+), c2 AS (
+  SELECT *, sum(own) OVER e + used > 1024 AS apart, sum(own) OVER e AS tog, min(start) OVER e AS ex_start FROM c1 WINDOW e AS (PARTITION BY conv_id, ex)
+), c3 AS (
+  SELECT *, CASE WHEN NOT sys THEN floor(CASE WHEN apart THEN start ELSE ex_start END / stride) END AS blk,
+    CASE WHEN NOT sys THEN CASE WHEN apart THEN own ELSE tog END > stride END AS lng
+  FROM c2
 ), d AS (
-  SELECT *, coalesce(lag(blk) OVER o <> blk OR lag(lng) OVER o OR (lag(lng) OVER o IS NOT NULL AND lng), false) AS moved
-  FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+  SELECT *, (begins OR apart) AND coalesce(lag(blk) OVER o <> blk OR lag(lng) OVER o OR (lag(lng) OVER o IS NOT NULL AND lng), false) AS moved
+  FROM c3 WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
 ), e AS (
   SELECT *, sum(CAST(moved AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY pos) AS win FROM d
 ), f AS (
   SELECT *, max(win) OVER (PARTITION BY conv_id) AS last,
+    sum(own) OVER (PARTITION BY conv_id ORDER BY win RANGE BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS nxt,
     row_number() OVER (PARTITION BY conv_id, win ORDER BY pos DESC) AS from_end,
     sum(own) OVER (PARTITION BY conv_id, win ORDER BY pos DESC) AS end_tokens
   FROM e
 ), g AS (
-  SELECT *, CASE WHEN sys THEN last + 1 WHEN from_end <= 2 AND end_tokens * 2 <= stride AND win < last THEN 2 ELSE 1 END AS copies,
+  SELECT *, CASE WHEN sys THEN last + 1 WHEN from_end <= 2 AND end_tokens + nxt + used <= 1024 THEN 2 ELSE 1 END AS copies,
     12 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'), chr(10), '<' || chr(92) || ',')) + 1
     + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')) + 11 AS chars
   FROM f

@@ -1,6 +1,7 @@
 """Mixing, sharding, packing, chat formatting and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -119,6 +120,43 @@ def test_shards(spark):
     assert shard(corpus(spark, [])).collect() == []
 
 
+def test_quotas_by_walking_keys():
+    """Key by key: in round r, what has no place asks the r-th shard clockwise."""
+    rng = np.random.default_rng(3)
+    _, owner = ring(4, 5)
+    for total in (1, 50, 403):
+        counts = rng.multinomial(total, rng.dirichlet(np.full(len(owner), 0.2)))
+        room = [total // 4 + (s < total % 4) for s in range(4)]
+        waiting = {(arc, i) for arc in range(len(owner)) for i in range(counts[arc])}
+        place = {}
+        for r in range(4):
+            for arc, i in sorted(waiting):
+                walk = list(dict.fromkeys(int(owner[(arc + j) % len(owner)]) for j in range(len(owner))))
+                if room[walk[r]]:
+                    room[walk[r]] -= 1
+                    place[arc, i] = walk[r]
+            waiting -= set(place)
+        got = {(arc, i): s for arc, a, b, s, _ in quotas(counts, owner, 4) for i in range(a, b)}
+        assert got == place and not waiting
+
+
+def test_bounded_ring_moves_little():
+    """With bounded loads too, another shard moves few keys between the old ones."""
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 200_000)
+    keys.sort()
+    at = {}
+    for shards in (16, 17):
+        positions, owner = ring(shards)
+        arc = np.searchsorted(positions, keys) % len(owner)
+        out = np.full(len(keys), -1)
+        members = {a: np.flatnonzero(arc == a) for a in range(len(owner))}
+        for a, first, last, s, _ in quotas(np.bincount(arc, minlength=len(owner)), owner, shards):
+            out[members[a][first:last]] = s
+        at[shards] = out
+    moved = at[16] != at[17]
+    assert moved.mean() < 0.1 and (moved & (at[17] != 16)).mean() < 0.035
+
+
 def test_ring_moves_little():
     """Another shard's virtual nodes take keys only for themselves."""
     (p, o), (q, r) = ring(16), ring(17)
@@ -232,6 +270,74 @@ def test_chat_history_and_system(spark):
     assert all(w.tokens <= 100 for w in windows) and all(w.n_repeated > 1 for w in windows[1:])
 
 
+def test_chat_keeps_answers_with_prompts(spark):
+    """Wherever a window can hold an exchange it does, and history is what still fits."""
+    rng = random.Random(12)
+    said = lambda c, t, n: f"q{c}x{t} " * n
+    rows = [(0, 0, "user", said(0, 0, 600)), (0, 1, "assistant", said(0, 1, 2)), (1, 0, "user", said(1, 0, 1200)), (1, 1, "assistant", said(1, 1, 900))]
+    for c in range(2, 40):
+        rows += [(c, t, "system" if t == 0 and c % 3 == 0 else ("user", "assistant")[t % 2], said(c, t, rng.choice([1, 30, 300, 600]))) for t in range(rng.randrange(1, 14))]
+    windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    home = {}
+    for w in windows:
+        pieces = w.formatted.split("<|im_end|>\n")[:-1]
+        assert len(pieces) == w.n_turns and (w.tokens <= 1024 or w.n_turns - w.formatted.startswith("<|im_start|>system") == 1)
+        for piece in pieces[w.n_repeated :]:
+            home[tuple(map(int, re.search(r"q(\d+)x(\d+)", piece).groups()))] = (w.conv_id, w.window)
+    assert home.keys() == {(c, t) for c, t, _, _ in rows}
+    tokens = {(c, t): len(text.split()) + 4 for c, t, _, text in rows}
+    for c, t, role, _ in rows:
+        system = tokens[c, 0] if c > 1 and c % 3 == 0 else 0
+        if role == "user" and (c, t + 1) in tokens and tokens[c, t] + tokens[c, t + 1] + system <= 1024:
+            assert home[c, t] == home[c, t + 1]
+    repeated = [w for w in windows if w.n_repeated > w.formatted.startswith("<|im_start|>system")]
+    assert repeated and all(w.tokens <= 1024 for w in repeated)
+
+
+def test_long_texts(spark):
+    """One text of two million characters among short ones."""
+    long = "word " * 400_000
+    df = corpus(spark, [(1, long, "a"), (2, "b c", "a"), (3, "d", "b")])
+    assert {r.doc_id: r.size for r in mix(df).collect()} == {1: 400_000, 2: 2, 3: 1}
+    assert {r.doc_id: r.size for r in shard(df).collect()} == {1: 2_000_001, 2: 4, 3: 2}
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")
+    (row,) = chat.conversation_digests(turns).collect()
+    assert row.n_turns == 2 and row.loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+
+
+def test_copies_close_the_gap(spark):
+    """Multipliers by bisection, and no single copy that would bring a source nearer its target."""
+    rows = made(900)
+    got = mix(corpus(spark, rows)).collect()
+    by = {}
+    for r, source in [(r, dict((i, s) for i, _, s in rows)[r.doc_id]) for r in got]:
+        by.setdefault(source, []).append(r)
+    for rs in by.values():
+        target, size = rs[0].target, rs[0].source_size
+        mean = size / len(rs)
+        if size and target < 3 * size:
+            lo, hi = -60.0, 60.0
+            for _ in range(200):
+                lam = (lo + hi) / 2
+                total = sum(r.size * min(3.0, math.exp(min(lam * r.size / mean, 700))) for r in rs)
+                lo, hi = (lam, hi) if total < target else (lo, lam)
+            assert all(abs(r.rate - min(3.0, math.exp(min(lo * r.size / mean, 700)))) < 1e-5 for r in rs if r.size)
+        missing = target - sum(r.taken for r in rs)
+        assert abs(missing) <= min((r.size for r in rs if r.size), default=0) + 1e-6
+        assert all(0 <= r.copies <= 3 for r in rs)
+
+
+def test_pipeline_of_clashing_columns(spark):
+    import corpus_pipeline as cp
+
+    rows = [(i, f"text {i} " * (i + 1), "en", "ab"[i % 2], 5) for i in range(12)] + [(3, "text 3 " * 4, "en", "b", 5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    extra = docs.withColumns({c: F.lit(7) for c in ("n", "id", "sha", "stays", "copies", "words", "own_words", "own_sha", "copy", "size", "label", "source_size", "rank")})
+    for _, stage in cp.STAGES:
+        a, b = stage(spark, docs, ""), stage(spark, extra, "")
+        assert a.columns == b.columns and Counter(a.collect()) == Counter(b.collect())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
