@@ -1,10 +1,11 @@
 """License scans with a positional index of rare words.
 
-Templates are short passages of licenses. Of the words of each template those with the highest
-inverse document frequency in the scanned corpus are indexed with their positions, and so is the
-rarest word of its key phrase: as the phrase must be complete, no file is missed. A file's
-indexed words vote for (template, offset) pairs; at each offset all words of the template are
-compared with the file's, and the template's key phrase must stand there word for word.
+Templates are passages of licenses, by default those of ``license_texts``; all their words are
+indexed with their positions. Of each file the licence words with the highest inverse document
+frequency in the scanned corpus are looked up, and so is the rarest word of every key phrase: as a
+key phrase must be complete, no place is missed. Postings meet at the same relative position, a
+pair (template, offset); there all words of the template are joined with the file's, and the
+template's key phrase must stand there word for word.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.llm.common import columns_of
+from endweave.llm.common import columns_of, cut
+from endweave.llm.license_texts import TEMPLATES
 
 #: Words are runs of digits, letters a-z and anything beyond ASCII; this is what lies between.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -27,29 +29,9 @@ BASE = (
     ("gpl", "general public license"),
 )
 
-#: Label, passage, and the key phrase in it that must be complete.
-TEMPLATES = (
-    ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    ("mit", "the software is provided as is without warranty of any kind express or implied", "the software is provided as is"),
-    ("apache", "licensed under the apache license version 2 0", "apache license"),
-    ("apache", "you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org licenses"),
-    ("gpl", "this work is licensed under the gnu general public license version 3", "general public license"),
-    ("gpl", "under the terms of the gnu general public license as published by the free software foundation", "general public license"),
-    ("lgpl", "gnu lesser general public license", "lesser general public license"),
-    ("agpl", "gnu affero general public license", "affero general public license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
-    ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
-    ("cc0", "creative commons zero public domain dedication", "public domain dedication"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    ("mpl", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
-)
-
-#: Indexed words of each template besides one of its key phrase, and the part of its weight that must match.
-RARE, COVER = 3, 0.6
+#: Words of a file that are looked up besides those of key phrases, and the part of a template's
+#: weight that must match.
+RARE, COVER = 16, 0.6
 
 
 def words_of(text: Column) -> Column:
@@ -59,84 +41,116 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(safe), BETWEEN, -1), "")
 
 
-def _templates() -> list[tuple[str, list[str], int, int, bool]]:
-    """(label, words, start of the key phrase, its length, of the base scan)."""
-    out = [(label, phrase.split(), 0, len(phrase.split()), True) for label, phrase in BASE]
-    for label, passage, key in TEMPLATES:
-        words, key_words = passage.split(), key.split()
-        at = next(i for i in range(len(words)) if words[i : i + len(key_words)] == key_words)
-        out.append((label, words, at, len(key_words), False))
-    return out
+class Index:
+    """Templates (label, key phrase, passage) as words with positions; base phrases are templates whose
+    key phrase is all of them."""
+
+    def __init__(self, templates: tuple[tuple[str, str, str], ...]):
+        self.labels: list[tuple[str, bool]] = []
+        self.words: list[list[str]] = []
+        self.keys: list[range] = []
+        for (label, key, passage), base in [*(((label, p, p), True) for label, p in BASE), *((t, False) for t in templates)]:
+            words, key_words = (re.sub(BETWEEN, " ", x.lower()).split() for x in (passage, key))
+            at = next((i for i in range(len(words)) if words[i : i + len(key_words)] == key_words), None)
+            if at is None or not key_words:
+                raise ValueError(f"the key phrase {key!r} does not stand in its passage {passage!r}")
+            self.labels.append((label, base))
+            self.words.append(words)
+            self.keys.append(range(at, at + len(key_words)))
 
+    def vocabulary(self) -> list[str]:
+        return sorted({w for words in self.words for w in words})
 
-def vocabulary() -> list[str]:
-    return sorted({w for _, words, *_ in _templates() for w in words})
+    def anchors(self, weight: dict[str, float]) -> list[str]:
+        """The rarest word of each template's key phrase."""
+        return [min((words[i] for i in key), key=lambda w: (-weight[w], w)) for words, key in zip(self.words, self.keys, strict=True)]
 
 
-def weights(rows: DataFrame) -> dict[str, float]:
+def weights(rows: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     """Inverse document frequency of each word of the templates over all rows (words)."""
-    vocab = vocabulary()
-    known = F.array_intersect("words", F.array(*map(F.lit, vocab)))
-    counted = rows.select(F.explode(F.concat(known, F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
-    counts = {r["word"]: r["count"] for r in counted}  # the vocabulary and one row for the total
+    known = rows.sparkSession.createDataFrame([(w,) for w in [*vocabulary, ""]], "word string")
+    each = rows.select(F.explode(F.array_append(F.array_distinct("words"), F.lit(""))).alias("word"))  # "" for the total
+    counts = dict(each.join(F.broadcast(known), "word").groupBy("word").count().collect())  # the vocabulary at most
     total = counts.get("", 0)
-    return {w: math.log((total + 1) / (counts.get(w, 0) + 1)) + 1.0 for w in vocab}
-
-
-def _quoted(word: str) -> str:
-    assert re.fullmatch(r"[0-9a-z-]*", word)
-    return f"'{word}'"
+    return {w: round(math.log((total + 1) / (counts.get(w, 0) + 1)) + 1.0, 9) for w in vocabulary}
+
+
+def _places(files: DataFrame, index: Index, weight: dict[str, float]) -> DataFrame:
+    """(id, h, t, at, cover) of the templates found in files (id, h, words), each of which occurs once."""
+    spark = files.sparkSession
+    anchors = index.anchors(weight)
+    known = [(w, weight[w], w in set(anchors)) for w in index.vocabulary()]
+    postings = [
+        (t, i, w, weight[w], i in index.keys[t], w == anchors[t])
+        for t, words in enumerate(index.words)
+        for i, w in enumerate(words)
+    ]
+    totals = [(t, sum(weight[w] for w in words), len(index.keys[t]), *index.labels[t]) for t, words in enumerate(index.words)]
+    # Three tables as large as the templates, whatever the corpus.
+    vocabulary = F.broadcast(spark.createDataFrame(known, "word string, idf double, anchor boolean"))
+    posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, is_anchor boolean"))
+    total = F.broadcast(spark.createDataFrame(totals, "t int, total double, key_n int, label string, base boolean"))
+    hits = files.select("id", "h", F.posexplode("words").alias("pos", "word")).join(vocabulary, "word")
+    rank = F.dense_rank().over(Window.partitionBy("id", "h").orderBy(F.col("idf").desc(), "word"))
+    hits = hits.withColumn("rank", rank)
+    looked_up = hits.filter((F.col("rank") <= RARE) | F.col("anchor"))
+    met = (
+        looked_up.join(posted, F.col("word") == F.col("posted"))
+        .groupBy("id", "h", "t", (F.col("pos") - F.col("rel")).alias("at"))
+        .agg(F.bool_or("is_anchor").alias("anchored"))
+        .filter("anchored and at >= 0")
+        .select(F.col("id").alias("i"), F.col("h").alias("g"), F.col("t").alias("c"), "at")
+    )
+    expected = met.join(posted, F.col("c") == F.col("t")).select("i", "g", "t", "at", (F.col("at") + F.col("rel")).alias("there"), "posted", "w", "in_key")
+    matched = expected.join(
+        hits, F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")) & (F.col("there") == F.col("pos")) & (F.col("posted") == F.col("word"))
+    )
+    found = matched.groupBy("i", "g", "t", "at").agg(
+        F.sum(F.col("w").cast("decimal(18,9)")).cast("double").alias("weight"), F.count(F.when(F.col("in_key"), 1)).alias("key_words")
+    )
+    return (
+        found.join(total, "t")
+        .withColumn("cover", F.least(F.col("weight") / F.col("total"), F.lit(1.0)))
+        .filter((F.col("key_words") == F.col("key_n")) & (F.col("base") | (F.col("cover") >= COVER)))
+    )
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str, str], ...] = TEMPLATES) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts all places of the base phrases, first_word and last_word are the smallest and
-    largest word index at which one starts, null without one. A template is found where its key
-    phrase is complete and COVER of its weight matches; score is the largest part of a template's
-    weight that matches, 1 for a base phrase, 0 for none. Labels are distinct, sorted and joined by
-    commas, the empty string for none. A null text counts as empty; a null id is kept; repeated
-    rows have a row each. An empty table gives an empty result; other columns are not read.
+    largest word index at which one starts, null without one. A template (label, key phrase,
+    passage) is found where its key phrase is complete and COVER of its weight matches; score is the
+    largest part of a template's weight that matches, 1 for a base phrase, 0 for none. Labels are
+    distinct, sorted and joined by commas, the empty string for none. A null text counts as empty; a
+    null id is kept; repeated rows have a row each. An empty table gives an empty result; other
+    columns are not read. Rows of one id are told apart by a 64-bit hash of their text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = columns_of(docs, id_col, text_col).select(F.col(id_col), words_of(text).alias("words"))
-    weight = weights(rows)
-    templates = _templates()
-    postings: dict[str, list[tuple[int, int]]] = {}
-    rarest = lambda words, n: sorted(set(words), key=lambda w: (-weight[w], w))[:n]
-    for t, (_, words, at, n, _base) in enumerate(templates):
-        for w in sorted({*rarest(words, RARE), *rarest(words[at : at + n], 1)}):
-            postings.setdefault(w, []).extend((t, i) for i, x in enumerate(words) if x == w)
-    index = "map(" + ",".join(f"{_quoted(w)},array({','.join(f'struct({t} as t,{i} as rel)' for t, i in p)})" for w, p in sorted(postings.items())) + ")"
-    table = "array(" + ",".join(
-        f"struct({_quoted(label)} as label,{str(base).lower()} as base,{at} as key_at,{n} as key_n,"
-        f"{sum(weight[w] for w in words)!r}D as total,array({','.join(f'struct({_quoted(w)} as w,{i} as i,{weight[w]!r}D as idf)' for i, w in enumerate(words))}) as ws)"
-        for label, words, at, n, base in templates
-    ) + ")"
-    anchors = "array(" + ",".join(_quoted(w) for w in sorted(postings)) + ")"
-    hits = f"filter(transform(words, (w, i) -> struct(w, i)), h -> array_contains({anchors}, h.w))"
-    voted = f"array_distinct(flatten(transform({hits}, h -> transform({index}[h.w], p -> struct(p.t as t, h.i - p.rel as at)))))"
-    matched = (
-        f"transform({voted}, c -> struct(c.t as t, c.at as at, {table}[c.t].label as label, {table}[c.t].base as base,"
-        f" forall({table}[c.t].ws, x -> x.i < {table}[c.t].key_at or x.i >= {table}[c.t].key_at + {table}[c.t].key_n or get(words, c.at + x.i) <=> x.w) as key,"
-        f" aggregate({table}[c.t].ws, 0D, (s, x) -> s + if(get(words, c.at + x.i) <=> x.w, x.idf, 0D)) / {table}[c.t].total as cover))"
-    )
-    found = f"filter({matched}, m -> m.key and (m.base or m.cover >= {COVER}))"
-    none = "cast(array() as array<struct<t:int,at:int,label:string,base:boolean,key:boolean,cover:double>>)"
-    rows = rows.select(
-        F.col(id_col),
-        F.size("words").cast("long").alias("n_words"),
-        F.expr(f"if(arrays_overlap(words, {anchors}), {found}, {none})").alias("m"),
+    rows = columns_of(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), words_of(text).alias("words"))
+    index = Index(templates)
+    weight = weights(rows, index.vocabulary())
+    # Files without a word of a key phrase hold no template: of these only the number of words stays.
+    anchors = F.array(*[F.lit(w) for w in sorted(set(index.anchors(weight)))])
+    rows = cut(rows.select("id", "h", F.size("words").cast("long").alias("n_words"), F.when(F.arrays_overlap("words", anchors), F.col("words")).alias("words")))
+    files = rows.filter("words is not null").groupBy("id", "h").agg(F.first("words").alias("words"))
+    base = F.col("base")
+    found = _places(files, index, weight).groupBy(F.col("i"), F.col("g")).agg(
+        F.count(F.when(base, 1)).alias("n_base"),
+        F.min(F.when(base, F.col("at"))).alias("first_word"),
+        F.max(F.when(base, F.col("at"))).alias("last_word"),
+        F.array_join(F.array_sort(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
+        F.max(F.when(base, F.lit(1.0)).otherwise(F.col("cover"))).alias("score"),
     )
-    base = F.filter("m", lambda x: x["base"])
-    labels = lambda c: F.array_join(F.array_sort(F.array_distinct(F.transform(c, lambda x: x["label"]))), ",")
-    return rows.select(
-        F.col(id_col),
+    joined = rows.join(found, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left")
+    return joined.select(
+        F.col("id").alias(id_col),
         "n_words",
-        F.size(base).cast("long").alias("n_base"),
-        F.array_min(F.transform(base, lambda x: x["at"])).cast("long").alias("first_word"),
-        F.array_max(F.transform(base, lambda x: x["at"])).cast("long").alias("last_word"),
-        labels(base).alias("base_labels"),
-        labels(F.col("m")).alias("labels"),
-        F.least(F.coalesce(F.array_max(F.transform("m", lambda x: F.when(x["base"], 1.0).otherwise(x["cover"]))), F.lit(0.0)), F.lit(1.0)).alias("score"),
+        F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
+        F.col("first_word").cast("long").alias("first_word"),
+        F.col("last_word").cast("long").alias("last_word"),
+        F.coalesce("base_labels", F.lit("")).alias("base_labels"),
+        F.coalesce("labels", F.lit("")).alias("labels"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
     )
