@@ -85,7 +85,7 @@ def _places(files: DataFrame, index: Index, weight: dict[str, float]) -> DataFra
         for t, words in enumerate(index.words)
         for i, w in enumerate(words)
     ]
-    totals = [(t, sum(weight[w] for w in words), len(index.keys[t]), *index.labels[t]) for t, words in enumerate(index.words)]
+    totals = [(t, round(sum(weight[w] for w in words), 9), len(index.keys[t]), *index.labels[t]) for t, words in enumerate(index.words)]
     # Three tables as large as the templates, whatever the corpus.
     vocabulary = F.broadcast(spark.createDataFrame(known, "word string, idf double, anchor boolean"))
     posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, is_anchor boolean"))
