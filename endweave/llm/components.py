@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from endweave.llm.common import cut, dealt_anew
 
-#: Edges that one task may finish (16 bytes each, some 100 MB with what it makes of them), and
-#: edges that a task holds at a time while it contracts.
-FEW, HELD = 1 << 20, 1 << 19
+#: Edges that one task may finish (16 bytes each, some 60 MB with what it makes of them), and edges
+#: that a task holds at a time while it contracts.
+FEW, HELD = 1 << 19, 1 << 17
 
 
 def roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -310,7 +310,7 @@ def jaccard_components(
         first = first.join(_blocks(first, "label").withColumnRenamed("label", "l"), F.col("label") == F.col("l")).drop("l")
         more = cut(_within(rows, first, "label", k, percent))
         large = cut(_clustered(large, more, "cluster"))
-        links = links.union(more).union(_across(rows, large, k, percent))
+        links = links.union(more).union(cut(_across(rows, large, k, percent)))
     label = components(links)
     named = classes.select("fp", "node").join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component"))
     return sketch.join(named, "fp", "left").select(
