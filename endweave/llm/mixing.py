@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from endweave.llm.common import WORD, columns_of, cut, partitions, text_or_empty
 
-#: Newton steps at most, the relative error at which they end, and the rounds of single copies.
-STEPS, TOLERANCE, ROUNDS = 60, 1e-9, 12
+#: Newton steps at most, those between two looks at the error, the relative error at which they end,
+#: the error that is too large after all steps, and the single copies that may close a gap.
+STEPS, AT_ONCE, TOLERANCE, LOOSE, SINGLES = 64, 4, 1e-9, 1e-4, 12
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -49,8 +50,36 @@ def _exact_sum(term: Column) -> Column:
     return F.sum(term.cast("decimal(38,12)")).cast("double")
 
 
+def _step(cells: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """The state after one Newton step of every source, or half its bracket where Newton leaves it."""
+    given = [F.col(f"s.{c}").alias(c) for c in ("source_size", "target", "lo", "hi", "lam")]
+    held = cells.alias("c").join(state.alias("s"), F.col("c.source").eqNullSafe(F.col("s.source"))).select(
+        F.col("c.source").alias("source"), "size", "n", "a", *given
+    )
+    rate = _rate(F.col("lam"), most)
+    sums = held.groupBy("source").agg(
+        *[F.first(c).alias(c) for c in ("source_size", "target", "lo", "hi", "lam")],
+        _exact_sum(F.col("n") * F.col("size") * rate).alias("taken"),
+        _exact_sum(F.when(rate < most, F.col("n") * F.col("size") * F.col("a") * rate).otherwise(0.0)).alias("slope"),
+    )
+    gap = F.col("taken") - F.col("target")
+    moved = (
+        sums.withColumn("gap", gap)
+        .withColumn("error", F.abs("gap") / F.col("source_size"))
+        .withColumn("lo", F.when(F.col("gap") <= 0, F.col("lam")).otherwise(F.col("lo")))
+        .withColumn("hi", F.when(F.col("gap") >= 0, F.col("lam")).otherwise(F.col("hi")))
+        .withColumn("newton", F.col("lam") - F.try_divide(F.col("gap"), F.col("slope")))
+    )
+    inside = (F.col("slope") > 0) & (F.col("newton") > F.col("lo")) & (F.col("newton") < F.col("hi"))
+    lam = F.when(F.col("error") <= TOLERANCE, F.col("lam")).when(inside, F.col("newton")).otherwise((F.col("lo") + F.col("hi")) / 2)
+    return moved.select("source", "source_size", "target", "lo", "hi", lam.alias("lam"), "error")
+
+
 def _solve(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:
-    """(source, lam) for (source, size, n) cells: the root of sum n * size * rate = target."""
+    """(source, lam) for (source, size, n) cells: the root of sum n * size * rate = target.
+
+    A step needs one exchange of a row for each source and task. Raises if a source's multiplier
+    is not found within STEPS steps."""
     cells = cells.join(targets, cells.source.eqNullSafe(targets.source)).select(
         cells.source, "size", "n", (F.col("size") / F.col("mean")).alias("a")
     )
@@ -66,41 +95,15 @@ def _solve(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:
         F.when(ratio > 1, log_most / least_a).otherwise(0.0).alias("hi"),
     )
     state = state.withColumn("lam", F.lit(0.0)).withColumn("error", F.lit(1.0))
-    state = cut(state)
-    for _ in range(STEPS):
-        held = cells.alias("c").join(state.select(F.col("source").alias("s"), "lam"), F.col("source").eqNullSafe(F.col("s")))
-        rate = _rate(F.col("lam"), most)
-        sums = held.groupBy("source").agg(
-            _exact_sum(F.col("n") * F.col("size") * rate).alias("taken"),
-            _exact_sum(F.when(rate < most, F.col("n") * F.col("size") * F.col("a") * rate).otherwise(0.0)).alias("slope"),
-        )
-        sums = sums.withColumnRenamed("source", "s")
-        gap = F.col("taken") - F.col("target")
-        step = F.col("lam") - gap / F.col("slope")
-        lo = F.when(gap <= 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(gap >= 0, F.col("lam")).otherwise(F.col("hi"))
-        inside = (F.col("slope") > 0) & (step > F.col("new_lo")) & (step < F.col("new_hi"))
-        state = (
-            state.join(sums, F.col("source").eqNullSafe(F.col("s")))
-            .withColumn("new_lo", lo)
-            .withColumn("new_hi", hi)
-            .withColumn("now", F.abs(gap) / F.col("source_size"))
-            .select(
-                "source",
-                "source_size",
-                "target",
-                F.col("new_lo").alias("lo"),
-                F.col("new_hi").alias("hi"),
-                F.when(F.col("now") <= TOLERANCE, F.col("lam"))
-                .when(inside, step)
-                .otherwise((F.col("new_lo") + F.col("new_hi")) / 2)
-                .alias("lam"),
-                F.col("now").alias("error"),
-            )
-        )
+    for _ in range(STEPS // AT_ONCE):
+        for _ in range(AT_ONCE):
+            state = _step(cells, state, most)
         state = cut(state)
-        if not state.filter(F.col("error") > TOLERANCE).limit(1).count():
-            break
+        worst = state.agg(F.max("error")).first()[0]
+        if worst is None or worst <= TOLERANCE:
+            return state.select("source", "lam")
+    if worst > LOOSE:
+        raise ArithmeticError(f"no multiplier was found in {STEPS} steps; the words taken miss a target by {worst:.3g} of the source")
     return state.select("source", "lam")
 
 
@@ -172,10 +175,7 @@ def mix(
         )
     )
     parts = cut(parts)
-    for _ in range(ROUNDS):
-        parts, better = _nearer(parts, most)
-        if not better:
-            break
+    parts = _nearer(parts, most)
     ranked = dealt.alias("d").join(
         parts.alias("p"),
         F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size")) & (F.col("d.part") == F.col("p.part")),
@@ -194,24 +194,55 @@ def mix(
     )
 
 
-def _nearer(parts: DataFrame, most: int) -> tuple[DataFrame, bool]:
-    """One copy more or less in each source where that brings the taken words nearer the target."""
+def _nearer(parts: DataFrame, most: int) -> DataFrame:
+    """Single copies more or less in each source that bring the taken words nearer the target.
+
+    Of each power of two of the size, a source offers its smallest and its largest part that can
+    take a copy more, and likewise a copy less: 256 offers at most, whatever the source's size.
+    The one that leaves the least gap is taken, up to SINGLES times, each once at most."""
     sums = parts.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("missing"))
-    sums = sums.withColumnRenamed("source", "t")
-    held = parts.join(sums, F.col("source").eqNullSafe(F.col("t")))
-    can = F.when(F.col("missing") > 0, F.col("copies") < most * F.col("n")).otherwise(F.col("copies") > 0)
-    left = F.abs(F.abs(F.col("missing")) - F.col("size"))
-    best = (
-        held.filter(can & (F.col("size") > 0) & (left < F.abs(F.col("missing")) - 1e-6))
-        .groupBy("source")
-        .agg(F.min(F.struct(left.alias("left"), F.col("size").alias("size"), F.col("part").alias("part"), F.signum("missing").cast("long").alias("d"))).alias("b"))
-        .select(F.col("source").alias("t"), "b.size", "b.part", "b.d")
-    )
-    best = cut(best)
-    if not best.limit(1).count():
-        return parts, False
-    change = best.select("t", F.col("size").alias("z"), F.col("part").alias("q"), "d")
+    log = F.floor(F.log2(F.col("size"))).cast("int")
+    one = F.struct(F.col("size").alias("size"), F.col("part").alias("part"))
+    sides = (
+        parts.filter("size > 0")
+        .withColumn("d", F.explode(F.array(F.lit(1), F.lit(-1))))
+        .filter(F.when(F.col("d") > 0, F.col("copies") < most * F.col("n")).otherwise(F.col("copies") > 0))
+    )
+    ends = sides.groupBy("source", "d", log.alias("log")).agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("ends"))
+    offers = ends.select("source", F.explode("ends").alias("end"), "d").groupBy("source").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("end.size").alias("size"), F.col("d").cast("long").alias("d"), F.col("end.part").alias("part")))).alias("offers")
+    )
+    held = offers.alias("o").join(sums.alias("m"), F.col("o.source").eqNullSafe(F.col("m.source"))).select(
+        F.col("o.source").alias("source"), F.col("offers"), F.col("missing").cast("double").alias("missing")
+    )
+    none = F.lit(None).cast("struct<left:double,offer:struct<size:bigint,d:bigint,part:int>>")
+
+    def best(state: Column) -> Column:
+        return F.aggregate(
+            state["offers"],
+            none,
+            lambda so_far, o: F.when(
+                F.abs(state["missing"] - o["d"] * o["size"]) < F.coalesce(so_far["left"], F.abs(state["missing"]) - 1e-6),
+                F.struct(F.abs(state["missing"] - o["d"] * o["size"]).alias("left"), o.alias("offer")),
+            ).otherwise(so_far),
+        )
+
+    def turn(state: Column, _: Column) -> Column:
+        chosen = best(state)["offer"]
+        # A part that has given or got a copy is out of play, so that it is within its limits.
+        rest = F.filter(state["offers"], lambda o: (o["size"] != chosen["size"]) | (o["part"] != chosen["part"]))
+        return F.when(chosen.isNull(), state).otherwise(
+            F.struct(
+                (state["missing"] - chosen["d"] * chosen["size"]).cast("double").alias("missing"),
+                rest.alias("offers"),
+                F.concat(state["taken"], F.array(chosen)).alias("taken"),
+            )
+        )
+
+    start = F.struct(F.col("missing"), F.col("offers"), F.array().cast("array<struct<size:bigint,d:bigint,part:int>>").alias("taken"))
+    chosen = held.select("source", F.explode(F.aggregate(F.sequence(F.lit(1), F.lit(SINGLES)), start, turn, lambda s: s["taken"])).alias("c"))
+    change = chosen.select(F.col("source").alias("t"), F.col("c.size").alias("z"), F.col("c.part").alias("q"), F.col("c.d").alias("d"))
     moved = parts.join(
         change, F.col("source").eqNullSafe(F.col("t")) & (F.col("size") == F.col("z")) & (F.col("part") == F.col("q")), "left"
     ).select("source", "size", "part", "n", "source_size", "target", "rate", (F.col("copies") + F.coalesce("d", F.lit(0))).cast("long").alias("copies"))
-    return cut(moved), True
+    return cut(moved)
