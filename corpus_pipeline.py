@@ -35,6 +35,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays."""
     told = exact_dedup(docs).groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
     # Most documents are the only one with their id and text, and stay: the others are looked up.
+    docs = docs.select(*COLUMNS)
     odd = cut(told.filter("not stays or n > 1"))
     keyed = docs.withColumn("own_sha", F.sha2(normalised().cast("binary"), 256))
     found = keyed.join(nearby(odd), keyed.doc_id.eqNullSafe(odd.id) & (keyed.own_sha == odd.sha), "left")
@@ -48,6 +49,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates, by five-word shingles and a similarity of 0.8, the smallest id stays;
     rows without an id stay."""
+    docs = docs.select(*COLUMNS)
     groups = jaccard_components(docs, k=5, percent=80)
     gone = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
     gone = cut(gone.filter("not stays").select("doc_id"))
@@ -55,16 +57,19 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as its source's weight asks for."""
+    """Each document as many times as its source's weight asks for; documents without a word once.
+    Rows equal in id and number of words are alike: each of them as often as the one that is taken most."""
+    docs = docs.select(*COLUMNS)
     copies = mix(docs).groupBy(F.col("doc_id").alias("id"), F.col("size").alias("words")).agg(F.max("copies").alias("copies"))
     copies = copies.filter("copies > 0")
     sized = docs.withColumn("own_words", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
-    found = sized.join(copies.hint("shuffle_hash"), sized.doc_id.eqNullSafe(copies.id) & (sized.own_words == copies.words))
+    found = sized.join(copies, sized.doc_id.eqNullSafe(copies.id) & (sized.own_words == copies.words))
     return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in bins of 4096 words."""
+    """Pieces of documents in bins of 4096 words. Documents without a word are a piece of no words
+    and have no bin; repeated rows are packed each, in different bins; an empty table has no pieces."""
     return pack(docs)
 
 
@@ -80,12 +85,24 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    A stage's folder goes once the next one is written; the last, which the result reads, stays.
+    Checkpoints go with their DataFrames where spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            _delete(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
