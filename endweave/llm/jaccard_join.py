@@ -195,9 +195,12 @@ def _neighbourhoods(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
     """(node, label) of the nodes (node, meta, token) that may have a partner."""
     # Rarest tokens first needs the same order everywhere, not exact counts: those of frequent
     # tokens, whose rows are spread, are estimates.
-    spread = F.when(F.col("about").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("about") / 10_000), F.lit(2)))).cast("int")
-    rows = tokens.join(nearby(frequent), F.col("token") == F.col("hot"), "left").select("node", "meta", "token", "about", spread.alias("spread"))
-    rows = rows.withColumn("df", F.coalesce("about", F.count(F.lit(1)).over(Window.partitionBy("token", "spread")))).filter("df > 1")
+    # ``spread`` is 0, or the order of magnitude in its lowest six bits and a share of the rows above.
+    share = F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("about") / 10_000), F.lit(2)))
+    spread = F.coalesce(F.shiftleft(share, 6).bitwiseOR(F.ceil(F.log2("about")).cast("long")), F.lit(0).cast("long"))
+    rows = tokens.join(nearby(frequent), F.col("token") == F.col("hot"), "left").select("node", "meta", "token", spread.alias("spread"))
+    rows = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token", "spread"))).filter("df > 1 or spread > 0")
+    rows = rows.withColumn("df", F.when(F.col("spread") == 0, F.col("df")).otherwise(F.expr("shiftleft(1L, cast(spread & 63L AS int))")))
     shared = (
         rows.groupBy("node", "meta")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
@@ -217,7 +220,7 @@ def _blocks(members: DataFrame, by: str) -> DataFrame:
 
 def _links(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
     """Edges among members (g, parts, side, node, fp), each in its ``parts`` of g; rows: (id, text)."""
-    dealt = rows.join(nearby(members), rows.id == members.node).select("g", F.explode("parts").alias("part"), "side", "node", "fp", "text")
+    dealt = rows.join(nearby(members), F.col("id") == F.col("node")).select("g", F.explode("parts").alias("part"), "side", "node", "fp", "text")
     return (
         dealt.repartition(partitions(rows.sparkSession), "g", "part")
         .sortWithinPartitions("g", "part")
@@ -302,15 +305,17 @@ def jaccard_components(
     members = classes.select("node", "fp", "n").join(near, "node")
     blocks = _blocks(members, "label").withColumnRenamed("label", "l")
     members = cut(members.join(blocks, F.col("label") == F.col("l")).drop("l"))
-    links = cut(_within(rows, members, "label", k, percent))
+    # The texts of members are read again and again: once and for all the others are left behind.
+    texts = cut(rows.join(nearby(cut(members.select(F.col("node").alias("m")).distinct())), F.col("id") == F.col("m"), "left_semi"))
+    links = cut(_within(texts, members, "label", k, percent))
     large = members.filter("blocks > 1").withColumn("cluster", F.col("node"))
     if large.limit(1).count():
         large = cut(_clustered(large, links, "cluster").drop("blocks"))
         first = large.filter("node = cluster")
         first = first.join(_blocks(first, "label").withColumnRenamed("label", "l"), F.col("label") == F.col("l")).drop("l")
-        more = cut(_within(rows, first, "label", k, percent))
+        more = cut(_within(texts, first, "label", k, percent))
         large = cut(_clustered(large, more, "cluster"))
-        links = links.union(more).union(cut(_across(rows, large, k, percent)))
+        links = links.union(more).union(cut(_across(texts, large, k, percent)))
     label = components(links)
     named = classes.select("fp", "node").join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component"))
     return sketch.join(named, "fp", "left").select(
