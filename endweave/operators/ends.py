@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from endweave.functions import genomics as G
-from endweave.operators.intervals import FINE, merge, points_in, window_components
+from endweave.operators.intervals import FINE, merge, points_in, tiled, window_components
 
 PLACE = ["chrom", "strand"]
 CPM = "decimal(28,6)"
@@ -61,16 +61,53 @@ def discover_sites(pooled: DataFrame, sizes: DataFrame, threshold: Column, width
 
 
 def overlapping_sites(sites: DataFrame) -> DataFrame:
-    """Sites that the next one overlaps: none after two rounds, or the data is at fault."""
+    """Sites that the next one on their strand overlaps, with where that starts."""
     order = Window.partitionBy(*PLACE).orderBy("start", "end")
     return sites.withColumn("next_start", F.lead("start").over(order)).filter("next_start < end")
 
 
-def numbered(sites: DataFrame, prefix: str = "PAS_", digits: int = 8) -> DataFrame:
-    """Adds pas_id in the order of the sites; they are few, so that one partition orders them."""
-    order = Window.orderBy("chrom", "start", "strand", "summit")
-    number = F.row_number().over(order)
-    return sites.withColumn("pas_id", F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0")))
+def disjoint(sites: DataFrame) -> DataFrame:
+    """The sites; fails while it runs if one overlaps the next. Two rounds of recentring rule that out only
+    where signal is sparse, so that runs on real data ask for it and the dense test tables do not."""
+    order = Window.partitionBy(*PLACE).orderBy("start", "end")
+    next_start = F.lead("start").over(order)
+    told = F.concat_ws("/", *PLACE, F.col("start").cast("string"))
+    guard = F.when(next_start < F.col("end"), F.raise_error(F.concat(F.lit("sites overlap: "), told)).cast("boolean")).otherwise(F.lit(True))
+    return sites.withColumn("apart_", guard).filter("apart_").drop("apart_")
+
+
+def numbered(sites: DataFrame, prefix: str = "PAS_", digits: int = 8, tile: int | None = None) -> DataFrame:
+    """Adds pas_id in the order of the sites: numbers inside a tile behind those of the tiles before."""
+    name = lambda n: F.concat(F.lit(prefix), F.lpad(n.cast("string"), digits, "0"))
+    rows, several = tiled(sites, "start", tile)
+    if not several:
+        return sites.withColumn("pas_id", name(F.row_number().over(Window.orderBy("chrom", "start", "strand", "summit"))))
+    per = rows.groupBy("chrom", "tile_").agg(F.count(F.lit(1)).alias("n_"))
+    # A row for each tile of a contig is all that one partition orders.
+    ahead = F.sum("n_").over(Window.orderBy("chrom", "tile_").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.join(per.select("chrom", "tile_", F.coalesce(ahead, F.lit(0)).alias("ahead_")), ["chrom", "tile_"])
+    number = F.col("ahead_") + F.row_number().over(Window.partitionBy("chrom", "tile_").orderBy("start", "strand", "summit"))
+    return rows.withColumn("pas_id", name(number)).select(*sites.columns, "pas_id")
+
+
+def supported(counts: DataFrame, total: int = 5, samples: int = 2) -> DataFrame:
+    """(pas_id, total, supporting_samples) of sites with so many ends in so many samples."""
+    per = counts.groupBy("pas_id").agg(F.sum("count").alias("total"), F.count_if(F.col("count") > 0).alias("supporting_samples"))
+    return per.filter((F.col("total") >= total) & (F.col("supporting_samples") >= samples))
+
+
+def site_totals(ends: DataFrame, counts: DataFrame, catalog: DataFrame, premature: DataFrame) -> DataFrame:
+    """(sample_id, c2, c3, c3_pct) with the catalog's sites, ambiguous and premature ones; fails while it
+    runs if a sample has more ends in sites than it has ends."""
+    c2 = ends.groupBy("sample_id").agg(F.sum("count").cast("long").alias("c2"))
+    c3 = counts.groupBy("sample_id").agg(F.sum("count").cast("long").alias("c3"))
+    sites = catalog.agg(F.count(F.lit(1)).alias("active_sites"), F.count_if(F.col("assignment_status") == "ambiguous").alias("ambiguous_sites"))
+    early = premature.select("pas_id").distinct().agg(F.count(F.lit(1)).alias("premature_sites"))
+    both = c2.join(c3, "sample_id", "left").withColumn("c3", F.coalesce("c3", F.lit(0).cast("long")))
+    more = F.raise_error(F.concat(F.lit("more ends in sites than ends: "), F.col("sample_id"))).cast("boolean")
+    kept = both.filter(F.when(F.col("c3") > F.col("c2"), more).otherwise(F.lit(True)))
+    one = sites.join(F.broadcast(early))  # a row each
+    return kept.join(F.broadcast(one)).withColumn("c3_pct", F.round(100.0 * F.col("c3") / F.col("c2"), 2))
 
 
 def count_sites(sites: DataFrame, ends: DataFrame, samples: DataFrame) -> DataFrame:

@@ -2,21 +2,109 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from endweave.operators.intervals import carried, large
 
-def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj") -> DataFrame:
+
+def _bucket(p: Column) -> Column:
+    """A number that rises with p: 1024 equal parts of (0, 1], and below the first one the powers of two."""
+    small = -F.floor(-F.log2(F.greatest(p, F.lit(1e-300)))) - 1
+    return F.when(p >= 1 / 1024, F.floor(F.least(p, F.lit(1.0)) * 1024)).otherwise(small).cast("int")
+
+
+def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj", buckets: bool | None = None) -> DataFrame:
     """Benjamini-Hochberg over the finite p-values of each group; others stay null.
 
-    Equal p-values count once in the ranking's frames (by range), so that ties are equal too."""
+    Groups of a large table are ranked in buckets of p-values, each with the number of those below and
+    the least scaled value above it; groups of a small one at once. Equal p-values count once in the frames (by range), so that ties are
+    equal too."""
     valid = F.col(p).isNotNull() & ~F.isnan(p)
-    group = Window.partitionBy(*by, valid)
-    rank = F.count(F.lit(1)).over(group.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
-    scaled = F.col(p) * F.count(F.lit(1)).over(group) / rank
+    if not (large(df) if buckets is None else buckets):
+        group = Window.partitionBy(*by, valid)
+        rank = F.count(F.lit(1)).over(group.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
+        scaled = F.col(p) * F.count(F.lit(1)).over(group) / rank
+        least = F.min("scaled_").over(group.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0))
+        return df.withColumn("scaled_", scaled).withColumn(out, F.when(valid, F.least(F.lit(1.0), least))).drop("scaled_")
+    # Nulls are a group of their own.
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")) if i % 2 else F.col(c).isNull() for c in by for i in range(2)]
+    rows = df.withColumns({"ok_": valid, "bucket_": F.when(valid, _bucket(F.col(p))), "group_": F.xxhash64(*named) if by else F.lit(0).cast("long")})
+    tested = rows.filter("ok_")
+    sizes = tested.groupBy("group_", "bucket_").agg(F.count(F.lit(1)).alias("n_"))
+    every = Window.partitionBy("group_")
+    below = F.sum("n_").over(every.orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("group_", "bucket_", F.coalesce(below, F.lit(0)).alias("below_"), F.sum("n_").over(every).alias("all_"))
+    part = Window.partitionBy("group_", "bucket_")
+    rank = F.col("below_") + F.count(F.lit(1)).over(part.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
+    tested = tested.join(sizes, ["group_", "bucket_"]).withColumn("scaled_", F.col(p) * F.col("all_") / rank)
+    tested = carried(tested, ["group_"], "bucket_", after={"least_": (F.min("scaled_"), F.min)})
     # From the largest p-value down as a running minimum.
-    down = group.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("scaled_", scaled).withColumn(out, F.when(valid, F.least(F.lit(1.0), F.min("scaled_").over(down)))).drop("scaled_")
+    down = part.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0)
+    done = tested.withColumn(out, F.least(F.lit(1.0), F.min("scaled_").over(down), F.col("least_")))
+    others = rows.filter("not ok_").withColumn(out, F.lit(None).cast("double"))
+    return done.select(*df.columns, out).union(others.select(*df.columns, out))
+
+
+def filtered_bh(results: DataFrame, by: list[str], mean: str = "base_mean", p: str = "pvalue", alpha: float = 0.1, steps: int = 50) -> DataFrame:
+    """Adds padj after independent filtering: of the quantiles of the mean as cut-offs the first whose
+    number of rejections, smoothed, comes within the scatter of the largest; genes below it get null.
+
+    A group's genes are one pandas group: as many as an annotation has."""
+    names = results.columns
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        means, ps = pdf[mean].to_numpy(dtype=float), pdf[p].to_numpy(dtype=float)
+        lowest = float((means == 0).mean())
+        shares = np.linspace(lowest, max(0.95, lowest), steps)
+        cutoffs = np.quantile(means, shares)
+        counts = np.array([(stepped_up(np.where(means >= c, ps, np.nan)) < alpha).sum() for c in cutoffs], dtype=float)
+        chosen = 0
+        if counts.max() > 10:
+            smooth = local_lines(shares, counts, 0.2)
+            held = counts > 0
+            enough = smooth.max() - np.sqrt(np.mean((counts[held] - smooth[held]) ** 2))
+            chosen = int(np.argmax(counts > enough)) if (counts > enough).any() else 0
+        return pdf.assign(padj=stepped_up(np.where(means >= cutoffs[chosen], ps, np.nan)))[[*names, "padj"]]
+
+    schema = T.StructType([*results.schema.fields, T.StructField("padj", T.DoubleType())])
+    return results.groupBy(*by).applyInPandas(run, schema)
+
+
+def stepped_up(p: np.ndarray) -> np.ndarray:
+    """Benjamini-Hochberg of an array; NaN stays."""
+    out, at = np.full(len(p), np.nan), np.flatnonzero(np.isfinite(p))
+    order = at[np.argsort(-p[at], kind="stable")]
+    n = len(order)
+    out[order] = np.minimum(1.0, np.minimum.accumulate(p[order] * n / np.arange(n, 0, -1)))
+    return out
+
+
+def local_lines(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 3) -> np.ndarray:
+    """Locally weighted straight lines through the nearest ``share`` of points, robust against outliers."""
+    n = len(x)
+    k = min(max(int(share * n + 1e-9), 2), n)
+    robust, fit = np.ones(n), y.astype(float)
+    for _ in range(rounds + 1):
+        for i in range(n):
+            far = np.abs(x - x[i])
+            reach = np.partition(far, k - 1)[k - 1]
+            w = robust * (np.clip(1 - (far / reach) ** 3, 0, None) ** 3 if reach > 0 else (far == 0))
+            if w.sum() <= 0:
+                continue
+            mx, my = np.average(x, weights=w), np.average(y, weights=w)
+            spread = np.sum(w * (x - mx) ** 2)
+            slope = np.sum(w * (x - mx) * (y - my)) / spread if spread > 1e-12 else 0.0
+            fit[i] = my + slope * (x[i] - mx)
+        left = np.abs(y - fit)
+        scale = 6 * np.median(left)
+        if scale <= 0:
+            break
+        robust = np.clip(1 - (left / scale) ** 2, 0, None) ** 2
+    return fit
 
 
 def staged(genes: DataFrame, features: DataFrame, alpha: float = 0.05) -> DataFrame:

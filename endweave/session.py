@@ -18,7 +18,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="endweave-checkpoint-"))
 
 
+#: Bytes of what written tables were made of, by the number of their RDD.
+_READ: dict[int, int] = {}
+
+
+def bytes_read(df: DataFrame) -> int:
+    """Bytes of the files that a table is made of, also by way of written tables, as the optimizer knows
+    them before it runs; unlike its estimate of the table, joins do not multiply it. Tables that were
+    made from rows of the driver count as nothing, and so do those made from RDDs."""
+    total, leaves = 0, df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        size = int(str(leaf.stats().sizeInBytes()))
+        if leaf.nodeName().startswith("LogicalRDD"):
+            size = _READ.get(leaf.rdd().id(), 0)
+        total += size if size < 1 << 62 else 0
+    return total
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and goes on from there."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    size = bytes_read(df)
+    out = df.checkpoint(eager=True)
+    written = out._jdf.queryExecution().analyzed()
+    if written.nodeName().startswith("LogicalRDD"):
+        _READ[written.rdd().id()] = size
+    return out

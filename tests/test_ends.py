@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from endweave.functions import genomics as G
@@ -119,3 +120,29 @@ def test_merge_and_overlaps_against_loops(spark):
     pairs = {(r.i, r.o_i) for r in intervals.overlaps(df, df, ["chrom"], width=16).collect()}
     want = {(i, j) for i, (a, n) in enumerate(spans) for j, (b, m) in enumerate(spans) if a < b + m and b < a + n}
     assert pairs == want
+
+
+def test_tiles_change_nothing(spark):
+    """Sweeps in tiles of a few positions give what one tile gives."""
+    rng = random.Random(7)
+    spans = [("c", "+-"[rng.randrange(2)], a, a + rng.choice([1, 3, 40, 200])) for a in (rng.randrange(900) for _ in range(250))]
+    df = spark.createDataFrame(spans, "chrom string, strand string, start long, end long")
+    keys = ["chrom", "strand"]
+    points = df.select(*keys, F.col("start").alias("pos"))
+    sites = df.limit(9).select(*keys, F.col("end").alias("site"))
+    same = lambda f: sorted(map(tuple, f(7).collect())) == sorted(map(tuple, f(1 << 20).collect()))
+    for adjacent in (True, False):
+        assert same(lambda t: intervals.merge(df, keys, adjacent, tile=t))
+    assert same(lambda t: intervals.coverage(df, keys, tile=t))
+    assert same(lambda t: intervals.gap_clusters(points, keys, "pos", 2, tile=t))
+    assert same(lambda t: intervals.nearest_distance(points, sites, keys, tile=t))
+    named = df.withColumn("summit", F.col("end"))
+    assert same(lambda t: ends.numbered(named.distinct(), tile=t))
+
+
+def test_sites_must_be_apart(spark):
+    rows = [("c", "+", 5, 0, 10), ("c", "+", 15, 9, 20), ("c", "-", 5, 0, 10)]
+    df = spark.createDataFrame(rows, "chrom string, strand string, summit long, start long, end long")
+    assert ends.disjoint(df.filter("start = 0")).count() == 2
+    with pytest.raises(Exception, match="overlap"):
+        ends.disjoint(df).collect()
