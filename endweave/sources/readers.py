@@ -162,11 +162,20 @@ def read_fasta_chunks(spark: SparkSession, path: str, width: int = 10_000, overl
     name = F.regexp_extract("value", r"^(\S+)", 1)
     body = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", ""))
     rows = records.select(name.alias("chrom"), body.alias("s"))
-    chunk = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("s") - 1) / width))))
-    low = F.greatest(F.lit(0), F.col("chunk") * width - overlap)
-    return rows.withColumn("chunk", chunk).select(
-        "chrom", F.col("chunk").cast("long").alias("chunk"), low.cast("long").alias("offset"), F.substring("s", (low + 1).cast("int"), F.lit(width + 2 * overlap)).alias("sequence"), F.length("s").cast("long").alias("size")
+    # A record is cut once from front to back; each piece then sends its edges to its neighbours.
+    cut = F.regexp_extract_all("s", F.lit("(?s).{1,%d}" % width), F.lit(0))
+    pieces = rows.select("chrom", F.length("s").cast("long").alias("size"), F.posexplode(cut).alias("at", "piece"))
+    near = F.array(
+        F.struct(F.col("at").alias("chunk"), F.lit(1).alias("side"), F.col("piece").alias("text")),
+        F.struct((F.col("at") + 1).alias("chunk"), F.lit(0).alias("side"), F.right("piece", F.lit(overlap)).alias("text")),
+        F.struct((F.col("at") - 1).alias("chunk"), F.lit(2).alias("side"), F.left("piece", F.lit(overlap)).alias("text")),
     )
+    sent = pieces.select("chrom", "size", F.explode(near).alias("n")).select("chrom", "size", "n.*")
+    joined = sent.groupBy("chrom", "chunk").agg(
+        F.first("size").alias("size"), F.bool_or(F.col("side") == 1).alias("own"), F.sort_array(F.collect_list(F.struct("side", "text"))).alias("parts")
+    )
+    whole = joined.filter("own").withColumn("offset", F.greatest(F.lit(0), F.col("chunk") * width - overlap).cast("long"))
+    return whole.select("chrom", F.col("chunk").cast("long").alias("chunk"), "offset", F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("sequence"), "size")
 
 
 def windows(places: DataFrame, chunks: DataFrame, before: int, after: int, width: int = 10_000) -> DataFrame:
@@ -184,9 +193,114 @@ def windows(places: DataFrame, chunks: DataFrame, before: int, after: int, width
     return joined.select(*places.columns, F.when(inside, F.when(minus, reverse_complement(part)).otherwise(part)).alias("sequence"))
 
 
+def read_polya_gtf(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, strand, pos, source_id) of the ``polyA_site`` rows of an annotation of poly(A) features, the
+    first of rows at the same place; ``polya_features`` counts all kinds."""
+    rows = _gtf_rows(spark, path).filter("feature = 'polyA_site' and strand in ('+', '-')")
+    pos = F.when(F.col("strand") == "+", F.col("last") - 1).otherwise(F.col("first") - 1)
+    name = F.coalesce(attribute(F.col("attributes"), "transcript_id"), attribute(F.col("attributes"), "gene_id"))
+    return rows.groupBy("chrom", "strand", pos.alias("pos")).agg(F.min_by(name, "line").alias("source_id"))
+
+
+def polya_features(spark: SparkSession, path: str) -> DataFrame:
+    return _gtf_rows(spark, path).groupBy("feature").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _gtf_rows(spark: SparkSession, path: str) -> DataFrame:
+    f = F.split("value", "\t")
+    rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).filter(~F.col("value").startswith("#") & (F.size(f) >= 9))
+    names = ["chrom", None, "feature", "first", "last", None, "strand", None, "attributes"]
+    kinds = {"first": "long", "last": "long"}
+    return rows.select("line", *[f[i].try_cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(names) if n])
+
+
+def first_of(sites: DataFrame, order: str = "source_id") -> tuple[DataFrame, DataFrame]:
+    """(one site for each place, places with more than one: chrom, strand, pos, rows)."""
+    per = sites.groupBy("chrom", "strand", "pos").agg(F.min_by("source_id", order).alias("source_id"), F.count(F.lit(1)).alias("rows"))
+    return per.drop("rows"), per.filter("rows > 1").drop("source_id")
+
+
+def read_zipped_site_ids(spark: SparkSession, path: str, member: str, column: str = "PAS_ID") -> DataFrame:
+    """As ``read_site_ids``, from the member of zip archives whose name ends with ``member``; an archive is
+    read by one task, line by line."""
+    archives = spark.read.format("binaryFile").load(path).select("content")
+
+    def lines(batches):
+        import csv
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    names = [n for n in archive.namelist() if n.endswith(member)]
+                    if len(names) != 1:
+                        raise ValueError(f"{len(names)} members end with {member}")
+                    with archive.open(names[0]) as raw:
+                        held = []
+                        for row in csv.DictReader(io.TextIOWrapper(raw, "utf-8"), delimiter="\t", quoting=csv.QUOTE_NONE):
+                            held.append(row[column])
+                            if len(held) == 50_000:
+                                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["id"])
+                                held = []
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["id"])
+
+    return _site_ids(archives.mapInArrow(lines, "id string"), "id")
+
+
+def read_candidates(spark: SparkSession, path: str, sample_id: str) -> DataFrame:
+    """(sample_id, chrom, strand, pos, count, a_rich) of a caller's candidates: those without a strand or
+    with less than one read are left out; counts may be written as decimals."""
+    rows = spark.read.csv(path, sep="\t", header=True, quote="")
+    count = F.floor(number(F.col("count"))).cast("long")
+    kept = rows.select(F.lit(sample_id).alias("sample_id"), "chrom", "strand", number(F.col("pos")).cast("long").alias("pos"), count.alias("count"), F.coalesce(truth(F.col("a_rich")), F.lit(False)).alias("a_rich"))
+    return kept.filter(F.col("strand").isin("+", "-") & (F.col("count") >= 1) & F.col("pos").isNotNull())
+
+
+def read_gene_sets(spark: SparkSession, path: str, databases: list[str] | None = None) -> DataFrame:
+    """(database, term_id, term_name, gene_id) of gene-set tables, once each, without versions of gene ids."""
+    rows = read_table(spark, path, ["database", "term_id", "term_name", "gene_id"])
+    gene = F.regexp_replace("gene_id", "[.][0-9]+$", "")
+    kept = rows.filter((F.col("term_id") != "") & (F.col("gene_id") != ""))
+    kept = kept.filter(F.col("database").isin(databases)) if databases else kept
+    return kept.select("database", "term_id", "term_name", gene.alias("gene_id")).distinct()
+
+
+def model_faults(gtf: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(gene_id, fault) of gene models that cannot be counted: on unknown contigs, beyond a contig's ends,
+    on several contigs or strands, with several biotypes, or without an exon."""
+    rows = gtf.filter(F.col("feature").isin("gene", "exon")).join(sizes, "chrom", "left")
+    per = rows.groupBy("gene_id").agg(
+        F.bool_or(F.col("size").isNull()).alias("unknown_contig"),
+        F.bool_or((F.col("start") < 0) | (F.col("end") > F.col("size")) | (F.col("end") <= F.col("start"))).alias("out_of_bounds"),
+        (F.count_distinct("chrom") > 1).alias("several_contigs"),
+        (F.count_distinct("strand") > 1).alias("several_strands"),
+        (F.count_distinct("biotype") > 1).alias("several_biotypes"),
+        (F.count_if(F.col("feature") == "exon") == 0).alias("no_exon"),
+    )
+    names = ["unknown_contig", "out_of_bounds", "several_contigs", "several_strands", "several_biotypes", "no_exon"]
+    faults = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in names]), lambda x: x.isNotNull())
+    return per.select("gene_id", F.explode(faults).alias("fault"))
+
+
+def read_bam(spark: SparkSession, path: str, sample_id: str) -> DataFrame:
+    """Alignments of BAM files, with the columns of ``read_alignments``. A file is one task's work, block
+    by block; Spark hands over files of up to 2 GB, so that larger ones are split beforehand."""
+    from endweave.sources.bam import records
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    rows = files.mapInArrow(records, "read_name string, flag int, chrom string, ref_start long, ref_end long, cigar string, nh int")
+    return rows.select(F.lit(sample_id).alias("sample_id"), "read_name", "flag", "chrom", "ref_start", "ref_end", "cigar", "nh")
+
+
 def read_site_ids(spark: SparkSession, path: str, column: str = "PAS_ID") -> DataFrame:
     """(chrom, strand, pos, source_id) from ids ``chrom:strand:pos`` (1-based), split from the right."""
-    rows = spark.read.csv(path, sep="\t", header=True, quote="")
+    return _site_ids(spark.read.csv(path, sep="\t", header=True, quote=""), column)
+
+
+def _site_ids(rows: DataFrame, column: str) -> DataFrame:
     part = lambda i: F.regexp_extract(column, r"^(.*):([+-]):([0-9]+)$", i)
     return rows.select(part(1).alias("chrom"), part(2).alias("strand"), (part(3).try_cast("long") - 1).alias("pos"), F.col(column).alias("source_id")).filter("chrom <> ''")
 

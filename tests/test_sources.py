@@ -111,3 +111,82 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
         assert run.exception() is None
     batch = {(r.event_type, r.last_event, r.events) for r in status.status_updates(df).collect()}
     assert {(r.event_type, r.last_event, r.events) for r in spark.table("status_t").collect()} == batch
+
+
+def _bam(reads):
+    import struct
+    import zlib
+
+    names = ["c", "d"]
+    head = b"BAM\x01" + struct.pack("<i", 4) + b"@HD\n" + struct.pack("<i", len(names))
+    for n in names:
+        head += struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 1000)
+    body = head
+    for name, flag, contig, pos, ops, tags in reads:
+        r = struct.pack("<iiBBHHHiiii", contig, pos, len(name) + 1, 60, 0, len(ops), flag, 5, -1, -1, 0) + name.encode() + b"\0"
+        r += b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(k)) for n, k in ops) + b"\x11" * 3 + b"\xff" * 5 + tags
+        body += struct.pack("<i", len(r)) + r
+    out = b""
+    for i in range(0, len(body), 50):  # records cross the borders of blocks
+        z = zlib.compressobj(wbits=31)
+        out += z.compress(body[i : i + 50]) + z.flush()
+    return out
+
+
+def test_binary_alignments(spark, tmp_path):
+    import struct
+
+    reads = [
+        ("r1", 16, 0, 100, [(5, "S"), (10, "M"), (5, "N"), (10, "M")], b"XAZab\0" + b"BBBs" + struct.pack("<ihh", 2, 1, 2) + b"NHC\x01"),
+        ("r2", 4, -1, -1, [], b""),
+        ("r3", 0, 1, 10, [(10, "M"), (2, "D"), (3, "M"), (1, "I")], b"NHi" + struct.pack("<i", 7)),
+    ]
+    path = tmp_path / "a.bam"
+    path.write_bytes(_bam(reads))
+    got = [tuple(r) for r in readers.read_bam(spark, str(path), "s").collect()]
+    assert got == [("s", "r1", 16, "c", 100, 125, "5S10M5N10M", 1), ("s", "r2", 4, "*", -1, -1, "*", None), ("s", "r3", 0, "d", 10, 25, "10M2D3M1I", 7)]
+    assert readers.read_bam(spark, str(path), "s").columns == readers.read_alignments(spark, put(tmp_path, "b.sam", "@HD\n"), "s").columns
+    from endweave.sources.bam import alignments
+
+    with pytest.raises(ValueError):
+        list(alignments(_bam(reads)[:-30]))
+
+
+def test_polya_sites(spark, tmp_path):
+    import zipfile
+
+    row = lambda f, a, b, s, name: f'c\ts\t{f}\t{a}\t{b}\t.\t{s}\t.\ttranscript_id "{name}";\n'
+    gtf = put(tmp_path, "p.gtf", "#x\n" + row("polyA_site", 9, 10, "+", "one") + row("polyA_signal", 1, 2, "+", "no") + row("polyA_site", 8, 10, "+", "two") + row("polyA_site", 5, 7, "-", "m") + "short\n")
+    assert {tuple(r) for r in readers.read_polya_gtf(spark, gtf).collect()} == {("c", "+", 9, "one"), ("c", "-", 4, "m")}
+    assert {tuple(r) for r in readers.polya_features(spark, gtf).collect()} == {("polyA_site", 3), ("polyA_signal", 1)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/readme", "no")
+        z.writestr("x/sites.tsv", "PAS_ID\tn\nchr1:a:+:10\t1\nchr1:a:+:10\t2\nbad\t3\nchr2:-:5\t4\n")
+    sites = readers.read_zipped_site_ids(spark, str(tmp_path / "a.zip"), "sites.tsv")
+    once, repeated = readers.first_of(sites)
+    assert {tuple(r)[:3] for r in once.collect()} == {("chr1:a", "+", 9), ("chr2", "-", 4)}
+    assert [tuple(r) for r in repeated.collect()] == [("chr1:a", "+", 9, 2)]
+
+
+def test_candidates_gene_sets_and_models(spark, tmp_path):
+    path = put(tmp_path, "c.tsv", "chrom\tstrand\tpos\tcount\ta_rich\nc\t+\t5\t3.0\tTRUE\nc\t.\t6\t3\t0\nc\t-\t7\t0.5\tyes\nc\t-\t8\tNA\tno\nc\t-\t9\t2\t\n")
+    assert [tuple(r) for r in readers.read_candidates(spark, path, "s").collect()] == [("s", "c", "+", 5, 3, True), ("s", "c", "-", 9, 2, False)]
+    sets = put(tmp_path, "g.tsv", "database\tterm_id\tterm_name\tgene_id\nH\tt\tT\tE1.4\nH\tt\tT\tE1.5\nR\tu\tU\tE2\nH\t\tx\tE3\n")
+    assert {tuple(r) for r in readers.read_gene_sets(spark, sets).collect()} == {("H", "t", "T", "E1"), ("R", "u", "U", "E2")}
+    assert readers.read_gene_sets(spark, sets, ["R"]).count() == 1
+    rows = [("g", "c", "+", 0, 10, "exon", "b"), ("h", "c", "+", 90, 120, "exon", "b"), ("h", "c", "-", 1, 2, "exon", "x"), ("i", "z", "+", 0, 5, "gene", "b")]
+    gtf = spark.createDataFrame(rows, "gene_id string, chrom string, strand string, start long, end long, feature string, biotype string")
+    sizes = spark.createDataFrame([("c", 100)], "chrom string, size long")
+    assert {tuple(r) for r in readers.model_faults(gtf, sizes).collect()} == {("h", "out_of_bounds"), ("h", "several_strands"), ("h", "several_biotypes"), ("i", "unknown_contig"), ("i", "no_exon")}
+
+
+def test_digest_tells_nulls_apart(spark, tmp_path):
+    one, two = (spark.createDataFrame([r], "a string, b string") for r in ((None, "x"), ("x", None)))
+    assert writers.content_digest(one) != writers.content_digest(two)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "a.txt", "1")
+    before = writers.folder_digest(spark, str(folder))
+    assert before == writers.folder_digest(spark, str(folder))
+    put(folder, "a.txt", "12")
+    assert before != writers.folder_digest(spark, str(folder))
