@@ -84,3 +84,20 @@ def track_lines(tracks: DataFrame) -> DataFrame:
         "name", "name", "url", "color", F.when(F.col("strand") == "-", "on").otherwise("off"), "priority",
     )
     return tracks.select("name", line.alias("line"), (~bad).alias("valid"))
+
+
+def clock(seconds: Column) -> Column:
+    """Seconds as H:MM:SS, days and more in hours; null for null, 0:00:00 below zero."""
+    whole = F.greatest(F.floor(seconds), F.lit(0)).cast("long")
+    return F.format_string("%d:%02d:%02d", F.floor(whole / 3600), F.floor(whole / 60) % 60, whole % 60)
+
+
+def progress(events: DataFrame, total: int) -> DataFrame:
+    """(step, started_at, ended_at, elapsed, done, eta) of events (step, state, at): UTC in ISO form, and
+    what the steps left of ``total`` may take at the pace of those that are done."""
+    iso = lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    per = events.groupBy("step").agg(F.min(F.when(F.col("state") == "started", F.col("at"))).alias("s"), F.max(F.when(F.col("state") == "done", F.col("at"))).alias("e"))
+    took = (F.unix_timestamp("e") - F.unix_timestamp("s")).cast("double")
+    pace = per.agg(F.count("e").alias("done"), F.avg(took).alias("mean"))
+    left = F.greatest(F.lit(total) - F.col("done"), F.lit(0)) * F.col("mean")
+    return per.join(F.broadcast(pace)).select("step", iso("s").alias("started_at"), iso("e").alias("ended_at"), clock(took).alias("elapsed"), "done", clock(left).alias("eta"))

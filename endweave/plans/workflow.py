@@ -62,13 +62,25 @@ def a_rich_rule(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("label", (~a_rich_trigger(F.col("sequence"))).cast("int"))
 
 
+def classified(candidates: DataFrame, name: str = "a_rich_rule") -> DataFrame:
+    """Candidates with the ``label`` of a registered classifier, which must keep their number."""
+    if name not in PLUGINS:
+        raise KeyError(f"no such classifier: {name}; there are {sorted(PLUGINS)}")
+    out = PLUGINS[name](candidates)
+    if "label" not in out.columns or set(candidates.columns) - set(out.columns):
+        raise ValueError(f"{name} must keep the columns of its input and add label")
+    return out
+
+
 def run(spark: SparkSession, folder: str, out: str, wanted: Iterable[str], force: bool = False, dry_run: bool = False) -> list[tuple[str, str, str]]:
-    """(step, query, status) of what was written below ``out``; tables whose receipt still holds are left."""
+    """(step, query, status) of what was written below ``out``; tables whose receipt still holds are left:
+    same query, same input files, same output."""
     done: list[tuple[str, str, str]] = []
     found = registry.queries()
+    content = "" if dry_run else writers.folder_digest(spark, folder)
     for step in needed(wanted):
         for name in STEPS[step][1]:
-            path, key = f"{out}/{step}/{name}", writers.signature({"query": name}, {"folder": folder})
+            path, key = f"{out}/{step}/{name}", writers.signature({"query": name}, {folder: content})
             if dry_run:
                 done.append((step, name, "planned"))
                 continue
@@ -101,3 +113,46 @@ def inventory(spark: SparkSession, out: str) -> DataFrame:
 def report(spark: SparkSession, out: str, title: str = "Transcript ends") -> str:
     tables = {name: spark.read.parquet(f"{out}/{step}/{name}/table") for step in needed(["report"]) for name in STEPS[step][1] if step in ("report",)}
     return render.page(title, tables | {"outputs": inventory(spark, out)})
+
+
+def plan_tables(spark: SparkSession, sheet: DataFrame, settings: dict, wanted: Iterable[str]) -> dict[str, DataFrame]:
+    """What a run is going to do, before it does it: samples, lanes, contrasts with their designs,
+    warnings, resolved settings and steps."""
+    from endweave.operators import compare, design
+    from endweave.sources import readers
+
+    per = sheet.groupBy("sample_id").agg(*[F.min(c).alias(c) for c in ("genome", "condition", "subject", "library_layout")], F.count(F.lit(1)).alias("lanes"))
+    # Conditions come in the order of their first sample.
+    first = per.groupBy("condition").agg(F.min("sample_id").alias("ordinal"))
+    ordered = per.join(first, "condition")
+    pairs = compare.contrast_pairs(ordered)
+    states = compare.pairing_states(ordered, pairs)
+    contrasts = pairs.join(states, "contrast_id")
+    rows = [(r["contrast_id"], *design.resolved("auto", r["pairing_status"], r["n_pairs"])) for r in states.collect()]
+    designs = spark.createDataFrame(rows, "contrast_id string, design string, paired boolean")
+    steps = needed(wanted)
+    return {
+        "samples": per,
+        "lanes": sheet.select("sample_id", "technical_replicate_id", "lane_id", "fastq_r1", "fastq_r2"),
+        "contrasts": contrasts.join(designs, "contrast_id"),
+        "warnings": readers.sheet_faults(sheet),
+        "settings": spark.createDataFrame([(str(k), str(v)) for k, v in sorted(settings.items())], "key string, value string"),
+        "steps": spark.createDataFrame([(i, s, ",".join(STEPS[s][0]), ",".join(STEPS[s][1])) for i, s in enumerate(steps)], "place int, step string, needs string, tables string"),
+    }
+
+
+def write_plan(tables: dict[str, DataFrame], out: str) -> list[tuple[str, str]]:
+    """(table, status): a table whose rows are as they are on disk is left."""
+    from pyspark.errors import AnalysisException
+
+    done = []
+    for name, df in tables.items():
+        path = f"{out}/plan/{name}"
+        try:
+            same = writers.content_digest(df.sparkSession.read.schema(df.schema).parquet(path)) == writers.content_digest(df)
+        except AnalysisException:
+            same = False
+        if not same:
+            df.write.mode("overwrite").parquet(path)
+        done.append((name, "unchanged" if same else "written"))
+    return done

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,11 +55,19 @@ def merged(fragments: list[DataFrame]) -> DataFrame:
 
 def content_digest(df: DataFrame) -> str:
     """A digest of a table's rows, the same for any order and partitioning."""
-    row = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)])
+    # Nulls don't change a hash: which columns are null is hashed as well.
+    names = sorted(df.columns)
+    row = F.xxhash64(F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in names]), *[F.col(c).cast("string") for c in names])
     total = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("s"), F.bit_xor(row).alias("x")).first()
     return hashlib.sha256(f"{total['n']}/{total['s']}/{total['x']}".encode()).hexdigest()
 
 
+def folder_digest(spark: SparkSession, folder: str) -> str:
+    """Of the names, sizes and times of all files below a folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return content_digest(files.select("path", "length", "modificationTime"))
+
+
 def signature(parameters: dict, inputs: dict[str, str]) -> str:
     """Of parameters and inputs' digests, whatever their order."""
     return hashlib.sha256(json.dumps({"parameters": parameters, "inputs": inputs}, sort_keys=True).encode()).hexdigest()
