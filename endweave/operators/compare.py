@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from endweave.operators.design import resolved
 from endweave.operators.intervals import gap_clusters
 from endweave.session import cut
 
@@ -110,3 +111,27 @@ def pairing_states(samples: DataFrame, contrasts: DataFrame) -> DataFrame:
     )
     status = F.when(F.col("missing"), "no_subjects").when(F.col("equal"), "complete").when(F.col("shared") == 0, "disjoint").otherwise("incomplete")
     return g.select("contrast_id", status.alias("pairing_status"), F.when(status == "complete", F.col("shared")).otherwise(0).cast("long").alias("n_pairs"))
+
+
+def class_counts(matches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(match_class, sites) of a crosswalk, and of each group of ``by``."""
+    return matches.groupBy(*(by or []), "match_class").agg(F.count(F.lit(1)).alias("sites"))
+
+
+def over_contrasts(fit, counts: DataFrame, samples: DataFrame, mode: str = "auto", least: int = 2) -> DataFrame:
+    """The results of ``fit(counts, samples, denominator, numerator, design=...)`` for every pair of
+    conditions, each by its own resolved design: contrast_id, design, and the fit's columns.
+
+    Contrasts are as many as pairs of conditions, and are named by the driver; genes stay in Spark."""
+    pairs = contrast_pairs(samples, least)
+    pairing = {r["contrast_id"]: r for r in pairing_states(samples, pairs).collect()}
+    out = None
+    for row in sorted(pairs.collect(), key=lambda r: r["contrast_id"]):
+        state = pairing[row["contrast_id"]]
+        design, _ = resolved(mode, state["pairing_status"], state["n_pairs"])
+        one = fit(counts, samples, row["denominator"], row["numerator"], design=design)
+        one = one.select(F.lit(row["contrast_id"]).alias("contrast_id"), F.lit(design).alias("design"), *one.columns)
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError(f"no two conditions have {least} samples")
+    return out

@@ -31,3 +31,9 @@ def top(df: DataFrame, by: list[str], order: list, n: int) -> DataFrame:
     """The first n rows of each group."""
     window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     return df.withColumn("rank", F.row_number().over(window.orderBy(*order))).filter(F.col("rank") <= n)
+
+
+def first_rows(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows of a table with their rank: each task keeps n, so that none sees all rows."""
+    kept = df.orderBy(*order).limit(n)
+    return kept.withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from endweave.operators import checks as K
+from endweave.operators import ends as E
 from endweave.operators.assign import premature_candidates
 from endweave.operators.multitest import staged_audit
 from endweave.plans import adapters as T
@@ -84,3 +85,55 @@ def stabilised_counts(spark, d):
 
     study = Study(spark, d)
     return K.stabilised(gene_counts(study.catalog, study.counts), _factors(study), 0.1, 2.0).select("gene_id", "sample_id", *r6("value"))
+
+
+@query(T.sql("SELECT pas_id, CAST(sum(count) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE count > 0) AS BIGINT) AS supporting_samples FROM ct GROUP BY 1 HAVING sum(count) >= 5 AND count(*) FILTER (WHERE count > 0) >= 2", "ct"))
+def site_support(spark, d):
+    return E.supported(Study(spark, d).counts)
+
+
+@query(T.sql("""SELECT sample_id, c2, coalesce(c3, 0) AS c3, active_sites, ambiguous_sites, premature_sites, round(100.0 * coalesce(c3, 0) / c2, 2) AS c3_pct FROM (
+ SELECT sample_id, CAST(sum(count) AS BIGINT) AS c2 FROM c2 GROUP BY 1) LEFT JOIN (SELECT sample_id, CAST(sum(count) AS BIGINT) AS c3 FROM ct GROUP BY 1) USING (sample_id)
+ CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS active_sites, CAST(count(*) FILTER (WHERE assignment_status = 'ambiguous') AS BIGINT) AS ambiguous_sites,
+ CAST(count(*) FILTER (WHERE assignment_status = 'unique' AND feature_class IN ('intron', 'other_exon') AND gene_id IN (SELECT gene_id FROM cat WHERE assignment_status = 'unique' AND feature_class = 'terminal_exon')) AS BIGINT) AS premature_sites FROM cat)""", "c2", "ct", "cat"))
+def site_totals(spark, d):
+    study = Study(spark, d)
+    return E.site_totals(study.c2, study.counts, study.catalog, premature_candidates(study.catalog))
+
+
+@query()
+def crosswalk_classes(spark, d):
+    from endweave.operators.compare import class_counts
+    from endweave.plans.tables import _matches
+
+    return class_counts(_matches(Study(spark, d)))
+
+
+@query(T.sql("SELECT CAST(row_number() OVER (ORDER BY padj, contrast_id, gene_id) AS INTEGER) AS rank, contrast_id, gene_id, round(effect, 6) AS effect FROM bh WHERE padj IS NOT NULL ORDER BY padj, contrast_id, gene_id LIMIT 100", "rs", **_BH))
+def top_events(spark, d):
+    from endweave.operators.report import first_rows
+    from endweave.plans.statistics import _adjusted
+
+    return first_rows(_adjusted(spark, d).filter("padj is not null"), ["padj", "contrast_id", "gene_id"], 100).select("rank", "contrast_id", "gene_id", *r6("effect"))
+
+
+@query()
+def wald_contrasts(spark, d):
+    """Every contrast by its own design, adjusted after independent filtering."""
+    from endweave.operators.compare import over_contrasts
+    from endweave.operators.models import negative_binomial_tests
+    from endweave.operators.multitest import filtered_bh
+
+    study = Study(spark, d)
+    samples = T.samples(spark, d).withColumn("ordinal", F.col("condition"))
+    return filtered_bh(over_contrasts(negative_binomial_tests, E.gene_counts(study.catalog, study.counts), samples).drop("padj"), ["contrast_id"])
+
+
+@query(T.sql("""SELECT gene_id, 'several_biotypes' AS fault FROM ex GROUP BY 1 HAVING count(DISTINCT kind) > 1 UNION ALL SELECT gene_id, 'several_contigs' FROM ex GROUP BY 1 HAVING count(DISTINCT chrom) > 1
+ UNION ALL SELECT gene_id, 'several_strands' FROM ex GROUP BY 1 HAVING count(DISTINCT strand) > 1 UNION ALL SELECT gene_id, 'unknown_contig' FROM ex LEFT JOIN sz USING (chrom) GROUP BY 1 HAVING bool_or(size IS NULL)
+ UNION ALL SELECT gene_id, 'out_of_bounds' FROM ex LEFT JOIN sz USING (chrom) GROUP BY 1 HAVING bool_or(start < 0 OR "end" > size OR "end" <= start)""", "ex", "sz"))
+def model_faults(spark, d):
+    from endweave.sources.readers import model_faults as faults
+
+    ex = T.exons(spark, d).select("gene_id", "chrom", "strand", "start", "end", F.lit("exon").alias("feature"), F.col("kind").alias("biotype"))
+    return faults(ex, T.sizes(spark, d))

@@ -281,3 +281,56 @@ def test_quality(spark):
     prof = spark.createDataFrame([("s", [float(i) for i in range(100)])], "sample_id string, values array<double>")
     r = qc.gene_body(prof).head()
     assert r.first20 == 190.0 and r.last20 == 1790.0 and max(r.profile) == 1.0
+
+
+def test_bh_in_buckets(spark):
+    """Against the definition, with ties, tiny and missing values, and with and without groups."""
+    import random
+
+    from endweave.operators.multitest import adjust_bh, stepped_up
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.random(), rng.random() ** 9, 0.5, 1e-200, 0.0, 1.0, None, float("nan")])) for _ in range(600)]
+    df = spark.createDataFrame([(i, g, p) for i, (g, p) in enumerate(rows)], "i long, g string, pvalue double").repartition(5)
+    for by, buckets in (([], True), (["g"], True), (["g"], False)):
+        got = {r.i: r.padj for r in adjust_bh(df, by, buckets=buckets).collect()}
+        assert len(got) == len(rows)
+        for group in {g for g, _ in rows} if by else {0}:
+            at = [i for i, (g, _) in enumerate(rows) if not by or g == group]
+            want = stepped_up(np.array([np.nan if rows[i][1] is None else rows[i][1] for i in at]))
+            for i, w in zip(at, want, strict=True):
+                assert (got[i] is None and np.isnan(w)) or abs(got[i] - w) < 1e-12
+
+
+def test_independent_filtering(spark):
+    from endweave.operators.multitest import filtered_bh, local_lines, stepped_up
+
+    rng = np.random.default_rng(1)
+    n = 3000
+    mean = np.exp(rng.normal(3, 2, n))
+    true = (rng.random(n) < 0.2) & (mean > 20)
+    p = np.where(true, rng.beta(0.15, 8, n), rng.random(n))
+    df = spark.createDataFrame([("c", float(m), float(x)) for m, x in zip(mean, p, strict=True)], "contrast_id string, base_mean double, pvalue double")
+    got = filtered_bh(df, ["contrast_id"]).collect()
+    kept = [r for r in got if r.padj is not None and not np.isnan(r.padj)]
+    assert len(got) == n and len(kept) < n and max(r.base_mean for r in got if r not in kept) <= min(r.base_mean for r in kept) + 1e-9
+    assert sum(r.padj < 0.1 for r in kept) >= (stepped_up(p) < 0.1).sum()
+    few = filtered_bh(df.limit(20), ["contrast_id"]).collect()
+    assert len(few) == 20 and all(r.padj is not None for r in few)
+    x = np.linspace(0, 1, 50)
+    assert np.allclose(local_lines(x, 3 * x + 1, 0.2), 3 * x + 1)
+
+
+def test_all_contrasts(spark):
+    from endweave.operators.compare import class_counts, over_contrasts
+    from endweave.operators.models import negative_binomial_tests
+
+    rng = np.random.default_rng(2)
+    samples = [(f"s{i}", "ABC"[i // 3], f"u{i % 3}" if i < 6 else f"v{i}", i // 3) for i in range(9)]
+    counts = [(f"g{g}", s, int(rng.poisson(100 * (4 if g == 0 and c == "B" else 1)))) for g in range(60) for s, c, *_ in samples]
+    got = over_contrasts(negative_binomial_tests, spark.createDataFrame(counts, "gene_id string, sample_id string, count long"), spark.createDataFrame(samples, "sample_id string, condition string, subject string, ordinal long")).collect()
+    assert {(r.contrast_id, r.design) for r in got} == {("B_vs_A", "~ subject + condition"), ("C_vs_A", "~ condition"), ("C_vs_B", "~ condition")}
+    best = {c: min((r for r in got if r.contrast_id == c), key=lambda r: r.pvalue).gene_id for c in ("B_vs_A", "C_vs_B")}
+    assert best == {"B_vs_A": "g0", "C_vs_B": "g0"}
+    m = spark.createDataFrame([("matched",), ("matched",), ("a_only",)], "match_class string")
+    assert {tuple(r) for r in class_counts(m).collect()} == {("matched", 2), ("a_only", 1)}

@@ -11,6 +11,8 @@ from endweave.plans import registry
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SQL = registry.oracle_sql()
+#: Queries without SQL that find no gene with two sites in the smallest tables.
+FEW = ("dm_usage", "exon_usage_lrt")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -47,4 +49,4 @@ def test_same_rows(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_rows_only(spark, name):
     df = registry.queries()[name](spark, FOLDER)
-    assert df.columns and df.count() >= 0
+    assert df.columns and (df.count() > 0 or name in FEW)
