@@ -29,10 +29,11 @@ def bytes_read(df: DataFrame) -> int:
     total, leaves = 0, df._jdf.queryExecution().optimizedPlan().collectLeaves()
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
-        size = int(str(leaf.stats().sizeInBytes()))
         if leaf.nodeName().startswith("LogicalRDD"):
-            size = _READ.get(leaf.rdd().id(), 0)
-        total += size if size < 1 << 62 else 0
+            total += _READ.get(leaf.rdd().id(), 0)
+            continue
+        size = str(leaf.stats().sizeInBytes())
+        total += int(size) if len(size) < 19 else 0
     return total
 
 
