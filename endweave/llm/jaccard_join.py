@@ -8,9 +8,9 @@
    others the rarest tokens suffice, and classes with one in common form a neighbourhood.
 3. Inside a neighbourhood a signature tree finds the links exactly, over whole shingle sets, and
    leaves out what is linked already. A large neighbourhood is dealt to blocks. Each member is
-   compared in its own block first; then one member of each cluster found there with those of the
-   other blocks, which joins a family of near copies. Only where clusters are left apart are
-   members compared once more, those outside the largest cluster with all.
+   compared in its own block first; then, round by round, one member of each cluster found so far
+   with those of the others, which joins a family of near copies. Only where clusters are left
+   apart are members compared once more, those outside the largest cluster with all.
 4. Links give components.
 """
 
@@ -213,9 +213,9 @@ def _neighbourhoods(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame, by: str) -> DataFrame:
-    """(by, blocks): how many blocks the members (by, n) of each group are dealt to."""
+    """(by, blocks, clusters): how many blocks the members (by, n) of each group are dealt to, and their number."""
     per = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    return members.groupBy(by).agg(per.alias("blocks"))
+    return members.groupBy(by).agg(per.alias("blocks"), F.count(F.lit(1)).alias("clusters"))
 
 
 def _links(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
@@ -303,7 +303,7 @@ def jaccard_components(
     tokens = alone.mapInArrow(make, schema).select("node", "meta", F.explode("tokens").alias("token"))
     near = _neighbourhoods(tokens, _frequent(alone, make, schema))
     members = classes.select("node", "fp", "n").join(near, "node")
-    blocks = _blocks(members, "label").withColumnRenamed("label", "l")
+    blocks = _blocks(members, "label").withColumnRenamed("label", "l").drop("clusters")
     members = cut(members.join(blocks, F.col("label") == F.col("l")).drop("l"))
     # The texts of members are read again and again: once and for all the others are left behind.
     texts = cut(rows.join(nearby(cut(members.select(F.col("node").alias("m")).distinct())), F.col("id") == F.col("m"), "left_semi"))
@@ -311,11 +311,21 @@ def jaccard_components(
     large = members.filter("blocks > 1").withColumn("cluster", F.col("node"))
     if large.limit(1).count():
         large = cut(_clustered(large, links, "cluster").drop("blocks"))
-        first = large.filter("node = cluster")
-        first = first.join(_blocks(first, "label").withColumnRenamed("label", "l"), F.col("label") == F.col("l")).drop("l")
-        more = cut(_within(texts, first, "label", k, percent))
-        large = cut(_clustered(large, more, "cluster"))
-        links = links.union(more).union(cut(_across(texts, large, k, percent)))
+        opened = None
+        while True:
+            first = large.filter("node = cluster")
+            per = _blocks(first, "label").withColumnRenamed("label", "l")
+            if opened is not None:  # another round where the last one left half of the clusters at most
+                per = per.join(opened, F.col("l") == F.col("o")).filter("clusters * 2 <= was").drop("o", "was")
+            per = cut(per.filter("clusters > 1"))
+            if not per.limit(1).count():
+                break
+            first = first.join(per, F.col("label") == F.col("l")).drop("l", "clusters")
+            more = cut(_within(texts, first, "label", k, percent))
+            large = cut(_clustered(large, more, "cluster"))
+            links = links.union(more)
+            opened = per.filter("blocks > 1").select(F.col("l").alias("o"), F.col("clusters").alias("was"))
+        links = links.union(cut(_across(texts, large, k, percent)))
     label = components(links)
     named = classes.select("fp", "node").join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("component"))
     return sketch.join(named, "fp", "left").select(
