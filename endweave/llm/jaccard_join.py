@@ -193,14 +193,18 @@ def _frequent(docs: DataFrame, make, schema: str) -> DataFrame:
 
 def _neighbourhoods(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
     """(node, label) of the nodes (node, meta, token) that may have a partner."""
-    # Rarest tokens first needs the same order everywhere, not exact counts: those of frequent
-    # tokens, whose rows are spread, are estimates.
-    # ``spread`` is 0, or the order of magnitude in its lowest six bits and a share of the rows above.
-    share = F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("about") / 10_000), F.lit(2)))
-    spread = F.coalesce(F.shiftleft(share, 6).bitwiseOR(F.ceil(F.log2("about")).cast("long")), F.lit(0).cast("long"))
-    rows = tokens.join(nearby(frequent), F.col("token") == F.col("hot"), "left").select("node", "meta", "token", spread.alias("spread"))
-    rows = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token", "spread"))).filter("df > 1 or spread > 0")
-    rows = rows.withColumn("df", F.when(F.col("spread") == 0, F.col("df")).otherwise(F.expr("shiftleft(1L, cast(spread & 63L AS int))")))
+    same = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    if not frequent.limit(1).count():
+        rows = tokens.withColumn("df", same).filter("df > 1")
+    else:
+        # Rarest tokens first needs the same order everywhere, not exact counts: those of frequent
+        # tokens, whose rows are spread, are estimates.
+        # ``spread`` is 0, or the order of magnitude in its lowest six bits and a share of the rows above.
+        share = F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("about") / 10_000), F.lit(2)))
+        spread = F.coalesce(F.shiftleft(share, 6).bitwiseOR(F.ceil(F.log2("about")).cast("long")), F.lit(0).cast("long"))
+        rows = tokens.join(nearby(frequent), F.col("token") == F.col("hot"), "left").select("node", "meta", "token", spread.alias("spread"))
+        rows = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token", "spread"))).filter("df > 1 or spread > 0")
+        rows = rows.withColumn("df", F.when(F.col("spread") == 0, F.col("df")).otherwise(F.expr("shiftleft(1L, cast(spread & 63L AS int))")))
     shared = (
         rows.groupBy("node", "meta")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
