@@ -75,7 +75,8 @@ def shard(
 
     A row's key is its id together with its text's checksum and length; a null id or text is a key
     like any other, a null text has the size 1 and the checksum of the empty text. Shards hold the
-    same number of rows, at most one apart (law ``rows``), and slots count from 0 in each. Rows
+    same number of rows, at most one apart (law ``rows``), and slots count from 0 in each. Equal texts
+    are keys of their own and not kept together: a group of copies may be larger than a shard. Rows
     that are equal in id and text are alike: which of them has which slot is open, and all else is
     the same for every run. ``home_shard`` is where the ring puts a key as long as there is room;
     adding a shard moves keys into it and those that bounded loads pass on. An empty table gives an
