@@ -70,3 +70,22 @@ def weighted_clusters(candidates: DataFrame, gap: int = 24) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("levels")))), ";").alias("levels"),
         F.bool_or("repeat").alias("repeat"),
     ).drop("cluster")
+
+
+def build(records: DataFrame, mapping: DataFrame, sizes: DataFrame, gap: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(atlas, audit) of an older assembly's records (source, source_id, chrom, strand, pos, flagged): lifted,
+    held against the contigs, each source's places once, and clustered. The audit says how many records of
+    a source ended where (source, outcome, records)."""
+    moved = lifted(records, mapping)
+    there = moved.filter("status = 'lifted'").select("source", "source_id", F.col("to_chrom").alias("chrom"), "strand", F.col("to_pos").alias("pos"), "flagged")
+    judged = rejected(there, sizes)
+    fit = judged.filter("reason is null")
+    places = fit.groupBy("source", *PLACE, "pos").agg(F.min("source_id").alias("source_id"), F.count(F.lit(1)).alias("n"))
+    outcome = lambda df, what, n: df.groupBy("source", what.alias("outcome")).agg(n.cast("long").alias("records"))
+    audit = (
+        outcome(moved.filter("status <> 'lifted'"), F.col("status"), F.count(F.lit(1)))
+        .union(outcome(judged.filter("reason is not null"), F.col("reason"), F.count(F.lit(1))))
+        .union(outcome(places, F.lit("kept"), F.count(F.lit(1))))
+        .union(outcome(places, F.lit("repeated"), F.sum(F.col("n") - 1)))
+    )
+    return consensus(places.drop("n"), gap), audit.filter("records > 0")

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from endweave.session import cut
+
 
 def missing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of the left table that the right one lacks."""
@@ -121,3 +123,69 @@ def stabilised(counts: DataFrame, factors: DataFrame, base: float, slope: float)
     a = F.lit(float(base))
     inner = 1 + slope + 2 * a * q + 2 * F.sqrt(a * q * (1 + slope + a * q))
     return counts.join(factors.select("sample_id", "size_factor"), "sample_id").select("gene_id", "sample_id", (F.log(inner / (4 * a)) / float(np.log(2))).alias("value"))
+
+
+def fit_faults(audit: DataFrame) -> DataFrame:
+    """(contrast_id, fault) of audits of usage fits (status, fit_policy, multifactor, one_way, add_uniform,
+    seed, first_error): a plain fit has no retry, a retry needs a design of several factors and a reason."""
+    n = F.col
+    retried = n("fit_policy") == "deterministic_add_uniform_retry"
+    known = retried | (n("fit_policy") == "standard")
+    reason = F.coalesce(n("first_error"), F.lit("")) != ""
+    faults = F.array_compact(
+        F.array(
+            F.when(~F.coalesce(known, F.lit(False)), "policy"),
+            F.when(known & ~n("status").eqNullSafe(F.when(retried, "WARN_NUMERIC_RETRY").otherwise("PASS")), "status"),
+            F.when(F.coalesce(n("seed") <= 0, F.lit(True)), "seed"),
+            F.when(n("one_way") == n("multifactor"), "design"),
+            F.when(~retried & (n("add_uniform") | reason), "unexpected_retry"),
+            F.when(retried & ~(n("multifactor") & n("add_uniform") & reason), "incomplete_retry"),
+        )
+    )
+    return audit.select("contrast_id", F.explode(faults).alias("fault"))
+
+
+def manifest_faults(manifests: DataFrame, genome: str, protocol: str) -> DataFrame:
+    """(manifest, fault) of validation manifests (schema_version, status, engine_commit, adapter_commit,
+    model_sha256, environment_sha256, umi_present, deduplicated, library_protocols, assemblies,
+    synthetic_pass, reuse_pass, canary, reviewed_by, accepted_at); a null is a fault wherever a value is
+    asked for, but manifests without protocols are of single-end libraries."""
+    n = F.col
+    asked = {
+        "not_accepted": (n("schema_version") == 1) & (n("status") == "accepted"),
+        "engine_commit": n("engine_commit").rlike("^[0-9a-fA-F]{7,40}$"),
+        "adapter_commit": n("adapter_commit").rlike("^[0-9a-fA-F]{7,40}$"),
+        "model_sha256": n("model_sha256").rlike("^[0-9a-fA-F]{64}$"),
+        "environment_sha256": n("environment_sha256").rlike("^[0-9a-fA-F]{64}$"),
+        "deduplication": ~n("umi_present") & ~n("deduplicated"),
+        "protocol": F.array_contains(F.coalesce("library_protocols", F.array(F.lit("quantseq_rev_v2_se"))), protocol),
+        "assembly": F.array_contains("assemblies", genome),
+        "pilot": n("synthetic_pass") & n("reuse_pass"),
+        "canary": n("canary") == "PASS",
+        "review": (F.trim("reviewed_by") != "") & (F.trim("accepted_at") != ""),
+    }
+    faults = F.array_compact(F.array(*[F.when(~F.coalesce(fine, F.lit(False)), name) for name, fine in asked.items()]))
+    return manifests.select("manifest", F.explode(faults).alias("fault"))
+
+
+def dispersion_trend(counts: DataFrame, factors: DataFrame, rounds: int = 3) -> tuple[float, float]:
+    """(base, slope) of the trend base + slope / mean through genes' dispersions by moments, weighted by the
+    inverse square of the trend of the round before, as errors grow with it. Genes without counts or with
+    less variance than counting alone gives play no part; without two other genes the trend is (0.1, 0)."""
+    q = F.col("count") / F.col("size_factor")
+    per = counts.join(F.broadcast(factors.select("sample_id", "size_factor")), "sample_id").groupBy("gene_id").agg(
+        F.avg(q).alias("mean"), F.var_samp(q).alias("var"), F.avg(1 / F.col("size_factor")).alias("z")
+    )
+    genes = per.filter("mean > 0").select((1 / F.col("mean")).alias("x"), ((F.col("var") - F.col("z") * F.col("mean")) / (F.col("mean") * F.col("mean"))).alias("y"))
+    genes = cut(genes.filter("y > 1e-8"))
+    base, slope = 1.0, 0.0
+    for _ in range(rounds):
+        height = F.lit(base) + F.lit(slope) * F.col("x")
+        w = 1 / (height * height)
+        s = genes.agg(*[F.sum(w * v).alias(k) for k, v in {"n": F.lit(1.0), "x": F.col("x"), "y": F.col("y"), "xx": F.col("x") * F.col("x"), "xy": F.col("x") * F.col("y")}.items()]).first()
+        spread = s["n"] * s["xx"] - s["x"] * s["x"] if s["n"] else 0.0
+        if spread <= 0:
+            return (max(s["y"] / s["n"], 1e-8), 0.0) if s["n"] else (0.1, 0.0)
+        slope = max((s["n"] * s["xy"] - s["x"] * s["y"]) / spread, 0.0)
+        base = max((s["y"] - slope * s["x"]) / s["n"], 1e-8)
+    return base, slope

@@ -101,3 +101,27 @@ def progress(events: DataFrame, total: int) -> DataFrame:
     pace = per.agg(F.count("e").alias("done"), F.avg(took).alias("mean"))
     left = F.greatest(F.lit(total) - F.col("done"), F.lit(0)) * F.col("mean")
     return per.join(F.broadcast(pace)).select("step", iso("s").alias("started_at"), iso("e").alias("ended_at"), clock(took).alias("elapsed"), "done", clock(left).alias("eta"))
+
+
+def lane_reads(reads: DataFrame, lanes: DataFrame) -> DataFrame:
+    """Reads (file, ...) of all lanes as their samples': adds sample_id, technical_replicate_id and lane_id.
+    ``lanes`` is a sample sheet's table; reads of files that it does not name are left out."""
+    named = lanes.select("file", "sample_id", "technical_replicate_id", "lane_id").distinct()
+    return reads.join(F.broadcast(named), "file")
+
+
+def track_inventory(tracks: DataFrame) -> DataFrame:
+    """(collection, family, tracks, minus) of tracks (path, strand): a collection is a path's folder, its
+    family the first part of it."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    per = tracks.groupBy(folder.alias("collection")).agg(F.count(F.lit(1)).alias("tracks"), F.count_if(F.col("strand") == "-").alias("minus"))
+    return per.withColumn("family", F.substring_index("collection", "/", 1))
+
+
+def module_overlap(modules: DataFrame, at_once: int, threads: int, memory: int) -> DataFrame:
+    """One row: the peak of ``at_once`` modules (module, threads, memory_gb) that run side by side, the
+    largest by either, and whether it stays below the ceilings. Modules are a plan's few steps."""
+    largest = lambda c: F.aggregate(F.slice(F.sort_array(F.collect_list(F.col(c).cast("long")), asc=False), 1, at_once), F.lit(0).cast("long"), lambda a, x: a + x)
+    per = modules.agg(F.count(F.lit(1)).alias("modules"), largest("threads").alias("peak_threads"), largest("memory_gb").alias("peak_memory_gb"))
+    within = (F.col("peak_threads") <= threads) & (F.col("peak_memory_gb") <= memory)
+    return per.withColumn("concurrent", F.least(F.col("modules"), F.lit(at_once).cast("long"))).withColumn("within", within)

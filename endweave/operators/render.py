@@ -35,3 +35,10 @@ def page(title: str, tables: dict[str, DataFrame], limit: int = 100) -> str:
         f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>"
         f'<input id=f placeholder="filter rows">{"".join(body)}<script>{script}</script>'
     )
+
+
+def igv_session(paths: list[str], genome: str | None = None) -> str:
+    """A genome browser's session that loads the files, in the order given."""
+    load = "\n".join(f'    <Resource path="{html.escape(p)}"/>' for p in paths)
+    chosen = f' genome="{html.escape(genome)}"' if genome else ""
+    return f'<?xml version="1.0" encoding="UTF-8"?>\n<Session{chosen} version="8">\n  <Resources>\n{load}\n  </Resources>\n</Session>\n'

@@ -287,3 +287,15 @@ def merged_fragments(spark, d):
     parts = [_table(results.filter(F.col("contrast_id") == f"c{i}")) for i in range(3)]
     rows = W.merged([R.read_table(spark, p, results.columns) for p in parts])
     return rows.select("contrast_id", "gene_id", R.number(F.col("effect")).alias("effect")).select("contrast_id", "gene_id", *r6("effect"))
+
+
+@query(T.sql("""SELECT sample_id, strand, chrom, pos AS start, pos + 1 AS "end", round(count * (1e6 / total) * CASE WHEN strand = '-' THEN -1.0 ELSE 1.0 END, 4) AS value FROM c2 JOIN tot USING (sample_id)""", "c2", "tot"))
+def bedgraph_file(spark, d):
+    """Tracks as text, read back by sample and strand."""
+    from endweave.plans.models import bedgraph_signal
+
+    path = _place(spark)
+    W.write_bedgraph(bedgraph_signal(spark, d), path)
+    f = F.split("value", "\t")
+    rows = spark.read.schema("value string, sample_id string, strand string").text(path)
+    return rows.select("sample_id", "strand", f[0].alias("chrom"), f[1].cast("long").alias("start"), f[2].cast("long").alias("end"), F.round(f[3].cast("double"), 4).alias("value"))

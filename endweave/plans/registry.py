@@ -6,7 +6,7 @@ import importlib
 
 _FOUND: dict = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("core", "models", "statistics", "tables", "checks", "files")
+_MODULES = ("core", "models", "statistics", "tables", "checks", "files", "gates")
 
 
 def query(sql: str | None = None):
