@@ -286,7 +286,8 @@ def prepared_usage_table(spark, d):
 
 
 _TERMS = {
-    "tm": """SELECT DISTINCT 'brand' AS database, p_brand AS term_id, 'g' || (p_partkey % 750) AS gene_id FROM part UNION ALL SELECT DISTINCT 'type', p_type, 'g' || ((p_partkey * 7) % 750) FROM part""",
+    "ng": "SELECT greatest(count(*) // 20, 1) AS n FROM orders",
+    "tm": """SELECT DISTINCT 'brand' AS database, p_brand AS term_id, 'g' || (p_partkey % n) AS gene_id FROM part, ng UNION ALL SELECT DISTINCT 'type', p_type, 'g' || ((p_partkey * 7) % n) FROM part, ng""",
     "qg": "SELECT DISTINCT contrast_id AS query, gene_id, CAST(coalesce(padj <= 0.05, false) AS INTEGER) AS foreground FROM bh",
     "qn": "SELECT query, count(*) AS nn, CAST(sum(foreground) AS BIGINT) AS n FROM qg GROUP BY 1",
     "hh": "SELECT query, database, term_id, count(*) AS m, CAST(sum(foreground) AS BIGINT) AS k FROM qg JOIN tm USING (gene_id) GROUP BY ALL HAVING count(*) BETWEEN 3 AND 500 AND sum(foreground) > 0",
@@ -300,7 +301,8 @@ _TERMS = {
 
 def _terms(spark, d):
     part = T.table(spark, d, "part")
-    gene = lambda c: F.concat(F.lit("g"), (c % 750).cast("string"))
+    n = max(T.table(spark, d, "orders").count() // 20, 1)  # a gene has 20 order keys
+    gene = lambda c: F.concat(F.lit("g"), (c % n).cast("string"))
     a = part.select(F.lit("brand").alias("database"), F.col("p_brand").alias("term_id"), gene(F.col("p_partkey")).alias("gene_id")).distinct()
     return a.union(part.select(F.lit("type"), F.col("p_type"), gene(F.col("p_partkey") * 7)).distinct())
 
@@ -327,12 +329,12 @@ def _ranked(spark, d):
     return R.ranking(T.results(spark, d).select(F.col("contrast_id").alias("query"), "gene_id", F.col("stat").alias("score")))
 
 
-@query(T.sql("SELECT query, gene_id, round(score, 6) AS score, CAST(rank AS BIGINT) AS rank FROM rk", "rs", **_RANK | {"tm": _TERMS["tm"]}))
+@query(T.sql("SELECT query, gene_id, round(score, 6) AS score, CAST(rank AS BIGINT) AS rank FROM rk", "rs", **{"ng": _TERMS["ng"], "tm": _TERMS["tm"]} | _RANK))
 def gsea_rank(spark, d):
     return _ranked(spark, d).select("query", "gene_id", *r6("score"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(T.sql("SELECT query, database, term_id, CAST(size AS BIGINT) AS size, round(CASE WHEN hi >= -lo THEN hi ELSE lo END, 6) AS es FROM es", "rs", tm=_TERMS["tm"], **_RANK))
+@query(T.sql("SELECT query, database, term_id, CAST(size AS BIGINT) AS size, round(CASE WHEN hi >= -lo THEN hi ELSE lo END, 6) AS es FROM es", "rs", ng=_TERMS["ng"], tm=_TERMS["tm"], **_RANK))
 def gsea_es(spark, d):
     return R.enrichment_scores(_ranked(spark, d), _terms(spark, d)).select("query", "database", "term_id", "size", *r6("es"))
 

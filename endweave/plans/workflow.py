@@ -21,8 +21,8 @@ STEPS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "enrichment": (("expression",), ("prepared_gene_table", "ora", "gsea_es")),
     "compare": (("sites",), ("catalog_crosswalk", "effect_concordance", "pcpa_agreement")),
     "tracks": (("ends",), ("track_scales", "bedgraph_signal", "strand_coverage")),
-    "atlas": ((), ("pas_source_union", "atlas_consensus")),
-    "report": (("expression", "usage"), ("contrast_summary", "top_dge", "top_apa", "top_terms")),
+    "atlas": ((), ("pas_source_union", "atlas_consensus", "atlas_build", "atlas_build_audit")),
+    "report": (("expression", "usage"), ("contrast_summary", "contrast_report", "top_dge", "top_apa", "top_terms")),
 }
 
 
@@ -40,6 +40,17 @@ def needed(wanted: Iterable[str]) -> list[str]:
     return [s for s in STEPS if s in chosen]
 
 
+def between(steps: list[str], first: str | None = None, last: str | None = None) -> list[str]:
+    """Of steps in order those from the first to the last, both included; no names mean no bounds."""
+    order = list(STEPS)
+    for name in (first, last):
+        if name is not None and name not in STEPS:
+            raise KeyError(f"no such step: {name}")
+    low = order.index(first) if first else 0
+    high = order.index(last) if last else len(order) - 1
+    return [s for s in steps if low <= order.index(s) <= high]
+
+
 #: Callables that users add: name -> f(DataFrame) -> DataFrame, for classifiers of candidate sites.
 PLUGINS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -72,13 +83,13 @@ def classified(candidates: DataFrame, name: str = "a_rich_rule") -> DataFrame:
     return out
 
 
-def run(spark: SparkSession, folder: str, out: str, wanted: Iterable[str], force: bool = False, dry_run: bool = False) -> list[tuple[str, str, str]]:
+def run(spark: SparkSession, folder: str, out: str, wanted: Iterable[str], force: bool = False, dry_run: bool = False, first: str | None = None, last: str | None = None) -> list[tuple[str, str, str]]:
     """(step, query, status) of what was written below ``out``; tables whose receipt still holds are left:
     same query, same input files, same output."""
     done: list[tuple[str, str, str]] = []
     found = registry.queries()
     content = "" if dry_run else writers.folder_digest(spark, folder)
-    for step in needed(wanted):
+    for step in between(needed(wanted), first, last):
         for name in STEPS[step][1]:
             path, key = f"{out}/{step}/{name}", writers.signature({"query": name}, {folder: content})
             if dry_run:
@@ -103,6 +114,17 @@ def _holds(spark: SparkSession, path: str, step: str, key: str) -> bool:
         return False
 
 
+def status(spark: SparkSession, out: str) -> list[tuple[str, str, str]]:
+    """(step, query, its rows by the receipt, or ``missing``) of all steps."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        there = {(r["step"], r["table"]): str(r["rows"]) for r in inventory(spark, out).collect()}
+    except AnalysisException:
+        there = {}
+    return [(step, name, there.get((step, name), "missing")) for step in STEPS for name in STEPS[step][1]]
+
+
 def inventory(spark: SparkSession, out: str) -> DataFrame:
     """(step, table, rows, digest) of all receipts below a folder."""
     path = F.input_file_name()

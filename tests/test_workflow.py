@@ -24,7 +24,9 @@ def test_run_skips_what_holds(spark, tmp_path):
     assert {s for *_, s in workflow.run(spark, FOLDER, out, ["atlas"])} == {"written"}
     assert {s for *_, s in workflow.run(spark, FOLDER, out, ["atlas"])} == {"skipped"}
     assert {s for *_, s in workflow.run(spark, FOLDER, out, ["atlas"], force=True)} == {"written"}
-    assert {r.table for r in workflow.inventory(spark, out).collect()} == {"pas_source_union", "atlas_consensus"}
+    assert {r.table for r in workflow.inventory(spark, out).collect()} == {"pas_source_union", "atlas_consensus", "atlas_build", "atlas_build_audit"}
+    there = {name: rows for _, name, rows in workflow.status(spark, out)}
+    assert int(there["atlas_build"]) > 0 and there["exact_ends"] == "missing"
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -94,3 +96,24 @@ def test_rendering(spark):
 def test_command_line(capsys):
     assert main(["list"]) == 0 and "active_pas" in capsys.readouterr().out
     assert parser().parse_args(["run", "a", "b", "--step", "ends"]).step == ["ends"]
+
+
+def test_between():
+    steps = workflow.needed(["report"])
+    assert workflow.between(steps, "sites", "expression") == ["sites", "annotation", "expression"]
+    assert workflow.between(steps) == steps and workflow.between(steps, last="ends") == ["ends"]
+    with pytest.raises(KeyError):
+        workflow.between(steps, "nope")
+    chosen = parser().parse_args(["run", "in", "out", "--from", "sites", "--stop", "usage"])
+    assert (chosen.first, chosen.last) == ("sites", "usage")
+
+
+def test_status_of_an_empty_folder(spark, tmp_path):
+    assert {rows for *_, rows in workflow.status(spark, str(tmp_path / "none"))} == {"missing"}
+
+
+def test_session_text():
+    from endweave.operators.render import igv_session
+
+    text = igv_session(["a&b.bw", "c.bw"], "hg38")
+    assert text.index("a&amp;b.bw") < text.index("c.bw") and 'genome="hg38"' in text and igv_session([]).count("Resource ") == 0
