@@ -16,6 +16,7 @@ from endweave.plans.models import _SF, _factors
 from endweave.plans.registry import query
 from endweave.plans.statistics import _BH, _adjusted, r6
 from endweave.plans.tables import _SRC, _sources
+from endweave.session import cut
 
 
 @query(T.sql("""SELECT seq_id, label FROM (SELECT seq_id, CASE WHEN seq_id % 10 = 0 THEN true ELSE length(sequence) - length(replace(sequence, 'A', '')) >= 12 OR contains(sequence, 'AAAAAA') END AS label
@@ -138,18 +139,22 @@ def _rounds(n: int) -> dict[str, str]:
     return out
 
 
+def _counted(spark, d):
+    """(counts of genes, size factors), written once: the trend and what follows read them again."""
+    study = Study(spark, d)
+    return cut(gene_counts(study.catalog, study.counts)), cut(_factors(study))
+
+
 @query(T.sql("SELECT round(base, 6) AS base, round(slope, 6) AS slope FROM t3", "ct", "cat", **_SF, **_rounds(3)))
 def dispersion_trend(spark, d):
-    study = Study(spark, d)
-    trend = K.dispersion_trend(gene_counts(study.catalog, study.counts), _factors(study))
+    trend = K.dispersion_trend(*_counted(spark, d))
     return spark.createDataFrame([trend], "base double, slope double").select(*r6("base", "slope"))
 
 
 @query(T.sql("""SELECT gene_id, sample_id, round(ln((1 + slope + 2 * base * q + 2 * sqrt(base * q * (1 + slope + base * q))) / (4 * base)) / ln(2), 5) AS value
  FROM (SELECT gene_id, sample_id, count / size_factor AS q FROM gc JOIN sf USING (sample_id)), t3""", "ct", "cat", **_SF, **_rounds(3)))
 def stabilised_by_trend(spark, d):
-    study = Study(spark, d)
-    counts, factors = gene_counts(study.catalog, study.counts), _factors(study)
+    counts, factors = _counted(spark, d)
     return K.stabilised(counts, factors, *K.dispersion_trend(counts, factors)).select("gene_id", "sample_id", F.round("value", 5).alias("value"))
 
 
