@@ -10,9 +10,10 @@ from endweave.operators import checks as K
 from endweave.operators import qc as Q
 from endweave.operators import report as P
 from endweave.operators.ends import gene_counts
+from endweave.operators.expression import size_factors
 from endweave.plans import adapters as T
 from endweave.plans.core import Study
-from endweave.plans.models import _SF, _factors
+from endweave.plans.models import _SF
 from endweave.plans.registry import query
 from endweave.plans.statistics import _BH, _adjusted, r6
 from endweave.plans.tables import _SRC, _sources
@@ -142,7 +143,8 @@ def _rounds(n: int) -> dict[str, str]:
 def _counted(spark, d):
     """(counts of genes, size factors), written once: the trend and what follows read them again."""
     study = Study(spark, d)
-    return cut(gene_counts(study.catalog, study.counts)), cut(_factors(study))
+    counts = cut(gene_counts(study.catalog, study.counts))
+    return counts, cut(size_factors(counts))
 
 
 @query(T.sql("SELECT round(base, 6) AS base, round(slope, 6) AS slope FROM t3", "ct", "cat", **_SF, **_rounds(3)))
