@@ -125,17 +125,23 @@ def stabilised(counts: DataFrame, factors: DataFrame, base: float, slope: float)
     return counts.join(factors.select("sample_id", "size_factor"), "sample_id").select("gene_id", "sample_id", (F.log(inner / (4 * a)) / float(np.log(2))).alias("value"))
 
 
+#: The ways to fit with the status each asks for, and the library protocol of manifests that name none.
+FIT_STATUS = {"standard": "PASS", "deterministic_add_uniform_retry": "WARN_NUMERIC_RETRY"}
+SINGLE_END = "quantseq_rev_v2_se"
+
+
 def fit_faults(audit: DataFrame) -> DataFrame:
     """(contrast_id, fault) of audits of usage fits (status, fit_policy, multifactor, one_way, add_uniform,
     seed, first_error): a plain fit has no retry, a retry needs a design of several factors and a reason."""
     n = F.col
-    retried = n("fit_policy") == "deterministic_add_uniform_retry"
-    known = retried | (n("fit_policy") == "standard")
+    plain, retry = FIT_STATUS
+    retried = n("fit_policy") == retry
+    known = retried | (n("fit_policy") == plain)
     reason = F.coalesce(n("first_error"), F.lit("")) != ""
     faults = F.array_compact(
         F.array(
             F.when(~F.coalesce(known, F.lit(False)), "policy"),
-            F.when(known & ~n("status").eqNullSafe(F.when(retried, "WARN_NUMERIC_RETRY").otherwise("PASS")), "status"),
+            F.when(known & ~n("status").eqNullSafe(F.when(retried, FIT_STATUS[retry]).otherwise(FIT_STATUS[plain])), "status"),
             F.when(F.coalesce(n("seed") <= 0, F.lit(True)), "seed"),
             F.when(n("one_way") == n("multifactor"), "design"),
             F.when(~retried & (n("add_uniform") | reason), "unexpected_retry"),
@@ -158,7 +164,7 @@ def manifest_faults(manifests: DataFrame, genome: str, protocol: str) -> DataFra
         "model_sha256": n("model_sha256").rlike("^[0-9a-fA-F]{64}$"),
         "environment_sha256": n("environment_sha256").rlike("^[0-9a-fA-F]{64}$"),
         "deduplication": ~n("umi_present") & ~n("deduplicated"),
-        "protocol": F.array_contains(F.coalesce("library_protocols", F.array(F.lit("quantseq_rev_v2_se"))), protocol),
+        "protocol": F.array_contains(F.coalesce("library_protocols", F.array(F.lit(SINGLE_END))), protocol),
         "assembly": F.array_contains("assemblies", genome),
         "pilot": n("synthetic_pass") & n("reuse_pass"),
         "canary": n("canary") == "PASS",

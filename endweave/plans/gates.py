@@ -86,12 +86,12 @@ def manifest_gate(spark, d):
         F.concat(F.lit("m"), k.cast("string")).alias("manifest"), F.lit(1).alias("schema_version"), F.when(k % 7 != 0, "accepted").alias("status"),
         F.when(k % 11 != 0, hexed(20)).otherwise("a1b2").alias("engine_commit"), F.when(k % 2 != 0, hexed(4)).alias("adapter_commit"), F.when(k % 5 != 0, hexed(32)).otherwise(hexed(31)).alias("model_sha256"),
         hexed(32).alias("environment_sha256"), (k % 3 == 0).alias("umi_present"), F.lit(False).alias("deduplicated"),
-        F.when(k % 13 == 0, F.array(F.lit("other"))).when(k % 2 == 0, F.array(F.lit("quantseq_rev_v2_se"))).alias("library_protocols"),
+        F.when(k % 13 == 0, F.array(F.lit("other"))).when(k % 2 == 0, F.array(F.lit(K.SINGLE_END))).alias("library_protocols"),
         F.when(k % 4 != 0, F.array(F.lit("GRCh38"), F.lit("GRCm39"))).otherwise(F.array(F.lit("GRCm39"))).alias("assemblies"),
         F.lit(True).alias("synthetic_pass"), F.when(k % 9 != 0, True).alias("reuse_pass"), F.when(k % 8 != 0, "PASS").otherwise("FAIL").alias("canary"),
         F.when(k % 10 != 0, "someone").otherwise(" ").alias("reviewed_by"), F.lit("2020-01-01").alias("accepted_at"),
     )
-    return K.manifest_faults(made, "GRCh38", "quantseq_rev_v2_se")
+    return K.manifest_faults(made, "GRCh38", K.SINGLE_END)
 
 
 _REPORT = {

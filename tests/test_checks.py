@@ -45,5 +45,5 @@ def test_trend_of_simulated_counts(spark):
 def test_manifest_with_nulls(spark):
     names = "manifest string, schema_version int, status string, engine_commit string, adapter_commit string, model_sha256 string, environment_sha256 string, umi_present boolean, deduplicated boolean, library_protocols array<string>, assemblies array<string>, synthetic_pass boolean, reuse_pass boolean, canary string, reviewed_by string, accepted_at string"
     empty = spark.createDataFrame([("m", *[None] * 15)], names)
-    assert checks.manifest_faults(empty, "GRCh38", "quantseq_rev_v2_se").count() == 10
+    assert checks.manifest_faults(empty, "GRCh38", checks.SINGLE_END).count() == 10
     assert checks.manifest_faults(empty, "GRCh38", "other").count() == 11
