@@ -17,6 +17,7 @@ from endweave.llm.mixing import mix
 from endweave.llm.packing import pack
 from endweave.llm.sharding import shard
 from endweave.llm.toxicity import score_toxicity
+from endweave.llm.vector_codes import vector_codes
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op11_heap_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -74,10 +79,48 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity_trees": op8_toxicity_trees,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_best_fit": op10_best_fit,
+        "op11_heap_codes": op11_heap_codes,
     }
 
 
+def _lloyd_sql(rounds: int = 4) -> str:
+    """Lloyd rounds as chained tables; distances are sums of doubles that hold integers."""
+    far = "list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x)"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT p.row, p.part, min({{'d': {far}, 'e': c.e}}) AS best FROM p JOIN c{r} c USING (part) GROUP BY 1, 2
+)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT part, e, list(m ORDER BY i) AS x FROM (
+    SELECT p.part, a.best.e AS e, i, floor(sum(p.x[i + 1]) / count(*)) AS m
+    FROM p JOIN a{r} a USING (row, part), range(len(p.x)) t(i) GROUP BY 1, 2, 3) GROUP BY 1, 2
+), c{r + 1} AS MATERIALIZED (
+  SELECT c.part, c.e, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (part, e)
+)""")
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding, label) AS row, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT row, CAST(part AS INTEGER) AS part, q[part * len(q) // 4 + 1 : (part + 1) * len(q) // 4] AS x FROM k, range(4) t(part)
+), c0 AS MATERIALIZED (
+  SELECT part, CAST(row - 1 AS INTEGER) AS e, x FROM p WHERE row <= 256
+), {", ".join(steps)}, coded AS (
+  SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY 1
+), book AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, e)) AS sha FROM c{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, book.sha AS codebooks_sha256
+FROM k JOIN coded USING (row), book
+"""
+
+
 ORACLE_SQL = {
+    "op11_heap_codes": _lloyd_sql(),
     "op1_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

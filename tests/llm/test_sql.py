@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = queries.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)
