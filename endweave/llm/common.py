@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,27 @@ def dealt_anew(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
+    """df written in buckets of ``key`` to the shared checkpoint folder, for joins that read it again and
+    again where it lies; the table and its files go at the end."""
+    spark, name = df.sparkSession, f"endweave_{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}"
+    n = partitions(spark)
+    try:
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", folder).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(spark, folder)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from endweave.llm.common import columns_of, cut, nearby, partitions
+from endweave.llm.common import bucketed, columns_of, cut, nearby
 
 #: Parts of a vector, entries of a codebook, Lloyd rounds, and the steps of a component to one.
 PARTS, ENTRIES, ROUNDS, STEPS = 4, 256, 4, 1024
@@ -231,7 +231,8 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Other columns are not read.
 
     The codebooks and what moved between their entries, sums of one row an entry and task, are all that
-    meets on the driver. Rows stay where they were first dealt to, in blocks; a round writes heaps alone.
+    meets on the driver. Blocks of rows are written once, in buckets; a round reads them where they lie
+    and writes heaps alone, a fifth of their bytes.
     """
     spark = vectors.sparkSession
     given = columns_of(vectors, id_col, vector_col, label_col)
@@ -256,11 +257,21 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         ]
     )
     blocks = rows.mapInArrow(_blocks(), schema).withColumn("n", F.size("ids"))
-    blocks = cut(blocks.repartition(partitions(spark), "block").sortWithinPartitions("block"))
-    longest = blocks.agg(F.max("length")).first()[0]
-    if longest is None:
+    with bucketed(blocks, "block") as dealt:
+        coded, digest = _lloyd(rows, dealt, out, rounds)
+    if coded is None:
         empty = spark.createDataFrame([], out)
         return named(empty.withColumns({"label_error": F.lit(0).cast("long"), "codebooks_sha256": F.lit("")}))
+    by_label = cut(coded.groupBy(F.col("label_").alias("of_")).agg(F.try_sum("error").alias("label_error")))
+    done = coded.join(nearby(by_label), coded.label_.eqNullSafe(by_label.of_)).withColumn("codebooks_sha256", F.lit(digest))
+    return named(done)
+
+
+def _lloyd(rows: DataFrame, blocks: DataFrame, out: T.StructType, rounds: int) -> tuple[DataFrame | None, str]:
+    """(coded rows as a written table, None without a row; digest of the codebooks)."""
+    longest = blocks.agg(F.max("length")).first()[0]
+    if longest is None:
+        return None, ""
     length = PARTS * -(-longest // PARTS)
     first = rows.orderBy(F.col("id_").asc_nulls_last(), "vector_", "label_").limit(ENTRIES).select("vector_").collect()
     seeds = np.zeros((len(first), length), dtype=np.int64)
@@ -290,9 +301,6 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         others = np.repeat(ranked[:, -1:], ENTRIES, axis=1)
         others[np.arange(PARTS), steps.argmax(axis=1)] = ranked[:, -2]
         drift, books = drift + steps + others, means
-        held = blocks.join(state.filter("block is not null").select("block", "heaps"), "block")
+        held = blocks.join(state.filter("block is not null").select("block", "heaps").hint("merge"), "block")
     coded = cut(held.select("ids", "labels", "width", "data", "heaps", "n").mapInArrow(_coded(books, drift, length), out))
-    by_label = cut(coded.groupBy(F.col("label_").alias("of_")).agg(F.try_sum("error").alias("label_error")))
-    digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
-    done = coded.join(nearby(by_label), coded.label_.eqNullSafe(by_label.of_)).withColumn("codebooks_sha256", F.lit(digest))
-    return named(done)
+    return coded, hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
