@@ -15,6 +15,7 @@ from endweave.llm.langid import identify
 from endweave.llm.licenses import scan_licenses
 from endweave.llm.mixing import mix
 from endweave.llm.packing import pack
+from endweave.llm.quality import BUDGETS, CHANCE, LIFT, RISK, RULES, SHAPING, quality_rules
 from endweave.llm.sharding import shard
 from endweave.llm.toxicity import score_toxicity
 from endweave.llm.vector_codes import vector_codes
@@ -67,6 +68,10 @@ def op11_heap_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_best_fit": op10_best_fit,
         "op11_heap_codes": op11_heap_codes,
+        "op13_risk_rules": op13_risk_rules,
     }
 
 
@@ -119,7 +125,69 @@ FROM k JOIN coded USING (row), book
 """
 
 
+def _quality_sql() -> str:
+    """Measures by lists and windows; cutoffs as rows; binomial tails as sums over all terms."""
+    value = "CASE r.rule " + " ".join(f"WHEN '{rule}' THEN {of.replace(' div ', ' // ')}" for rule, (of, _) in RULES.items()) + " END"
+    cuts = ", ".join(f"('{rule}', {i}, {c})" for rule, (_, cuts) in RULES.items() for i, c in enumerate(cuts))
+    blank = r"[\x20\x09-\x0D]"
+    term = "exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p}))".format(p=RISK)
+    return rf"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id, text, lang) AS row, doc_id, lang, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{blank}+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls
+  FROM documents
+), win AS (
+  SELECT row, x.i AS i, count(*) OVER (PARTITION BY row, x.w) > 1 AS again
+  FROM (SELECT row, unnest(list_transform(range(1, len(ws) - 3), lambda i: {{'i': i, 'w': array_to_string(ws[i : i + 4], ' ')}})) AS x FROM t)
+), rep AS (
+  SELECT row, count(DISTINCT i + k) AS n FROM win, range(5) o(k) WHERE again GROUP BY 1
+), m AS MATERIALIZED (
+  SELECT t.row, t.doc_id, t.lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(length(regexp_replace(text, '{blank}+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(text) - length(regexp_replace(text, '[!?]', '', 'g')) AS n_exclamations,
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+    len(ls) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    len(ws) < 10 OR 100 * coalesce(rep.n, 0) > 20 * len(ws) AS base_failed
+  FROM t LEFT JOIN rep USING (row)
+), r(rule, step, c) AS (VALUES {cuts}), f AS MATERIALIZED (
+  SELECT m.row, r.rule, r.step, r.c, {value} > r.c AS falls FROM m, r WHERE NOT base_failed
+), lab AS (
+  SELECT m.row, m.lang, max(l.quality) = 1 AS good, hex < '{SHAPING}' AS shaping
+  FROM (SELECT *, md5(CAST(doc_id AS VARCHAR)) AS hex FROM m WHERE NOT base_failed) m JOIN labels l USING (doc_id) WHERE l.quality IN (0, 1) GROUP BY ALL
+), s AS (
+  SELECT lang, rule, step, c, count(*) FILTER (good AND falls) AS g, count(*) FILTER (NOT good AND falls) AS b,
+    count(*) FILTER (good) AS all_g, count(*) FILTER (NOT good) AS all_b
+  FROM lab JOIN f USING (row) WHERE shaping GROUP BY ALL
+), series AS MATERIALIZED (
+  SELECT lang, budget, rule, arg_max(c, {{'b': b, 's': -step}}) AS c
+  FROM s, (VALUES {", ".join(f"({b})" for b in BUDGETS)}) x(budget)
+  WHERE b > 0 AND b * all_g > {LIFT} * g * all_b AND g <= budget * all_g / {len(RULES)} GROUP BY ALL
+), k AS (
+  SELECT series.lang, budget, count(DISTINCT lab.row) AS n, count(DISTINCT lab.row) FILTER (falls) AS k
+  FROM series JOIN lab ON lab.lang IS NOT DISTINCT FROM series.lang AND good AND NOT shaping
+  JOIN f ON f.row = lab.row AND f.rule = series.rule AND f.c = series.c GROUP BY ALL
+), p AS (
+  SELECT k.lang, budget, sum({term}) AS p, (SELECT count(DISTINCT coalesce('x' || lang, '')) FROM k) AS m
+  FROM k, LATERAL (SELECT unnest(range(k.k + 1)) AS i) GROUP BY ALL
+), passed AS (
+  SELECT lang, max(budget) AS budget FROM (SELECT *, max(p) OVER (PARTITION BY lang ORDER BY budget) AS worst FROM p) WHERE worst <= {CHANCE} / m GROUP BY 1
+), gone AS (
+  SELECT m.row, string_agg(f.rule, ',' ORDER BY f.rule) AS rules
+  FROM m JOIN passed ON passed.lang IS NOT DISTINCT FROM m.lang
+  JOIN series ON series.lang IS NOT DISTINCT FROM m.lang AND series.budget = passed.budget
+  JOIN f ON f.row = m.row AND f.rule = series.rule AND f.c = series.c AND falls GROUP BY 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND gone.rules IS NULL AS kept, coalesce(gone.rules, '') AS failed_rules
+FROM m LEFT JOIN gone USING (row)
+"""
+
+
 ORACLE_SQL = {
+    "op13_risk_rules": _quality_sql(),
     "op11_heap_codes": _lloyd_sql(),
     "op1_exact_dedup": r"""
 WITH n AS (
