@@ -16,6 +16,7 @@ from endweave.llm.licenses import scan_licenses
 from endweave.llm.mixing import mix
 from endweave.llm.packing import pack
 from endweave.llm.quality import BUDGETS, CHANCE, LIFT, RISK, RULES, SHAPING, quality_rules
+from endweave.llm.repair import repair
 from endweave.llm.sharding import shard
 from endweave.llm.toxicity import score_toxicity
 from endweave.llm.vector_codes import vector_codes
@@ -68,6 +69,10 @@ def op11_heap_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_best_fit": op10_best_fit,
         "op11_heap_codes": op11_heap_codes,
+        "op12_viterbi_repair": op12_viterbi_repair,
         "op13_risk_rules": op13_risk_rules,
     }
 
@@ -186,7 +192,58 @@ FROM m LEFT JOIN gone USING (row)
 """
 
 
+#: Damage, faults and the forward pass as a recursion over rows; states 0 start, 1 system, 2 user, 3 assistant.
+_REPAIR_SQL = r"""
+WITH RECURSIVE k AS (
+  SELECT *, row_number() OVER () AS id, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), c AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS kind
+  FROM k
+), r AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c WHERE kind <> 0
+), p AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS ini, coalesce(lag(left(role, 1)) OVER w || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS bad,
+    regexp_replace(text, '[ 	-
+]+$', '') AS bare
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), f AS MATERIALIZED (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM p
+), conv AS (
+  SELECT DISTINCT conv_id FROM conversations
+), lead(st, ini, nxt, edit, cost) AS (
+  VALUES (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (3, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0),
+    (0, '*', 2, 'R', 2), (1, '*', 2, 'R', 2), (2, '*', 3, 'R', 2), (3, '*', 2, 'R', 2), (0, '*', 0, 'D', 3), (1, '*', 1, 'D', 3), (2, '*', 2, 'D', 3), (3, '*', 3, 'D', 3)
+), ins(st, nxt, edit, said) AS (
+  VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''),
+    (0, 2, 'I', chr(10) || 'user:'), (1, 2, 'I', chr(10) || 'user:'), (2, 3, 'I', chr(10) || 'assistant:'), (3, 2, 'I', chr(10) || 'user:'),
+    (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), dp(conv_id, i, st, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), nxt, {'cost': CAST(2 * length(edit) AS BIGINT), 'audit': edit, 'said': said} FROM conv, ins WHERE st = 0
+  UNION ALL
+  SELECT dp.conv_id, f.i, ins.nxt, min({'cost': dp.best.cost + lead.cost + CASE WHEN lead.edit <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END + 2 * length(ins.edit),
+    'audit': dp.best.audit || lead.edit || ins.edit,
+    'said': dp.best.said || CASE lead.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || CASE dp.st WHEN 2 THEN 'assistant:' ELSE 'user:' END || text END || ins.said})
+  FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1
+    JOIN lead ON lead.st = dp.st AND (lead.ini = '*' OR lead.ini = f.ini) AND (lead.edit = 'D' OR fault NOT IN ('blank', 'duplicate'))
+    JOIN ins ON ins.st = lead.nxt
+  GROUP BY dp.conv_id, f.i, ins.nxt
+), n AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal
+  FROM f GROUP BY 1
+), e AS (
+  SELECT dp.conv_id, min(best) AS best FROM dp LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id WHERE dp.i = coalesce(n.n, 0) AND st IN (0, 3) GROUP BY 1
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(substr(best.said, 2)) AS repaired_sha256
+FROM e LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 ORACLE_SQL = {
+    "op12_viterbi_repair": _REPAIR_SQL,
     "op13_risk_rules": _quality_sql(),
     "op11_heap_codes": _lloyd_sql(),
     "op1_exact_dedup": r"""
