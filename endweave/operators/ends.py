@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from endweave.functions import genomics as G
-from endweave.operators.intervals import FINE, merge, points_in, tiled, window_components
+from endweave.operators.intervals import FINE, TILE, merge, points_in, tiled, window_components
 
 PLACE = ["chrom", "strand"]
 CPM = "decimal(28,6)"
@@ -76,18 +76,16 @@ def disjoint(sites: DataFrame) -> DataFrame:
     return sites.withColumn("apart_", guard).filter("apart_").drop("apart_")
 
 
-def numbered(sites: DataFrame, prefix: str = "PAS_", digits: int = 8, tile: int | None = None) -> DataFrame:
-    """Adds pas_id in the order of the sites: numbers inside a tile behind those of the tiles before."""
-    name = lambda n: F.concat(F.lit(prefix), F.lpad(n.cast("string"), digits, "0"))
-    rows, several = tiled(sites, "start", tile)
-    if not several:
-        return sites.withColumn("pas_id", name(F.row_number().over(Window.orderBy("chrom", "start", "strand", "summit"))))
-    per = rows.groupBy("chrom", "tile_").agg(F.count(F.lit(1)).alias("n_"))
+def numbered(sites: DataFrame, prefix: str = "PAS_", digits: int = 8, tile: int = TILE) -> DataFrame:
+    """Adds pas_id in the order of the sites, nulls first: numbers inside a tile behind those of the tiles
+    before."""
+    rows = tiled(sites, ["chrom"], "start", tile)
+    per = rows.groupBy("tile_").agg(F.count(F.lit(1)).alias("n_"))
     # A row for each tile of a contig is all that one partition orders.
-    ahead = F.sum("n_").over(Window.orderBy("chrom", "tile_").rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.join(per.select("chrom", "tile_", F.coalesce(ahead, F.lit(0)).alias("ahead_")), ["chrom", "tile_"])
-    number = F.col("ahead_") + F.row_number().over(Window.partitionBy("chrom", "tile_").orderBy("start", "strand", "summit"))
-    return rows.withColumn("pas_id", name(number)).select(*sites.columns, "pas_id")
+    ahead = F.sum("n_").over(Window.orderBy("tile_").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.join(per.select("tile_", F.coalesce(ahead, F.lit(0)).alias("ahead_")), "tile_")
+    number = F.col("ahead_") + F.row_number().over(Window.partitionBy("tile_").orderBy("start", "strand", "summit"))
+    return rows.withColumn("pas_id", F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))).select(*sites.columns, "pas_id")
 
 
 def supported(counts: DataFrame, total: int = 5, samples: int = 2) -> DataFrame:

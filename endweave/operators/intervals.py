@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.session import bytes_read
-
 #: Width of the bins of range joins, for genes and for sites, and of the tiles of sweeps.
 BIN, FINE, TILE = 100_000, 1024, 1 << 20
-#: Bytes of the inputs of a table that is swept in tiles.
-LARGE = 1 << 30
 
 
 def bins(start: Column, end: Column, width: int) -> Column:
@@ -48,67 +44,62 @@ def overlaps(a: DataFrame, b: DataFrame, keys: list[str], width: int = BIN, pref
     )
 
 
-def large(df: DataFrame) -> bool:
-    """Whether a table is made of more than LARGE bytes.
-
-    Sweeps of a large table go in tiles, those of a small one in one pass for each key, which needs no
-    exchange of carried values. Results are the same."""
-    return bytes_read(df) > LARGE
-
+def tiled(df: DataFrame, keys: list[str], pos: str, tile: int = TILE) -> DataFrame:
+    """The rows with ``tile_``, a struct of keys and number of the tile of ``tile`` positions, which null
+    keys and a null position are part of; rows of a tile lie together.
 
-def tiled(df: DataFrame, pos: str, tile: int | None) -> tuple[DataFrame, bool]:
-    """(the rows with ``tile_``, whether there is more than one): ``tile`` positions each, None for a choice."""
-    if tile is None and not large(df):
-        return df.withColumn("tile_", F.lit(0).cast("long")), False
-    return df.withColumn("tile_", F.floor(F.col(pos) / (tile or TILE))), True
+    The one exchange of a sweep: all that is worked out for tiles, or carried to them, reads it again."""
+    at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.floor(F.col(pos) / tile).alias("tile"))
+    return df.withColumn("tile_", at).repartition("tile_")
 
 
-def carried(df: DataFrame, keys: list[str], tile: str, before: dict | None = None, after: dict | None = None) -> DataFrame:
+def carried(df: DataFrame, before: dict | None = None, after: dict | None = None) -> DataFrame:
     """Adds to the rows of a tile what the tiles of the same keys before or after it add up to.
 
     before, after: name -> (aggregate of a tile's rows, function that combines those of other tiles),
     null where there are no others. One row a tile is all that is ordered across tiles."""
     before, after = before or {}, after or {}
-    per = df.groupBy(*keys, tile).agg(*[agg.alias(name) for name, (agg, _) in {**before, **after}.items()])
-    up = Window.partitionBy(*keys).orderBy(tile).rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*keys).orderBy(F.col(tile).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    per = df.groupBy("tile_").agg(*[agg.alias(name) for name, (agg, _) in {**before, **after}.items()])
+    keys = [F.col(f"tile_.{f.name}") for f in df.schema["tile_"].dataType.fields[:-1]]
+    number = F.col("tile_.tile")
+    up = Window.partitionBy(*keys).orderBy(number.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys).orderBy(number.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     over = [combine(name).over(up).alias(name) for name, (_, combine) in before.items()]
     over += [combine(name).over(down).alias(name) for name, (_, combine) in after.items()]
-    return df.join(per.select(*keys, tile, *over), [*keys, tile])
+    # Structs with null fields are equal where their fields are, so that no row is lost.
+    return df.join(per.select("tile_", *over), "tile_")
 
 
-def merge(spans: DataFrame, keys: list[str], adjacent: bool = False, tile: int | None = None) -> DataFrame:
+def merge(spans: DataFrame, keys: list[str], adjacent: bool = False, tile: int = TILE) -> DataFrame:
     """Islands of overlapping (or touching) non-empty intervals: keys, start, end, members.
 
-    Intervals are swept in tiles of starts, each with the reach and the islands of those before."""
-    rows, several = tiled(spans.filter("end > start"), "start", tile)
-    none = F.lit(None).cast("long")
-    rows = carried(rows, keys, "tile_", {"reach_": (F.max("end"), F.max)}) if several else rows.withColumn("reach_", none)
-    order = Window.partitionBy(*keys, "tile_").orderBy("start", "end")
+    Intervals are swept in tiles of starts: a tile knows the reach of those before, its first island the
+    start of the one that it goes on with. Rows without a start or an end are no intervals; a null key is
+    a key."""
+    rows = carried(tiled(spans.filter("end > start"), keys, "start", tile), {"reach_": (F.max("end"), F.max)})
+    order = Window.partitionBy("tile_").orderBy("start", "end")
     reach = F.greatest("reach_", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     apart = F.col("start") > reach if adjacent else F.col("start") >= reach
-    marked = rows.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
-    marked = carried(marked, keys, "tile_", {"islands_": (F.sum("new"), F.sum)}) if several else marked.withColumn("islands_", none)
-    island = F.coalesce("islands_", F.lit(0)) + F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    marked = rows.withColumn("begins_", F.when(F.coalesce(apart, F.lit(True)), F.col("start")))
+    marked = marked.withColumn("own_", F.max("begins_").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = marked.groupBy("tile_", *keys, "own_").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("members"))
+    parts = carried(parts, {"island_": (F.max("own_"), F.max)}).withColumn("island", F.coalesce("own_", "island_"))
     return (
-        marked.withColumn("island", island)
-        .groupBy(*keys, "island")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("members"))
+        parts.groupBy(*keys, "island")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("members").alias("members"))
         .drop("island")
     )
 
 
-def gap_clusters(points: DataFrame, keys: list[str], pos: str, gap: int, tile: int | None = None) -> DataFrame:
+def gap_clusters(points: DataFrame, keys: list[str], pos: str, gap: int, tile: int = TILE) -> DataFrame:
     """Adds ``cluster``: a number that rises where a position is more than ``gap`` behind the one before.
 
-    Positions are swept in tiles, each with the last position and the clusters of those before."""
-    rows, several = tiled(points, pos, tile)
-    none = F.lit(None).cast("long")
-    rows = carried(rows, keys, "tile_", {"last_": (F.max(pos), F.max)}) if several else rows.withColumn("last_", none)
-    order = Window.partitionBy(*keys, "tile_").orderBy(pos)
+    Positions are swept in tiles, each with the last position and the clusters of those before. Rows
+    without a position come first and are in the first cluster; a null key is a key."""
+    rows = carried(tiled(points, keys, pos, tile), {"last_": (F.max(pos), F.max)})
+    order = Window.partitionBy("tile_").orderBy(pos)
     new = F.coalesce(F.col(pos) - F.coalesce(F.lag(pos).over(order), F.col("last_")) > gap, F.lit(False)).cast("int")
-    marked = rows.withColumn("new", new)
-    marked = carried(marked, keys, "tile_", {"clusters_": (F.sum("new"), F.sum)}) if several else marked.withColumn("clusters_", none)
+    marked = carried(rows.withColumn("new", new), {"clusters_": (F.sum("new"), F.sum)})
     upto = F.sum("new").over(order.rangeBetween(Window.unboundedPreceding, 0))
     return marked.withColumn("cluster", F.coalesce("clusters_", F.lit(0)) + upto).select(*points.columns, "cluster")
 
@@ -142,33 +133,31 @@ def window_components(points: DataFrame, keys: list[str], width: int, threshold:
     return merge(covered, keys, adjacent=True).drop("members")
 
 
-def coverage(spans: DataFrame, keys: list[str], tile: int | None = None) -> DataFrame:
+def coverage(spans: DataFrame, keys: list[str], tile: int = TILE) -> DataFrame:
     """Runs of equal depth above zero: keys, start, end, depth; swept in tiles that know the depth they
-    begin with and where the next one begins."""
-    events = spans.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("x"), F.lit(1).alias("d")), F.struct(F.col("end").alias("x"), F.lit(-1).alias("d")))).alias("e"))
+    begin with and where the next one begins. Rows without a start or an end cover nothing; a null key is
+    a key."""
+    whole = spans.filter("start is not null and end is not null")
+    events = whole.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("x"), F.lit(1).alias("d")), F.struct(F.col("end").alias("x"), F.lit(-1).alias("d")))).alias("e"))
     steps = events.groupBy(*keys, F.col("e.x").alias("x")).agg(F.sum("e.d").alias("d")).filter("d <> 0")
-    steps, several = tiled(steps, "x", tile)
-    none = F.lit(None).cast("long")
-    steps = carried(steps, keys, "tile_", {"depth_": (F.sum("d"), F.sum)}, {"next_": (F.min("x"), F.min)}) if several else steps.withColumns({"depth_": none, "next_": none})
-    order = Window.partitionBy(*keys, "tile_").orderBy("x")
+    steps = carried(tiled(steps, keys, "x", tile), {"depth_": (F.sum("d"), F.sum)}, {"next_": (F.min("x"), F.min)})
+    order = Window.partitionBy("tile_").orderBy("x")
     depth = F.coalesce("depth_", F.lit(0)) + F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))
     runs = steps.withColumn("depth", depth).withColumn("end", F.coalesce(F.lead("x").over(order), F.col("next_")))
     return runs.filter("depth > 0").select(*keys, F.col("x").alias("start"), "end", "depth")
 
 
-def nearest_distance(points: DataFrame, sites: DataFrame, keys: list[str], pos: str = "pos", site: str = "site", tile: int | None = None) -> DataFrame:
-    """Adds ``distance`` to the nearest site of the same keys, null without one; swept in tiles that
-    know the last site before and the first one behind them."""
+def nearest_distance(points: DataFrame, sites: DataFrame, keys: list[str], pos: str = "pos", site: str = "site", tile: int = TILE) -> DataFrame:
+    """Adds ``distance`` to the nearest site of the same keys, null without one or without a position; swept
+    in tiles that know the last site before and the first one behind them. A null key is a key."""
     both = points.select(*keys, F.col(pos).alias("at"), F.lit(None).cast("long").alias("known"), F.struct(*points.columns).alias("row")).unionByName(
         sites.select(*keys, F.col(site).alias("at"), F.col(site).cast("long").alias("known")), allowMissingColumns=True
     )
-    both, several = tiled(both, "at", tile)
-    none = F.lit(None).cast("long")
-    both = carried(both, keys, "tile_", {"before_": (F.max("known"), F.max)}, {"after_": (F.min("known"), F.min)}) if several else both.withColumns({"before_": none, "after_": none})
-    order = Window.partitionBy(*keys, "tile_").orderBy("at")
+    both = carried(tiled(both, keys, "at", tile), {"before_": (F.max("known"), F.max)}, {"after_": (F.min("known"), F.min)})
+    order = Window.partitionBy("tile_").orderBy("at")
     before = F.coalesce(F.last("known", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)), F.col("before_"))
     # Downwards as a running frame too: one that is open at its far end is read anew for every row.
-    down = Window.partitionBy(*keys, "tile_").orderBy(F.col("at").desc())
+    down = Window.partitionBy("tile_").orderBy(F.col("at").desc())
     after = F.coalesce(F.last("known", ignorenulls=True).over(down.rangeBetween(Window.unboundedPreceding, 0)), F.col("after_"))
     return (
         both.withColumn("distance", F.least(F.abs(F.col("at") - before), F.abs(after - F.col("at"))))

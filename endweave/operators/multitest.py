@@ -4,49 +4,36 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from endweave.operators.intervals import carried, large
 
 
-def _bucket(p: Column) -> Column:
-    """A number that rises with p: 1024 equal parts of (0, 1], and below the first one the powers of two."""
-    small = -F.floor(-F.log2(F.greatest(p, F.lit(1e-300)))) - 1
-    return F.when(p >= 1 / 1024, F.floor(F.least(p, F.lit(1.0)) * 1024)).otherwise(small).cast("int")
+def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj", fine: int = 4096) -> DataFrame:
+    """Benjamini-Hochberg over the p-values of each group; null and NaN stay null, a null key is a key.
 
-
-def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj", buckets: bool | None = None) -> DataFrame:
-    """Benjamini-Hochberg over the finite p-values of each group; others stay null.
-
-    Groups of a large table are ranked in buckets of p-values, each with the number of those below and
-    the least scaled value above it; groups of a small one at once. Equal p-values count once in the frames (by range), so that ties are
-    equal too."""
+    Equal p-values are one row with a count, however many there are. These are ranked in buckets, ``fine``
+    to a factor of two, each with the number of tests below it and the least scaled value above."""
     valid = F.col(p).isNotNull() & ~F.isnan(p)
-    if not (large(df) if buckets is None else buckets):
-        group = Window.partitionBy(*by, valid)
-        rank = F.count(F.lit(1)).over(group.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
-        scaled = F.col(p) * F.count(F.lit(1)).over(group) / rank
-        least = F.min("scaled_").over(group.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0))
-        return df.withColumn("scaled_", scaled).withColumn(out, F.when(valid, F.least(F.lit(1.0), least))).drop("scaled_")
-    # Nulls are a group of their own.
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")) if i % 2 else F.col(c).isNull() for c in by for i in range(2)]
-    rows = df.withColumns({"ok_": valid, "bucket_": F.when(valid, _bucket(F.col(p))), "group_": F.xxhash64(*named) if by else F.lit(0).cast("long")})
-    tested = rows.filter("ok_")
-    sizes = tested.groupBy("group_", "bucket_").agg(F.count(F.lit(1)).alias("n_"))
-    every = Window.partitionBy("group_")
-    below = F.sum("n_").over(every.orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select("group_", "bucket_", F.coalesce(below, F.lit(0)).alias("below_"), F.sum("n_").over(every).alias("all_"))
-    part = Window.partitionBy("group_", "bucket_")
-    rank = F.col("below_") + F.count(F.lit(1)).over(part.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
-    tested = tested.join(sizes, ["group_", "bucket_"]).withColumn("scaled_", F.col(p) * F.col("all_") / rank)
-    tested = carried(tested, ["group_"], "bucket_", after={"least_": (F.min("scaled_"), F.min)})
-    # From the largest p-value down as a running minimum.
-    down = part.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0)
-    done = tested.withColumn(out, F.least(F.lit(1.0), F.min("scaled_").over(down), F.col("least_")))
-    others = rows.filter("not ok_").withColumn(out, F.lit(None).cast("double"))
-    return done.select(*df.columns, out).union(others.select(*df.columns, out))
+    keyed = df.withColumn("group_", F.struct(F.lit(0).alias("k"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(by)]))
+    tests = keyed.filter(valid).groupBy("group_", F.col(p).alias("p_")).agg(F.count(F.lit(1)).alias("n_"))
+    bucket = F.coalesce(F.floor(F.log2("p_") * fine), F.lit(-(1 << 40)))
+    tests = tests.withColumn("bucket_", F.struct("group_", bucket.alias("b"))).repartition("bucket_")
+    sizes = tests.groupBy("bucket_").agg(F.sum("n_").alias("n_"))
+    every = Window.partitionBy("bucket_.group_")
+    below = F.sum("n_").over(every.orderBy("bucket_.b").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("bucket_", F.coalesce(below, F.lit(0)).alias("below_"), F.sum("n_").over(every).alias("all_"))
+    order = Window.partitionBy("bucket_").orderBy("p_")
+    rank = F.col("below_") + F.sum("n_").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    scaled = tests.join(sizes, "bucket_").withColumn("scaled_", F.col("p_") * F.col("all_") / rank)
+    # From the largest p-value down as a running minimum, in the bucket and over those above.
+    down = Window.partitionBy("bucket_").orderBy(F.col("p_").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    above = every.orderBy(F.col("bucket_.b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    least = scaled.groupBy("bucket_").agg(F.min("scaled_").alias("low_")).select("bucket_", F.min("low_").over(above).alias("least_"))
+    done = scaled.join(least, "bucket_").select("group_", "p_", F.least(F.lit(1.0), F.min("scaled_").over(down), F.col("least_")).alias(out))
+    at = F.when(valid, F.col(p))
+    return keyed.withColumn("p_", at).join(done, ["group_", "p_"], "left").select(*df.columns, out)
 
 
 def filtered_bh(results: DataFrame, by: list[str], mean: str = "base_mean", p: str = "pvalue", alpha: float = 0.1, steps: int = 50) -> DataFrame:

@@ -122,22 +122,86 @@ def test_merge_and_overlaps_against_loops(spark):
     assert pairs == want
 
 
-def test_tiles_change_nothing(spark):
-    """Sweeps in tiles of a few positions give what one tile gives."""
-    rng = random.Random(7)
-    spans = [("c", "+-"[rng.randrange(2)], a, a + rng.choice([1, 3, 40, 200])) for a in (rng.randrange(900) for _ in range(250))]
-    df = spark.createDataFrame(spans, "chrom string, strand string, start long, end long")
-    keys = ["chrom", "strand"]
-    points = df.select(*keys, F.col("start").alias("pos"))
-    sites = df.limit(9).select(*keys, F.col("end").alias("site"))
-    same = lambda f: sorted(map(tuple, f(7).collect())) == sorted(map(tuple, f(1 << 20).collect()))
+def swept_rows(seed):
+    """Intervals on contigs and strands, some of them null, some without a start or an end."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(260):
+        a = rng.randrange(900)
+        start, end = rng.choice([a] * 12 + [None]), a + rng.choice([0, 1, 3, 40, 200])
+        rows.append((rng.choice(["c", "c", "d", None]), rng.choice(["+", "-", None]), start, rng.choice([end] * 12 + [None])))
+    return rows
+
+
+def grouped(rows):
+    groups = {}
+    for chrom, strand, *rest in rows:
+        groups.setdefault((chrom, strand), []).append(rest)
+    return groups
+
+
+def as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("tile", [7, 64, intervals.TILE])
+def test_sweeps_against_loops(spark, tile):
+    """Merging, coverage, gap clusters, distances and numbers, with null keys and null positions."""
+    rows, keys = swept_rows(7), ["chrom", "strand"]
+    df = spark.createDataFrame(rows, "chrom string, strand string, start long, end long").repartition(3)
     for adjacent in (True, False):
-        assert same(lambda t: intervals.merge(df, keys, adjacent, tile=t))
-    assert same(lambda t: intervals.coverage(df, keys, tile=t))
-    assert same(lambda t: intervals.gap_clusters(points, keys, "pos", 2, tile=t))
-    assert same(lambda t: intervals.nearest_distance(points, sites, keys, tile=t))
-    named = df.withColumn("summit", F.col("end"))
-    assert same(lambda t: ends.numbered(named.distinct(), tile=t))
+        islands = []
+        for (c, s), spans in grouped(rows).items():
+            last = None
+            for a, b in sorted(x for x in spans if None not in x and x[1] > x[0]):
+                if last is not None and (a <= last[3] if adjacent else a < last[3]):
+                    last[3], last[4] = max(last[3], b), last[4] + 1
+                else:
+                    last = [c, s, a, b, 1]
+                    islands.append(last)
+        assert as_rows(intervals.merge(df, keys, adjacent, tile=tile)) == sorted(map(tuple, islands), key=repr)
+
+    depths = []
+    for (c, s), spans in grouped(rows).items():
+        whole = [x for x in spans if None not in x]
+        steps = sorted({x for span in whole for x in span})
+        runs = [[a, b, sum(i <= a < j for i, j in whole)] for a, b in zip(steps, steps[1:], strict=False)]
+        joined = []
+        for run in runs:
+            if joined and joined[-1][2] == run[2] and joined[-1][1] == run[0]:
+                joined[-1][1] = run[1]
+            else:
+                joined.append(run)
+        depths += [(c, s, *run) for run in joined if run[2]]
+    assert as_rows(intervals.coverage(df, keys, tile=tile)) == sorted(depths, key=repr)
+
+    clusters = {}
+    for key, spans in grouped(rows).items():
+        number, before = 0, None
+        for a in sorted((x[0] for x in spans), key=lambda a: (a is not None, a)):
+            number += before is not None and a is not None and a - before > 2
+            clusters.setdefault((*key, number), []).append(a)
+            before = a if a is not None else before
+    points = df.select(*keys, F.col("start").alias("pos"))
+    got = {}
+    for r in intervals.gap_clusters(points, keys, "pos", 2, tile=tile).collect():
+        got.setdefault((r.chrom, r.strand, r.cluster), []).append(r.pos)
+    order = lambda xs: sorted(xs, key=lambda a: (a is not None, a))
+    assert {k: order(v) for k, v in got.items()} == {k: order(v) for k, v in clusters.items()}
+
+    sites = [(c, s, end) for c, s, _, end in rows[::20]]
+    held = grouped(sites)
+    want = []
+    for c, s, start, _ in rows:
+        near = [abs(start - e) for (e,) in held.get((c, s), []) if e is not None and start is not None]
+        want.append((c, s, start, min(near) if near else None))
+    known = spark.createDataFrame(sites, "chrom string, strand string, site long")
+    assert as_rows(intervals.nearest_distance(points, known, keys, tile=tile)) == sorted(want, key=repr)
+
+    named = df.distinct().withColumn("summit", F.col("end"))
+    low = lambda r: tuple((x is not None, x) for x in (r[0], r[2], r[1], r[3]))
+    want = [(*r, r[3], f"PAS_{i + 1:08d}") for i, r in enumerate(sorted(set(rows), key=low))]
+    assert as_rows(ends.numbered(named, tile=tile)) == sorted(want, key=repr)
 
 
 def test_sites_must_be_apart(spark):

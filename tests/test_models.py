@@ -292,8 +292,8 @@ def test_bh_in_buckets(spark):
     rng = random.Random(5)
     rows = [(rng.choice(["a", "b", None]), rng.choice([rng.random(), rng.random() ** 9, 0.5, 1e-200, 0.0, 1.0, None, float("nan")])) for _ in range(600)]
     df = spark.createDataFrame([(i, g, p) for i, (g, p) in enumerate(rows)], "i long, g string, pvalue double").repartition(5)
-    for by, buckets in (([], True), (["g"], True), (["g"], False)):
-        got = {r.i: r.padj for r in adjust_bh(df, by, buckets=buckets).collect()}
+    for by, fine in (([], 4096), (["g"], 4096), (["g"], 1)):
+        got = {r.i: r.padj for r in adjust_bh(df, by, fine=fine).collect()}
         assert len(got) == len(rows)
         for group in {g for g, _ in rows} if by else {0}:
             at = [i for i, (g, _) in enumerate(rows) if not by or g == group]
