@@ -10,6 +10,8 @@ from endweave.operators.intervals import FINE, TILE, merge, points_in, tiled, wi
 
 PLACE = ["chrom", "strand"]
 CPM = "decimal(28,6)"
+#: The flag of reads that are marked as duplicates.
+DUPLICATE = 1024
 
 
 def exact_ends(alignments: DataFrame) -> DataFrame:
@@ -26,6 +28,44 @@ def exact_ends(alignments: DataFrame) -> DataFrame:
     )
 
 
+def endpoint_reads(alignments: DataFrame, layout: str = "SE") -> DataFrame:
+    """Reads (chrom, strand, pos, eligible, duplicate, clipped, defining) of a layout, whatever their number
+    of hits: a mate that defines no end is none of the others, an eligible read is mapped and primary."""
+    flag = F.col("flag")
+    defining = G.defines_end(flag, F.lit(layout))
+    eligible = defining & ~G.flagged(flag, G.UNMAPPED | G.SECONDARY | G.SUPPLEMENTARY)
+    return alignments.select(
+        "sample_id",
+        "chrom",
+        G.transcript_strand(flag).alias("strand"),
+        G.transcript_end(flag, F.col("ref_start"), F.col("ref_end")).alias("pos"),
+        defining.alias("defining"),
+        eligible.alias("eligible"),
+        (eligible & G.flagged(flag, DUPLICATE)).alias("duplicate"),
+        (eligible & G.end_clipped(flag, F.col("cigar"), hard=False)).alias("clipped"),
+    )
+
+
+def endpoint_counts(alignments: DataFrame, layout: str = "SE") -> DataFrame:
+    """(sample_id, chrom, strand, pos, count) of all eligible reads, duplicates and clipped ones too."""
+    return endpoint_reads(alignments, layout).filter("eligible").groupBy("sample_id", *PLACE, "pos").agg(F.count(F.lit(1)).alias("count"))
+
+
+def endpoint_audit(alignments: DataFrame, layout: str = "SE") -> DataFrame:
+    """What became of each sample's records, and the number of places that they end at."""
+    per = endpoint_reads(alignments, layout).groupBy("sample_id", *PLACE, "pos").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c)).alias(c) for c in ("defining", "eligible", "duplicate", "clipped")]
+    )
+    return per.groupBy("sample_id").agg(
+        F.sum("n").alias("records"),
+        F.sum("eligible").alias("eligible"),
+        F.sum("duplicate").alias("duplicates_kept"),
+        F.sum("clipped").alias("clipped_kept"),
+        F.sum(F.col("n") - F.col("defining")).alias("other_mates"),
+        F.count_if(F.col("eligible") > 0).alias("places"),
+    )
+
+
 def route_masked(ends: DataFrame, masked: Column, rescued: Column) -> DataFrame:
     """Adds ``universe``: C2 for ends that are not masked or are rescued, C2R for the others."""
     return ends.withColumn("universe", F.when(~masked | rescued, "C2").otherwise("C2R"))

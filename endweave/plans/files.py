@@ -92,6 +92,47 @@ def alignment_file(spark, d):
     return R.read_alignments(spark, _text(header.union(lines)), "x")
 
 
+#: Bytes of the ranges in which the queries read binary alignments, so that small files have several.
+_RANGE = 1 << 18
+
+
+def _binary(spark, reads: DataFrame) -> DataFrame:
+    path = _place(spark)
+    # Few files, so that ranges cut them.
+    W.write_bam(reads.coalesce(2), path, [(c, 2**31 - 1) for c in "ANR"])
+    return R.read_bam(spark, path, "x", _RANGE)
+
+
+@query(T.sql(f"""SELECT 'x' AS sample_id, rid AS read_name, flag, chrom, ref_start, ref_end, nh,
+ CASE WHEN strand = '+' THEN '30M' || {_CIGAR} ELSE {_CIGAR} || '30M' END AS cigar FROM al WHERE ref_start >= 0""", "al"))
+def binary_alignment_file(spark, d):
+    """Written in blocks and read in ranges of _RANGE bytes."""
+    return _binary(spark, T.alignments(spark, d).filter("ref_start >= 0"))
+
+
+@query(T.sql("""SELECT chrom, strand, pos, CAST(count(*) AS BIGINT) AS count FROM al WHERE ref_start >= 0 AND (flag & 2308) = 0 GROUP BY ALL""", "al"))
+def binary_endpoints(spark, d):
+    """Ends from binary files, whatever a read's number of hits."""
+    from endweave.operators import ends as E
+
+    return E.endpoint_counts(_binary(spark, T.alignments(spark, d).filter("ref_start >= 0"))).drop("sample_id")
+
+
+@query(T.sql("""SELECT sample_id, CAST(count(*) AS BIGINT) AS records, CAST(count(*) FILTER (WHERE (flag & 65) = 65 AND ok) AS BIGINT) AS eligible,
+ CAST(count(*) FILTER (WHERE (flag & 65) = 65 AND ok AND flag & 1024 <> 0) AS BIGINT) AS duplicates_kept,
+ CAST(count(*) FILTER (WHERE (flag & 65) = 65 AND ok AND soft) AS BIGINT) AS clipped_kept,
+ CAST(count(*) FILTER (WHERE (flag & 65) <> 65) AS BIGINT) AS other_mates,
+ CAST(count(DISTINCT struct_pack(c := chrom, s := strand, p := pos)) FILTER (WHERE (flag & 65) = 65 AND ok) AS BIGINT) AS places
+ FROM (SELECT sample_id, chrom, strand, pos, soft, (flag & 2308) = 0 AS ok, flag | 1 | CASE WHEN nh IS NULL OR nh = 2 THEN 128 ELSE 64 END AS flag FROM al) GROUP BY 1""", "al"))
+def endpoint_audit(spark, d):
+    """Pairs: reads without a number of hits, or with two, stand for second mates."""
+    from endweave.operators import ends as E
+
+    mate = F.when(F.coalesce("nh", F.lit(2)) == 2, 128).otherwise(64)
+    pairs = T.alignments(spark, d).withColumn("flag", F.col("flag").bitwiseOR(F.lit(1)).bitwiseOR(mate))
+    return E.endpoint_audit(pairs, "PE")
+
+
 @query("""SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS read_name, l_orderkey * 7 + a AS start, l_orderkey * 7 + b AS "end"
  FROM lineitem JOIN (VALUES (0, 0, 30), (1, 0, 30), (2, 0, 12), (2, 18, 30)) v(kind, a, b) ON l_linenumber % 3 = kind""")
 def alignment_blocks(spark, d):

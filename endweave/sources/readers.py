@@ -285,13 +285,13 @@ def model_faults(gtf: DataFrame, sizes: DataFrame) -> DataFrame:
     return per.select("gene_id", F.explode(faults).alias("fault"))
 
 
-def read_bam(spark: SparkSession, path: str, sample_id: str) -> DataFrame:
-    """Alignments of BAM files, with the columns of ``read_alignments``. A file is one task's work, block
-    by block; Spark hands over files of up to 2 GB, so that larger ones are split beforehand."""
-    from endweave.sources.bam import records
+def read_bam(spark: SparkSession, path: str, sample_id: str, split: int | None = None) -> DataFrame:
+    """Alignments of a BAM file or a folder of them, with the columns of ``read_alignments``. Files go in
+    ranges of ``split`` bytes, a task each; the path is one that pyarrow can open on all executors."""
+    from endweave.sources import bam
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    rows = files.mapInArrow(records, "read_name string, flag int, chrom string, ref_start long, ref_end long, cigar string, nh int")
+    bam.register(spark)
+    rows = spark.read.format("bam").option("split", split or bam.SPLIT).load(path)
     return rows.select(F.lit(sample_id).alias("sample_id"), "read_name", "flag", "chrom", "ref_start", "ref_end", "cigar", "nh")
 
 

@@ -20,6 +20,16 @@ def write_positions(ends: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").partitionBy("sample_id").parquet(path)
 
 
+def write_bam(alignments: DataFrame, path: str, contigs: list[tuple[str, int]]) -> None:
+    """Alignments (read_name, flag, chrom, ref_start, cigar, nh) as BAM files, one a task, without bases."""
+    from endweave.sources import bam
+
+    bam.register(alignments.sparkSession)
+    none = {"ref_end": F.lit(None).cast("long"), "file": F.lit(None).cast("string")}
+    rows = alignments.select("read_name", "flag", "chrom", "ref_start", none["ref_end"].alias("ref_end"), "cigar", "nh", none["file"].alias("file"))
+    rows.write.format("bam").option("contigs", json.dumps(contigs)).mode("append").save(path)
+
+
 def as_saf(union: DataFrame) -> DataFrame:
     """1-based inclusive intervals for counting tools."""
     return union.select(F.col("gene_id").alias("GeneID"), F.col("chrom").alias("Chr"), (F.col("start") + 1).alias("Start"), F.col("end").alias("End"), F.col("strand").alias("Strand"))

@@ -1,6 +1,7 @@
 """Readers, writers, settings and streams on small files."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,10 +147,36 @@ def test_binary_alignments(spark, tmp_path):
     got = [tuple(r) for r in readers.read_bam(spark, str(path), "s").collect()]
     assert got == [("s", "r1", 16, "c", 100, 125, "5S10M5N10M", 1), ("s", "r2", 4, "*", -1, -1, "*", None), ("s", "r3", 0, "d", 10, 25, "10M2D3M1I", 7)]
     assert readers.read_bam(spark, str(path), "s").columns == readers.read_alignments(spark, put(tmp_path, "b.sam", "@HD\n"), "s").columns
-    from endweave.sources.bam import alignments
-
-    with pytest.raises(ValueError):
-        list(alignments(_bam(reads)[:-30]))
+    path.write_bytes(_bam(reads)[:-30])
+    with pytest.raises(Exception, match="ends inside"):
+        readers.read_bam(spark, str(path), "s").collect()
+
+
+def test_binary_alignments_in_ranges(spark, tmp_path):
+    """Any size of ranges gives the same rows; a file has several; records cross blocks and ranges."""
+    from endweave.sources import bam, writers
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(6000):
+        mapped = rng.random() < 0.95
+        cigar = "".join(f"{rng.randint(1, 300)}{k}" for k in rng.choice(["M", "SM", "MNM", "MIMDMS", "HMX=" * 40])) if mapped else "*"
+        rows.append((f"read{i}{'x' * rng.randint(0, 90)}", rng.choice([0, 16, 4, 1024]), rng.choice(["c", "d"]) if mapped else "*", rng.randint(0, 10**6) if mapped else -1, cigar, rng.choice([None, 1, 2, 300])))
+    df = spark.createDataFrame(rows, "read_name string, flag int, chrom string, ref_start long, cigar string, nh int")
+    folder = str(tmp_path / "out")
+    writers.write_bam(df.coalesce(1), folder, [("c", 2 * 10**6), ("d", 2 * 10**6)])
+    (name,) = [x for x in os.listdir(folder) if not x.startswith((".", "_"))]
+    size = os.path.getsize(f"{folder}/{name}")
+    assert size > 3 * 0x8000
+    for split in (997, 20_011, 65_536, size * 2):
+        got = [r for part in bam.ranged(f"{folder}/{name}", split) for r in bam.read_range(part)]
+        assert [(r[0], r[1], r[2], r[3], r[5], r[6]) for r in got] == rows
+    back = readers.read_bam(spark, folder, "s", 30_000)
+    assert back.rdd.getNumPartitions() >= 4
+    assert sorted((r.read_name, r.flag, r.chrom, r.ref_start, r.cigar, r.nh) for r in back.collect()) == sorted(rows, key=lambda r: r[0])
+    assert all(r.ref_end == r.ref_start + sum(int(n) for n, k in bam._cut(r.cigar) if k in "MDN=X") for r in back.collect() if r.cigar != "*")
+    writers.write_bam(df.limit(0), str(tmp_path / "none"), [("c", 9)])
+    assert readers.read_bam(spark, str(tmp_path / "none"), "s").count() == 0
 
 
 def test_polya_sites(spark, tmp_path):
