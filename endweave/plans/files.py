@@ -92,6 +92,52 @@ def alignment_file(spark, d):
     return R.read_alignments(spark, _text(header.union(lines)), "x")
 
 
+#: Chains made of orders: one for every twenty orders, of three blocks, every fourth to the other strand,
+#: every fifth with a second one elsewhere.
+_CHAINS = {
+    "cg": "SELECT DISTINCT o_orderkey // 20 AS g FROM orders",
+    "cn": "SELECT g, 'c' || g AS chain_id, CAST(0 AS BIGINT) AS more FROM cg UNION ALL SELECT g, 'd' || g, 500000000 FROM cg WHERE g % 5 = 0",
+    "cb": """SELECT chain_id, ['A', 'N', 'R'][g % 3 + 1] AS chrom, g * 140 + a AS start, g * 140 + b AS "end", 'to' || (g % 7) AS to_chrom, g * 140 + 1000 + more + q AS to_start,
+  CASE WHEN g % 4 = 0 THEN '-' ELSE '+' END AS to_strand, 1000000000 AS to_size FROM cn, (VALUES (0, 40, 0), (50, 80, 45), (95, 115, 100)) v(a, b, q)""",
+    "ch": """SELECT source_id, to_chrom, chain_id, CASE WHEN to_strand = '-' THEN to_size - 1 - (to_start + site - start) ELSE to_start + site - start END AS to_pos,
+  CASE WHEN to_strand = '+' THEN kn.strand WHEN kn.strand = '+' THEN '-' WHEN kn.strand = '-' THEN '+' ELSE kn.strand END AS to_strand FROM kn JOIN cb ON cb.chrom = kn.chrom AND site >= start AND site < \"end\"""",
+}
+
+
+def _chains(spark, d) -> DataFrame:
+    """The chains as text, read back as blocks."""
+    g = T.table(spark, d, "orders").select(F.floor(F.col("o_orderkey") / 20).alias("g")).distinct()
+    both = g.select("g", F.concat(F.lit("c"), F.col("g").cast("string")).alias("id"), F.lit(0).alias("more"))
+    both = both.union(g.filter("g % 5 = 0").select("g", F.concat(F.lit("d"), F.col("g").cast("string")), F.lit(500_000_000)))
+    at, there = F.col("g") * 140, F.col("g") * 140 + 1000 + F.col("more")
+    chrom = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("g") % 3 + 1).cast("int"))
+    head = F.concat_ws(" ", F.lit("chain 99"), chrom, F.lit("2000000000 +"), at, at + 115, F.concat(F.lit("to"), F.col("g") % 7), F.lit(10**9), F.when(F.col("g") % 4 == 0, "-").otherwise("+"), there, there + 120, "id")
+    return R.read_chains(spark, _text(both.select(F.concat(head, F.lit("\n40\t10\t5\n30\t15\t25\n20\n")).alias("value"))))
+
+
+@query(T.sql('SELECT chain_id, chrom, start, "end", to_chrom, to_start, to_strand, CAST(to_size AS BIGINT) AS to_size FROM cb', **_CHAINS))
+def chain_file(spark, d):
+    return _chains(spark, d)
+
+
+@query(T.sql("SELECT source_id, to_chrom, CAST(to_pos AS BIGINT) AS to_pos, to_strand, chain_id FROM ch", "kn", **_CHAINS))
+def chain_hits(spark, d):
+    from endweave.operators import liftover
+
+    return liftover.hits(T.known_sites(spark, d), _chains(spark, d), pos="site")
+
+
+@query(T.sql("""SELECT source_id, CASE WHEN n IS NULL THEN 'unmapped' WHEN n > 1 THEN 'multiple' WHEN h.to_strand <> strand THEN 'strand_changed' ELSE 'lifted' END AS status,
+ CASE WHEN n = 1 AND h.to_strand = strand THEN to_chrom END AS to_chrom, CASE WHEN n = 1 AND h.to_strand = strand THEN to_pos END AS to_pos
+ FROM kn LEFT JOIN (SELECT source_id, count(*) AS n, min(to_chrom) AS to_chrom, CAST(min(to_pos) AS BIGINT) AS to_pos, min(to_strand) AS to_strand FROM ch GROUP BY 1) h USING (source_id)""", "kn", **_CHAINS))
+def chain_lifted(spark, d):
+    """Outcomes by all hits: a gap or no chain, several, another strand, one."""
+    from endweave.operators import atlas, liftover
+
+    sites = T.known_sites(spark, d)
+    return atlas.lifted(sites, liftover.hits(sites, _chains(spark, d), pos="site")).select("source_id", "status", "to_chrom", "to_pos")
+
+
 #: Bytes of the ranges in which the queries read binary alignments, so that small files have several.
 _RANGE = 1 << 18
 

@@ -295,6 +295,42 @@ def read_bam(spark: SparkSession, path: str, sample_id: str, split: int | None =
     return rows.select(F.lit(sample_id).alias("sample_id"), "read_name", "flag", "chrom", "ref_start", "ref_end", "cigar", "nh")
 
 
+def read_chains(spark: SparkSession, path: str) -> DataFrame:
+    """Aligned blocks of chain files, see ``liftover.blocks``. Chains are what empty lines part, comments
+    (``#``) are left out, and anything that is no chain, or a chain of which the blocks and gaps do not
+    reach its ends, fails while it runs."""
+    from endweave.operators import liftover
+
+    texts = spark.read.text(path, lineSep="\n\n").select(F.regexp_replace("value", r"(?m)^#.*(\n|$)|\r", "").alias("value"))
+    texts = texts.select(F.btrim("value", F.lit(" \n")).alias("value")).filter("value <> ''").withColumn("no", F.monotonically_increasing_id())
+    lines = F.split("value", "\n")
+    head = F.split(F.get(lines, F.lit(0)), " +")
+    at = lambda i: F.get(head, F.lit(i))
+    number = lambda i: at(i).cast("long")
+    ours = (at(0) == "chain") & (F.size(head) >= 12) & (at(4) == "+")
+    body = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+    part = lambda line, i: F.get(F.split(line, "[ \t]+"), F.lit(i)).cast("long")
+
+    def spanned(i: int) -> Column:
+        return F.aggregate(body, F.lit(0).cast("long"), lambda held, x: held + part(x, 0) + F.coalesce(part(x, i), F.lit(0)))
+
+    whole = (number(6) - number(5) == spanned(1)) & (number(11) - number(10) == spanned(2))
+    fail = lambda what: F.raise_error(F.concat(F.lit(what), F.get(lines, F.lit(0)))).cast("array<string>")
+    checked = F.when(F.coalesce(~ours, F.lit(True)), fail("not a chain: ")).when(F.coalesce(whole, F.lit(False)), body).otherwise(fail("a chain's blocks do not fit its ends: "))
+    chains = texts.select(
+        F.col("no").alias("chain_no"),
+        F.coalesce(at(12), F.lit("")).alias("chain_id"),
+        at(2).alias("chrom"),
+        number(5).alias("at"),
+        at(7).alias("to_chrom"),
+        number(10).alias("to_at"),
+        at(9).alias("to_strand"),
+        number(8).alias("to_size"),
+        F.posexplode(checked).alias("line_no", "line"),
+    )
+    return liftover.blocks(chains.select("*", part("line", 0).alias("size"), part("line", 1).alias("gap"), part("line", 2).alias("to_gap")).drop("line"))
+
+
 def read_site_ids(spark: SparkSession, path: str, column: str = "PAS_ID") -> DataFrame:
     """(chrom, strand, pos, source_id) from ids ``chrom:strand:pos`` (1-based), split from the right."""
     return _site_ids(spark.read.csv(path, sep="\t", header=True, quote=""), column)

@@ -179,6 +179,38 @@ def test_binary_alignments_in_ranges(spark, tmp_path):
     assert readers.read_bam(spark, str(tmp_path / "none"), "s").count() == 0
 
 
+def test_chains(spark, tmp_path):
+    """Every base of made chains, both strands and with gaps, against a walk through the lines."""
+    from endweave.operators import atlas, liftover
+
+    rng = random.Random(4)
+    text, where = "#made up\n", {}
+    for i in range(12):
+        chrom, at, to, strand = rng.choice("cd"), rng.randint(0, 400), rng.randint(0, 900), rng.choice("+-")
+        lines, a, q = [], at, to
+        for last in [False] * rng.randint(0, 4) + [True]:
+            size, gap, to_gap = rng.randint(1, 40), rng.randint(0, 9), rng.randint(0, 9)
+            for k in range(size):
+                where.setdefault((chrom, a + k), []).append((f"q{i % 3}", 5000 - 1 - (q + k) if strand == "-" else q + k, strand, str(i)))
+            a, q = a + size + (0 if last else gap), q + size + (0 if last else to_gap)
+            lines.append(f"{size}" if last else f"{size}\t{gap} {to_gap}")
+        text += f"chain 5 {chrom} 9000 + {at} {a} q{i % 3} 5000 {strand} {to} {q} {i}\n" + "\n".join(lines) + "\n\n"
+    path = put(tmp_path, "a.chain", text)
+    rows = [(f"{c}{p}{s}", c, s, p) for c in "cde" for p in range(0, 700, 3) for s in "+-"]
+    df = spark.createDataFrame(rows, "source_id string, chrom string, strand string, pos long")
+    found = liftover.hits(df, readers.read_chains(spark, path))
+    flip = {"+": "-", "-": "+"}
+    want = sorted((i, to, q, s if strand == "+" else flip[s], chain) for i, c, s, p in rows for to, q, strand, chain in where.get((c, p), []))
+    assert sorted(map(tuple, found.collect())) == want
+    got = {r.source_id: r.status for r in atlas.lifted(df, found).collect()}
+    for i, c, _, p in rows:
+        told = where.get((c, p), [])
+        assert got[i] == ("unmapped" if not told else "multiple" if len(told) > 1 else "strand_changed" if told[0][2] == "-" else "lifted")
+    for wrong in ("chain 5 c 90 + 0 11 q 50 + 0 10 1\n10\n", "track x\n"):
+        with pytest.raises(Exception, match="chain"):
+            readers.read_chains(spark, put(tmp_path, "b.chain", wrong)).collect()
+
+
 def test_polya_sites(spark, tmp_path):
     import zipfile
 
