@@ -1,8 +1,9 @@
 """Language identification by inference of language mixtures.
 
 Each language is a distribution over hashed byte n-grams. The n-grams of a document are taken as
-drawn from a mixture of languages, whose proportions expectation-maximisation estimates; of the
-nested sets of its strongest languages the one with the best penalised likelihood is selected.
+drawn from a mixture of languages, whose proportions expectation-maximisation estimates. The set of
+languages is searched by its penalised likelihood: from the best single language up, and from the
+mixture of all down, sets that add, drop or exchange a language are tried until none is better.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ from endweave.llm.wordhash import chunks, mix64
 GRAM, SPACE_LOG = 4, 15
 #: The bound of what is learnt from: about so many documents of each language, drawn by a hash.
 SAMPLE = 2000
-#: Added to every count, EM steps over all languages and over a set, and the price of a language
-#: in a set: PRICE * ln(n-grams).
-SMOOTH, STEPS, SET_STEPS, PRICE = 0.5, 12, 6, 4.0
+#: Added to every count, EM steps over all languages, those over a set at most, and the price of a
+#: language in a set: PRICE * ln(n-grams).
+SMOOTH, STEPS, SET_STEPS, PRICE = 0.5, 12, 500, 4.0
+#: What a set's best mixture may be better at most than that at which EM ends, in units of log-likelihood.
+NEAR = 0.01
 #: Numbers in an array of (gram, language) at most, but for a single document.
 CELLS = 1 << 21
 UNDETERMINED = "und"
@@ -122,9 +126,8 @@ def _em(p: np.ndarray, c: np.ndarray, row: np.ndarray, first: np.ndarray, pi: np
 def mixtures(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Proportions of the languages in each document, 0 outside the selected set.
 
-    Sets are the nested ones of a document's strongest languages; they grow until the penalised
-    likelihood falls. Documents without grams have equal proportions. Documents are worked on in
-    batches whose arrays hold about CELLS numbers, or one document.
+    Documents without grams have equal proportions. Documents are worked on in batches whose arrays
+    hold about CELLS numbers, or one document.
     """
     langs = table.shape[1]
     out = np.full((len(docs), langs), 1.0 / langs)
@@ -144,45 +147,81 @@ def _selected(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> n
     p = table[np.concatenate([g for g, _ in docs])]
     c = np.concatenate([n for _, n in docs]).astype(float)
 
-    def part(rows: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The entries of some rows only."""
-        if len(rows) == len(size):
-            kept = slice(None)
-        else:
-            mask = np.zeros(len(size), dtype=bool)
-            mask[rows] = True
-            kept = np.repeat(mask, size)
-        first = np.concatenate([[0], np.cumsum(size[rows])[:-1]])
-        return p[kept], c[kept], np.repeat(np.arange(len(rows)), size[rows]), first
-
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
     everyone = np.arange(len(size))
-    held = part(everyone)
-    pi, most, slack = _em(*held, np.full((len(size), langs), 1.0 / langs), STEPS)
-    single = np.add.reduceat(held[1][:, None] * np.log(held[0]), held[3], axis=0)
-    best = np.zeros_like(pi)
+    pi, most, slack = _em(p, c, np.repeat(everyone, size), first, np.full((len(size), langs), 1.0 / langs), STEPS)
+    single = np.add.reduceat(c[:, None] * np.log(p), first, axis=0)
+    best = np.zeros((len(size), langs))
     best[everyone, single.argmax(axis=1)] = 1.0
-    value = single.max(axis=1)
-    price = PRICE * np.log(np.maximum(np.add.reduceat(held[1], held[3]), 2))
-    order = np.argsort(-pi, axis=1)
-    grows = np.ones(len(size), dtype=bool)
-    for k in range(2, langs + 1):
-        # Where not even the best mixture of all languages can repay the price of k, no set can.
-        rows = np.flatnonzero(grows & (most + slack - price * (k - 1) > value) & (pi[everyone, order[:, k - 1]] > 0))
-        grows[:] = False
-        if not len(rows):
-            break
-        start = np.zeros((len(rows), langs))
-        np.put_along_axis(start, order[rows, :k], np.take_along_axis(pi[rows], order[rows, :k], axis=1), axis=1)
-        start /= start.sum(axis=1, keepdims=True)
-        found, likely, _ = _em(*part(rows), start, SET_STEPS)
-        likely = likely - price[rows] * (k - 1)
-        better = likely > value[rows]
-        best[rows[better]] = found[better]
-        value[rows[better]] = likely[better]
-        grows[rows[better]] = True
+    price = PRICE * np.log(np.maximum(np.add.reduceat(c, first), 2))
+    # Where not even the best mixture of all languages can repay the price of two, one it is.
+    for i in np.flatnonzero(most + slack - price > single.max(axis=1)):
+        own = slice(first[i], first[i] + size[i])
+        # A search may end before the best set: it is made from below and from above.
+        wide = np.where(pi[i] * c[own].sum() > price[i] / 4, pi[i], 0.0)
+        wide = wide / wide.sum() if wide.any() else best[i]
+        best[i] = max((searched(p[own], c[own], start, float(price[i])) for start in (best[i], wide)), key=lambda found: found[0])[1]
     return best
 
 
+def fitted(p: np.ndarray, c: np.ndarray, pi: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """(proportions, log-likelihood, what EM would multiply each language's by next) of one document, from pi
+    on, until no mixture of the languages in pi is better by more than NEAR."""
+    n, inside = c.sum(), np.flatnonzero(pi)
+    own, held = p[:, inside], pi[inside]
+    for _ in range(SET_STEPS):
+        each = own @ held
+        d = (c / each) @ own / n
+        if n * np.log(d.max()) < NEAR:
+            break
+        held = held * d
+    out = np.zeros_like(pi)
+    out[inside] = held / held.sum()
+    each = p @ out
+    return out, float(c @ np.log(each)), (c / each) @ p / n
+
+
+def searched(p: np.ndarray, c: np.ndarray, pi: np.ndarray, price: float) -> tuple[float, np.ndarray]:
+    """(penalised likelihood, proportions) of the set of languages at which a search from that of ``pi`` ends:
+    of the sets that add a language, drop one or exchange one the best, as long as there is a better one.
+
+    A language is tried where the likelihood could pay for it: it grows by n * log(d) at most, where d is
+    what EM would multiply its proportion by."""
+    n = c.sum()
+    pi, likely, d = fitted(p, c, pi)
+    value = likely - price * (np.count_nonzero(pi) - 1)
+    better = True
+    while better:
+        better, size = False, np.count_nonzero(pi)
+        best = (value, pi, likely, d)
+        for other in np.argsort(-d):
+            # An exchange keeps the size, and so has no price to pay.
+            if pi[other] > 0 or likely + n * np.log(max(d[other], 1.0)) - price * (size - 1) <= best[0]:
+                continue
+            start = pi * (1 - 1 / (size + 1))
+            start[other] = 1 / (size + 1)
+            grown = fitted(p, c, start)
+            tried = [(grown[1] - price * size, *grown)]
+            if grown[1] - price * (size - 1) > best[0]:
+                for gone in np.flatnonzero(pi):
+                    less = grown[0].copy()
+                    less[gone] = 0.0
+                    if less.sum() > 0:
+                        left = fitted(p, c, less / less.sum())
+                        tried.append((left[1] - price * (size - 1), *left))
+            best = max([best, *tried], key=lambda t: t[0])
+        if size > 1:
+            for gone in np.flatnonzero(pi):
+                less = pi.copy()
+                less[gone] = 0.0
+                left = fitted(p, c, less / less.sum())
+                best = max(best, (left[1] - price * (size - 2), *left), key=lambda t: t[0])
+        if best[0] > value + NEAR:
+            value, pi, likely, d = best
+            better = True
+    return value, pi
+
+
 def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray, at: int) -> np.ndarray:
     seen = np.concatenate([[0], np.cumsum(_LETTER[data])])
     out = seen[offsets[1:]] > seen[offsets[:-1]]
@@ -191,10 +230,11 @@ def has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray, at: int)
     return out
 
 
-def _predict(langs: list[str], table: np.ndarray, id_name: str, carried: list[str]):
+def _predict(langs: list[str], shared: Broadcast, id_name: str, carried: list[str]):
     names = [id_name, "held_out", "lang_pred", "score", "langs", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in batches:
             pred, score, chosen = [], [], []
             for at, to, data, offsets in chunks(batch.column(2)):
@@ -226,7 +266,8 @@ def identify(
 
     Rows whose crc32 of the id modulo ``folds`` is ``fold`` are held out: nothing is learnt from
     them, nor from rows without id, text or language. lang_pred is the language of the largest
-    proportion, score that proportion, langs all selected languages. A null text, and one without a
+    proportion, score that proportion, langs all selected languages; a row that is there several times, and a
+    text of any length, is told like any other, from all of its text. A null text, and one without a
     letter, has ``und``, score 0 and no languages; so has every row where nothing can be learnt. An
     empty table gives an empty result. Columns named in ``carry`` are passed through; others than
     these and the three named are not read.
@@ -243,4 +284,6 @@ def identify(
     types = dict(docs.select(*carry).dtypes) if carry else {}
     schema += "".join(f", {c} {types[c]}" for c in carry)
     read = rows.select("id", "held_out", "text", *[f"carried_{c}" for c in carry])
-    return read.mapInArrow(_predict(langs, table, id_col, list(carry)), schema)
+    # 256 KB for each language, once to an executor.
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    return read.mapInArrow(_predict(langs, shared, id_col, list(carry)), schema)
