@@ -1,11 +1,15 @@
 """License scans with a positional index of rare words.
 
-Templates are passages of licenses, by default those of ``license_texts``; all their words are
-indexed with their positions. Of each file the licence words with the highest inverse document
-frequency in the scanned corpus are looked up, and so is the rarest word of every key phrase: as a
-key phrase must be complete, no place is missed. Postings meet at the same relative position, a
-pair (template, offset); there all words of the template are joined with the file's, and the
-template's key phrase must stand there word for word.
+Templates are whole licenses, notices, passages and identifiers, by default those of ``license_texts``;
+all their words are indexed with their positions. Of each file the licence words with the highest inverse
+document frequency in the scanned corpus are looked up. Each votes for the places at which templates that
+hold it would have to start, a pair (template, offset), so that postings meet at the same relative
+position. A pair is verified where it got a vote: its key phrase must stand there word for word, and
+then COVER of the template's weight.
+
+No place is missed. What is not looked up of a file are licence words no rarer than some IDF; a template
+of which such words could make up COVER is open for that file, and of its words the rarest, those beyond
+which less than COVER is left, are looked up as well: where COVER matches, one of them does.
 """
 
 from __future__ import annotations
@@ -29,8 +33,7 @@ BASE = (
     ("gpl", "general public license"),
 )
 
-#: Words of a file that are looked up besides those of key phrases, and the part of a template's
-#: weight that must match.
+#: Words of a file that are looked up for all templates, and the part of a template's weight that must match.
 RARE, COVER = 16, 0.6
 
 
@@ -65,6 +68,26 @@ class Index:
         """The rarest word of each template's key phrase."""
         return [min((words[i] for i in key), key=lambda w: (-weight[w], w)) for words, key in zip(self.words, self.keys, strict=True)]
 
+    def signatures(self, weight: dict[str, float]) -> list[tuple[set[int], float]]:
+        """Of each template (positions of its rarest words, of which one must match where COVER of the weight
+        does; the IDF from which on words no rarer make up COVER)."""
+        out = []
+        for words in self.words:
+            total = sum(weight[w] for w in words)
+            rest, chosen = total, set()
+            for i in sorted(range(len(words)), key=lambda i: (-weight[words[i]], i)):
+                if rest < COVER * total - 1e-9 * total:
+                    break
+                chosen.add(i)
+                rest -= weight[words[i]]
+            common, opens = 0.0, 0.0
+            for w in sorted(words, key=lambda w: weight[w]):
+                common, opens = common + weight[w], weight[w]
+                if common >= COVER * total - 1e-9 * total:
+                    break
+            out.append((chosen, opens))
+        return out
+
 
 def weights(rows: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     """Inverse document frequency of each word of the templates over all rows (words)."""
@@ -75,47 +98,52 @@ def weights(rows: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     return {w: round(math.log((total + 1) / (counts.get(w, 0) + 1)) + 1.0, 9) for w in vocabulary}
 
 
-def _places(files: DataFrame, index: Index, weight: dict[str, float]) -> DataFrame:
-    """(id, h, t, at, cover) of the templates found in files (id, h, words), each of which occurs once."""
+def _voted(hits: DataFrame, posted: DataFrame, rare: int) -> DataFrame:
+    """(i, g, c, at): pairs of template and offset that a looked-up word of file (i, g) votes for."""
+    file = Window.partitionBy("id", "h")
+    rank = F.dense_rank().over(file.orderBy(F.col("idf").desc(), "word"))
+    ranked = hits.withColumn("rank", rank)
+    # The rarest of the words that are not looked up, null where all are.
+    left = F.max(F.when(F.col("rank") > rare, F.col("idf"))).over(file)
+    votes = ranked.withColumn("left", left).join(posted, F.col("word") == F.col("posted"))
+    open_for = F.col("signed") & (F.col("left") >= F.col("opens"))
+    votes = votes.filter((F.col("rank") <= rare) | open_for).select("id", "h", "t", (F.col("pos") - F.col("rel")).alias("at")).filter("at >= 0")
+    return votes.distinct().select(F.col("id").alias("i"), F.col("h").alias("g"), F.col("t").alias("c"), "at")
+
+
+def _matched(pairs: DataFrame, posted: DataFrame, hits: DataFrame) -> DataFrame:
+    """(i, g, t, at, w) for each posting that stands in the file where the pair wants it."""
+    expected = pairs.join(posted, F.col("c") == F.col("t")).select("i", "g", "t", "at", (F.col("at") + F.col("rel")).alias("there"), "posted", "w")
+    there = F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")) & (F.col("there") == F.col("pos")) & (F.col("posted") == F.col("word"))
+    return expected.join(hits, there).select("i", "g", "t", "at", "w")
+
+
+def _places(files: DataFrame, index: Index, weight: dict[str, float], rare: int) -> DataFrame:
+    """(i, g, t, at, cover) of the templates found in files (id, h, words), each of which occurs once."""
     spark = files.sparkSession
-    anchors = index.anchors(weight)
-    known = [(w, weight[w], w in set(anchors)) for w in index.vocabulary()]
+    known = [(w, weight[w]) for w in index.vocabulary()]
+    signs = index.signatures(weight)
     postings = [
-        (t, i, w, weight[w], i in index.keys[t], w == anchors[t])
-        for t, words in enumerate(index.words)
-        for i, w in enumerate(words)
+        (t, i, w, weight[w], i in index.keys[t], i in signs[t][0], signs[t][1]) for t, words in enumerate(index.words) for i, w in enumerate(words)
     ]
     totals = [(t, round(sum(weight[w] for w in words), 9), len(index.keys[t]), *index.labels[t]) for t, words in enumerate(index.words)]
     # Three tables as large as the templates, whatever the corpus.
-    vocabulary = F.broadcast(spark.createDataFrame(known, "word string, idf double, anchor boolean"))
-    posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, is_anchor boolean"))
+    vocabulary = F.broadcast(spark.createDataFrame(known, "word string, idf double"))
+    posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, signed boolean, opens double"))
     total = F.broadcast(spark.createDataFrame(totals, "t int, total double, key_n int, label string, base boolean"))
     hits = files.select("id", "h", F.posexplode("words").alias("pos", "word")).join(vocabulary, "word")
-    rank = F.dense_rank().over(Window.partitionBy("id", "h").orderBy(F.col("idf").desc(), "word"))
-    hits = hits.withColumn("rank", rank)
-    looked_up = hits.filter((F.col("rank") <= RARE) | F.col("anchor"))
-    met = (
-        looked_up.join(posted, F.col("word") == F.col("posted"))
-        .groupBy("id", "h", "t", (F.col("pos") - F.col("rel")).alias("at"))
-        .agg(F.bool_or("is_anchor").alias("anchored"))
-        .filter("anchored and at >= 0")
-        .select(F.col("id").alias("i"), F.col("h").alias("g"), F.col("t").alias("c"), "at")
-    )
-    expected = met.join(posted, F.col("c") == F.col("t")).select("i", "g", "t", "at", (F.col("at") + F.col("rel")).alias("there"), "posted", "w", "in_key")
-    matched = expected.join(
-        hits, F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")) & (F.col("there") == F.col("pos")) & (F.col("posted") == F.col("word"))
-    )
-    found = matched.groupBy("i", "g", "t", "at").agg(
-        F.sum(F.col("w").cast("decimal(18,9)")).cast("double").alias("weight"), F.count(F.when(F.col("in_key"), 1)).alias("key_words")
-    )
+    # Key phrases first: they are short, and few pairs have theirs.
+    keyed = _matched(_voted(hits, posted, rare), posted.filter("in_key"), hits).groupBy("i", "g", "t", "at").agg(F.count(F.lit(1)).alias("n"))
+    keyed = keyed.join(total.select(F.col("t"), "key_n"), "t").filter("n = key_n").select("i", "g", F.col("t").alias("c"), "at")
+    found = _matched(keyed, posted, hits).groupBy("i", "g", "t", "at").agg(F.sum(F.col("w").cast("decimal(18,9)")).cast("double").alias("weight"))
     return (
         found.join(total, "t")
         .withColumn("cover", F.least(F.col("weight") / F.col("total"), F.lit(1.0)))
-        .filter((F.col("key_words") == F.col("key_n")) & (F.col("base") | (F.col("cover") >= COVER)))
+        .filter(F.col("base") | (F.col("cover") >= COVER))
     )
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str, str], ...] = TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str, str], ...] = TEMPLATES, rare: int = RARE) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts all places of the base phrases, first_word and last_word are the smallest and
@@ -123,7 +151,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     passage) is found where its key phrase is complete and COVER of its weight matches; score is the
     largest part of a template's weight that matches, 1 for a base phrase, 0 for none. Labels are
     distinct, sorted and joined by commas, the empty string for none. A null text counts as empty; a
-    null id is kept; repeated rows have a row each. An empty table gives an empty result; other
+    null id is kept. ``rare`` words of a file are looked up for all templates: it changes how many places are
+    verified, not the result. Repeated rows have a row each. An empty table gives an empty result; other
     columns are not read. Rows of one id are told apart by a 64-bit hash of their text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -135,7 +164,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = cut(rows.select("id", "h", F.size("words").cast("long").alias("n_words"), F.when(F.arrays_overlap("words", anchors), F.col("words")).alias("words")))
     files = rows.filter("words is not null").groupBy("id", "h").agg(F.first("words").alias("words"))
     base = F.col("base")
-    found = _places(files, index, weight).groupBy(F.col("i"), F.col("g")).agg(
+    found = _places(files, index, weight, rare).groupBy(F.col("i"), F.col("g")).agg(
         F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("at"))).alias("first_word"),
         F.max(F.when(base, F.col("at"))).alias("last_word"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from endweave.llm import langid, toxicity
 from endweave.llm import licenses
-from endweave.llm.license_texts import TEMPLATES
+from endweave.llm.license_texts import TEMPLATES, WHOLE
 from endweave.llm.licenses import BASE, scan_licenses
 
 from .test_duplicates import clashing
@@ -261,6 +261,46 @@ def test_templates_by_loops(spark):
     assert [got[i][0] for i in range(3)] == ["mpl", "epl", "bsd"]
 
 
+def test_votes_change_candidates_not_labels(spark, monkeypatch):
+    """Few or many words looked up: other pairs to verify, the same rows. Long files, with many rare words."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):
+        picked = [rng.choice(TEMPLATES)[2].split() for _ in range(rng.randint(1, 5))]
+        for words in picked:
+            for _ in range(rng.randrange(1 + len(words) // 3)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "zz", "software", "license"])
+        texts.append(" ".join(" ".join(words) + " zz" * rng.randrange(3) for words in picked))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    pairs, voted = [], licenses._voted
+    monkeypatch.setattr(licenses, "_voted", lambda *a: pairs.append(voted(*a)) or pairs[-1])
+    results = [sorted(map(tuple, scan_licenses(df, rare=rare).collect())) for rare in (0, 2, 16, 10_000)]
+    assert all(r == results[0] for r in results) and any(r[6].count(",") for r in results[0])
+    assert len({p.count() for p in pairs}) > 2
+    want = labels_by_loops(texts)
+    assert [r[6] for r in results[0]] == [x[0] for x in want]
+
+
+def test_identifiers_and_whole_licenses(spark):
+    said = {
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        "SPDX-License-Identifier: MIT": "mit",
+        "GNU GPL v3": "gpl",
+        "BSD Zero Clause License": "0bsd",
+        "Licensed under either of Apache-2.0 or MIT": "apache,mit",
+        "the license of the house, by permission": "",
+    }
+    for label, _, text in WHOLE:
+        # A word of seven is another one, outside the key phrase's beginning.
+        words = text.split()
+        said[" ".join("xx" if i > len(words) // 2 and i % 7 == 3 else w for i, w in enumerate(words)) + f" {label}"] = label
+    rows = list(enumerate(said))
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, label) in enumerate(said.items()):
+        assert set(filter(None, label.split(","))) <= got[i] and (label or not got[i]), text
+        assert i >= 6 or ",".join(sorted(got[i])) == label
+
+
 def test_templates_of_ones_own(spark):
     df = spark.createDataFrame([(1, "This is the Acme Licence, all rights kept."), (2, "acme corp")], "doc_id long, text string")
     got = {r.doc_id: r.labels for r in scan_licenses(df, templates=(("acme", "acme licence", "the acme licence"),)).collect()}
