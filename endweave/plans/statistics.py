@@ -246,11 +246,10 @@ def prepared_gene_table(spark, d):
     return p.select("contrast_id", "gene_id", "background", "foreground", "direction", *r6("rank_score"))
 
 
-@query(T.sql("""SELECT gene_id, 1 AS background, CAST(padj <= 0.05 AS INTEGER) AS foreground, CASE WHEN padj <= 0.05 THEN CASE WHEN effect > 0 THEN 'any_dge;upregulated' ELSE 'any_dge;downregulated' END ELSE '' END AS direction,
- round(stat, 6) AS rank_score FROM bh WHERE contrast_id = 'c0' AND effect IS NOT NULL AND stat IS NOT NULL AND padj IS NOT NULL""", "rs", **_BH))
+@query(T.sql("""SELECT contrast_id, gene_id, 1 AS background, CAST(padj <= 0.05 AS INTEGER) AS foreground, CASE WHEN padj <= 0.05 THEN CASE WHEN effect > 0 THEN 'any_dge;upregulated' ELSE 'any_dge;downregulated' END ELSE '' END AS direction,
+ round(stat, 6) AS rank_score FROM bh WHERE effect IS NOT NULL AND stat IS NOT NULL AND padj IS NOT NULL""", "rs", **_BH))
 def prepared_extended_table(spark, d):
-    rows = _adjusted(spark, d).filter("contrast_id = 'c0'")
-    return R.prepared_extended(rows).select("gene_id", "background", "foreground", "direction", *r6("rank_score"))
+    return R.prepared_extended(_adjusted(spark, d)).select("contrast_id", "gene_id", "background", "foreground", "direction", *r6("rank_score"))
 
 
 _PC = {"pc": "SELECT gene_id, arg_min(delta, struct_pack(a := -round(abs(delta), 9), o := pas_id)) AS delta FROM tp WHERE padj IS NOT NULL GROUP BY 1"}
@@ -339,6 +338,23 @@ def gsea_es(spark, d):
     return R.enrichment_scores(_ranked(spark, d), _terms(spark, d)).select("query", "database", "term_id", "size", *r6("es"))
 
 
+@query(T.sql("""SELECT query, database, term_id, CAST(max(size) AS BIGINT) AS size,
+ string_agg(gene_id, ';' ORDER BY CASE WHEN hi >= -lo THEN rank ELSE -rank END) FILTER (CASE WHEN hi >= -lo THEN rank <= peak ELSE rank >= trough END) AS leading_edge FROM (
+ SELECT *, max(a) OVER w AS hi, min(b) OVER w AS lo, first_value(rank) OVER (w ORDER BY round(a, 12) DESC, rank) AS peak, first_value(rank) OVER (w ORDER BY round(b, 12), rank DESC) AS trough FROM (
+ SELECT *, sofar / al - (rank - i) / (nn - size) AS a, (sofar - abs(score)) / al - (rank - i) / (nn - size) AS b FROM (
+ SELECT rk.*, tm.database, tm.term_id, nn, count(*) OVER v AS size, sum(abs(score)) OVER v AS al, sum(abs(score)) OVER (v ORDER BY rank) AS sofar, row_number() OVER (v ORDER BY rank) AS i
+ FROM rk JOIN (SELECT DISTINCT * FROM tm) tm USING (gene_id) JOIN (SELECT query, count(*) AS nn FROM rk GROUP BY 1) USING (query) WINDOW v AS (PARTITION BY rk.query, tm.database, tm.term_id))
+ WHERE size >= 3 AND al > 0 AND nn > size) WINDOW w AS (PARTITION BY query, database, term_id)) GROUP BY 1, 2, 3""", "rs", **{"ng": _TERMS["ng"], "tm": _TERMS["tm"]} | _RANK))
+def gsea_leading_edge(spark, d):
+    return R.leading_edges(_ranked(spark, d), _terms(spark, d))
+
+
+@query()
+def gsea_multilevel(spark, d):
+    ranked = _ranked(spark, d)
+    return R.multilevel(R.enrichment_scores(ranked, _terms(spark, d)), ranked)
+
+
 @query()
 def gsea_permuted(spark, d):
     ranked = _ranked(spark, d)

@@ -334,3 +334,40 @@ def test_all_contrasts(spark):
     assert best == {"B_vs_A": "g0", "C_vs_B": "g0"}
     m = spark.createDataFrame([("matched",), ("matched",), ("a_only",)], "match_class string")
     assert {tuple(r) for r in class_counts(m).collect()} == {("matched", 2), ("a_only", 1)}
+
+
+def test_multilevel_against_all_sets():
+    """Tails of every score of small rankings by counting all sets; both ends of the ranking."""
+    from itertools import combinations
+
+    from endweave.operators import enrich
+
+    rng = np.random.default_rng(3)
+    weights = np.abs(np.sort(rng.normal(0, 1, 20))[::-1])
+    every = np.array(list(combinations(range(20), 5)))
+    for ranking in (weights, weights[::-1].copy()):
+        high, low = enrich._extremes(ranking, every)
+        positive = high >= -low
+        for s in np.quantile(high[positive], [0.3, 0.8, 0.99, 0.999, 1.0]):
+            exact = ((high >= s - 1e-12) & positive).mean()
+            got = [float(enrich.upper_tails(ranking, 5, np.array([s]), seed)[0][0]) for seed in (1, 2)]
+            assert all(exact / 2 <= g <= exact * 2 for g in got), (s, exact, got)
+
+
+def test_multilevel_has_no_floor(spark):
+    """A set at the top of a ranking is beyond what permutations reach, one drawn at random is not; runs are
+    shared by terms of a size, and negative scores are told from the other end."""
+    from endweave.operators import enrich
+
+    rng = np.random.default_rng(5)
+    stat = np.sort(rng.normal(0, 1, 1500))[::-1]
+    genes = [("q", f"g{i}", float(v)) for i, v in enumerate(stat)]
+    sets = {"top": range(0, 60, 3), "bottom": range(1499, 1439, -3), **{f"r{k}": rng.choice(1500, 20, replace=False) for k in range(6)}}
+    terms = [("d", t, f"g{i}") for t, at in sets.items() for i in at]
+    ranked = enrich.ranking(spark.createDataFrame(genes, "query string, gene_id string, score double"))
+    table = spark.createDataFrame(terms, "database string, term_id string, gene_id string")
+    got = {r.term_id: r for r in enrich.multilevel(enrich.enrichment_scores(ranked, table), ranked).collect()}
+    assert len(got) == 8 and got["top"].pvalue < 1e-8 and got["bottom"].pvalue < 1e-8 and got["bottom"].nes < -1 < 1 < got["top"].nes
+    assert all(0.001 < got[f"r{k}"].pvalue <= 1 for k in range(6))
+    edges = {r.term_id: r.leading_edge.split(";") for r in enrich.leading_edges(ranked, table).collect()}
+    assert edges["top"] == [f"g{i}" for i in range(0, 60, 3)] and edges["bottom"] == [f"g{i}" for i in range(1499, 1439, -3)]
