@@ -160,7 +160,10 @@ def _selected(table: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]) -> n
         # A search may end before the best set: it is made from below and from above.
         wide = np.where(pi[i] * c[own].sum() > price[i] / 4, pi[i], 0.0)
         wide = wide / wide.sum() if wide.any() else best[i]
-        best[i] = max((searched(p[own], c[own], start, float(price[i])) for start in (best[i], wide)), key=lambda found: found[0])[1]
+        value, found = searched(p[own], c[own], best[i], float(price[i]))
+        if ((wide > 0) != (found > 0)).any():
+            value, found = max((value, found), searched(p[own], c[own], wide, float(price[i])), key=lambda t: t[0])
+        best[i] = found
     return best
 
 
