@@ -7,9 +7,10 @@ hold it would have to start, a pair (template, offset), so that postings meet at
 position. A pair is verified where it got a vote: its key phrase must stand there word for word, and
 then COVER of the template's weight.
 
-No place is missed. What is not looked up of a file are licence words no rarer than some IDF; a template
-of which such words could make up COVER is open for that file, and of its words the rarest, those beyond
-which less than COVER is left, are looked up as well: where COVER matches, one of them does.
+No place is missed. Only a template's rarest words take votes, those beyond which less than COVER of its
+weight is left: where COVER matches, one of them does. What is not looked up of a file are licence words
+no rarer than some IDF; a template of which such words could make up COVER is open for that file, which
+then looks up the rarest word of its key phrase, wherever that ranks.
 """
 
 from __future__ import annotations
@@ -106,8 +107,8 @@ def _voted(hits: DataFrame, posted: DataFrame, rare: int) -> DataFrame:
     # The rarest of the words that are not looked up, null where all are.
     left = F.max(F.when(F.col("rank") > rare, F.col("idf"))).over(file)
     votes = ranked.withColumn("left", left).join(posted, F.col("word") == F.col("posted"))
-    open_for = F.col("signed") & (F.col("left") >= F.col("opens"))
-    votes = votes.filter((F.col("rank") <= rare) | open_for).select("id", "h", "t", (F.col("pos") - F.col("rel")).alias("at")).filter("at >= 0")
+    is_open = F.coalesce(F.col("left") >= F.col("opens"), F.lit(False))
+    votes = votes.filter(F.when(is_open, F.col("anchor")).otherwise(F.col("signed") & (F.col("rank") <= rare))).select("id", "h", "t", (F.col("pos") - F.col("rel")).alias("at")).filter("at >= 0")
     return votes.distinct().select(F.col("id").alias("i"), F.col("h").alias("g"), F.col("t").alias("c"), "at")
 
 
@@ -122,14 +123,16 @@ def _places(files: DataFrame, index: Index, weight: dict[str, float], rare: int)
     """(i, g, t, at, cover) of the templates found in files (id, h, words), each of which occurs once."""
     spark = files.sparkSession
     known = [(w, weight[w]) for w in index.vocabulary()]
-    signs = index.signatures(weight)
+    signs, anchors = index.signatures(weight), index.anchors(weight)
     postings = [
-        (t, i, w, weight[w], i in index.keys[t], i in signs[t][0], signs[t][1]) for t, words in enumerate(index.words) for i, w in enumerate(words)
+        (t, i, w, weight[w], i in index.keys[t], i in signs[t][0], signs[t][1], i in index.keys[t] and w == anchors[t])
+        for t, words in enumerate(index.words)
+        for i, w in enumerate(words)
     ]
     totals = [(t, round(sum(weight[w] for w in words), 9), len(index.keys[t]), *index.labels[t]) for t, words in enumerate(index.words)]
     # Three tables as large as the templates, whatever the corpus.
     vocabulary = F.broadcast(spark.createDataFrame(known, "word string, idf double"))
-    posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, signed boolean, opens double"))
+    posted = F.broadcast(spark.createDataFrame(postings, "t int, rel int, posted string, w double, in_key boolean, signed boolean, opens double, anchor boolean"))
     total = F.broadcast(spark.createDataFrame(totals, "t int, total double, key_n int, label string, base boolean"))
     hits = files.select("id", "h", F.posexplode("words").alias("pos", "word")).join(vocabulary, "word")
     # Key phrases first: they are short, and few pairs have theirs.
