@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from endweave.functions.special import chi_square_tail, digamma, log_gamma, normal_tail, trigamma
 from endweave.operators.design import model_matrix, variables
 from endweave.operators.expression import size_factors
-from endweave.operators.multitest import adjust_bh
+from endweave.operators.multitest import adjust_bh, gene_q_values
 from endweave.session import cut
 
 #: Genes of a bucket on average, and the dispersions that fits choose from.
@@ -214,8 +214,8 @@ def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerat
     site's counts and those of the rest of its gene. The full model has a level for each sample and,
     for the site, the columns of ``design``; the reduced one is without the site's condition.
 
-    Dispersions are fitted site by site and drawn to a trend over the mean of all sites. Genes go by
-    their smallest p-value of n (Sidak), adjusted over genes."""
+    Dispersions are fitted site by site and drawn to a trend over the mean of all sites. gene_padj is
+    ``multitest.gene_q_values``."""
     factors = {r["sample_id"]: r["size_factor"] or 1.0 for r in size_factors(counts, "pas_id").collect()}  # a row for each sample
     names, x = _design(samples, denominator, numerator, design, factors or None)  # all where there are no counts
     k = len(names)
@@ -251,9 +251,8 @@ def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerat
         return pd.DataFrame({"pas_id": ids, "gene_id": genes, "lr": lr, "pvalue": pd.Series(p, dtype=object)})
 
     tested = cut(rows.groupBy("bucket").applyInPandas(second, "pas_id string, gene_id string, lr double, pvalue double"))
-    genes = tested.groupBy("gene_id").agg((1 - F.pow(1 - F.min("pvalue"), F.count("pvalue"))).alias("p"))
-    genes = adjust_bh(genes, [], "p", "gene_padj").select("gene_id", "gene_padj")
-    return adjust_bh(tested, []).join(genes, "gene_id")
+    genes = gene_q_values(tested, [], out="gene_padj").select("gene_id", "gene_padj")
+    return adjust_bh(tested, []).join(genes, "gene_id", "left")
 
 
 def _fit_shares(y: np.ndarray, x: np.ndarray, precision: np.ndarray, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

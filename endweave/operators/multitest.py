@@ -10,14 +10,19 @@ from pyspark.sql import types as T
 
 
 
-def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj", fine: int = 4096) -> DataFrame:
+def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj", fine: int = 4096, expected: str | None = None) -> DataFrame:
     """Benjamini-Hochberg over the p-values of each group; null and NaN stay null, a null key is a key.
 
+    ``expected`` names a column for the number of tests that chance puts at or below a row's p-value, a
+    function of it and the group; p times the number of tests without.
+
     Equal p-values are one row with a count, however many there are. These are ranked in buckets, ``fine``
     to a factor of two, each with the number of tests below it and the least scaled value above."""
     valid = F.col(p).isNotNull() & ~F.isnan(p)
     keyed = df.withColumn("group_", F.struct(F.lit(0).alias("k"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(by)]))
-    tests = keyed.filter(valid).groupBy("group_", F.col(p).alias("p_")).agg(F.count(F.lit(1)).alias("n_"))
+    tests = keyed.filter(valid).groupBy("group_", F.col(p).alias("p_")).agg(
+        F.count(F.lit(1)).alias("n_"), (F.first(expected) if expected else F.lit(None).cast("double")).alias("expected_")
+    )
     bucket = F.coalesce(F.floor(F.log2("p_") * fine), F.lit(-(1 << 40)))
     tests = tests.withColumn("bucket_", F.struct("group_", bucket.alias("b"))).repartition("bucket_")
     sizes = tests.groupBy("bucket_").agg(F.sum("n_").alias("n_"))
@@ -26,7 +31,7 @@ def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj"
     sizes = sizes.select("bucket_", F.coalesce(below, F.lit(0)).alias("below_"), F.sum("n_").over(every).alias("all_"))
     order = Window.partitionBy("bucket_").orderBy("p_")
     rank = F.col("below_") + F.sum("n_").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    scaled = tests.join(sizes, "bucket_").withColumn("scaled_", F.col("p_") * F.col("all_") / rank)
+    scaled = tests.join(sizes, "bucket_").withColumn("scaled_", F.coalesce("expected_", F.col("p_") * F.col("all_")) / rank)
     # From the largest p-value down as a running minimum, in the bucket and over those above.
     down = Window.partitionBy("bucket_").orderBy(F.col("p_").desc()).rowsBetween(Window.unboundedPreceding, 0)
     above = every.orderBy(F.col("bucket_.b").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -36,6 +41,24 @@ def adjust_bh(df: DataFrame, by: list[str], p: str = "pvalue", out: str = "padj"
     return keyed.withColumn("p_", at).join(done, ["group_", "p_"], "left").select(*df.columns, out)
 
 
+def gene_q_values(tests: DataFrame, by: list[str], gene: str = "gene_id", p: str = "pvalue", out: str = "gene_qvalue") -> DataFrame:
+    """(by, gene, min_p, tests, out) of the genes with a finite p-value: the rate of false genes among those
+    whose smallest p-value is at most as large.
+
+    Chance alone brings a gene of n tests below t with probability 1 - (1 - t)^n; its sum over the
+    histogram of n, over the genes found below t, made monotone from above."""
+    finite = F.col(p).isNotNull() & ~F.isnan(p)
+    genes = tests.filter(finite).groupBy(*by, gene).agg(F.min(p).alias("min_p"), F.count(F.lit(1)).alias("tests"))
+    keys = F.struct(F.lit(0).alias("k"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(by)])
+    # A row for each group and number of tests, of which there are few.
+    per = genes.groupBy(keys.alias("of_"), "tests").agg(F.count(F.lit(1)).alias("genes"))
+    per = per.groupBy("of_").agg(F.sort_array(F.collect_list(F.struct("tests", "genes"))).alias("hist_"))
+    both = genes.withColumn("of_", keys).join(per, "of_")
+    chance = lambda h: h["genes"] * -F.expm1(h["tests"] * F.log1p(-F.least(F.col("min_p"), F.lit(1 - 1e-16))))
+    both = both.withColumn("chance_", F.aggregate("hist_", F.lit(0.0), lambda held, h: held + chance(h)))
+    return adjust_bh(both, by, "min_p", out, expected="chance_").select(*by, gene, "min_p", "tests", out)
+
+
 def filtered_bh(results: DataFrame, by: list[str], mean: str = "base_mean", p: str = "pvalue", alpha: float = 0.1, steps: int = 50) -> DataFrame:
     """Adds padj after independent filtering: of the quantiles of the mean as cut-offs the first whose
     number of rejections, smoothed, comes within the scatter of the largest; genes below it get null.

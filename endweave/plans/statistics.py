@@ -239,6 +239,13 @@ def stagewise_audit(spark, d):
     return M.staged_audit(*_stage_tables(spark, d))
 
 
+@query(T.sql("""SELECT gene_id, min_p, CAST(tests AS BIGINT) AS tests, round(least(1.0, min(e / k) OVER (ORDER BY min_p DESC)), 6) AS gene_qvalue FROM (
+ SELECT g.*, (SELECT sum(c * (1 - pow(1 - least(g.min_p, 1.0), h.tests))) FROM (SELECT tests, count(*) AS c FROM gq GROUP BY 1) h) AS e, count(*) OVER (ORDER BY min_p) AS k FROM gq g)""",
+ "gn", **_STAGE, gq="SELECT gene_id, min(pvalue) AS min_p, count(pvalue) AS tests FROM fp WHERE pvalue IS NOT NULL GROUP BY 1"))
+def gene_q_values(spark, d):
+    return M.gene_q_values(_stage_tables(spark, d)[1], []).select("gene_id", "min_p", "tests", *r6("gene_qvalue"))
+
+
 @query(T.sql("""SELECT contrast_id, gene_id, 1 AS background, CAST(sel AS INTEGER) AS foreground, CASE WHEN sel THEN CASE WHEN effect > 0 THEN 'any_dge;upregulated' ELSE 'any_dge;downregulated' END ELSE '' END AS direction,
  round(coalesce(stat, sign(effect) * -log10(greatest(pvalue, 1e-300)), effect, 0.0), 6) AS rank_score FROM (SELECT *, coalesce(padj <= 0.05 AND abs(effect) >= 1, false) AS sel FROM bh)""", "rs", **_BH))
 def prepared_gene_table(spark, d):

@@ -3,6 +3,8 @@
 import math
 import random
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -371,3 +373,24 @@ def test_multilevel_has_no_floor(spark):
     assert all(0.001 < got[f"r{k}"].pvalue <= 1 for k in range(6))
     edges = {r.term_id: r.leading_edge.split(";") for r in enrich.leading_edges(ranked, table).collect()}
     assert edges["top"] == [f"g{i}" for i in range(0, 60, 3)] and edges["bottom"] == [f"g{i}" for i in range(1499, 1439, -3)]
+
+
+def test_gene_q_values_against_the_definition(spark):
+    from endweave.operators.multitest import gene_q_values
+
+    rng = random.Random(9)
+    rows = [(q, f"g{rng.randint(0, 60)}", rng.choice([rng.random(), rng.random() ** 4, 0.25, 1.0, 0.0, None, float("nan")])) for q in ("a", None) for _ in range(250)]
+    got = {(r.q, r.gene_id): (r.tests, r.gene_qvalue) for r in gene_q_values(spark.createDataFrame(rows, "q string, gene_id string, pvalue double"), ["q"]).collect()}
+    count = 0
+    for q in ("a", None):
+        genes = {}
+        for k, g, p in rows:
+            if k == q and p is not None and p == p:
+                genes.setdefault(g, []).append(p)
+        low = {g: min(v) for g, v in genes.items()}
+        rate = lambda t: sum(1 - (1 - t) ** len(v) for v in genes.values()) / sum(p <= t for p in low.values())  # noqa: B023, E731
+        for g, t in low.items():
+            assert got[q, g][0] == len(genes[g])
+            assert got[q, g][1] == pytest.approx(min(1.0, min(rate(u) for u in low.values() if u >= t)), abs=1e-12)
+        count += len(genes)
+    assert len(got) == count
