@@ -77,3 +77,33 @@ def chi_square_tail(x: float, df: float) -> float:
         if abs(d * c - 1) < 1e-14:
             break
     return min(1.0, front * h)
+
+
+def beta_share(x: float, a: float, b: float) -> float:
+    """The regularised incomplete beta function by its continued fraction, from the side where that is short."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(1 - x, b, a)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+    h = d
+    for m in range(1, 500):
+        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 / (1 + step * d), 1 + step / c
+            h *= d * c
+        if abs(d * c - 1) < 1e-14:
+            break
+    return front * h
+
+
+def f_quantile(share: float, of: float, over: float) -> float:
+    """The value below which an F variable of (of, over) degrees of freedom is with this probability."""
+    low, high = 0.0, 1.0
+    below = lambda v: beta_share(of * v / (of * v + over), of / 2, over / 2)
+    while below(high) < share and high < 1e12:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle) < share else (low, middle)
+    return (low + high) / 2

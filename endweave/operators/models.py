@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from endweave.functions.special import chi_square_tail, digamma, log_gamma, normal_tail, trigamma
+from endweave.functions.genomics import checksum_seed
+from endweave.functions.special import chi_square_tail, digamma, f_quantile, log_gamma, normal_tail, trigamma
+from endweave.operators.checks import FIT_STATUS
 from endweave.operators.design import model_matrix, variables
 from endweave.operators.expression import size_factors
 from endweave.operators.multitest import adjust_bh, gene_q_values
@@ -169,12 +171,69 @@ def _trend(fitted: DataFrame, free: int) -> tuple[float, float, float]:
     return max(float(coef[0]), 1e-3), max(float(coef[1]), 0.0), max(float(np.median(found)) ** 2 - own if found else 1.0, 0.25)
 
 
+#: Fixed values of the published method: the share of an F distribution that no distance exceeds; replicates
+#: with which a sample may be an outlier, and with which its count may be replaced; the least dispersion of
+#: distances; (replicates up to, share cut off at each end, factor of the trimmed variance).
+OUTLYING, ENOUGH, REPLACEABLE, LEAST_SPREAD = 0.99, 3, 7, 0.04
+TRIMS = ((3.5, 1 / 3, 2.04), (23.5, 1 / 4, 1.86), (np.inf, 1 / 8, 1.51))
+
+
+def _trimmed(values: np.ndarray, share: float) -> np.ndarray:
+    """The mean of each row without its ``share`` smallest and largest."""
+    cut_off = int(values.shape[1] * share)
+    return np.sort(values, axis=1)[:, cut_off : values.shape[1] - cut_off].mean(axis=1)
+
+
+def _cells(x: np.ndarray) -> list[np.ndarray]:
+    """The samples of each row of the model matrix that occurs."""
+    _, cell = np.unique(x, axis=0, return_inverse=True)
+    return [np.flatnonzero(cell.reshape(-1) == c) for c in range(cell.max() + 1)]
+
+
+def _cooks(y: np.ndarray, s: np.ndarray, x: np.ndarray, alpha: np.ndarray, mu: np.ndarray) -> np.ndarray:
+    """Cook's distance of each count: what it moves its gene's coefficients by, from the residual at a
+    dispersion that a single count can't raise, and the leverage of the weighted fit."""
+    norm, p = y / s, x.shape[1]
+    cells = [c for c in _cells(x) if len(c) >= ENOUGH]
+    spread = np.zeros(len(y))
+    for cell in cells or [np.arange(len(s))]:
+        share, factor = next((t, f) for upto, t, f in TRIMS if len(cell) <= upto)
+        off = (norm[:, cell] - _trimmed(norm[:, cell], share)[:, None]) ** 2
+        spread = np.maximum(spread, factor * _trimmed(off, share))
+    mean = norm.mean(axis=1)
+    robust = np.maximum((spread - mean) / np.maximum(mean, 1e-12) ** 2, LEAST_SPREAD)[:, None]
+    w = mu / (1 + alpha[:, None] * mu)
+    info = (w @ _products(x)).reshape(-1, p, p) + RIDGE * np.eye(p)
+    leverage = np.clip(w * np.einsum("np,gpq,nq->gn", x, np.linalg.inv(info), x), 0, 1 - 1e-9)
+    return (y - mu) ** 2 / (mu + robust * mu**2) / p * leverage / (1 - leverage) ** 2
+
+
+def _outliers(y: np.ndarray, x: np.ndarray, cooks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(counts that are outliers, those of them that may be replaced). With one factor of two levels a
+    count that three others of its gene exceed is none."""
+    free = len(x) - x.shape[1]
+    cells, out, may = _cells(x), np.zeros(y.shape, dtype=bool), np.zeros(len(x), dtype=bool)
+    if free <= 0:
+        return out, out
+    far = cooks > f_quantile(OUTLYING, x.shape[1], free)
+    for cell in cells:
+        if len(cell) >= ENOUGH:
+            out[:, cell] = far[:, cell]
+        may[cell] = len(cell) >= REPLACEABLE
+    if len(cells) == 2 and x.shape[1] == 2:
+        out &= (y[:, None, :] > y[:, :, None]).sum(axis=2) < 3
+    return out, out & may
+
+
 def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, lfc: float = 1.0, design: str = "~ condition") -> DataFrame:
-    """(gene_id, base_mean, log2_fold_change, se, stat, pvalue, pvalue_lfc, dispersion, padj): Wald tests
-    of the condition in ``design``, of no change and of a change beyond ``lfc``, from one fit.
+    """(gene_id, base_mean, log2_fold_change, se, stat, pvalue, pvalue_lfc, dispersion, max_cooks, outlier,
+    padj): Wald tests of the condition in ``design``, of no change and of a change beyond ``lfc``, from one fit.
 
     Dispersions are fitted gene by gene, a trend over the mean is fitted to bins of them, and final
-    ones are drawn to the trend."""
+    ones are drawn to the trend. A count whose Cook's distance is above the F distribution's OUTLYING is
+    an outlier where its cell of the design has ENOUGH replicates; with REPLACEABLE ones it is replaced by
+    the gene's trimmed mean and the gene fitted again, without the gene has ``outlier`` and no p-value, and
+    takes no part in the adjustment."""
     factors = {r["sample_id"]: r["size_factor"] or 1.0 for r in size_factors(counts).collect()}  # a row for each sample
     names, x = _design(samples, denominator, numerator, design, factors or None)  # all where there are no counts
     s = np.array([factors.get(n, 1.0) for n in names])
@@ -188,11 +247,21 @@ def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator:
     fitted = rows.groupBy("bucket").applyInPandas(first, "gene_id string, mean double, dispersion double")
     base, slope, var = _trend(fitted, len(names) - x.shape[1])
 
+    def drawn(y: np.ndarray) -> np.ndarray:
+        return _dispersions(y, offset, x, (base + slope / np.maximum((y / s).mean(axis=1), 1e-3), var))
+
     def second(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, y = _matrix(pdf, "gene_id", names)
         mean = (y / s).mean(axis=1)
-        alpha = _dispersions(y, offset, x, (base + slope / np.maximum(mean, 1e-3), var))
+        alpha = drawn(y)
         beta, mu = _fit(y, offset, x, alpha)
+        cooks = _cooks(y, s, x, alpha, mu)
+        far, may = _outliers(y, x, cooks)
+        if (again := may.any(axis=1)).any():
+            y[again] = np.where(may[again], np.round(_trimmed(y[again] / s, 0.2)[:, None] * s), y[again])
+            alpha[again] = drawn(y[again])
+            beta[again], mu[again] = _fit(y[again], offset, x, alpha[again])
+        outlier = (far & ~may).any(axis=1)
         info = ((mu / (1 + alpha[:, None] * mu)) @ _products(x)).reshape(-1, x.shape[1], x.shape[1])
         inverse = np.linalg.inv(info + RIDGE * np.eye(x.shape[1]))
         change = beta[:, -1] / math.log(2)
@@ -200,13 +269,17 @@ def negative_binomial_tests(counts: DataFrame, samples: DataFrame, denominator:
         none = y.sum(axis=1) == 0
         stat = np.where(none, np.nan, change / se)
         beyond = np.where(none, np.nan, np.maximum(np.abs(change) - lfc, 0) / se)
+        told = lambda p: np.where(outlier, np.nan, p)
         return pd.DataFrame({
             "gene_id": ids, "base_mean": mean, "log2_fold_change": np.where(none, np.nan, change), "se": np.where(none, np.nan, se),
-            "stat": stat, "pvalue": normal_tail(stat), "pvalue_lfc": np.minimum(1.0, normal_tail(beyond)), "dispersion": alpha,
+            "stat": stat, "pvalue": told(normal_tail(stat)), "pvalue_lfc": told(np.minimum(1.0, normal_tail(beyond))), "dispersion": alpha,
+            "max_cooks": cooks.max(axis=1), "outlier": outlier,
         })
 
-    schema = "gene_id string, base_mean double, log2_fold_change double, se double, stat double, pvalue double, pvalue_lfc double, dispersion double"
-    return adjust_bh(cut(rows.groupBy("bucket").applyInPandas(second, schema)), [])
+    schema = "gene_id string, base_mean double, log2_fold_change double, se double, stat double, pvalue double, pvalue_lfc double, dispersion double, max_cooks double, outlier boolean"
+    told = cut(rows.groupBy("bucket").applyInPandas(second, schema))
+    absent = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    return adjust_bh(told.select(*[absent(c) if c in ("pvalue", "pvalue_lfc") else c for c in told.columns]), [])
 
 
 def usage_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, design: str = "~ condition") -> DataFrame:
@@ -311,47 +384,120 @@ def _fit_shares(y: np.ndarray, x: np.ndarray, precision: np.ndarray, beta: np.nd
     return beta, now, np.linalg.slogdet(slopes(beta, q, np.arange(genes))[1])[1]
 
 
+#: The precisions that usage fits choose from, and the degrees of freedom that the common curve is worth.
+PRECISIONS, PRIOR_DF = np.exp(np.linspace(math.log(0.5), math.log(5000.0), 40)), 10.0
+
+
+def _common_curves(curves: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(doublings of the mean, mean curve of the genes near each) of (mean, curve): genes a doubling away
+    count six tenths, those two away an eighth."""
+    each = curves.select(F.floor(F.log2("mean")).alias("bin"), F.posexplode("curve").alias("i", "v")).groupBy("bin", "i").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
+    got = each.collect()  # a row for each doubling and precision
+    bins = np.array(sorted({r["bin"] for r in got}), dtype=float)
+    at = {b: i for i, b in enumerate(bins)}
+    sums, n = np.zeros((len(bins), len(PRECISIONS))), np.zeros(len(bins))
+    for r in got:
+        sums[at[r["bin"]], r["i"]], n[at[r["bin"]]] = r["v"], r["n"]
+    near = np.exp(-((bins[:, None] - bins[None, :]) ** 2) / 2)
+    return bins, (near @ sums) / np.maximum(near @ n, 1e-12)[:, None]
+
+
 def dirichlet_tests(counts: DataFrame, samples: DataFrame, denominator: str, numerator: str, design: str = "~ condition") -> DataFrame:
-    """(gene_id, feature_id, precision, gene_pvalue, pvalue): Dirichlet-multinomial likelihood ratios of the
-    condition in ``design`` for a gene's shares, and beta-binomial ones for each site, at the gene's
-    precision of most likelihood, less half the information that the coefficients take (Cox and Reid).
-    Where a fit fails, a small uniform count is added and the fit repeated."""
+    """(gene_id, feature_id, precision, gene_pvalue, pvalue, retried): Dirichlet-multinomial likelihood ratios
+    of the condition in ``design`` for a gene's shares, and beta-binomial ones for each site.
+
+    A gene's precision is moderated. Its profile likelihood, less half the information that the coefficients
+    take (Cox and Reid), is worked out on a grid; the curves of genes of like expression are averaged, and
+    the gene's own is drawn to theirs, which counts as PRIOR_DF degrees of freedom against those that the
+    samples leave. Where a fit fails, a small uniform count is added and the fit repeated."""
     names, x = _design(samples, denominator, numerator, design)
-    rows = _buckets(counts.filter(F.col("sample_id").isin(names)))
+    rows = cut(_buckets(counts.filter(F.col("sample_id").isin(names))))
     reduced = x[:, :-1]
-    grid = np.exp(np.linspace(math.log(0.5), math.log(5000.0), 40))
+    worth = PRIOR_DF / max(len(names) - x.shape[1], 1)
 
     def ratios(y: np.ndarray, precision: np.ndarray) -> np.ndarray:
         return np.maximum(2 * (_fit_shares(y, x, precision)[1] - _fit_shares(y, reduced, precision)[1]), 0.0)
 
-    def fit(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(precisions, ratios of genes, ratios of sites) of genes with equally many sites."""
-        best, precision, beta = np.full(len(y), -np.inf), np.full(len(y), grid[0]), None
-        for c in grid:
+    def profile(y: np.ndarray) -> np.ndarray:
+        """(gene, precision) likelihoods above each gene's least; genes with equally many sites."""
+        curve, beta = np.zeros((len(y), len(PRECISIONS))), None
+        for i, c in enumerate(PRECISIONS):
             beta, value, taken = _fit_shares(y, x, np.full(len(y), c), beta)
-            value = value - 0.5 * taken
-            better = value > best
-            best[better], precision[better] = value[better], c
-        one = np.stack([y, y.sum(axis=1, keepdims=True) - y], axis=2)  # a site against the others of its gene
-        sites = ratios(one.reshape(-1, 2, y.shape[2]), np.repeat(precision, y.shape[1])).reshape(y.shape[:2])
-        return precision, ratios(y, precision), sites
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, alike = [], {}
+            curve[:, i] = value - 0.5 * taken
+        return curve - curve.max(axis=1, keepdims=True)
+
+    def alike(pdf: pd.DataFrame) -> tuple[list, dict]:
+        """(genes that can't be tested with their sites; by number of sites the (gene, sites, counts) of others)."""
+        others, found = [], {}
         for gene, part in pdf.groupby("gene_id"):
             ids, y = _matrix(part, "pas_id", names)
             if len(ids) < 2 or not y.sum():
-                out += [(gene, i, None, None, None) for i in ids]
+                others.append((gene, ids))
             else:
-                alike.setdefault(len(ids), []).append((gene, ids, y))
-        for k, genes in alike.items():
+                found.setdefault(len(ids), []).append((gene, ids, y))
+        return others, found
+
+    def first(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for genes in alike(pdf)[1].values():
             y = np.stack([g[2] for g in genes])
-            precision, lr, sites = fit(y)
-            if (again := ~np.isfinite(lr)).any():
-                precision[again], lr[again], sites[again] = fit(y[again] + 0.1)
-            for (gene, ids, _), c, v, each in zip(genes, precision, lr, sites, strict=True):
-                p = chi_square_tail(float(v), k - 1)
-                out += [(gene, i, float(c), p, chi_square_tail(float(u), 1)) for i, u in zip(ids, each, strict=True)]
-        return pd.DataFrame(out, columns=["gene_id", "feature_id", "precision", "gene_pvalue", "pvalue"])
+            curve = profile(y)
+            again = ~np.isfinite(curve).all(axis=1)
+            if again.any():
+                curve[again] = profile(y[again] + 0.1)
+            out += [(g[0], float(m), c.tolist(), bool(r)) for g, m, c, r in zip(genes, y.sum(axis=1).mean(axis=1), curve, again, strict=True)]
+        return pd.DataFrame(out, columns=["gene_id", "mean", "curve", "retried"])
 
-    return rows.groupBy("bucket").applyInPandas(run, "gene_id string, feature_id string, precision double, gene_pvalue double, pvalue double")
+    curves = cut(rows.groupBy("bucket").applyInPandas(first, "gene_id string, mean double, curve array<double>, retried boolean"))
+    bins, common = _common_curves(curves.filter(~F.exists("curve", lambda v: F.isnan(v))))
+    joined = rows.join(curves.select("gene_id", "mean", "curve", "retried"), "gene_id", "left")
+
+    def second(pdf: pd.DataFrame) -> pd.DataFrame:
+        others, found = alike(pdf)
+        own = pdf.drop_duplicates("gene_id").set_index("gene_id")
+        out = [(gene, i, None, None, None, False) for gene, ids in others for i in ids]
+        for k, genes in found.items():
+            told = own.loc[[g[0] for g in genes]]
+            at = np.abs(np.floor(np.log2(told["mean"].to_numpy()))[:, None] - bins[None, :]).argmin(axis=1)
+            curve = np.stack(told["curve"].to_list()) + worth * common[at]
+            precision, again = PRECISIONS[np.nan_to_num(curve, nan=-np.inf).argmax(axis=1)], told["retried"].to_numpy(dtype=bool)
+            y = np.stack([g[2] for g in genes])
+            y = np.where(again[:, None, None], y + 0.1, y)
+
+            def tested(y: np.ndarray, precision: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                one = np.stack([y, y.sum(axis=1, keepdims=True) - y], axis=2)  # a site against the others of its gene
+                return ratios(y, precision), ratios(one.reshape(-1, 2, y.shape[2]), np.repeat(precision, y.shape[1])).reshape(y.shape[:2])
+
+            lr, sites = tested(y, precision)
+            if (bad := ~np.isfinite(lr) & ~again).any():
+                lr[bad], sites[bad] = tested(y[bad] + 0.1, precision[bad])
+                again = again | bad
+            for (gene, ids, _), c, v, each, r in zip(genes, precision, lr, sites, again, strict=True):
+                p = chi_square_tail(float(v), k - 1)
+                out += [(gene, i, float(c), p, chi_square_tail(float(u), 1), bool(r)) for i, u in zip(ids, each, strict=True)]
+        return pd.DataFrame(out, columns=["gene_id", "feature_id", "precision", "gene_pvalue", "pvalue", "retried"])
+
+    schema = "gene_id string, feature_id string, precision double, gene_pvalue double, pvalue double, retried boolean"
+    return joined.groupBy("bucket").applyInPandas(second, schema)
+
+
+def usage_fit_audit(tests: DataFrame, design: str = "~ condition", contrast: str = "contrast_id") -> DataFrame:
+    """(contrast_id, status, fit_policy, multifactor, one_way, add_uniform, seed, first_error, genes, retried)
+    of usage fits by contrast, for ``checks.fit_faults``."""
+    plain, retry = FIT_STATUS
+    per = tests.groupBy(F.col(contrast).alias("contrast_id")).agg(
+        F.count_distinct("gene_id").alias("genes"), F.count_distinct(F.when(F.col("retried"), F.col("gene_id"))).alias("retried"), F.min(F.when(F.col("retried"), F.col("gene_id"))).alias("one")
+    )
+    again, several = F.col("retried") > 0, F.lit(len(variables(design)) > 1)
+    return per.select(
+        "contrast_id",
+        F.when(again, FIT_STATUS[retry]).otherwise(FIT_STATUS[plain]).alias("status"),
+        F.when(again, retry).otherwise(plain).alias("fit_policy"),
+        several.alias("multifactor"),
+        (~several).alias("one_way"),
+        again.alias("add_uniform"),
+        checksum_seed(F.col("contrast_id")).alias("seed"),
+        F.when(again, F.concat(F.lit("no finite likelihood: "), F.col("one"))).otherwise("").alias("first_error"),
+        "genes",
+        "retried",
+    )

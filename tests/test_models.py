@@ -394,3 +394,74 @@ def test_gene_q_values_against_the_definition(spark):
             assert got[q, g][1] == pytest.approx(min(1.0, min(rate(u) for u in low.values() if u >= t)), abs=1e-12)
         count += len(genes)
     assert len(got) == count
+
+
+def test_f_quantile():
+    from endweave.functions.special import beta_share, f_quantile
+
+    assert f_quantile(0.99, 2, 6) == pytest.approx(10.9248, rel=1e-4) and f_quantile(0.99, 2, 14) == pytest.approx(6.5149, rel=1e-4)
+    assert beta_share(0.3, 2, 1) == pytest.approx(0.09) and beta_share(0.9, 1, 3) == pytest.approx(1 - 0.1**3)
+
+
+@pytest.mark.parametrize("replicates", [4, 8])
+def test_a_planted_outlier(spark, replicates):
+    """One count of one gene is far off: with few replicates the gene has no p-value and is out of the
+    adjustment, with many the count is replaced; other genes are what they were."""
+    rng = np.random.default_rng(6)
+    names = [f"s{i:02}" for i in range(2 * replicates)]
+    mean = rng.uniform(50, 400, 150)
+    y = rng.negative_binomial(10, 10 / (10 + mean[:, None]), (150, 2 * replicates))
+    y[:10, replicates:] *= 4
+    samples = spark.createDataFrame([(n, "A" if i < replicates else "B", f"u{i % replicates}") for i, n in enumerate(names)], "sample_id string, condition string, subject string")
+
+    def tested(matrix):
+        rows = [(f"g{g}", n, int(matrix[g, i])) for g in range(150) for i, n in enumerate(names)]
+        df = spark.createDataFrame(rows, "gene_id string, sample_id string, count long")
+        return {r.gene_id: r for r in models.negative_binomial_tests(df, samples, "A", "B").collect()}
+
+    clean = tested(y)
+    assert sum(r.outlier for r in clean.values()) <= 3 and all(clean[f"g{g}"].pvalue < 1e-3 for g in range(10))
+    y[100, 1] = 60_000
+    got = tested(y)
+    assert got["g100"].max_cooks > 3 * models.f_quantile(0.99, 2, 2 * replicates - 2)
+    if replicates == 4:
+        assert got["g100"].outlier and got["g100"].pvalue is None and got["g100"].padj is None and got["g100"].stat is not None
+    else:
+        assert not got["g100"].outlier and abs(got["g100"].log2_fold_change) < 1 and got["g100"].pvalue > 1e-3
+    others = [g for g in clean if g != "g100"]
+    assert [clean[g].outlier for g in others] == [got[g].outlier for g in others]
+    assert all(got[g].pvalue is None or abs(got[g].log2_fold_change - clean[g].log2_fold_change) < 0.05 for g in others)
+    tests = sorted((r.pvalue, r.padj) for r in got.values() if r.pvalue is not None)
+    least = 1.0
+    for i in range(len(tests), 0, -1):
+        least = min(least, tests[i - 1][0] * len(tests) / i)
+        assert tests[i - 1][1] == pytest.approx(least)
+
+
+def test_moderated_precision_is_calibrated(spark):
+    """Null genes of two and three sites, three samples against three: as many small p-values as there should
+    be, and a gene's own precision still shows; the audit passes the gate."""
+    from endweave.operators import checks
+
+    rng, rows = np.random.default_rng(21), []
+    for g in range(700):
+        k, precision, total = 2 + g % 2, 30 if g < 350 else 120, 60 if g % 4 < 2 else 400
+        base = rng.dirichlet(np.full(k, 5.0))
+        for s in range(6):
+            y = rng.multinomial(rng.poisson(total), rng.dirichlet(precision * base))
+            rows += [(f"p{g}_{i}", f"g{g}", f"s{s}", int(v)) for i, v in enumerate(y)]
+    counts = spark.createDataFrame(rows, "pas_id string, gene_id string, sample_id string, count long")
+    samples = spark.createDataFrame(PAIRS, "sample_id string, condition string, subject string")
+    tests = models.dirichlet_tests(counts, samples, "A", "B").withColumn("contrast_id", F.lit("B_vs_A")).cache()
+    got = {r.gene_id: r for r in tests.collect()}
+    small = np.mean([r.gene_pvalue < 0.05 for r in got.values()])
+    assert len(got) == 700 and 0.04 <= small <= 0.06, small
+    middle = lambda low, high: np.median([got[f"g{g}"].precision for g in range(low, high)])
+    assert middle(0, 350) < middle(350, 700)
+    audit = models.usage_fit_audit(tests)
+    row = audit.first()
+    assert (row.status, row.fit_policy, row.genes, row.retried, row.one_way) == ("PASS", "standard", 700, 0, True) and row.seed > 0
+    assert checks.fit_faults(audit).collect() == []
+    again = models.usage_fit_audit(tests.withColumn("retried", F.col("gene_id") == "g7"), "~ subject + condition")
+    assert again.first().status == "WARN_NUMERIC_RETRY" and checks.fit_faults(again).collect() == []
+    tests.unpersist()
