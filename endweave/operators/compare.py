@@ -2,66 +2,66 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from endweave.operators.design import resolved
-from endweave.operators.intervals import gap_clusters
+from endweave.operators.intervals import FINE, points_in
 from endweave.session import cut
 
-#: Sites of a bucket on average.
-BUCKET = 20_000
+
+def _reach(a: DataFrame, b: DataFrame, tolerance: int) -> DataFrame:
+    """(a, b, wish, turn): pairs of sites within the tolerance; a site of a wants the pair of the least wish,
+    one of b goes to the least turn."""
+    place = F.struct("chrom", "strand").alias("place")  # null contigs and strands are equal to each other
+    left = a.select(place, F.col("start").alias("at"), F.col("row").alias("a"), "ordinal", F.col("gene_id").alias("a_gene"))
+    right = b.select(place, (F.col("start") - tolerance).alias("low"), (F.col("start") + tolerance + 1).alias("high"), F.col("row").alias("b"), "pas_id", F.col("gene_id").alias("b_gene"))
+    same = (F.col("a_gene") != "") & (F.col("a_gene") == F.col("b_gene"))
+    far = F.abs(F.col("at") - F.col("low") - tolerance)
+    wish = F.struct((~F.coalesce(same, F.lit(False))).alias("other_gene"), far.alias("far"), "pas_id", "low", "b")
+    pairs = points_in(left, right, ["place"], "at", "low", "high", width=FINE)
+    return pairs.select("a", "b", wish.alias("wish"), F.struct("ordinal", "a").alias("turn"))
 
 
 def crosswalk(a: DataFrame, b: DataFrame, tolerance: int = 24) -> DataFrame:
     """Greedy one-to-one matches of a's sites, in their order, with b's nearest within the tolerance.
 
     Columns of both: pas_id, chrom, strand, start, gene_id; a has ``ordinal`` too. Among b's free
-    sites in reach those of the same gene come first, then the distance, then the id. Sites of
-    either catalog that are more than the tolerance from the next cannot compete for a match: such
-    clusters are matched each for itself, so that a chromosome is many groups.
+    sites in reach those of the same gene come first, then the distance, then the id. Sites without a
+    start match none; null contigs and strands are contigs and strands.
+
+    A pair in which both sites come first for each other is what going through a's sites would make of
+    them, whatever becomes of others, and so all such pairs are taken at once, round by round, until
+    no pair of free sites is left. A round takes at least one pair of every group of sites in reach.
     """
-    both = a.select("chrom", "strand", "start", "pas_id", "gene_id", "ordinal", F.lit(0).alias("side")).unionByName(
-        b.select("chrom", "strand", "start", "pas_id", "gene_id", F.lit(None).cast("long").alias("ordinal"), F.lit(1).alias("side"))
+    a, b = cut(a.withColumn("row", F.monotonically_increasing_id())), cut(b.withColumn("row", F.monotonically_increasing_id()))
+    pairs, matched = cut(_reach(a, b, tolerance)), None
+    while not pairs.isEmpty():
+        ranked = pairs.withColumn("wanted", F.min("wish").over(Window.partitionBy("a"))).withColumn("first", F.min("turn").over(Window.partitionBy("b")))
+        ranked = cut(ranked.withColumn("taken", (F.col("wish") == F.col("wanted")) & (F.col("turn") == F.col("first"))).drop("wanted", "first"))
+        taken = ranked.filter("taken").select("a", "b", F.col("wish.far").alias("distance"))
+        matched = taken if matched is None else matched.union(taken)
+        left = ranked.filter("not taken").drop("taken").join(taken.select("a"), "a", "left_anti").join(taken.select("b"), "b", "left_anti")
+        pairs = cut(left.select("a", "b", "wish", "turn"))
+    if matched is None:
+        matched = pairs.select("a", "b", F.lit(None).cast("long").alias("distance"))
+    gene = lambda c: F.coalesce(c, F.lit("")).alias
+    own, other = a.alias("x").join(matched.alias("m"), F.col("x.row") == F.col("m.a"), "left"), b.alias("y")
+    both = own.join(other, F.col("y.row") == F.col("m.b"), "left").select(
+        F.col("x.pas_id").alias("a_pas_id"),
+        F.coalesce("y.pas_id", F.lit("")).alias("b_pas_id"),
+        F.col("x.chrom").alias("chrom"),
+        F.col("x.strand").alias("strand"),
+        F.col("m.distance").cast("long").alias("distance"),
+        gene(F.col("x.gene_id"))("a_gene_id"),
+        gene(F.col("y.gene_id"))("b_gene_id"),
+        F.when(F.col("m.b").isNull(), "a_only").otherwise("matched").alias("match_class"),
+    )
+    free = other.join(matched.alias("m"), F.col("y.row") == F.col("m.b"), "left_anti")
+    empty, none = F.lit(""), F.lit(None).cast("long")
+    return both.union(
+        free.select(empty.alias("a_pas_id"), "pas_id", "chrom", "strand", none.alias("distance"), empty.alias("a_gene_id"), gene(F.col("gene_id"))("b_gene_id"), F.lit("b_only").alias("match_class"))
     )
-    parts = cut(gap_clusters(both, ["chrom", "strand"], "start", tolerance))
-    buckets = max(1, -(-parts.count() // BUCKET))
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Clusters of a bucket do not meet, so that each strand of a contig can be gone through at once.
-        return pd.concat([strand_matches(part) for _, part in pdf.groupby(["chrom", "strand"])])
-
-    def strand_matches(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["side"] == 0].sort_values("ordinal")
-        right = pdf[pdf["side"] == 1].sort_values(["start", "pas_id"])
-        starts, ids, genes = right["start"].tolist(), right["pas_id"].tolist(), right["gene_id"].fillna("").tolist()
-        chrom, strand = pdf["chrom"].iloc[0], pdf["strand"].iloc[0]
-        free, out = [True] * len(ids), []
-        for row in left.itertuples():
-            reach, i = [], bisect_left(starts, row.start - tolerance)
-            while i < len(starts) and starts[i] <= row.start + tolerance:
-                if free[i]:
-                    same = bool(row.gene_id) and genes[i] == row.gene_id
-                    reach.append((not same, abs(starts[i] - row.start), ids[i], i))
-                i += 1
-            if reach:
-                i = min(reach)[3]
-                free[i] = False
-                out.append((row.pas_id, ids[i], chrom, strand, abs(starts[i] - row.start), row.gene_id or "", genes[i], "matched"))
-            else:
-                out.append((row.pas_id, "", chrom, strand, None, row.gene_id or "", "", "a_only"))
-        out += [("", ids[i], chrom, strand, None, "", genes[i], "b_only") for i in range(len(ids)) if free[i]]
-        names = ["a_pas_id", "b_pas_id", "chrom", "strand", "distance", "a_gene_id", "b_gene_id", "match_class"]
-        made = pd.DataFrame(out, columns=names)
-        made["distance"] = made["distance"].astype("Int64")
-        return made
-
-    schema = "a_pas_id string, b_pas_id string, chrom string, strand string, distance long, a_gene_id string, b_gene_id string, match_class string"
-    bucket = F.pmod(F.xxhash64("chrom", "strand", "cluster"), F.lit(buckets))
-    return parts.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(match, schema)
 
 
 def concordance(matches: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:

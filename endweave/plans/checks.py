@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from endweave.operators import checks as K
 from endweave.operators import ends as E
 from endweave.operators.assign import premature_candidates
-from endweave.operators.multitest import staged_audit
 from endweave.plans import adapters as T
 from endweave.plans.core import PLACE, Study
 from endweave.plans.models import _SF, _factors
 from endweave.plans.registry import query
 from endweave.plans.statistics import _BH, _STAGE, _TERMS, _USE, _foreground, _made_tests, _stage_tables, _terms, r6
+from endweave.plans.tables import _cross_sql
 
 
 @query(T.sql("""SELECT sample_id, chrom, strand, pos, CAST(unclipped + clipped AS BIGINT) AS count, true AS complete FROM en""", "en"))
@@ -73,9 +73,19 @@ def score_repair(spark, d):
     return K.repaired_scores(T.table(spark, d, "part").select(F.col("p_brand").alias("cluster_id"), F.col("p_size").alias("score")))
 
 
-@query(T.sql("SELECT 'c0' AS contrast_id, 'too_few_sites' AS fault FROM fe WHERE false", "gn", **_STAGE))
+@query("""WITH a AS (SELECT 'c' || k AS contrast_id, 100 AS st, k % 120 AS sn, k % 3 AS eg, 100 - k % 120 - k % 3 + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS ig, 50 AS ct, k % 60 AS cn, 150 - k % 90 AS si, k % 2 = 0 AS warned
+ FROM (SELECT c_custkey AS k FROM customer))
+SELECT contrast_id, fault FROM (SELECT contrast_id, unnest([CASE WHEN sn > st THEN 'more_missing_than_tests' END, CASE WHEN cn > ct THEN 'more_missing_than_sites' END, CASE WHEN st <> sn + eg + ig THEN 'genes_do_not_add_up' END,
+ CASE WHEN si < 2 * ig THEN 'too_few_sites' END, CASE WHEN (sn + cn + eg > 0) <> warned THEN 'status' END]) AS fault FROM a) WHERE fault IS NOT NULL""")
 def audit_gate(spark, d):
-    return K.audit_faults(staged_audit(*_stage_tables(spark, d)).withColumn("contrast_id", F.lit("c0")))
+    """Audits made of customers, most of which contradict themselves somewhere."""
+    k = F.col("c_custkey")
+    audit = T.table(spark, d, "customer").select(
+        F.concat(F.lit("c"), k.cast("string")).alias("contrast_id"), F.lit(100).alias("screening_tests"), (k % 120).alias("screening_na"), (k % 3).alias("excluded_genes"),
+        (100 - k % 120 - k % 3 + (k % 7 == 0).cast("int")).alias("input_genes"), F.lit(50).alias("confirmation_tests"), (k % 60).alias("confirmation_na"), (150 - k % 90).alias("input_sites"),
+        F.when(k % 2 == 0, "WARN_UNTESTABLE_PVALUES").otherwise("PASS").alias("status"),
+    )
+    return K.audit_faults(audit)
 
 
 @query(T.sql("""SELECT gene_id, sample_id, round(ln((1 + 2 + 2 * 0.1 * q + 2 * sqrt(0.1 * q * (1 + 2 + 0.1 * q))) / (4 * 0.1)) / ln(2), 6) AS value FROM (
@@ -101,7 +111,7 @@ def site_totals(spark, d):
     return E.site_totals(study.c2, study.counts, study.catalog, premature_candidates(study.catalog))
 
 
-@query()
+@query(_cross_sql("SELECT match_class, CAST(count(*) AS BIGINT) AS sites FROM mt GROUP BY 1"))
 def crosswalk_classes(spark, d):
     from endweave.operators.compare import class_counts
     from endweave.plans.tables import _matches
@@ -129,6 +139,34 @@ def wald_contrasts(spark, d):
     return filtered_bh(over_contrasts(negative_binomial_tests, E.gene_counts(study.catalog, study.counts), samples).drop("padj"), ["contrast_id"])
 
 
+def _usage_contrasts(spark, d, fit):
+    from endweave.operators.compare import over_contrasts
+    from endweave.plans.statistics import _testable
+
+    study = Study(spark, d)
+    samples = T.samples(spark, d).withColumn("ordinal", F.col("condition"))
+    return over_contrasts(fit, study.counts.join(_testable(study).select("pas_id", "gene_id"), "pas_id"), samples)
+
+
+@query()
+def exon_usage_contrasts(spark, d):
+    """Every contrast by its own design."""
+    from endweave.operators.models import usage_tests
+
+    return _usage_contrasts(spark, d, usage_tests)
+
+
+@query()
+def dm_usage_audit(spark, d):
+    """Fits of every contrast, and what the gate holds against their audit."""
+    from endweave.operators.models import dirichlet_tests, usage_fit_audit
+
+    tests = _usage_contrasts(spark, d, dirichlet_tests)
+    audit = usage_fit_audit(tests, "~ subject + condition")
+    faults = K.fit_faults(audit).groupBy("contrast_id").agg(F.sort_array(F.collect_set("fault")).alias("faults"))
+    return audit.join(faults, "contrast_id", "left").withColumn("faults", F.concat_ws(",", F.coalesce("faults", F.array().cast("array<string>"))))
+
+
 @query(T.sql("""SELECT gene_id, 'several_biotypes' AS fault FROM ex GROUP BY 1 HAVING count(DISTINCT kind) > 1 UNION ALL SELECT gene_id, 'several_contigs' FROM ex GROUP BY 1 HAVING count(DISTINCT chrom) > 1
  UNION ALL SELECT gene_id, 'several_strands' FROM ex GROUP BY 1 HAVING count(DISTINCT strand) > 1 UNION ALL SELECT gene_id, 'unknown_contig' FROM ex LEFT JOIN sz USING (chrom) GROUP BY 1 HAVING bool_or(size IS NULL)
  UNION ALL SELECT gene_id, 'out_of_bounds' FROM ex LEFT JOIN sz USING (chrom) GROUP BY 1 HAVING bool_or(start < 0 OR "end" > size OR "end" <= start)""", "ex", "sz"))

@@ -78,29 +78,50 @@ def _matches(study: Study):
     return cut(C.crosswalk(a, _second_catalog(study.spark, study.d)))
 
 
-@query()
+#: Sites of the catalog one after the other: of what is in reach and free, the first by gene, distance and id.
+_CROSS = {
+    "ca": "SELECT pas_id, chrom, strand, start, gene_id, row_number() OVER (ORDER BY pas_id) AS i FROM cat",
+    "cb": "SELECT source_id AS pas_id, chrom, strand, site + site % 11 AS start FROM kn WHERE strand <> '.'",
+    "cl": """SELECT i, list({'id': cb.pas_id, 'd': abs(cb.start - ca.start)} ORDER BY abs(cb.start - ca.start), cb.pas_id) AS reach
+ FROM ca JOIN cb ON cb.chrom = ca.chrom AND cb.strand = ca.strand AND abs(cb.start - ca.start) <= 24 GROUP BY 1""",
+    "gr": """SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS STRUCT(id VARCHAR, d BIGINT)) AS got UNION ALL
+ SELECT i, CASE WHEN got IS NULL THEN taken ELSE list_append(taken, got.id) END, got FROM (
+ SELECT gr.i + 1 AS i, gr.taken, list_filter(cl.reach, lambda x: NOT list_contains(gr.taken, x.id))[1] AS got
+ FROM gr LEFT JOIN cl ON cl.i = gr.i + 1 WHERE gr.i < (SELECT count(*) FROM ca))""",
+    "mt": """SELECT ca.pas_id AS a_pas_id, coalesce(got.id, '') AS b_pas_id, chrom, strand, got.d AS distance, gene_id AS a_gene_id, '' AS b_gene_id, CASE WHEN got IS NULL THEN 'a_only' ELSE 'matched' END AS match_class
+ FROM ca JOIN gr USING (i) UNION ALL SELECT '', pas_id, chrom, strand, NULL, '', '', 'b_only' FROM cb WHERE pas_id NOT IN (SELECT got.id FROM gr WHERE got IS NOT NULL)""",
+    "ef": "SELECT pas_id, (CAST(regexp_extract(pas_id, '[0-9]+') AS BIGINT) * 37 % 41 - 20) / 20.0::DOUBLE AS delta FROM (SELECT pas_id FROM ca UNION ALL SELECT pas_id FROM cb)",
+    "mm": """SELECT contrast_id, a_pas_id, b_pas_id, a.delta AS a_delta, b.delta AS b_delta, distance FROM mt JOIN ef a ON a.pas_id = a_pas_id JOIN ef b ON b.pas_id = b_pas_id, (VALUES ('c0'), ('c1')) c(contrast_id)""",
+}
+
+
+def _cross_sql(body: str) -> str:
+    return T.sql(body, "cat", "kn", **_CROSS).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_cross_sql("SELECT a_pas_id, b_pas_id, chrom, strand, CAST(distance AS BIGINT) AS distance, a_gene_id, b_gene_id, match_class FROM mt"))
 def catalog_crosswalk(spark, d):
     return _matches(Study(spark, d))
 
 
-def _effects(study: Study, ids, name: str):
-    n = F.abs(F.hash(F.col(name))) % 41 - 20
+def _effects(ids, name: str):
+    """Effects that are made up from the number in a site's id."""
+    n = F.regexp_extract(name, "[0-9]+", 0).cast("long") * 37 % 41 - 20
     rows = ids.filter(F.col(name) != "").select(F.col(name).alias("pas_id"), (n / F.lit(20.0)).alias("delta"))
     return rows.withColumn("contrast_id", F.explode(F.array(F.lit("c0"), F.lit("c1"))))
 
 
-@query()
+@query(_cross_sql("""SELECT contrast_id, a_pas_id, b_pas_id, a_delta, b_delta, CASE WHEN a_delta = 0 OR b_delta = 0 THEN 'zero_effect' WHEN (a_delta > 0) = (b_delta > 0) THEN 'true' ELSE 'false' END AS direction_agreement,
+ CAST(distance AS BIGINT) AS distance FROM mm"""))
 def effect_concordance(spark, d):
-    study = Study(spark, d)
-    m = _matches(study)
-    return C.concordance(m, _effects(study, m, "a_pas_id"), _effects(study, m, "b_pas_id"))
+    m = _matches(Study(spark, d))
+    return C.concordance(m, _effects(m, "a_pas_id"), _effects(m, "b_pas_id"))
 
 
-@query()
+@query(_cross_sql("""SELECT contrast_id, a_pas_id, b_pas_id, a_delta > 0.3 AS a_candidate, b_delta > 0.3 AS b_candidate, a_delta > 0.3 AND b_delta > 0.3 AS agreement FROM mm WHERE a_delta > 0.3 OR b_delta > 0.3"""))
 def pcpa_agreement(spark, d):
-    study = Study(spark, d)
-    m = _matches(study)
-    return C.premature_agreement(m, _effects(study, m, "a_pas_id").filter("delta > 0.3"), _effects(study, m, "b_pas_id").filter("delta > 0.3"))
+    m = _matches(Study(spark, d))
+    return C.premature_agreement(m, _effects(m, "a_pas_id").filter("delta > 0.3"), _effects(m, "b_pas_id").filter("delta > 0.3"))
 
 
 _SRC = {

@@ -121,17 +121,18 @@ def test_running_sum(spark):
 
 def test_crosswalk_against_loops(spark):
     random.seed(6)
-    make = lambda name, n: [(f"{name}{i:03d}", "c", random.choice("+-"), random.randint(0, 900), random.choice(["", "G", "H"])) for i in range(n)]
-    a, b = make("a", 60), make("b", 60)
+    make = lambda name, n: [(f"{name}{i:03d}", random.choice(["c", None]), random.choice(["+", "-", None]), random.randint(0, 300), random.choice(["", "G", "H", None])) for i in range(n)]
+    a, b = make("a", 90), make("b", 90)
     cols = "pas_id string, chrom string, strand string, start long, gene_id string"
     got = compare.crosswalk(spark.createDataFrame([(*r, i) for i, r in enumerate(a)], cols + ", ordinal long"), spark.createDataFrame(b, cols), 10).collect()
     used, want = set(), {}
     for i, c, s, x, g in a:
-        near = [(not (g and q[4] == g), abs(q[3] - x), q[0]) for q in b if q[0] not in used and q[2] == s and abs(q[3] - x) <= 10]
+        near = [(not (g and q[4] == g), abs(q[3] - x), q[0]) for q in b if q[0] not in used and q[1:3] == (c, s) and abs(q[3] - x) <= 10]
         want[i] = min(near)[2] if near else ""
         used.add(want[i])
     assert {r.a_pas_id: r.b_pas_id for r in got if r.a_pas_id} == want
     assert {r.b_pas_id for r in got if r.match_class == "b_only"} == {q[0] for q in b} - used
+    assert len(got) == len(a) + len(b) - sum(r.match_class == "matched" for r in got) and {r.chrom for r in got} == {"c", None}
 
 
 def test_weighted_cluster_prefers_distal(spark):

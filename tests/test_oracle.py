@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SQL = registry.oracle_sql()
 #: Queries without SQL that find no gene with two sites in the smallest tables.
-FEW = ("dm_usage", "exon_usage_lrt")
+FEW = ("dm_usage", "exon_usage_lrt", "exon_usage_contrasts", "dm_usage_audit")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
