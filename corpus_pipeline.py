@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from endweave.llm.common import WORD, cut, ensure_checkpoint_dir, nearby, text_or_empty
+from endweave.llm.common import WORD, cut, delete, ensure_checkpoint_dir, nearby, text_or_empty
 from endweave.llm.exact_dedup import exact_dedup, normalised
 from endweave.llm.jaccard_join import jaccard_components
 from endweave.llm.langid import UNDETERMINED, identify
@@ -24,7 +24,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told, for want of a text or of a single letter, go; a
     missing language is filled in. If no document names its language, none can be told, and only
-    documents without a letter go."""
+    documents without a letter go.
+
+    A null or empty text has no letter and goes; a very long text is told from all of it; repeated rows and
+    rows without an id are told each for itself, and stay; an empty table stays empty."""
     told = identify(docs, carry=("text", "lang", "source", "n_chars"))
     named = (F.col("lang_pred") != UNDETERMINED) | F.col("text").rlike(r"\p{L}")
     known = F.when(F.col("lang_pred") != UNDETERMINED, F.col("lang_pred"))
@@ -32,7 +35,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
+    """Of equal texts the one with the smallest id stays; a null id is larger than any other.
+
+    Null texts equal empty ones, of which one stays; texts of any length are compared whole; of rows with
+    the same id and text one stays; an empty table stays empty."""
     told = exact_dedup(docs).groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
     # Most documents are the only one with their id and text, and stay: the others are looked up.
     docs = docs.select(*COLUMNS)
@@ -48,7 +54,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates, by five-word shingles and a similarity of 0.8, the smallest id stays;
-    rows without an id stay."""
+    rows without an id stay.
+
+    Null, empty and blank texts have no shingle and are like nothing, so that they stay; a very long text is
+    one set of all its shingles; repeated rows of the id that stays all stay, as ``exact`` left one of each;
+    an empty table stays empty."""
     docs = docs.select(*COLUMNS)
     groups = jaccard_components(docs, k=5, percent=80)
     gone = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
@@ -58,7 +68,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its source's weight asks for; documents without a word once.
-    Rows equal in id and number of words are alike: each of them as often as the one that is taken most."""
+    Rows equal in id and number of words are alike: each of them as often as the one that is taken most.
+
+    Null and empty texts have no word; a null source is a source of its own; a very long text counts by all
+    its words and is taken whole or not; an empty table stays empty."""
     docs = docs.select(*COLUMNS)
     copies = mix(docs).groupBy(F.col("doc_id").alias("id"), F.col("size").alias("words")).agg(F.max("copies").alias("copies"))
     copies = copies.filter("copies > 0")
@@ -68,8 +81,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in bins of 4096 words. Documents without a word are a piece of no words
-    and have no bin; repeated rows are packed each, in different bins; an empty table has no pieces."""
+    """Pieces of documents in bins of 4096 words. Documents without a word, null or empty texts among them,
+    are a piece of no words and have no bin; a very long text is cut into pieces, none is left out; repeated
+    rows are packed each, in different bins; an empty table has no pieces."""
     return pack(docs)
 
 
@@ -85,11 +99,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again.
 
@@ -103,6 +112,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         if before:
-            _delete(spark, before)
+            delete(spark, before)
         before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

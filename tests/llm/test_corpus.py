@@ -338,6 +338,30 @@ def test_pipeline_of_clashing_columns(spark):
         assert a.columns == b.columns and Counter(a.collect()) == Counter(b.collect())
 
 
+def test_stages_of_odd_documents(spark):
+    """What each stage makes of null, empty, blank and very long texts, null ids, repeated rows and no rows."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(9)
+    long = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(150_000))
+    usual = [(i, " ".join("".join(rng.choices("ijklmnop", k=5)) for _ in range(30)), "xx", "ab"[i % 2], 1) for i in range(20, 32)]
+    rows = [(1, None, "xx", "a", 1), (2, "", None, "a", 1), (3, " \t", "xx", None, 1), (4, long, "xx", "a", 1), (5, long + " end", None, "b", 1), (None, "no id here", "xx", "a", 1)]
+    rows += [usual[0], (None, "no id here", "xx", "a", 1), *usual]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    ids = lambda df: sorted((r.doc_id for r in df.collect()), key=lambda i: (i is None, i))
+    own = [r[0] for r in usual]
+    stages = dict(cp.STAGES)
+    assert ids(stages["language"](spark, docs, "")) == sorted([4, 5, own[0], *own]) + [None, None]
+    assert ids(stages["exact_dedup"](spark, docs, "")) == sorted([1, 3, 4, 5, *own]) + [None]
+    assert ids(stages["near_dedup"](spark, docs, "")) == sorted([1, 2, 3, 4, own[0], *own]) + [None, None]
+    mixed = stages["source_mix"](spark, docs, "").collect()
+    assert {1, 2, 3} <= {r.doc_id for r in mixed} and all(r.text == long for r in mixed if r.doc_id == 4)
+    pieces = stages["pack"](spark, docs, "")
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in rows}
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
