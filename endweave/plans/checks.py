@@ -11,7 +11,7 @@ from endweave.plans import adapters as T
 from endweave.plans.core import PLACE, Study
 from endweave.plans.models import _SF, _factors
 from endweave.plans.registry import query
-from endweave.plans.statistics import _BH, _STAGE, _TERMS, _USE, _foreground, _made_tests, _stage_tables, _terms, r6
+from endweave.plans.statistics import _BH, _TERMS, _USE, _foreground, _made_tests, _terms, r6
 from endweave.plans.tables import _cross_sql
 
 
