@@ -66,6 +66,16 @@ def endpoint_audit(alignments: DataFrame, layout: str = "SE") -> DataFrame:
     )
 
 
+def priming_masks(places: DataFrame, chunks: DataFrame, width: int) -> DataFrame:
+    """(chrom, strand, pos, masked) of the distinct places of ends: whether the sequence about a place is rich
+    in the base that primes, see ``genomics.internal_priming``. chunks as of ``readers.read_fasta_chunks``
+    with this width, an overlap of ten bases at least. Places beyond the sequence are not masked."""
+    at = places.select(*PLACE, "pos").distinct().withColumn("chunk", F.floor(F.col("pos") / width))
+    met = at.join(chunks.select("chrom", "chunk", "offset", "sequence"), ["chrom", "chunk"], "left")
+    masked = G.internal_priming(F.col("sequence"), (F.col("pos") - F.col("offset")).cast("int"), F.col("strand"))
+    return met.select(*PLACE, "pos", F.coalesce(masked, F.lit(False)).alias("masked"))
+
+
 def route_masked(ends: DataFrame, masked: Column, rescued: Column) -> DataFrame:
     """Adds ``universe``: C2 for ends that are not masked or are rescued, C2R for the others."""
     return ends.withColumn("universe", F.when(~masked | rescued, "C2").otherwise("C2R"))

@@ -21,8 +21,9 @@ PLACE = ["chrom", "strand"]
 class Study:
     """The tables that many queries start from; each is worked out once, narrow ones are written."""
 
-    def __init__(self, spark, d):
-        self.spark, self.d = spark, d
+    def __init__(self, spark, d, masks=None):
+        """masks: gives (chrom, strand, pos, masked) of places; without, masks are made up from positions."""
+        self.spark, self.d, self.masks = spark, d, masks
 
     @cached_property
     def ends(self) -> DataFrame:
@@ -30,9 +31,10 @@ class Study:
 
     @cached_property
     def c1(self) -> DataFrame:
-        return self.ends.filter("unclipped > 0").select(
-            "sample_id", *PLACE, "pos", F.col("unclipped").alias("count"), (F.col("pos") % 17 == 0).alias("masked")
-        )
+        rows = self.ends.filter("unclipped > 0").select("sample_id", *PLACE, "pos", F.col("unclipped").alias("count"))
+        if self.masks is not None:
+            return cut(rows.join(self.masks(rows), [*PLACE, "pos"]).select("sample_id", *PLACE, "pos", "count", "masked"))
+        return rows.withColumn("masked", F.col("pos") % 17 == 0)
 
     @cached_property
     def stranded_known(self) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from endweave.plans import adapters as T
-from endweave.plans.registry import query
+from endweave.plans.core import _MASK
+from endweave.plans.registry import query, sql_of
 from endweave.plans.statistics import r6
 from endweave.session import ensure_checkpoint_dir
 from endweave.sources import readers as R
@@ -386,3 +387,48 @@ def bedgraph_file(spark, d):
     f = F.split("value", "\t")
     rows = spark.read.schema("value string, sample_id string, strand string").text(path)
     return rows.select("sample_id", "strand", f[0].alias("chrom"), f[1].cast("long").alias("start"), f[2].cast("long").alias("end"), F.round(f[3].cast("double"), 4).alias("value"))
+
+
+#: Contigs whose sequence is that of documents, one behind the other.
+_GENOME = {
+    "ctg": "SELECT (['A', 'N', 'R'])[seq_id % 3 + 1] AS chrom, string_agg(sequence, '' ORDER BY seq_id) AS s FROM sq GROUP BY 1",
+    "chk": """SELECT chrom, k, greatest(k * 1000 - 20, 0) AS lo, substr(s, CAST(greatest(k * 1000 - 20, 0) + 1 AS INTEGER), CAST((k + 1) * 1000 + 20 - greatest(k * 1000 - 20, 0) AS INTEGER)) AS sequence
+ FROM ctg, range(length(s) // 1000 + 1) t(k)""",
+    "msk": f"""SELECT chrom, strand, p, {_MASK} AS masked FROM (SELECT pl.chrom, strand, pl.pos AS p, pl.pos - lo AS pos, sequence, CASE WHEN strand = '+' THEN 'A' ELSE 'T' END AS base
+ FROM (SELECT DISTINCT chrom, strand, pos FROM en WHERE unclipped > 0) pl LEFT JOIN chk ON chk.chrom = pl.chrom AND k = pl.pos // 1000)""",
+    "c1": """SELECT sample_id, en.chrom, en.strand, en.pos, unclipped AS count, coalesce(masked, false) AS masked FROM en JOIN msk ON msk.chrom = en.chrom AND msk.strand = en.strand AND msk.p = en.pos WHERE unclipped > 0""",
+}
+
+
+def _sequence_sql(name: str) -> str:
+    """The SQL of a query with the masks by sequence in place of those by position."""
+    made = f"c1 AS ({T.SQL['c1'][0]})"
+    return sql_of(name).replace(made, ",\n".join(f"{k} AS ({v})" for k, v in _GENOME.items())).replace("WITH ", f"WITH sq AS ({T.SQL['sq'][0]}),\n", 1)
+
+
+def _masked_study(spark, d):
+    """The site pipeline with masks by sequence: ends meet chunks of 4,096 bases of a written FASTA."""
+    from endweave.operators import ends as E
+    from endweave.plans.core import Study
+
+    seqs = T.sequences(spark, d)
+    chrom = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("seq_id") % 3 + 1).cast("int"))
+    lines = seqs.select(chrom.alias("chrom"), F.col("seq_id").alias("no"), F.col("sequence").alias("value"))
+    heads = lines.select("chrom").distinct().select("chrom", F.lit(-1).cast("long"), F.concat(F.lit(">"), "chrom"))
+    # A contig's lines in order, in one file.
+    ordered = lines.union(heads).repartition("chrom").sortWithinPartitions("chrom", "no")
+    chunks = R.read_fasta_chunks(spark, _text(ordered.select("value")), width=4096, overlap=32)
+    return Study(spark, d, lambda places: E.priming_masks(places, chunks, 4096))
+
+
+@query(_sequence_sql("end_audit_funnel"))
+def sequence_masked_funnel(spark, d):
+    from endweave.operators.qc import end_audit
+
+    study = _masked_study(spark, d)
+    return end_audit(study.ends, study.routed)
+
+
+@query(_sequence_sql("active_pas"))
+def sequence_masked_sites(spark, d):
+    return _masked_study(spark, d).sites.select("pas_id", "chrom", "strand", "summit", "start", "end", (F.col("end") - F.col("start")).alias("actual_width"))

@@ -21,6 +21,11 @@ def query(sql: str | None = None):
     return add
 
 
+def sql_of(name: str) -> str:
+    """The SQL of a query of a module that is imported already."""
+    return _SQL[name]
+
+
 def _load() -> None:
     for name in _MODULES:
         importlib.import_module(f"endweave.plans.{name}")

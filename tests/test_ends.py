@@ -210,3 +210,21 @@ def test_sites_must_be_apart(spark):
     assert ends.disjoint(df.filter("start = 0")).count() == 2
     with pytest.raises(Exception, match="overlap"):
         ends.disjoint(df).collect()
+
+
+def test_masks_of_places_by_chunks(spark, tmp_path):
+    """Every position of two contigs, at any border of chunks, against the whole sequence."""
+    from endweave.functions import genomics as G
+    from endweave.sources import readers
+
+    rng = random.Random(8)
+    seqs = {c: "".join(rng.choices("AT" * 3 + "CG", k=n)) for c, n in (("c", 700), ("d", 95))}
+    path = tmp_path / "g.fa"
+    path.write_text("".join(f">{c} x\n" + "\n".join(s[i : i + 31] for i in range(0, len(s), 31)) + "\n" for c, s in seqs.items()))
+    places = spark.createDataFrame([(c, strand, p) for c in ("c", "d", "e") for strand in "+-" for p in range(720) if c != "d" or p < 120] * 2, "chrom string, strand string, pos long")
+    got = {(r.chrom, r.strand, r.pos): r.masked for r in ends.priming_masks(places, readers.read_fasta_chunks(spark, str(path), 64, 16), 64).collect()}
+    rows = [(c, s, strand, p) for c, s in seqs.items() for strand in "+-" for p in range(len(s))]
+    whole = spark.createDataFrame(rows, "chrom string, sequence string, strand string, pos int")
+    want = {(r.chrom, r.strand, r.pos): r.m for r in whole.select("chrom", "strand", "pos", G.internal_priming(F.col("sequence"), F.col("pos"), F.col("strand")).alias("m")).collect()}
+    assert {k: v for k, v in got.items() if k in want} == want and 0 < sum(want.values()) < len(want)
+    assert len(got) == 2 * (720 + 120 + 720) and not any(v for k, v in got.items() if k not in want)
