@@ -415,8 +415,8 @@ def _masked_study(spark, d):
     chrom = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("seq_id") % 3 + 1).cast("int"))
     lines = seqs.select(chrom.alias("chrom"), F.col("seq_id").alias("no"), F.col("sequence").alias("value"))
     heads = lines.select("chrom").distinct().select("chrom", F.lit(-1).cast("long"), F.concat(F.lit(">"), "chrom"))
-    # A contig's lines in order, in one file.
-    ordered = lines.union(heads).repartition("chrom").sortWithinPartitions("chrom", "no")
+    # Lines in order, over as many files as it takes.
+    ordered = lines.union(heads).repartitionByRange("chrom", "no").sortWithinPartitions("chrom", "no")
     chunks = R.read_fasta_chunks(spark, _text(ordered.select("value")), width=4096, overlap=32)
     return Study(spark, d, lambda places: E.priming_masks(places, chunks, 4096))
 

@@ -57,6 +57,29 @@ def test_fasta_windows(spark, tmp_path):
     assert got == {("c", "+", 20): seq[15:26], ("c", "-", 40): back, ("c", "+", 2): None, ("d", "+", 3): None}
 
 
+def test_fasta_over_files_and_splits(spark, tmp_path):
+    """A record that goes on over splits and files, long lines, headers at either side of a border."""
+    rng = random.Random(3)
+    seqs = {f"c{i}": "".join(rng.choices("ACGT", k=n)) for i, n in enumerate((900, 1, 57, 2500, 64))}
+    lines = ["lost"]
+    for name, s in seqs.items():
+        step = 700 if name == "c3" else 31
+        lines += [f">{name} made", *[s[i : i + step].lower() for i in range(0, len(s), step)]]
+    for at, (a, b) in enumerate([(0, 9), (9, 20), (20, 33), (33, len(lines))]):
+        (tmp_path / "f").mkdir(exist_ok=True)
+        (tmp_path / "f" / f"part-{at}.fa").write_text("\n".join(lines[a:b]) + "\n")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = {(r.chrom, r.chunk): (r.offset, r.sequence) for r in readers.read_fasta_chunks(spark, str(tmp_path / "f"), width=64, overlap=16).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", held[1])
+    want = {(c, k): (max(0, k * 64 - 16), s[max(0, k * 64 - 16) : (k + 1) * 64 + 16]) for c, s in seqs.items() for k in range((len(s) + 63) // 64)}
+    assert got == want
+
+
 def test_tables(spark, tmp_path):
     ends = put(tmp_path, "e.tsv", "chrom\tstart\tend\tstrand\tcount\nc\t5\t6\t+\t2\nc\t5\t6\t+\t3\nc\t7\t8\t.\t1\nc\t9\t10\t-\t0\n")
     assert [tuple(r) for r in readers.read_positions(spark, ends).collect()] == [("c", "+", 5, 5)]
