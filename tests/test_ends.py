@@ -228,3 +228,19 @@ def test_masks_of_places_by_chunks(spark, tmp_path):
     want = {(r.chrom, r.strand, r.pos): r.m for r in whole.select("chrom", "strand", "pos", G.internal_priming(F.col("sequence"), F.col("pos"), F.col("strand")).alias("m")).collect()}
     assert {k: v for k, v in got.items() if k in want} == want and 0 < sum(want.values()) < len(want)
     assert len(got) == 2 * (720 + 120 + 720) and not any(v for k, v in got.items() if k not in want)
+
+
+def test_sites_read_the_signal_three_times(spark):
+    """Once for the windows and once for each round of summits, however often a merge sweeps what they find."""
+    read = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [("c", "+", 200 * i + j, 10 + j) for i in range(40) for j in range(5)]
+    signal = spark.createDataFrame(rows, "chrom string, strand string, pos long, cpm long").mapInArrow(told, "chrom string, strand string, pos long, cpm long")
+    sizes = spark.createDataFrame([("c", 10**6)], "chrom string, size long")
+    assert ends.numbered(ends.discover_sites(signal, sizes, F.lit(20))).count() == 40
+    assert read.value <= 4 * len(rows)  # the last round feeds the numbers of tiles as well
