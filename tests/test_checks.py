@@ -1,5 +1,7 @@
 """Strict lookups, gates and orders."""
 
+import os
+
 import numpy as np
 import pytest
 
@@ -47,3 +49,12 @@ def test_manifest_with_nulls(spark):
     empty = spark.createDataFrame([("m", *[None] * 15)], names)
     assert checks.manifest_faults(empty, "GRCh38", checks.SINGLE_END).count() == 10
     assert checks.manifest_faults(empty, "GRCh38", "other").count() == 11
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_gate_has_the_staged_audit(spark):
+    """The audit of the tables has no fault, and with a status that is out of date one."""
+    from endweave.plans import registry
+
+    got = registry.queries()["audit_gate"](spark, "/root/testdata/sf0.001").filter("contrast_id like 'staged%'").collect()
+    assert [tuple(r) for r in got] == [("staged_stale", "status")]
