@@ -15,8 +15,9 @@ def write_table(df: DataFrame, path: str, null: str = "NA") -> None:
 
 
 def write_positions(ends: DataFrame, path: str) -> None:
-    """Position counts as Parquet, a folder for each sample, sorted inside files."""
-    ordered = ends.repartition("sample_id").sortWithinPartitions("sample_id", "chrom", "pos", "strand")
+    """Position counts as Parquet, a folder for each sample, in files of ranges of places, sorted inside."""
+    places = "sample_id", "chrom", "pos", "strand"
+    ordered = ends.repartitionByRange(*places).sortWithinPartitions(*places)
     ordered.write.mode("overwrite").partitionBy("sample_id").parquet(path)
 
 
