@@ -13,6 +13,7 @@ from endweave.plans.core import _MASK
 from endweave.plans.registry import query, sql_of
 from endweave.plans.statistics import r6
 from endweave.session import ensure_checkpoint_dir
+from endweave.sources import bam
 from endweave.sources import readers as R
 from endweave.sources import writers as W
 
@@ -139,21 +140,22 @@ def chain_lifted(spark, d):
     return atlas.lifted(sites, liftover.hits(sites, _chains(spark, d), pos="site")).select("source_id", "status", "to_chrom", "to_pos")
 
 
-#: Bytes of the ranges in which the queries read binary alignments, so that small files have several.
+#: Bytes of the ranges in which the queries read binary alignments where they find few, so that small files
+#: have several.
 _RANGE = 1 << 18
 
 
 def _binary(spark, reads: DataFrame) -> DataFrame:
+    """Written by as many tasks as the table is read by; a file of many bytes is cut into eight ranges."""
     path = _place(spark)
-    # Few files, so that ranges cut them.
-    W.write_bam(reads.coalesce(2), path, [(c, 2**31 - 1) for c in "ANR"])
-    return R.read_bam(spark, path, "x", _RANGE)
+    W.write_bam(reads, path, [(c, 2**31 - 1) for c in "ANR"])
+    return R.read_bam(spark, path, "x", max(_RANGE, min(bam.SPLIT, bam.largest(path) // 8)))
 
 
 @query(T.sql(f"""SELECT 'x' AS sample_id, rid AS read_name, flag, chrom, ref_start, ref_end, nh,
  CASE WHEN strand = '+' THEN '30M' || {_CIGAR} ELSE {_CIGAR} || '30M' END AS cigar FROM al WHERE ref_start >= 0""", "al"))
 def binary_alignment_file(spark, d):
-    """Written in blocks and read in ranges of _RANGE bytes."""
+    """Written in blocks and read in ranges of _RANGE bytes or more."""
     return _binary(spark, T.alignments(spark, d).filter("ref_start >= 0"))
 
 

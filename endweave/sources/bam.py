@@ -14,11 +14,12 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Records of a batch; bytes of a range; bytes of uncompressed data in a written block; records in a row
 #: that a first record must be followed by.
@@ -224,10 +225,8 @@ def record(r: bytes, contigs: list[str]) -> tuple:
     """(read_name, flag, chrom, ref_start, ref_end, cigar, nh) of a record's bytes."""
     contig, pos, name_size, _, _, n_ops, flag, bases = struct.unpack_from("<iiBBHHHi", r)
     at = 32 + name_size
-    ops = struct.unpack_from(f"<{n_ops}I", r, at)
     tags = at + 4 * n_ops + (bases + 1) // 2 + bases
-    span = sum(x >> 4 for x in ops if _OPS[x & 15] in "MDN=X")
-    cigar = "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) or "*"
+    cigar, span = unpacked(r[at : at + 4 * n_ops])
     return r[32 : at - 1].decode(), flag, contigs[contig] if contig >= 0 else "*", pos, pos + span, cigar, hits(r[tags:])
 
 
@@ -275,20 +274,29 @@ def read_range(part: Range) -> Iterator[tuple]:
             raise ValueError(f"records of {part.path} can't be told apart at byte {part.end}; choose another split")
 
 
+def files(path: str) -> list[fs.FileInfo]:
+    """A file, or those of a folder but the hidden ones, by name."""
+    system, inside = located(path)
+    info = system.get_file_info(inside)
+    if info.type != fs.FileType.Directory:
+        return [info]
+    found = system.get_file_info(fs.FileSelector(inside))
+    return sorted((x for x in found if x.type == fs.FileType.File and not x.base_name.startswith(("_", "."))), key=lambda x: x.path)
+
+
+def largest(path: str) -> int:
+    """Bytes of the largest file."""
+    return max((x.size or 0 for x in files(path)), default=0)
+
+
 class BamReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("split", SPLIT))
 
     def partitions(self) -> list[Range]:
-        system, inside = located(self.path)
-        info = system.get_file_info(inside)
-        if info.type == fs.FileType.Directory:
-            found = system.get_file_info(fs.FileSelector(inside))
-            inner = sorted(x.path for x in found if x.type == fs.FileType.File and not x.base_name.startswith(("_", ".")))
-        else:
-            inner = [inside]
+        system, _ = located(self.path)
         prefix = self.path.split("://")[0] + "://" if "://" in self.path and not isinstance(system, fs.LocalFileSystem) else ""
-        return [r for path in inner for r in ranged(prefix + path, self.split)]
+        return [r for x in files(self.path) for r in ranged(prefix + x.path, self.split)]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         held = []
@@ -312,15 +320,32 @@ def block(data: bytes) -> bytes:
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + size + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
-def encoded(row, contigs: dict[str, int]) -> bytes:
-    """A record without bases. Columns as they are read; a contig that is not named is an error."""
-    ops = [] if row["cigar"] in (None, "*") else [(int(n), k) for n, k in _cut(row["cigar"])]
-    name = (row["read_name"] or "*").encode() + b"\0"
-    contig = -1 if row["chrom"] in (None, "*") else contigs[row["chrom"]]
-    tags = b"" if row["nh"] is None else b"NHi" + struct.pack("<i", row["nh"])
-    fixed = struct.pack("<iiBBHHHiiii", contig, row["ref_start"], len(name), 255, 4680, len(ops), row["flag"], 0, -1, -1, 0)
-    body = fixed + name + struct.pack(f"<{len(ops)}I", *[n << 4 | _OPS.index(k) for n, k in ops]) + tags
-    return struct.pack("<i", len(body)) + body
+def encoded(batch: pa.RecordBatch, contigs: dict[str, int]) -> Iterator[bytes]:
+    """Records without bases. Columns as they are read; a contig that is not named is an error."""
+    columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("read_name", "flag", "chrom", "ref_start", "cigar", "nh")]
+    for name, flag, chrom, start, cigar, nh in zip(*columns, strict=True):
+        ops, name = packed(cigar), (name or "*").encode() + b"\0"
+        contig = -1 if chrom in (None, "*") else contigs[chrom]
+        tags = b"" if nh is None else b"NHi" + struct.pack("<i", nh)
+        yield _FIXED.pack(32 + len(name) + len(ops) + len(tags), contig, start, len(name), 255, 4680, len(ops) // 4, flag, 0, -1, -1, 0) + name + ops + tags
+
+
+#: Size and fixed fields of a record.
+_FIXED = struct.Struct("<iiiBBHHHiiii")
+
+
+@lru_cache(maxsize=1 << 14)
+def packed(cigar: str | None) -> bytes:
+    """The operations of a CIGAR string as a record has them; most reads share theirs with others."""
+    ops = [] if cigar in (None, "*") else [int(n) << 4 | _OPS.index(k) for n, k in _cut(cigar)]
+    return struct.pack(f"<{len(ops)}I", *ops)
+
+
+@lru_cache(maxsize=1 << 14)
+def unpacked(ops: bytes) -> tuple[str, int]:
+    """(CIGAR string, positions that it spans) of a record's operations."""
+    found = struct.unpack(f"<{len(ops) // 4}I", ops)
+    return "".join(f"{x >> 4}{_OPS[x & 15]}" for x in found) or "*", sum(x >> 4 for x in found if _OPS[x & 15] in "MDN=X")
 
 
 def _cut(cigar: str) -> Iterator[tuple[str, str]]:
@@ -333,13 +358,13 @@ def _cut(cigar: str) -> Iterator[tuple[str, str]]:
             digits = ""
 
 
-class BamWriter(DataSourceWriter):
+class BamWriter(DataSourceArrowWriter):
     """A file for each task, under a hidden name until the job commits."""
 
     def __init__(self, options: dict):
         self.path, self.contigs = options["path"], [tuple(c) for c in json.loads(options["contigs"])]
 
-    def write(self, rows: Iterator) -> WriterCommitMessage:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         system, inside = located(self.path)
         system.create_dir(inside, recursive=True)
         hidden = f"{inside}/_{uuid.uuid4().hex}"
@@ -351,8 +376,8 @@ class BamWriter(DataSourceWriter):
         with system.open_output_stream(hidden) as out:
             parts = [held]
             size = len(held)
-            for row in rows:
-                parts.append(encoded(row, numbers))
+            for found in (r for b in batches for r in encoded(b, numbers)):
+                parts.append(found)
                 size += len(parts[-1])
                 while size >= BLOCK:
                     whole = b"".join(parts)
@@ -393,7 +418,7 @@ class BamSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return BamReader(self.options)
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return BamWriter(self.options)
 
 

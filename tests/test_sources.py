@@ -272,3 +272,25 @@ def test_digest_tells_nulls_apart(spark, tmp_path):
     assert before == writers.folder_digest(spark, str(folder))
     put(folder, "a.txt", "12")
     assert before != writers.folder_digest(spark, str(folder))
+
+
+def test_binary_queries_write_with_all_tasks(spark, monkeypatch):
+    from endweave.plans import files
+
+    seen = []
+    write = files.W.write_bam
+    monkeypatch.setattr(files.W, "write_bam", lambda df, *rest: (seen.append(df.rdd.getNumPartitions()), write(df, *rest)))
+    df = spark.range(400).selectExpr("concat('r', id) as read_name", "0 as flag", "'A' as chrom", "id as ref_start", "id + 30 as ref_end", "'30M' as cigar", "1 as nh").repartition(5)
+    assert files._binary(spark, df).count() == 400 and seen == [5]
+
+
+def test_positions_of_a_sample_in_several_files(spark, tmp_path):
+    df = spark.range(4000).selectExpr("'s' as sample_id", "'c' as chrom", "'+' as strand", "id as pos", "1 as unclipped")
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        writers.write_positions(df, str(tmp_path / "p"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    names = [n for n in os.listdir(tmp_path / "p" / "sample_id=s") if n.endswith(".parquet")]
+    assert len(names) > 1 and spark.read.parquet(str(tmp_path / "p")).distinct().count() == 4000
