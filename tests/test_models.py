@@ -357,6 +357,33 @@ def test_multilevel_against_all_sets():
             assert all(exact / 2 <= g <= exact * 2 for g in got), (s, exact, got)
 
 
+def test_multilevel_work_grows_with_the_size(monkeypatch):
+    """Members that the levels go over, from sets of 50 genes to sets of 400 with as deep a score; an exchange
+    takes places outside the set, is as likely as its reverse and leaves every set of the ranking in reach."""
+    from itertools import combinations
+
+    from endweave.operators import enrich
+
+    plain, seen = enrich._extremes, []
+    monkeypatch.setattr(enrich, "_extremes", lambda weights, sets: (seen.append(sets.size), plain(weights, sets))[1])
+    work = []
+    for size in (50, 400):
+        mean = enrich.upper_tails(np.ones(10 * size), size, np.array([]), 1)[1]
+        seen.clear()
+        enrich.upper_tails(np.ones(10 * size), size, np.array([mean + 0.7 / math.sqrt(size)]), 1)
+        work.append(sum(seen))
+    assert work[1] < 2 * 8 * work[0]
+
+    every = np.array(list(combinations(range(6), 3)), dtype=np.int32)
+    at, moves = {tuple(s): i for i, s in enumerate(every.tolist())}, np.zeros((20, 20))
+    rng = np.random.default_rng(2)
+    for _ in range(4000):
+        for i, s in enumerate(enrich._exchanged(rng, every, 6, 2).tolist()):
+            moves[i, at[tuple(s)]] += 1
+    assert (np.abs(moves - moves.T) < 5 * np.sqrt(moves + moves.T + 1)).all() and (moves > 0).sum(axis=1).min() >= 19
+    assert np.ptp(moves.sum(axis=0)) < 6 * math.sqrt(2 * 4000)
+
+
 def test_multilevel_has_no_floor(spark):
     """A set at the top of a ranking is beyond what permutations reach, one drawn at random is not; runs are
     shared by terms of a size, and negative scores are told from the other end."""
