@@ -244,3 +244,39 @@ def test_sites_read_the_signal_three_times(spark):
     sizes = spark.createDataFrame([("c", 10**6)], "chrom string, size long")
     assert ends.numbered(ends.discover_sites(signal, sizes, F.lit(20))).count() == 40
     assert read.value <= 4 * len(rows)  # the last round feeds the numbers of tiles as well
+
+
+def test_summits_and_windows_sort_by_numbers(spark):
+    """Signal meets components without a sort of its positions, strips of windows are sorted by their numbers
+    before contigs; summits are those of a loop, the lowest of ties on both sides of a bin's edge too."""
+    rng = random.Random(4)
+    signal = {(c, s, p): rng.choice([1, 2, 3, 3]) for c in "ab" for s in "+-" for p in rng.sample(range(900, 5000), 1500)}
+    parts = [(c, s, a, a + rng.choice([5, 40, 700])) for c in "ab" for s in "+-" for a in range(950, 4900, 150)]
+    sizes = spark.createDataFrame([("a", 10**6), ("b", 10**6)], "chrom string, size long")
+    pooled = spark.createDataFrame([(*k, v) for k, v in signal.items()], "chrom string, strand string, pos long, cpm long")
+    told = spark.createDataFrame(parts, "chrom string, strand string, start long, end long")
+    expected = []
+    for c, s, a, b in parts:
+        inside = [(-v, p) for (x, y, p), v in signal.items() if (x, y) == (c, s) and a <= p < b]
+        expected += [(c, s, min(inside)[1])] if inside else []
+    for cpm in (F.col("cpm"), (F.col("cpm") / 4).cast(ends.CPM)):
+        found = ends.recenter(told, pooled.withColumn("cpm", cpm), sizes, 30)
+        assert sorted((r.chrom, r.strand, r.summit) for r in found.collect()) == sorted(expected)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan.split("ShuffledHashJoin")[1]
+    swept = []
+    keep = intervals.cut
+    try:
+        intervals.cut = lambda df: (swept.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1]
+        intervals.window_components(pooled.withColumnRenamed("cpm", "value"), ["chrom", "strand"], 30, F.lit(5)).count()
+    finally:
+        intervals.cut = keep
+    assert "Sort [tile#" in swept[0] and "HashAggregate(keys=[chrom" not in swept[0]
+
+
+def test_pooled_values_of_small_and_large_counts(spark):
+    """Values that are looked up and those worked out for a row are the same."""
+    rows = [(f"s{i % 3}", "c", "+", i, n) for i, n in enumerate([0, 1, 2, 254, 255, 256, 257, 10**6, 3])]
+    total = {f"s{k}": sum(r[4] for r in rows if r[0] == f"s{k}") for k in range(3)}
+    got = {r.pos: r.cpm for r in ends.pooled_signal(spark.createDataFrame(rows, "sample_id string, chrom string, strand string, pos long, count long")).collect()}
+    assert got == {p: round(round(n * 1e6 / total[s], 6) * 1e6) for s, _, _, p, n in rows}
