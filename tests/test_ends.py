@@ -322,3 +322,14 @@ def test_only_masked_ends_are_written_again(spark):
         core.written = keep
     assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
     assert sum(rows) <= masked
+
+
+def test_dropped_ends_are_found_among_masked_ones(spark, monkeypatch):
+    """C2R is what all ends routed leave, and track_scales looks for known sites of masked ends alone."""
+    from endweave.plans import core, models
+
+    study = core.Study(spark, "/root/testdata/sf0.001")
+    whole = study.routed.filter("universe = 'C2R'").select("sample_id", *core.PLACE, "pos", "count").collect()
+    assert sorted(map(tuple, study.dropped.collect())) == sorted(map(tuple, whole)) != []
+    monkeypatch.delattr(core.Study, "routed")
+    assert models.track_scales(spark, "/root/testdata/sf0.001").filter("family = 'C2R'").count() == 6
