@@ -333,3 +333,35 @@ def test_dropped_ends_are_found_among_masked_ones(spark, monkeypatch):
     assert sorted(map(tuple, study.dropped.collect())) == sorted(map(tuple, whole)) != []
     monkeypatch.delattr(core.Study, "routed")
     assert models.track_scales(spark, "/root/testdata/sf0.001").filter("family = 'C2R'").count() == 6
+
+
+def test_summits_come_with_the_windows(spark):
+    """Components and summits of one sweep are those of two, with several rows a place, ties, null keys and tiles
+    that cut them, and signal moves once."""
+    rng = random.Random(12)
+    rows = [(c, s, rng.randrange(-80, 900), rng.choice([0, 1, 1, 2, 9])) for c in ("a", "b", None) for s in "+-" for _ in range(330)]
+    df = spark.createDataFrame(rows, "chrom string, strand string, pos long, value long")
+    placed = {}
+    for c, s, p, v in rows:
+        placed[c, s, p] = placed.get((c, s, p), 0) + v
+    for tile, limit in ((32, 9), (64, 14), (1 << 14, 25)):
+        got = {tuple(r) for r in intervals.window_summits(df, ["chrom", "strand"], 30, F.lit(limit), tile, 128).collect()}
+        want = set()
+        for c, s, a, b in map(tuple, intervals.window_components(df, ["chrom", "strand"], 30, F.lit(limit)).collect()):
+            want.add((c, s, a, b, min((-v, p) for (x, y, p), v in placed.items() if (x, y) == (c, s) and a <= p < b)[1]))
+        assert got == want and want, (tile, limit)
+
+
+def test_signal_moves_once(spark):
+    """Windows, both rounds of summits and counts deal the rows of C2 out once."""
+    from endweave.plans import core
+
+    study = core.Study(spark, "/root/testdata/sf0.01")
+    ends_ = study.c2.count()
+    study.threshold
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = lambda: (lambda found: {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())})(store.stageList(None, False, False, none, None))
+    before = stages()
+    assert study.counts.count() == 6 * study.sites.count()
+    assert sum(n > 0.8 * ends_ for i, n in stages().items() if i not in before) == 1
