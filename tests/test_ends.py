@@ -365,3 +365,18 @@ def test_signal_moves_once(spark):
     before = stages()
     assert study.counts.count() == 6 * study.sites.count()
     assert sum(n > 0.8 * ends_ for i, n in stages().items() if i not in before) == 1
+
+
+def test_many_sites_are_dealt_out(spark, monkeypatch):
+    """Sites beyond what is handed to every task give the same counts."""
+    from endweave import session
+
+    sites = spark.createDataFrame([(str(i), "c", "+", 50 * i, 50 * i + 30) for i in range(40)], "pas_id string, chrom string, strand string, start long, end long")
+    rng = random.Random(3)
+    rows = [("s", "c", "+", p, 1 + p % 3) for p in rng.sample(range(2200), 900)]
+    df = spark.createDataFrame(rows, "sample_id string, chrom string, strand string, pos long, count long")
+    samples = spark.createDataFrame([("s",)], "sample_id string")
+    want = {str(i): sum(r[4] for r in rows if 50 * i <= r[3] < 50 * i + 30) for i in range(40)}
+    for most in (session.NEAR_ROWS, 0):
+        monkeypatch.setattr(session, "NEAR_ROWS", most)
+        assert {r.pas_id: r["count"] for r in ends.count_sites(sites, df, samples).collect()} == want

@@ -35,6 +35,19 @@ def test_read_counting(spark):
     assert got == {"A": 2, "B": 1, "C": 1, "__ambiguous": 1, "__no_feature": 1}
 
 
+def test_reads_of_one_gene(spark):
+    """Counts of genes alone are those of all reads without the two rows for others, and reads are scanned once."""
+    from endweave.plans import statistics
+
+    union = spark.createDataFrame([("A", "c", "+", 0, 100), ("A", "c", "+", 200, 300), ("B", "c", "+", 290, 400), (None, "c", "-", 0, 50)], "gene_id string, chrom string, strand string, start long, end long")
+    reads = [("1", "+", 10, 20), ("2", "+", 90, 95), ("2", "+", 200, 210), ("3", "+", 350, 360), ("4", "-", 10, 20), ("5", "+", 280, 295), ("6", "+", 500, 510), (None, "+", 10, 20)]
+    df = spark.createDataFrame([(s, r, "c", st, a, b) for s in ("s", "t") for r, st, a, b in reads], "sample_id string, read string, chrom string, strand string, start long, end long")
+    got = {(r.sample_id, r.gene_id, r["count"]) for r in annotation.unique_gene_counts(df, union, 64).collect()}
+    assert got == {(s, g, n) for s in "st" for g, n in (("A", 3), ("B", 1), (None, 1))}
+    plan = statistics._exonic(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+
+
 def test_bed12(spark):
     ex = spark.createDataFrame([("g", "t", "c", "+", 100, 150), ("g", "t", "c", "+", 200, 250), ("g", "u", "c", "+", 0, 20), ("g", "u", "c", "+", 10, 30)], "gene_id string, transcript_id string, chrom string, strand string, start long, end long")
     rows = annotation.bed12(ex).collect()
