@@ -48,6 +48,17 @@ def test_reads_of_one_gene(spark):
     assert plan.count("lineitem.parquet") == 1
 
 
+def test_buckets_are_fitted_by_tasks_of_their_own(spark, monkeypatch):
+    """However few rows they have: buckets are spread over partitions that adaptive execution leaves alone."""
+    from endweave.operators import models
+
+    monkeypatch.setattr(models, "BUCKET", 10)
+    counts = spark.range(80).selectExpr("concat('g', id) as gene_id", "'s' as sample_id", "id as count")
+    rows = models.cut(models._buckets(counts))
+    fitted = models._by_bucket(rows).applyInPandas(lambda pdf: pdf[["bucket"]].head(1), "bucket long").select("bucket", F.spark_partition_id().alias("task"))
+    assert fitted.select("task").distinct().count() > 3
+
+
 def test_bed12(spark):
     ex = spark.createDataFrame([("g", "t", "c", "+", 100, 150), ("g", "t", "c", "+", 200, 250), ("g", "u", "c", "+", 0, 20), ("g", "u", "c", "+", 10, 30)], "gene_id string, transcript_id string, chrom string, strand string, start long, end long")
     rows = annotation.bed12(ex).collect()
