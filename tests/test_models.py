@@ -427,6 +427,52 @@ def test_multilevel_has_no_floor(spark):
     assert edges["top"] == [f"g{i}" for i in range(0, 60, 3)] and edges["bottom"] == [f"g{i}" for i in range(1499, 1439, -3)]
 
 
+def test_multilevel_memory_is_not_that_of_all_sets(monkeypatch):
+    """200 sets of 15,000 genes in 40,000 would be 12 MB of places and, gone over at once, some ten times that;
+    wherever the sets are held the tails are the same, of one level and of several."""
+    import tracemalloc
+
+    from endweave.operators import enrich
+
+    monkeypatch.setattr(enrich, "HELD", 200)
+    weights = np.abs(np.random.default_rng(1).normal(0, 1, 40_000))
+    mean = enrich.upper_tails(weights, 15_000, np.array([]), 1)[1]
+    scores, got = mean * np.array([0.5, 1.0, 1.15]), {}
+    for bound in (1 << 26, 1 << 21, 0):  # as places, as bits, in a file
+        monkeypatch.setattr(enrich, "IN_MEMORY", bound, raising=False)
+        tracemalloc.start()
+        got[bound] = enrich.upper_tails(weights, 15_000, scores, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < (40 << 20 if bound == 1 << 26 else 24 << 20), (bound, peak)
+    assert all((g[0] == got[0][0]).all() and g[1:] == got[0][1:] for g in got.values())
+
+    monkeypatch.setattr(enrich, "IN_MEMORY", 0)
+    rng = np.random.default_rng(2)
+    for n, size in ((3000, 40), (3000, 700)):
+        sets = np.sort(np.stack([rng.choice(n, size, replace=False) for _ in range(9)]), axis=1)
+        held = enrich._Held(9, size, n)
+        held.put(0, sets[:4])
+        held.put(4, sets[4:])
+        assert (held.get(2, 7) == sets[2:7]).all() and (held.take(np.array([8, 1, 1])).get(0, 3) == sets[[8, 1, 1]]).all()
+
+
+def test_multilevel_deals_rankings_in_chunks(spark, monkeypatch):
+    """Rows do not depend on how rankings are cut and runs are dealt; queries do not mix."""
+    from endweave.operators import enrich
+
+    rng = np.random.default_rng(6)
+    genes = [(q, f"g{i}", float(rng.normal())) for q in "ab" for i in range(300)]
+    terms = spark.createDataFrame([("d", f"t{k}", f"g{i}") for k in range(8) for i in rng.choice(300, 10 + k // 2, replace=False)], "database string, term_id string, gene_id string")
+    ranked = enrich.ranking(spark.createDataFrame(genes, "query string, gene_id string, score double"))
+    scores, found = enrich.enrichment_scores(ranked, terms), []
+    for chunk, shared in ((1 << 16, 100.0), (70, 0.01)):
+        monkeypatch.setattr(enrich, "CHUNK", chunk, raising=False)
+        monkeypatch.setattr(enrich, "SHARED", shared, raising=False)
+        found.append(sorted((r.query, r.term_id, r.size, round(r.nes, 9), round(r.pvalue, 9)) for r in enrich.multilevel(scores, ranked).collect()))
+    assert len(found[0]) == 16 and found[0] == found[1]
+
+
 def test_gene_q_values_against_the_definition(spark):
     from endweave.operators.multitest import gene_q_values
 
